@@ -1 +1,331 @@
-"""placeholder"""
+"""Proofs for sources and sinks (§2.1, §2.2, X-03).
+
+Each proof writes a test table as a landing tree (CSV / JSON / Parquet) into a
+fresh folder under the shared checkpoint root, ingests it with the operator
+and returns the ingested table; the oracle reads the original table.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from gridlake import contracts as C
+from gridlake.functions.expressions import iso_week
+from gridlake.plans import defects
+from gridlake.plans.marts import silver_flagged
+from gridlake.plans.proofs_relational import SILVER_SPEC, SILVER_SQL, event_envelopes, raw_orders
+from gridlake.plans.registry import proof
+from gridlake.plans.tables import table
+from gridlake.session import scratch_path
+from gridlake.sinks import publish, read_batches, replace_periods, route_write
+from gridlake.sources.batch import TEXT_WRITE_OPTIONS, preview_raw, read_csv, read_json, read_parquet, with_audit
+from gridlake.sources.drift import SchemaLog, added_columns, read_csv_drifting
+from gridlake.sources.rescue import cast_with_rescue
+from gridlake.streaming.ingest import ingest_drifting_csv, ingest_stream
+
+ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+WEEK_SQL = "strftime(o_orderdate, '%G-W%V')"
+# Fixed value: first ISO week delivered with the second header version (a Monday).
+DRIFT_CUT = "1997-12-29"
+
+
+def land_weekly_csv(df: DataFrame, root: str, sep: str = ";", mode: str = "overwrite") -> None:
+    """One CSV file per ISO-week folder ``wk=YYYY-Www`` (a weekly extract)."""
+    wk = iso_week("o_orderdate")
+    (
+        df.withColumn("wk", wk)
+        .repartition("wk")
+        .write.mode(mode)
+        .options(**TEXT_WRITE_OPTIONS)
+        .option("header", True)
+        .option("sep", sep)
+        .partitionBy("wk")
+        .csv(root)
+    )
+
+
+def _orders_with_week_sql(extra: str = "") -> str:
+    return f"SELECT {', '.join(ORDER_COLS)}, {WEEK_SQL} AS _extract_week{extra} FROM orders"
+
+
+@proof("ingest_csv_batch", _orders_with_week_sql(), ("S-04", "S-13", "S-12", "P-02", "C-02"))
+def q_ingest_csv_batch(spark: SparkSession, d: str) -> DataFrame:
+    root = scratch_path(spark, "landing-orders-csv")
+    land_weekly_csv(table(spark, d, "orders"), root)
+    df = read_csv(spark, root, C.ORDERS.schema, sep=";", glob="*.csv")
+    return with_audit(df, period_col="_extract_week").select(*ORDER_COLS, "_extract_week")
+
+
+@proof(
+    "ingest_csv_infer",
+    f"""WITH d AS (SELECT {defects.RAW_ORDERS_SELECT} FROM orders)
+        SELECT o_orderkey, nullif(code, '') AS code, price FROM d""",
+    ("S-04",),
+)
+def q_ingest_csv_infer(spark: SparkSession, d: str) -> DataFrame:
+    """Inference fallback: numbers inferred, the code column protected as string (leading zeros kept)."""
+    root = scratch_path(spark, "landing-infer")
+    raw_orders(spark, d).select("o_orderkey", "code", "price").write.option("header", True).csv(root)
+    df = read_csv(spark, root, infer=True, string_cols=["code"], provenance=False)
+    return df.select(F.col("o_orderkey").cast("long").alias("o_orderkey"), "code", F.col("price").cast("double").alias("price"))
+
+
+@proof("ingest_json_batch", "SELECT * FROM events", ("S-05", "S-13"))
+def q_ingest_json_batch(spark: SparkSession, d: str) -> DataFrame:
+    root = scratch_path(spark, "landing-events-json")
+    ev = table(spark, d, "events")
+    ev.withColumn("day", F.to_date("ts")).repartition("day").write.options(**TEXT_WRITE_OPTIONS).partitionBy("day").json(root)
+    return read_json(spark, root, C.EVENTS.schema, provenance=False)
+
+
+@proof(
+    "ingest_json_nested",
+    """SELECT max(ts) OVER (PARTITION BY CAST(ts AS DATE), event_id // 16) AS pull_ts,
+              event_id, ts, user_id, event_type, value FROM events""",
+    ("S-05", "L-05", "C-07"),
+)
+def q_ingest_json_nested(spark: SparkSession, d: str) -> DataFrame:
+    """Nested envelopes written as JSON, read back with a declared nested schema, flattened."""
+    from gridlake.operators.flatten import flatten_envelope
+
+    root = scratch_path(spark, "landing-envelopes")
+    event_envelopes(spark, d).write.options(**TEXT_WRITE_OPTIONS).partitionBy("day").json(root)
+    env = read_json(spark, root, C.EVENT_ENVELOPE, provenance=False)
+    return flatten_envelope(env, "records", keep=["pull_ts"])
+
+
+@proof(
+    "scan_parquet",
+    "SELECT l_orderkey, l_extendedprice FROM lineitem WHERE l_shipdate >= TIMESTAMP '1997-01-01'",
+    ("S-06", "S-08"),
+)
+def q_scan_parquet(spark: SparkSession, d: str) -> DataFrame:
+    return read_parquet(spark, f"{d}/lineitem.parquet", ["l_orderkey", "l_extendedprice"], F.col("l_shipdate") >= F.lit("1997-01-01").cast("timestamp_ntz"))
+
+
+@proof(
+    "preview_raw",
+    """SELECT CAST(o.o_orderkey AS VARCHAR) AS o_orderkey, CAST(o.o_custkey AS VARCHAR) AS o_custkey, o.o_orderstatus
+       FROM orders o ORDER BY o.o_orderkey LIMIT 20""",
+    ("S-07", "O-03"),
+)
+def q_preview_raw(spark: SparkSession, d: str) -> DataFrame:
+    """First 20 lines of one delivered file, as text (no inference).
+
+    The table is landed as key-ordered files (range partitions); the preview
+    opens the first file of the delivery.
+    """
+    from gridlake.operators.layout import list_files
+
+    root = scratch_path(spark, "landing-preview")
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    o.orderBy("o_orderkey").write.option("header", True).csv(root)
+    first = list_files(spark, root, "*.csv").agg(F.min("path").alias("p")).first()["p"]
+    return preview_raw(spark, first, 20)
+
+
+@proof(
+    "provenance_files",
+    f"SELECT count(DISTINCT {WEEK_SQL}) AS n_files, count(*) AS n_rows FROM orders",
+    ("S-12", "P-02"),
+)
+def q_provenance_files(spark: SparkSession, d: str) -> DataFrame:
+    root = scratch_path(spark, "landing-prov")
+    land_weekly_csv(table(spark, d, "orders"), root)
+    df = read_csv(spark, root, C.ORDERS.schema, sep=";", glob="*.csv")
+    return df.agg(F.count_distinct("_source_file").alias("n_files"), F.count(F.lit(1)).alias("n_rows"))
+
+
+# --------------------------------------------------------------------------- streams (S-01, S-02, S-14)
+
+
+def _stream_orders(spark: SparkSession, landing: str, target: str, ckpt: str) -> None:
+    ingest_stream(
+        spark,
+        landing,
+        target,
+        ckpt,
+        "csv",
+        C.ORDERS.schema,
+        {"sep": ";", "header": "true"},
+        transform=lambda df: df.withColumn("_extract_week", F.regexp_extract("_source_file", r"(\d{4}-W\d{2})", 1)),
+        glob="*.csv",
+        max_files_per_trigger=200,
+    )
+
+
+@proof("ingest_csv_stream", _orders_with_week_sql(), ("S-01", "K-01", "K-03", "P-01", "C-03"))
+def q_ingest_csv_stream(spark: SparkSession, d: str) -> DataFrame:
+    base = scratch_path(spark, "stream-orders")
+    land_weekly_csv(table(spark, d, "orders"), f"{base}/landing")
+    _stream_orders(spark, f"{base}/landing", f"{base}/bronze", f"{base}/_ckpt")
+    return spark.read.parquet(f"{base}/bronze").select(*ORDER_COLS, "_extract_week")
+
+
+@proof("ingest_rerun_idempotent", _orders_with_week_sql(), ("S-14", "K-06"))
+def q_ingest_rerun(spark: SparkSession, d: str) -> DataFrame:
+    """Second run on the same checkpoint with no new files adds nothing."""
+    base = scratch_path(spark, "stream-rerun")
+    land_weekly_csv(table(spark, d, "orders"), f"{base}/landing")
+    for _ in range(2):
+        _stream_orders(spark, f"{base}/landing", f"{base}/bronze", f"{base}/_ckpt")
+    return spark.read.parquet(f"{base}/bronze").select(*ORDER_COLS, "_extract_week")
+
+
+@proof("ingest_late_file", _orders_with_week_sql(), ("S-14",))
+def q_ingest_late_file(spark: SparkSession, d: str) -> DataFrame:
+    """Files arriving after a first run are picked up by the next run, and only they."""
+    base = scratch_path(spark, "stream-late")
+    orders = table(spark, d, "orders")
+    cut = F.lit("1997-01-01").cast("timestamp_ntz")
+    land_weekly_csv(orders.filter(F.col("o_orderdate") < cut), f"{base}/landing")
+    _stream_orders(spark, f"{base}/landing", f"{base}/bronze", f"{base}/_ckpt")
+    land_weekly_csv(orders.filter(F.col("o_orderdate") >= cut), f"{base}/landing", mode="append")
+    _stream_orders(spark, f"{base}/landing", f"{base}/bronze", f"{base}/_ckpt")
+    return spark.read.parquet(f"{base}/bronze").select(*ORDER_COLS, "_extract_week")
+
+
+@proof(
+    "ingest_json_stream",
+    """SELECT max(ts) OVER (PARTITION BY CAST(ts AS DATE), event_id // 16) AS pull_ts,
+              event_id, ts, user_id, event_type, value FROM events""",
+    ("S-02", "L-05", "G-02", "K-01"),
+)
+def q_ingest_json_stream(spark: SparkSession, d: str) -> DataFrame:
+    base = scratch_path(spark, "stream-envelopes")
+    event_envelopes(spark, d).write.options(**TEXT_WRITE_OPTIONS).partitionBy("day").json(f"{base}/landing")
+
+    def explode(df: DataFrame) -> DataFrame:
+        return df.select("pull_ts", F.explode("records").alias("r"), "_ingested_at", "_source_file").select(
+            "pull_ts", "r.*", "_ingested_at", "_source_file"
+        )
+
+    ingest_stream(spark, f"{base}/landing", f"{base}/bronze", f"{base}/_ckpt", "json", C.EVENT_ENVELOPE, transform=explode, glob="*.json")
+    return spark.read.parquet(f"{base}/bronze").select("pull_ts", "event_id", "ts", "user_id", "event_type", "value")
+
+
+# --------------------------------------------------------------------------- drift + rescue (S-03, S-09, S-10, S-11)
+
+
+def land_drifting_orders(spark: SparkSession, d: str, root: str) -> None:
+    """v1 extracts (no priority column) before the cut week, v2 after it with a new column and
+    a different column order."""
+    orders = table(spark, d, "orders")
+    cut = F.lit(DRIFT_CUT).cast("timestamp_ntz")
+    v1 = orders.filter(F.col("o_orderdate") < cut).select(*C.ORDERS_V1.fieldNames())
+    v2 = orders.filter(F.col("o_orderdate") >= cut).select(
+        "o_orderpriority", "o_orderdate", "o_orderkey", "o_totalprice", "o_custkey", "o_orderstatus"
+    )
+    land_weekly_csv(v1, root, sep=",")
+    land_weekly_csv(v2, root, sep=",", mode="append")
+
+
+DRIFT_SQL = f"""SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+       CASE WHEN o_orderdate >= TIMESTAMP '{DRIFT_CUT}' THEN o_orderpriority END AS o_orderpriority,
+       {WEEK_SQL} AS _extract_week, CAST(NULL AS VARCHAR) AS _rescued_data
+FROM orders"""
+
+
+def _drift_ingest(spark: SparkSession, d: str) -> str:
+    base = scratch_path(spark, "stream-drift")
+    land_drifting_orders(spark, d, f"{base}/landing")
+    ingest_drifting_csv(
+        spark, f"{base}/landing", f"{base}/bronze", f"{base}/_ckpt", C.ORDERS_V1, f"{base}/_schema_log", max_files_per_trigger=100
+    )
+    return base
+
+
+@proof("ingest_csv_drift", DRIFT_SQL, ("S-03", "S-10", "K-02", "G-03"))
+def q_ingest_csv_drift(spark: SparkSession, d: str) -> DataFrame:
+    base = _drift_ingest(spark, d)
+    return read_batches(spark, f"{base}/bronze").select(*C.ORDERS_V1.fieldNames(), "o_orderpriority", "_extract_week", "_rescued_data")
+
+
+@proof(
+    "drift_added_columns",
+    f"SELECT DISTINCT 'o_orderpriority' AS column_name FROM orders WHERE o_orderdate >= TIMESTAMP '{DRIFT_CUT}'",
+    ("E-08", "S-09", "S-10"),
+)
+def q_drift_added(spark: SparkSession, d: str) -> DataFrame:
+    base = _drift_ingest(spark, d)
+    return added_columns(SchemaLog(spark, f"{base}/_schema_log")).select("column_name")
+
+
+@proof("schema_versions", None, ("S-09",))
+def q_schema_versions(spark: SparkSession, d: str) -> DataFrame:
+    base = _drift_ingest(spark, d)
+    return SchemaLog(spark, f"{base}/_schema_log").versions().select("version", "batch_id", "columns", "added")
+
+
+@proof(
+    "rescue_bad_fields",
+    """SELECT o_orderkey,
+              CASE WHEN o_orderkey % 97 = 0 THEN NULL ELSE o_totalprice END AS o_totalprice,
+              o_orderdate,
+              CASE WHEN o_orderkey % 97 = 0 THEN '{"o_totalprice":"n/a"}' END AS _rescued_data
+       FROM orders""",
+    ("S-11",),
+)
+def q_rescue(spark: SparkSession, d: str) -> DataFrame:
+    root = scratch_path(spark, "landing-rescue")
+    o = table(spark, d, "orders").select(
+        "o_orderkey",
+        F.when(F.col("o_orderkey") % 97 == 0, F.lit("n/a")).otherwise(F.col("o_totalprice").cast("string")).alias("o_totalprice"),
+        "o_orderdate",
+    )
+    land_weekly_csv(o, root, sep=",")
+    files = [r["path"] for r in spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True).load(root).select("path").collect()]
+    raw, _ = read_csv_drifting(spark, files, ",")
+    contract = C.schema(("o_orderkey", C.L), ("o_totalprice", C.D), ("o_orderdate", C.NTZ))
+    return cast_with_rescue(raw, contract).select("o_orderkey", "o_totalprice", "o_orderdate", "_rescued_data")
+
+
+# --------------------------------------------------------------------------- sinks (K-04, K-05, K-08, X-03)
+
+
+@proof(
+    "publish_overwrite",
+    "SELECT o_orderkey, upper(o_orderstatus) AS o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus <> 'P'",
+    ("K-04", "K-05", "K-07"),
+)
+def q_publish(spark: SparkSession, d: str) -> DataFrame:
+    """Publish a table, then replace it by a query over *itself* (no overwrite-while-reading)."""
+    base = scratch_path(spark, "warehouse")
+    name = f"gridlake_proofs.orders_{uuid.uuid4().hex[:8]}"
+    publish(table(spark, d, "orders").select("o_orderkey", F.lower("o_orderstatus").alias("o_orderstatus"), "o_totalprice"), name, base)
+    current = spark.table(name)
+    publish(current.filter(F.col("o_orderstatus") != "p").withColumn("o_orderstatus", F.upper("o_orderstatus")), name, base)
+    return spark.table(name)
+
+
+@proof(
+    "route_write",
+    SILVER_SQL + "SELECT o_orderkey, reasons <> '' AS quarantined FROM s",
+    ("K-08", "L-03", "G-07"),
+)
+def q_route_write(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch_path(spark, "silver-orders")
+    good, bad = route_write(silver_flagged(raw_orders(spark, d), SILVER_SPEC), path)
+    g = spark.read.parquet(good).select("o_orderkey", F.lit(False).alias("quarantined"))
+    b = spark.read.parquet(bad).select("o_orderkey", F.lit(True).alias("quarantined"))
+    return g.unionByName(b)
+
+
+@proof(
+    "replace_period",
+    """SELECT o_orderkey,
+              CASE WHEN year(o_orderdate) = 1996 THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice,
+              CAST(year(o_orderdate) AS BIGINT) AS period
+       FROM orders""",
+    ("X-03",),
+)
+def q_replace_period(spark: SparkSession, d: str) -> DataFrame:
+    path = scratch_path(spark, "by-year")
+    o = table(spark, d, "orders").select("o_orderkey", "o_totalprice", F.year("o_orderdate").alias("period"))
+    o.write.partitionBy("period").parquet(path)
+    redelivered = o.filter(F.col("period") == 1996).withColumn("o_totalprice", F.col("o_totalprice") * 2)
+    replace_periods(redelivered, path, "period")
+    return spark.read.parquet(path).select("o_orderkey", "o_totalprice", F.col("period").cast("long").alias("period"))

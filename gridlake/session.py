@@ -9,7 +9,6 @@ storage. Only when it is unset (local tests) do we create one ourselves.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -64,10 +63,7 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, tag: str) -> str:
     """A fresh, never-reused folder under the shared checkpoint root."""
     root = checkpoint_root(spark)
-    path = f"{root}/gridlake/{tag}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.removeprefix("file:"), exist_ok=True)
-    return path
+    return f"{root}/gridlake/{tag}-{uuid.uuid4().hex[:12]}"
 
 
 def cut_lineage(df, eager: bool = True):

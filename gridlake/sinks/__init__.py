@@ -81,9 +81,11 @@ def route_write(flagged: DataFrame, path: str, flag_col: str = QUARANTINED) -> t
     Returns the (good, quarantine) folder paths. The upstream plan (dedup
     shuffle included) runs once, and nothing is cached on executors.
     """
-    flagged.write.mode("overwrite").partitionBy(flag_col).parquet(path)
+    # Folders starting with "_" are hidden from Spark's partition discovery.
+    part = flag_col.lstrip("_") or "quarantined"
+    flagged.withColumnRenamed(flag_col, part).write.mode("overwrite").partitionBy(part).parquet(path)
     base = path.rstrip("/")
-    return f"{base}/{flag_col}=false", f"{base}/{flag_col}=true"
+    return f"{base}/{part}=false", f"{base}/{part}=true"
 
 
 def replace_periods(df: DataFrame, path: str, period_col: str) -> None:

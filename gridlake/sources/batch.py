@@ -16,6 +16,9 @@ from pyspark.sql import types as T
 from gridlake.functions.expressions import path_period
 
 SOURCE_FILE = "_source_file"
+# Text formats keep full microsecond precision (Spark's default writes milliseconds).
+TS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+TEXT_WRITE_OPTIONS = {"timestampNTZFormat": TS_FORMAT, "timestampFormat": TS_FORMAT + "XXX"}
 INGESTED_AT = "_ingested_at"
 
 

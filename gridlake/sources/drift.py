@@ -132,7 +132,8 @@ class SchemaLog:
         try:
             df = self.spark.read.schema(self.SCHEMA).json(self.path)
         except Exception:  # no log yet
-            return self.spark.createDataFrame([], self.SCHEMA.add("version", T.IntegerType()))
+            empty = T.StructType([*self.SCHEMA.fields, T.StructField("version", T.IntegerType())])
+            return self.spark.createDataFrame([], empty)
         first = df.groupBy("columns").agg(F.min("batch_id").alias("batch_id"))
         rows = df.join(first, ["columns", "batch_id"]).dropDuplicates(["columns", "batch_id"])
         from pyspark.sql import Window

@@ -26,6 +26,16 @@ from gridlake.sources.drift import SchemaLog, read_csv_drifting
 from gridlake.sources.rescue import cast_with_rescue
 
 
+BINARY_FILE_SCHEMA = T.StructType(
+    [
+        T.StructField("path", T.StringType(), False),
+        T.StructField("modificationTime", T.TimestampType(), False),
+        T.StructField("length", T.LongType(), False),
+        T.StructField("content", T.BinaryType(), True),
+    ]
+)
+
+
 def run_until_drained(
     start: Callable[[], StreamingQuery],
     retries: int = 1,
@@ -84,7 +94,12 @@ def ingest_stream(
 
 def discover_files(spark: SparkSession, source_dir: str, glob: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """Streaming list of new file paths (no content read)."""
-    r = spark.readStream.format("binaryFile").option("pathGlobFilter", glob).option("recursiveFileLookup", True)
+    r = (
+        spark.readStream.format("binaryFile")
+        .schema(BINARY_FILE_SCHEMA)
+        .option("pathGlobFilter", glob)
+        .option("recursiveFileLookup", True)
+    )
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     return r.load(source_dir).select("path")
