@@ -49,6 +49,8 @@ def upsert_latest(
     """
     spark = batch.sparkSession
     cols = batch.columns
+    if batch.isEmpty():
+        return
     if _exists(spark, target):
         touched = batch.select(partition_col).distinct()
         touched_side, _ = broadcast_if_small(touched)
@@ -56,7 +58,7 @@ def upsert_latest(
         merged = latest_per_key(existing.unionByName(batch), keys, order_by, tie_breakers)
         stage = scratch_path(spark, "upsert-stage")
         merged.write.mode("overwrite").partitionBy(partition_col).parquet(stage)
-        staged = spark.read.parquet(stage).select(*cols)
+        staged = spark.read.schema(merged.schema).parquet(stage).select(*cols)
         staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(target)
     else:
         latest_per_key(batch, keys, order_by, tie_breakers).write.mode("overwrite").partitionBy(partition_col).parquet(target)
@@ -101,9 +103,12 @@ def latest_stream_state(
     """
     payload = [c for c in stream.columns if c not in set(keys) | {event_time}]
     order = F.struct(*[F.col(c) for c in order_by])
+    # Watermarks need a TIMESTAMP; a zone-free event time gets a TIMESTAMP twin for it.
+    wm = "_event_ts"
     agg = (
-        stream.withWatermark(event_time, delay)
-        .groupBy(event_time, *keys)
+        stream.withColumn(wm, F.col(event_time).cast("timestamp"))
+        .withWatermark(wm, delay)
+        .groupBy(wm, event_time, *keys)
         .agg(F.max_by(F.struct(*[F.col(c) for c in payload]), order).alias("_latest"))
         .select(event_time, *keys, "_latest.*")
     )
