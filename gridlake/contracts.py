@@ -11,10 +11,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridlake.functions.expressions import full_match
 from gridlake.operators.quarantine import Rule
 
 S, D, L, I, TS, NTZ, DT = (
@@ -86,8 +84,12 @@ HOUSING = Contract(
     order_by=("date_etablissement",),
     enums=("classe_dpe",),
     rules=(
-        Rule("code_format", F.when(F.trim(F.col("code_commune")) != "", full_match("code_commune", "[0-9]{5}")), when_null="code_missing"),
-        Rule("surface", F.col("surface_habitable") > 0),
+        Rule(
+            "code_format",
+            "CASE WHEN trim(code_commune) <> '' THEN code_commune RLIKE '^[0-9]{5}$' END",
+            when_null="code_missing",
+        ),
+        Rule("surface", "surface_habitable > 0"),
     ),
 )
 

@@ -7,7 +7,7 @@ quarantine is auditable and ``good + bad == input`` always holds.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -19,14 +19,23 @@ QUARANTINED = "_quarantined"
 
 @dataclass(frozen=True)
 class Rule:
-    """``name`` is reported when ``check`` is false; ``when_null`` (or ``name``) when it is NULL."""
+    """``name`` is reported when ``check`` is false; ``when_null`` (or ``name``) when it is NULL.
+
+    ``check`` is a SQL predicate string, a ``Column``, or a zero-argument
+    callable returning one (so rules can be declared at import time, before a
+    session exists).
+    """
 
     name: str
-    check: Column | str
+    check: Column | str | Callable[[], Column]
     when_null: str | None = None
 
     def predicate(self) -> Column:
-        return F.expr(self.check) if isinstance(self.check, str) else self.check
+        if isinstance(self.check, str):
+            return F.expr(self.check)
+        if isinstance(self.check, Column):
+            return self.check
+        return self.check()
 
 
 def _as_rules(rules: Sequence[Rule] | Mapping[str, Column | str]) -> list[Rule]:
