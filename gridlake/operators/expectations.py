@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridlake.functions.expressions import full_match, total
-from gridlake.operators.joins import broadcast_if_small, duplicate_keys
+from gridlake.operators.joins import duplicate_keys
 
 
 def _values_frame(spark: SparkSession, name: str, values: Sequence[str]) -> DataFrame:
@@ -109,8 +109,7 @@ def delivery_overlap(df: DataFrame, keys: Sequence[str], delivery: str) -> DataF
     """
     deliveries = df.select(delivery).distinct()
     numbered = deliveries.select(delivery, F.dense_rank().over(Window.orderBy(delivery)).alias("_n"))
-    num_side, _ = broadcast_if_small(numbered)
-    kd = df.select(*keys, delivery).distinct().join(num_side, delivery).select(*keys, "_n")
+    kd = df.select(*keys, delivery).distinct().join(numbered, delivery).select(*keys, "_n")
     nxt = kd.select(*keys, (F.col("_n") - 1).alias("_n"))
     shared = kd.join(nxt, list(keys) + ["_n"]).groupBy("_n").agg(F.count(F.lit(1)).alias("shared_keys"))
     pairs = numbered.alias("a").join(numbered.alias("b"), F.col("b._n") == F.col("a._n") + 1).select(

@@ -50,17 +50,24 @@ def scd2(
     w = Window.partitionBy(*part).orderBy(*order)
 
     if collapse:
-        # Previous state inside the slice; at a slice edge, the last state of the previous slice.
-        base = base.withColumn("_prev", F.lag(state).over(w)).withColumn("_pos", F.row_number().over(w))
-        tb = [F.col(ts)] + [F.col(c) for c in tie_breakers]
-        last_state = base.groupBy(*part).agg(F.max_by(state, F.struct(*tb)).alias("_last"))
+        # Previous state inside the slice from the window; at a slice edge, the
+        # last state of the key's previous slice. "Last state of a slice" is
+        # read off the same (key, slice) partitioning by a descending rank — no
+        # extra shuffle, no aggregate over struct buffers.
+        w_desc = Window.partitionBy(*part).orderBy(*[c.desc() for c in [F.col(ts)] + [F.col(t) for t in tie_breakers]])
+        base = (
+            base.withColumn("_state", state)
+            .withColumn("_prev", F.lag("_state").over(w))
+            .withColumn("_pos", F.row_number().over(w))
+            .withColumn("_rpos", F.row_number().over(w_desc))
+        )
         wk = Window.partitionBy(*keys).orderBy("_slice")
-        edges = last_state.select(*part, F.lag("_last").over(wk).alias("_edge_prev"))
+        edges = base.filter(F.col("_rpos") == 1).select(*part, F.lag("_state").over(wk).alias("_edge_prev"))
         base = (
             base.join(edges, part, "left")
             .withColumn("_prev", F.when(F.col("_pos") == 1, F.col("_edge_prev")).otherwise(F.col("_prev")))
-            .filter(~F.col("_prev").eqNullSafe(state))
-            .drop("_prev", "_pos", "_edge_prev")
+            .filter(~F.col("_prev").eqNullSafe(F.col("_state")))
+            .drop("_prev", "_pos", "_rpos", "_edge_prev", "_state")
         )
 
     base = base.withColumn(valid_to, F.lead(ts).over(w))

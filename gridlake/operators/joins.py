@@ -1,10 +1,15 @@
 """Joins: checked dimension join (J-01), time-bucket join (J-02), skew salting (X-05),
 referential violations (X-02).
 
-Broadcast policy: a side is broadcast only after a *bounded* probe proves it
-small — ``limit(max_rows + 1)`` reads at most ``max_rows + 1`` rows, so the
-check itself never scans a big table. Beyond the bound the join is left to the
-planner as a shuffle join (sort-merge, re-planned at runtime by AQE, with its
+Broadcast policy:
+* a **stored** side (a dimension table) is broadcast only after a *bounded*
+  probe proves it small — ``limit(max_rows + 1)`` reads at most
+  ``max_rows + 1`` rows, so the check never scans a big table;
+* a **derived** side (an aggregate, a distinct list) is not probed — that
+  would compute it twice — and is left to adaptive execution, which switches
+  a shuffle join to a broadcast at runtime from the side's *measured* shuffle
+  size (``spark.sql.adaptive.autoBroadcastJoinThreshold``).
+Beyond the bounds the join stays a shuffle join (sort-merge, with AQE's
 skew-join split enabled).
 """
 
@@ -150,7 +155,7 @@ def join_on_time_bucket(
     target_tz: str = "UTC",
     how: str = "inner",
     bucket_col: str = "_bucket",
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    max_broadcast_rows: int | None = None,
 ) -> DataFrame:
     """Join two series of different granularity on entity keys + time bucket.
 
@@ -160,11 +165,13 @@ def join_on_time_bucket(
     instead of a formatted string. Hashing on (entity, bucket) spreads one hot
     entity over all its buckets.
     The right side's key/bucket columns are dropped from the output; the bucket
-    is kept once as ``bucket_col``.
+    is kept once as ``bucket_col``. ``max_broadcast_rows`` probes a *stored*
+    right side for an explicit broadcast; by default (a derived series, e.g.
+    an hourly aggregate) adaptive execution decides from measured sizes.
     """
     lb = with_time_bucket(left, left_ts, unit, left_tz, target_tz, bucket_col)
     rb = with_time_bucket(right, right_ts, unit, right_tz, target_tz, "_rbucket")
-    rside, _ = broadcast_if_small(rb, max_broadcast_rows)
+    rside = broadcast_if_small(rb, max_broadcast_rows)[0] if max_broadcast_rows else rb
     cond = lb[bucket_col] == rside["_rbucket"]
     for lk, rk in zip(left_keys, right_keys, strict=True):
         cond = cond & (lb[lk] == rside[rk])
@@ -181,20 +188,27 @@ def salted_join(
     salt_buckets: int = 16,
     how: str = "inner",
     salt_cols: Sequence[str] | None = None,
+    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """Equi-join whose hot keys are spread over ``salt_buckets`` reducers.
 
-    The fact side gets a *deterministic* salt (hash of its own columns, so a
-    retried task recomputes the same salt), the dimension side is replicated
-    once per salt value. Same rows as the plain join; used when one key holds a
-    large share of the fact table and the dimension cannot be broadcast.
+    A dimension the bounded probe proves small is simply broadcast (no
+    shuffle, so no skew). Otherwise the fact side gets a *deterministic* salt
+    (hash of its own columns, so a retried task recomputes the same salt) and
+    the dimension is replicated once per salt value; the shuffle join then
+    splits every key — the hot one included — over ``salt_buckets`` tasks.
+    Same rows as the plain join.
     """
     if how not in ("inner", "left"):
         raise ValueError("salted_join supports inner and left joins")
+    if max_broadcast_rows > 0:
+        side, small = broadcast_if_small(dim, max_broadcast_rows)
+        if small:
+            return fact.join(side, list(keys), how)
     cols = list(salt_cols) if salt_cols else [c for c in fact.columns]
     f = fact.withColumn("_salt", F.pmod(F.xxhash64(*[F.col(c) for c in cols]), F.lit(salt_buckets)).cast("int"))
     d = dim.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
-    return f.join(d, list(keys) + ["_salt"], how).drop("_salt")
+    return f.join(d.hint("shuffle_merge"), list(keys) + ["_salt"], how).drop("_salt")
 
 
 def ref_violations(
@@ -202,10 +216,13 @@ def ref_violations(
     ref: DataFrame,
     keys: Sequence[str] | Sequence[tuple[str, str]],
 ) -> DataFrame:
-    """Rows of ``df`` whose key is absent from ``ref`` (left anti join; X-02)."""
+    """Rows of ``df`` whose key is absent from ``ref`` (left anti join; X-02).
+
+    The distinct reference keys are a derived side: adaptive execution
+    broadcasts them when their measured size is small, else shuffles.
+    """
     pairs = [(k, k) if isinstance(k, str) else k for k in keys]
-    r = ref.select(*[F.col(rk).alias(f"_ref_{i}") for i, (_, rk) in enumerate(pairs)]).distinct()
-    side, _ = broadcast_if_small(r)
+    side = ref.select(*[F.col(rk).alias(f"_ref_{i}") for i, (_, rk) in enumerate(pairs)]).distinct()
     cond = None
     for i, (lk, _) in enumerate(pairs):
         c = df[lk] == side[f"_ref_{i}"]

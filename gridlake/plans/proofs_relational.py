@@ -504,7 +504,8 @@ def q_dim_join(spark, d):
 def q_salted_join(spark, d):
     li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_partkey"))
     part = table(spark, d, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
-    return salted_join(li, part, ["l_partkey"], salt_buckets=8, salt_cols=["l_orderkey", "l_linenumber"]).select(
+    # max_broadcast_rows=0 takes the salted shuffle path even though `part` would fit a broadcast.
+    return salted_join(li, part, ["l_partkey"], salt_buckets=8, salt_cols=["l_orderkey", "l_linenumber"], max_broadcast_rows=0).select(
         "l_orderkey", "l_linenumber", "l_partkey", "p_brand"
     )
 
@@ -562,15 +563,18 @@ def q_hour_bucket_join(spark, d):
          SELECT event_type AS h_event_type, date_trunc('hour', ts) AS hour,
                 CAST(floor(sum(CAST(round(value * 100) AS BIGINT)) / (count(*) * 1000)) AS BIGINT) AS mean_bin
          FROM events GROUP BY 1, 2)
-       SELECT e.event_type, h.mean_bin AS bin, count(*) AS n_matches, round(avg(e.value), 4) AS mean_measure
+       SELECT e.event_type, h.mean_bin AS bin, count(*) AS n_matches,
+              avg(CAST(round(e.value * 100) AS BIGINT)) AS mean_measure
        FROM events e JOIN h ON e.event_type = h.h_event_type AND date_trunc('hour', e.ts) = h.hour
        GROUP BY 1, 2""",
     ("G-09", "J-02", "A-06", "A-11"),
 )
 def q_gold_binned_join(spark, d):
-    ev = table(spark, d, "events").select("event_type", "ts", "value")
+    # The measure is averaged in integer cents: an exact sum, so the mean does not depend on the
+    # order in which partial sums are combined (float sums of decimals do).
+    ev = table(spark, d, "events").select("event_type", "ts", F.round(F.col("value") * 100).cast("long").alias("value_cents"))
     return binned_join_mart(
-        ev, hourly_series(spark, d), ["event_type"], ["h_event_type"], "ts", "hour", F.col("mean_bin"), "value", digits=4
+        ev, hourly_series(spark, d), ["event_type"], ["h_event_type"], "ts", "hour", F.col("mean_bin"), "value_cents", digits=None
     )
 
 

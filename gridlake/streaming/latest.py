@@ -20,7 +20,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlake.operators.dedup import latest_per_key
-from gridlake.operators.joins import broadcast_if_small
 from gridlake.session import scratch_path
 from gridlake.streaming.ingest import run_until_drained
 
@@ -52,9 +51,10 @@ def upsert_latest(
     if batch.isEmpty():
         return
     if _exists(spark, target):
-        touched = batch.select(partition_col).distinct()
-        touched_side, _ = broadcast_if_small(touched)
-        existing = spark.read.parquet(target).join(touched_side, partition_col, "left_semi").select(*cols)
+        # Partition pruning: the touched partition values (a handful per batch) become a literal
+        # IN list — metadata, not data — so only those folders of the target are listed and read.
+        touched = [r[0] for r in batch.select(partition_col).distinct().collect()]
+        existing = spark.read.parquet(target).filter(F.col(partition_col).isin(touched)).select(*cols)
         merged = latest_per_key(existing.unionByName(batch), keys, order_by, tie_breakers)
         stage = scratch_path(spark, "upsert-stage")
         merged.write.mode("overwrite").partitionBy(partition_col).parquet(stage)
