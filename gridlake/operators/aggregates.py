@@ -208,3 +208,30 @@ def reconcile(
         (F.col("bronze") - F.col("bronze_keys")).alias("superseded"),
         (F.col("good") + F.col("bad") == F.col("bronze_keys")).alias("balanced"),
     )
+
+
+def reconcile_manifest(metrics: DataFrame, manifest: DataFrame, names: Sequence[str]) -> DataFrame:
+    """X-08: per metric, injected (from a producer manifest, one row) vs observed (summed DQ
+    metrics) and whether they agree. Both inputs are single-row aggregates; they are
+    unpivoted and joined on the metric name."""
+
+    def unpivot(df: DataFrame, value: str) -> DataFrame:
+        pairs = ", ".join(f"'{n}', CAST(`{n}` AS BIGINT)" for n in names)
+        return df.selectExpr(f"stack({len(names)}, {pairs}) AS (metric, {value})")
+
+    observed = unpivot(metrics.agg(*[F.sum(n).alias(n) for n in names]), "observed")
+    injected = unpivot(manifest, "injected")
+    return injected.join(observed, "metric", "full_outer").select(
+        "metric", "injected", "observed", F.coalesce(F.col("injected") == F.col("observed"), F.lit(False)).alias("matches")
+    )
+
+
+def freshness(df: DataFrame, source_col: str, event_ts: str, ingested_col: str, sla_seconds: int) -> DataFrame:
+    """X-09: per source, newest event, newest ingestion, their lag (s) and whether it meets the SLA."""
+    lag = F.timestamp_diff("SECOND", F.col("last_event").cast("timestamp"), F.col("last_ingested").cast("timestamp"))
+    return (
+        df.groupBy(source_col)
+        .agg(F.max(event_ts).alias("last_event"), F.max(ingested_col).alias("last_ingested"))
+        .withColumn("lag_seconds", lag)
+        .withColumn("within_sla", F.col("lag_seconds") <= sla_seconds)
+    )

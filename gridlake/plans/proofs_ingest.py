@@ -51,7 +51,7 @@ def _orders_with_week_sql(extra: str = "") -> str:
     return f"SELECT {', '.join(ORDER_COLS)}, {WEEK_SQL} AS _extract_week{extra} FROM orders"
 
 
-@proof("ingest_csv_batch", _orders_with_week_sql(), ("S-04", "S-13", "S-12", "P-02", "C-02"))
+@proof("ingest_csv_batch", _orders_with_week_sql(), ("S-04", "S-13", "S-12", "P-02", "C-02", "G-04"))
 def q_ingest_csv_batch(spark: SparkSession, d: str) -> DataFrame:
     root = scratch_path(spark, "landing-orders-csv")
     land_weekly_csv(table(spark, d, "orders"), root)
@@ -157,7 +157,7 @@ def _stream_orders(spark: SparkSession, landing: str, target: str, ckpt: str) ->
     )
 
 
-@proof("ingest_csv_stream", _orders_with_week_sql(), ("S-01", "K-01", "K-03", "P-01", "C-03"))
+@proof("ingest_csv_stream", _orders_with_week_sql(), ("S-01", "K-01", "K-03", "P-01", "C-03", "G-01"))
 def q_ingest_csv_stream(spark: SparkSession, d: str) -> DataFrame:
     base = scratch_path(spark, "stream-orders")
     land_weekly_csv(table(spark, d, "orders"), f"{base}/landing")
@@ -329,3 +329,52 @@ def q_replace_period(spark: SparkSession, d: str) -> DataFrame:
     redelivered = o.filter(F.col("period") == 1996).withColumn("o_totalprice", F.col("o_totalprice") * 2)
     replace_periods(redelivered, path, "period")
     return spark.read.parquet(path).select("o_orderkey", "o_totalprice", F.col("period").cast("long").alias("period"))
+
+
+@proof(
+    "ingest_parallel_arrays",
+    """SELECT vec_id, label, CAST(i - 1 AS INTEGER) AS pos, embedding[i] AS v
+       FROM embeddings, unnest(generate_series(1, len(embedding))) AS t(i)""",
+    ("G-05", "S-05", "L-04", "C-08", "P-05"),
+)
+def q_ingest_parallel_arrays(spark: SparkSession, d: str) -> DataFrame:
+    """Weather-like documents: a struct of two parallel arrays, landed as JSON, read with a
+    declared nested schema and zipped back to one row per index."""
+    from pyspark.sql import types as T
+
+    from gridlake.operators.flatten import flatten_parallel_arrays
+
+    root = scratch_path(spark, "landing-arrays")
+    emb = table(spark, d, "embeddings")
+    doc = emb.select("vec_id", "label", F.struct(F.sequence(F.lit(0), F.size("embedding") - 1).alias("idx"), F.col("embedding").alias("values")).alias("series"))
+    doc.write.json(root)
+    schema = T.StructType(
+        [
+            T.StructField("vec_id", T.LongType()),
+            T.StructField("label", T.IntegerType()),
+            T.StructField("series", T.StructType([T.StructField("idx", T.ArrayType(T.IntegerType())), T.StructField("values", T.ArrayType(T.FloatType()))])),
+        ]
+    )
+    raw = read_json(spark, root, schema, provenance=False)
+    return flatten_parallel_arrays(raw, ["series.idx", "series.values"], keep=["vec_id", "label"], names=["pos", "v"])
+
+
+@proof(
+    "silver_latest_pull",
+    """WITH b AS (SELECT max(ts) OVER (PARTITION BY CAST(ts AS DATE), event_id // 16) AS pull_ts, * FROM events)
+       SELECT event_type, hour, event_id, value, pull_ts FROM (
+         SELECT *, date_trunc('hour', ts) AS hour,
+                row_number() OVER (PARTITION BY event_type, date_trunc('hour', ts) ORDER BY pull_ts DESC, event_id DESC) AS rn
+         FROM b) WHERE rn = 1""",
+    ("G-06", "L-01", "W-01"),
+)
+def q_silver_latest_pull(spark: SparkSession, d: str) -> DataFrame:
+    """Silver grid: API bronze (exploded pulls) → latest pull per (entity, instant)."""
+    from gridlake.operators.dedup import latest_per_key
+    from gridlake.operators.flatten import flatten_envelope
+
+    bronze = flatten_envelope(event_envelopes(spark, d), "records", keep=["pull_ts"]).withColumn(
+        "hour", F.date_trunc("hour", "ts").cast("timestamp_ntz")
+    )
+    latest = latest_per_key(bronze, ["event_type", "hour"], ["pull_ts"], ["event_id"])
+    return latest.select("event_type", "hour", "event_id", "value", "pull_ts")

@@ -753,3 +753,61 @@ def q_scd2_collapsed(spark, d):
 def q_pct_high_share(spark, d):
     o = table(spark, d, "orders")
     return o.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"), pct_of(F.col("o_orderpriority").isin(*HIGH), 1).alias("pct_high"))
+
+
+@proof(
+    "sql_form_report",
+    """SELECT o_orderpriority, count(*) AS n, CAST(sum(CASE WHEN o_totalprice > 200000 THEN 1 ELSE 0 END) AS BIGINT) AS n_large,
+              min(o_orderdate) AS first_order, max(o_orderdate) AS last_order
+       FROM orders GROUP BY 1 HAVING count(*) > 1""",
+    ("P-07", "S-08", "A-04", "A-08", "A-09"),
+)
+def q_sql_form_report(spark, d):
+    """The SQL form: catalog views + ``spark.sql`` (same Catalyst plan as the DataFrame API)."""
+    from gridlake.plans.tables import register_views
+
+    register_views(spark, d)
+    return spark.sql(
+        """SELECT o_orderpriority, count(*) AS n, CAST(sum(CASE WHEN o_totalprice > 200000 THEN 1 ELSE 0 END) AS BIGINT) AS n_large,
+                  min(o_orderdate) AS first_order, max(o_orderdate) AS last_order
+           FROM orders GROUP BY 1 HAVING count(*) > 1"""
+    )
+
+
+@proof(
+    "manifest_reconcile",
+    f"""WITH d AS (SELECT {defects.RAW_ORDERS_SELECT} FROM orders)
+        SELECT 'bad_code' AS metric,
+               CAST(count(*) FILTER (WHERE o_orderkey % 50 IN (0, 1, 2)) AS BIGINT) AS injected,
+               CAST(count(*) FILTER (WHERE NOT coalesce(trim(code) <> '' AND regexp_full_match(code, '[0-9]{{5}}'), false)) AS BIGINT) AS observed,
+               true AS matches
+        FROM d
+        UNION ALL
+        SELECT 'price', CAST(count(*) FILTER (WHERE o_orderkey % 70 IN (0, 1)) AS BIGINT),
+               CAST(count(*) FILTER (WHERE NOT coalesce(price > 0, false)) AS BIGINT), true
+        FROM d""",
+    ("X-08", "DQ-01"),
+)
+def q_manifest_reconcile(spark, d):
+    """Injected-vs-observed: a manifest (what the producer says it injected) against DQ totals."""
+    from gridlake.operators.aggregates import reconcile_manifest
+
+    raw = raw_orders(spark, d)
+    manifest = raw.agg(
+        F.count_if(F.col("o_orderkey") % 50 < 3).alias("bad_code"),
+        F.count_if(F.col("o_orderkey") % 70 < 2).alias("price"),
+    )
+    metrics = agg.dq_metrics(raw, [F.lit(1).alias("all")], rules=[Rule("bad_code", code_valid), Rule("price", "price > 0")])
+    return reconcile_manifest(metrics, manifest, ["bad_code", "price"])
+
+
+@proof("freshness", None, ("X-09", "P-01", "C-03"))
+def q_freshness(spark, d):
+    """Lag between the newest event and the ingestion instant, per source, against an SLA."""
+    from gridlake.operators.aggregates import freshness
+    from gridlake.sources.batch import with_audit
+
+    ev = table(spark, d, "events").select(F.lit("events").alias("source"), "ts")
+    od = table(spark, d, "orders").select(F.lit("orders").alias("source"), F.col("o_orderdate").alias("ts"))
+    bronze = with_audit(ev.unionByName(od), source_col=None)
+    return freshness(bronze, "source", "ts", "_ingested_at", sla_seconds=30 * 60)
