@@ -90,6 +90,20 @@ def expect_unique(df: DataFrame, keys: Sequence[str]) -> None:
         raise DuplicateKeyError(f"key {list(keys)} not unique, e.g. {[r.asDict() for r in bad]}")
 
 
+def _checked_dimension(dim: DataFrame, keys: Sequence[str], max_rows: int, max_bytes: int) -> DataFrame:
+    """Uniqueness check and broadcast size probe in **one** job over the dimension.
+
+    The per-key counts give the duplicate test; their sums give rows and
+    approximate bytes. Raises :class:`DuplicateKeyError` on a repeated key.
+    """
+    per_key = dim.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.sum(_row_width(dim.schema)).alias("_b"))
+    r = per_key.agg(F.max("_n").alias("mx"), F.sum("_n").alias("rows"), F.sum("_b").alias("bytes")).first()
+    if r["mx"] is not None and r["mx"] > 1:
+        raise DuplicateKeyError(f"key {list(keys)} not unique ({r['mx']} rows for one key)")
+    rows, size = int(r["rows"] or 0), int(r["bytes"] or 0)
+    return F.broadcast(dim) if rows <= max_rows and size <= max_bytes else dim
+
+
 def dim_join(
     fact: DataFrame,
     dim: DataFrame,
@@ -109,9 +123,10 @@ def dim_join(
     """
     pairs = [(k, k) if isinstance(k, str) else k for k in keys]
     dim_keys = [r for _, r in pairs]
-    if not allow_fanout:
-        expect_unique(dim, dim_keys)
-    side, _ = broadcast_if_small(dim, max_broadcast_rows, max_broadcast_bytes)
+    if allow_fanout:
+        side, _ = broadcast_if_small(dim, max_broadcast_rows, max_broadcast_bytes)
+    else:
+        side = _checked_dimension(dim, dim_keys, max_broadcast_rows, max_broadcast_bytes)
     if all(l == r for l, r in pairs):
         return fact.join(side, [l for l, _ in pairs], how)
     cond = None

@@ -127,6 +127,12 @@ class SchemaLog:
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path
+        self._known: list[str] | None = None
+
+    def load(self) -> list[str]:
+        """Read the current column list once; later ``record`` calls keep it up to date."""
+        self._known = self.current()
+        return self._known
 
     def versions(self) -> DataFrame:
         try:
@@ -141,17 +147,23 @@ class SchemaLog:
         return rows.withColumn("version", F.row_number().over(Window.orderBy("batch_id")))
 
     def current(self) -> list[str]:
+        try:
+            self.spark.read.schema(self.SCHEMA).json(self.path)
+        except Exception:  # no log yet: nothing known, no job needed
+            return []
         r = self.versions().orderBy(F.col("version").desc()).select("columns").first()
         return list(r["columns"]) if r else []
 
     def record(self, batch_id: int, columns: Sequence[str], first_file: str) -> list[str]:
         """Append a version when ``columns`` adds names to the current list; returns the added names."""
-        known = self.current()
+        known = self._known if self._known is not None else self.current()
         added = [c for c in columns if c not in known]
         if added or not known:
             merged = known + added
             row = [(int(batch_id), merged, added if known else [], first_file)]
             self.spark.createDataFrame(row, self.SCHEMA).coalesce(1).write.mode("append").json(self.path)
+            if self._known is not None:
+                self._known = merged
         return added
 
 

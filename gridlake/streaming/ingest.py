@@ -120,6 +120,7 @@ def ingest_drifting_csv(
 ) -> None:
     """Incremental ingest of CSV deliveries with header drift and rescue (G-03 bronze)."""
     log = SchemaLog(spark, schema_log_dir)
+    log.load()  # known columns kept in memory for this run; batches run one at a time on the driver
 
     def batch(paths_df: DataFrame, batch_id: int) -> None:
         # Only file names reach the driver, bounded by maxFilesPerTrigger.
