@@ -12,6 +12,7 @@ from gridlake.functions.expressions import (
     pct_of,
     time_bucket,
     total,
+    trunc_wall,
 )
 
 __all__ = [
@@ -26,4 +27,5 @@ __all__ = [
     "pct_of",
     "time_bucket",
     "total",
+    "trunc_wall",
 ]

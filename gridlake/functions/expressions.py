@@ -53,6 +53,36 @@ def iso_week(c: str | Column) -> Column:
     return F.format_string("%04d-W%02d", year, F.weekofyear(d))
 
 
+def trunc_wall(c: str | Column, unit: str) -> Column:
+    """Truncate a zone-free wall clock (``timestamp_ntz``) without any time-zone round trip.
+
+    ``date_trunc`` accepts ``timestamp_ntz`` only by casting it to a session-zone
+    ``timestamp`` — the result then depends on the session zone (half-hour
+    offsets, DST gaps). This builds the truncated value from its fields.
+    """
+    t = as_column(c).cast("timestamp_ntz")
+    u = unit.lower()
+    zero = F.lit(0)
+    if u == "year":
+        return F.make_timestamp_ntz(F.year(t), F.lit(1), F.lit(1), zero, zero, zero)
+    if u == "quarter":
+        return F.make_timestamp_ntz(F.year(t), (F.quarter(t) - 1) * 3 + 1, F.lit(1), zero, zero, zero)
+    if u == "month":
+        return F.make_timestamp_ntz(F.year(t), F.month(t), F.lit(1), zero, zero, zero)
+    if u == "week":  # ISO week: Monday
+        d = F.to_date(t)
+        return F.date_sub(d, F.pmod(F.dayofweek(d) + 5, F.lit(7))).cast("timestamp_ntz")
+    if u == "day":
+        return F.to_date(t).cast("timestamp_ntz")
+    if u == "hour":
+        return F.make_timestamp_ntz(F.year(t), F.month(t), F.dayofmonth(t), F.hour(t), zero, zero)
+    if u == "minute":
+        return F.make_timestamp_ntz(F.year(t), F.month(t), F.dayofmonth(t), F.hour(t), F.minute(t), zero)
+    if u == "second":
+        return F.make_timestamp_ntz(F.year(t), F.month(t), F.dayofmonth(t), F.hour(t), F.minute(t), F.second(t))
+    raise ValueError(f"unsupported unit {unit}")
+
+
 def time_bucket(
     ts: str | Column,
     unit: str = "hour",
@@ -62,21 +92,24 @@ def time_bucket(
 ) -> Column:
     """Wall-clock bucket of an instant, as ``timestamp_ntz`` in ``target_tz``.
 
-    * ``is_local=False`` (an absolute ``timestamp``): converted to the target zone.
-    * ``is_local=True`` (``timestamp_ntz`` or a naive string): interpreted in
-      ``source_tz`` (session zone when ``None``) before conversion.
+    * ``is_local=False`` (an absolute ``timestamp``, or a string carrying its
+      offset): converted to the wall clock of ``target_tz``.
+    * ``is_local=True`` (``timestamp_ntz`` or a naive string) with a declared
+      ``source_tz``: converted from that zone to ``target_tz``.
+    * ``is_local=True`` without ``source_tz``: taken as a wall clock already in
+      ``target_tz`` (no conversion).
 
-    Truncation happens on the zone-free value, so the bucket never depends on
-    the session time zone — the trap of formatting both sides with
-    ``date_format`` in whatever zone the session happens to use.
+    Truncation happens on the zone-free value (:func:`trunc_wall`), so the
+    bucket never depends on the session time zone — the trap of formatting
+    both sides with ``date_format`` in whatever zone the session uses.
     """
     c = as_column(ts)
     if is_local:
         ntz = c.cast("timestamp_ntz")
-        wall = F.convert_timezone(F.lit(source_tz), F.lit(target_tz), ntz) if source_tz else F.convert_timezone(None, F.lit(target_tz), ntz)
+        wall = F.convert_timezone(F.lit(source_tz), F.lit(target_tz), ntz) if source_tz else ntz
     else:
         wall = F.convert_timezone(None, F.lit(target_tz), c.cast("timestamp"))
-    return F.date_trunc(unit, wall).cast("timestamp_ntz")
+    return trunc_wall(wall, unit)
 
 
 def hour_bucket(ts: str | Column, source_tz: str | None = None, target_tz: str = "UTC", is_local: bool = False) -> Column:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridlake.functions.expressions import full_match, total
+from gridlake.functions.expressions import full_match, total, trunc_wall
 from gridlake.operators.joins import duplicate_keys
 
 
@@ -44,7 +44,8 @@ def missing_periods(
     The calendar is generated from the observed min/max (one ``sequence``,
     size = number of periods) and anti-joined with the delivered periods.
     """
-    trunc = F.date_trunc(unit, F.col(ts))
+    zone_free = isinstance(df.schema[ts].dataType, (T.TimestampNTZType, T.DateType))
+    trunc = trunc_wall(ts, unit) if zone_free else F.date_trunc(unit, F.col(ts))
     delivered = df.select(trunc.alias("_p")).distinct()
     bounds = delivered.agg(F.min("_p").alias("lo"), F.max("_p").alias("hi"))
     step = F.expr(f"INTERVAL 1 {unit.upper()}") if unit != "week" else F.expr("INTERVAL 7 DAY")

@@ -15,6 +15,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from gridlake.functions.expressions import trunc_wall
 
 
 def _ordered(ts: str, tie_breakers: Sequence[str]) -> list[Column]:
@@ -45,7 +48,13 @@ def scd2(
     state_cols = list(state_cols) if state_cols is not None else [c for c in df.columns if c not in set(keys) | {ts}]
     order = _ordered(ts, tie_breakers)
     state = F.struct(*[F.col(c) for c in state_cols])
-    base = df.withColumn("_slice", F.date_trunc(slice_unit, F.col(ts)) if slice_unit else F.lit(None).cast("timestamp"))
+    if slice_unit is None:
+        slice_col = F.lit(None).cast("timestamp_ntz")
+    elif isinstance(df.schema[ts].dataType, (T.TimestampNTZType, T.DateType)):
+        slice_col = trunc_wall(ts, slice_unit)
+    else:
+        slice_col = F.date_trunc(slice_unit, F.col(ts))
+    base = df.withColumn("_slice", slice_col)
     part = keys + ["_slice"]
     w = Window.partitionBy(*part).orderBy(*order)
 

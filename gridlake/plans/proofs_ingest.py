@@ -12,6 +12,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridlake.functions.expressions import trunc_wall
+
 from gridlake import contracts as C
 from gridlake.functions.expressions import iso_week
 from gridlake.plans import defects
@@ -386,7 +388,7 @@ def q_silver_latest_pull(spark: SparkSession, d: str) -> DataFrame:
     from gridlake.operators.flatten import flatten_envelope
 
     bronze = flatten_envelope(event_envelopes(spark, d), "records", keep=["pull_ts"]).withColumn(
-        "hour", F.date_trunc("hour", "ts").cast("timestamp_ntz")
+        "hour", trunc_wall("ts", "hour")
     )
     latest = latest_per_key(bronze, ["event_type", "hour"], ["pull_ts"], ["event_id"])
     return latest.select("event_type", "hour", "event_id", "value", "pull_ts")

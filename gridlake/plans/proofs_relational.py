@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridlake.functions.expressions import trunc_wall
+
 from gridlake.functions.expressions import full_match, iso_week, normalise_enum_col, pct_of
 from gridlake.operators import aggregates as agg
 from gridlake.operators import expectations as ex
@@ -526,7 +528,7 @@ def hourly_series(spark: SparkSession, d: str) -> DataFrame:
     ev = table(spark, d, "events")
     cents = F.round(F.col("value") * 100).cast("long")
     return (
-        ev.groupBy("event_type", F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour"))
+        ev.groupBy("event_type", trunc_wall("ts", "hour").alias("hour"))
         .agg(F.sum(cents).alias("_c"), F.count(F.lit(1)).alias("_n"))
         .select(
             F.col("event_type").alias("h_event_type"),

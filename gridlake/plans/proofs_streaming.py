@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridlake.functions.expressions import trunc_wall
+
 from gridlake import contracts as C
 from gridlake.plans.registry import proof
 from gridlake.plans.tables import table
@@ -47,7 +49,7 @@ def _land_event_files(spark: SparkSession, d: str, root: str) -> None:
 
 
 def _keyed(df: DataFrame) -> DataFrame:
-    return df.withColumn("hour", F.date_trunc("hour", "ts").cast("timestamp_ntz")).withColumn("day", F.to_date("ts"))
+    return df.withColumn("hour", trunc_wall("ts", "hour")).withColumn("day", F.to_date("ts"))
 
 
 @proof("latest_incremental", LATEST_SQL, ("T-01", "L-01"))

@@ -19,6 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridlake.functions.expressions import trunc_wall
 from gridlake.operators.dedup import latest_per_key
 from gridlake.session import scratch_path
 from gridlake.streaming.ingest import run_until_drained
@@ -138,7 +139,7 @@ def lateness_report(
     """T-03: per event-time bucket, rows, rows arriving later than the threshold, max lateness (µs)."""
     lag = F.timestamp_diff("MICROSECOND", F.col(event_ts), F.col(arrival_ts))
     return (
-        df.select(F.date_trunc(unit, F.col(event_ts)).cast("timestamp_ntz").alias(unit), lag.alias("_lag"))
+        df.select(trunc_wall(event_ts, unit).alias(unit), lag.alias("_lag"))
         .groupBy(unit)
         .agg(
             F.count(F.lit(1)).alias("n"),

@@ -49,3 +49,22 @@ def test_proof_matches_oracle(spark, con, name):
     assert sorted(s_cols) == sorted(o_cols)
     assert len(s_rows) == len(o_rows)
     assert canon(s_cols, s_rows, False) == canon(o_cols, o_rows, False)
+
+
+ZONE_SENSITIVE = ["hour_bucket_join", "gold_binned_join", "missing_periods", "lateness_report", "scd2_collapsed", "silver_latest_pull"]
+
+
+@pytest.mark.parametrize("tz", ["Asia/Kolkata", "America/Sao_Paulo"])
+@pytest.mark.parametrize("name", ZONE_SENSITIVE)
+def test_proof_independent_of_session_zone(spark, con, name, tz):
+    """Zone-free data must give the same answer whatever the session time zone."""
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", tz)
+    try:
+        df = QUERIES[name](spark, SF_SMALL)
+        s_cols, s_rows = df.columns, [tuple(r) for r in df.collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    cur = con.execute(ORACLE[name])
+    o_cols = [d[0] for d in cur.description]
+    assert canon(s_cols, s_rows, False) == canon(o_cols, cur.fetchall(), False)
