@@ -38,15 +38,29 @@ def dq_metrics(
     ``null_when_zero`` reproduces the parity form ``SUM(CASE … THEN 1 END)``
     that reports NULL instead of 0 for a clean group.
     """
-    aggs: list[Column] = [F.count(F.lit(1)).alias(rows_col)]
-    if key is not None:
-        distinct = F.approx_count_distinct(key) if approx_distinct else F.count_distinct(F.col(key))
-        aggs.append((F.count(F.lit(1)) - distinct).alias(dup_col))
-    for r in _as_rules(rules):
-        aggs.append(_nz(F.count_if(~total(r.predicate())), null_when_zero).alias(r.name))
+    rules = _as_rules(rules)
+    by_cols = [as_column(b) for b in by]
+    viol = [(r.name, ~total(r.predicate())) for r in rules]
     if rescued_col is not None:
-        aggs.append(_nz(F.count_if(F.col(rescued_col).isNotNull()), null_when_zero).alias("rescued"))
-    return df.groupBy(*[as_column(b) for b in by]).agg(*aggs)
+        viol.append(("rescued", F.col(rescued_col).isNotNull()))
+    if key is None or approx_distinct:
+        aggs: list[Column] = [F.count(F.lit(1)).alias(rows_col)]
+        if key is not None:
+            aggs.append((F.count(F.lit(1)) - F.approx_count_distinct(key)).alias(dup_col))
+        aggs += [_nz(F.count_if(v), null_when_zero).alias(n) for n, v in viol]
+        return df.groupBy(*by_cols).agg(*aggs)
+    # Exact distinct without Spark's Expand rewrite (which copies every row once per
+    # aggregate group): first aggregate per (group, key) — map-side partial aggregation
+    # folds a hot key to one row per task — then per group. Keys with a NULL value are
+    # not counted as distinct, as in COUNT(DISTINCT key).
+    per_key = df.groupBy(*by_cols, F.col(key).alias("_k")).agg(
+        F.count(F.lit(1)).alias("_rows"), *[F.count_if(v).alias(f"_v{i}") for i, (_, v) in enumerate(viol)]
+    )
+    group_names = per_key.columns[: len(by_cols)]
+    rows = F.sum("_rows")
+    aggs = [rows.alias(rows_col), (rows - F.count("_k")).alias(dup_col)]
+    aggs += [_nz(F.sum(f"_v{i}"), null_when_zero).alias(n) for i, (n, _) in enumerate(viol)]
+    return per_key.groupBy(*group_names).agg(*aggs)
 
 
 def row_counts(df: DataFrame, by: Sequence[str] = (), count_col: str = "n") -> DataFrame:
