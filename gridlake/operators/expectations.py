@@ -104,18 +104,28 @@ def closed_enum(df: DataFrame, col: str, allowed: Sequence[str], value_col: str
 def delivery_overlap(df: DataFrame, keys: Sequence[str], delivery: str) -> DataFrame:
     """E-11: per pair of consecutive deliveries, the number of keys present in both.
 
-    Deliveries are numbered on the distinct delivery values (small), then the
-    distinct (key, n) pairs are joined with (key, n + 1) — a shuffle join on
-    the key, never a cross product. Pairs with no shared key report 0.
+    One pass builds the distinct (key, delivery) pairs; a window per key then
+    gives each pair the key's next delivery (a key's partition holds at most one
+    row per delivery, so even the hottest key is bounded by the number of
+    deliveries, not by its row count). A key counts for (d, next(d)) when its
+    next delivery is the globally next one. The delivery calendar — one value
+    per delivery, bounded metadata like a partition list — is read once (one
+    column, map-side distinct) and turned into a small local frame of
+    consecutive pairs. Pairs with no shared key report 0; no self-join of the
+    data, no cross product.
     """
-    deliveries = df.select(delivery).distinct()
-    numbered = deliveries.select(delivery, F.dense_rank().over(Window.orderBy(delivery)).alias("_n"))
-    kd = df.select(*keys, delivery).distinct().join(numbered, delivery).select(*keys, "_n")
-    nxt = kd.select(*keys, (F.col("_n") - 1).alias("_n"))
-    shared = kd.join(nxt, list(keys) + ["_n"]).groupBy("_n").agg(F.count(F.lit(1)).alias("shared_keys"))
-    pairs = numbered.alias("a").join(numbered.alias("b"), F.col("b._n") == F.col("a._n") + 1).select(
-        F.col("a._n").alias("_n"), F.col(f"a.{delivery}").alias("delivery"), F.col(f"b.{delivery}").alias("next_delivery")
+    spark = df.sparkSession
+    kd = df.select(*keys, delivery).distinct()
+    per_key = kd.withColumn("_next", F.lead(delivery).over(Window.partitionBy(*keys).orderBy(delivery)))
+    calendar = sorted(r[0] for r in df.select(delivery).distinct().collect() if r[0] is not None)
+    dtype = df.schema[delivery].dataType
+    pair_schema = T.StructType([T.StructField("delivery", dtype), T.StructField("next_delivery", dtype)])
+    pairs = spark.createDataFrame(list(zip(calendar, calendar[1:])), pair_schema)
+    shared = (
+        per_key.join(F.broadcast(pairs), (per_key[delivery] == pairs["delivery"]) & (per_key["_next"] == pairs["next_delivery"]))
+        .groupBy("delivery")
+        .agg(F.count(F.lit(1)).alias("shared_keys"))
     )
-    return pairs.join(shared, "_n", "left").select(
+    return pairs.join(shared, "delivery", "left").select(
         "delivery", "next_delivery", F.coalesce("shared_keys", F.lit(0)).cast("long").alias("shared_keys")
     )
