@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridlake.functions.expressions import trunc_wall
+from gridlake.session import cut_lineage
 
 
 def _ordered(ts: str, tie_breakers: Sequence[str]) -> list[Column]:
@@ -35,6 +36,7 @@ def scd2(
     valid_from: str = "valid_from",
     valid_to: str = "valid_to",
     current_col: str = "is_current",
+    materialize: bool = False,
 ) -> DataFrame:
     """One row per version with ``valid_from``/``valid_to``/``is_current``.
 
@@ -43,6 +45,12 @@ def scd2(
     * ``slice_unit=None`` uses the plain per-key window (fine for keys of
       bounded size); a unit (``'month'``, ``'day'``…) bounds the rows per task
       by (key, slice).
+    * ``materialize`` (with ``collapse``): the collapsed versions are written
+      once as a reliable checkpoint under ``spark.checkpoint.dir`` (eagerly),
+      so the ``valid_to`` phase reads them instead of re-deriving the collapse
+      (which otherwise costs a second scan + full shuffle + window). The files
+      stay in the checkpoint folder unless the cluster cleans checkpoints, so
+      it is opt-in.
     """
     keys = list(keys)
     state_cols = list(state_cols) if state_cols is not None else [c for c in df.columns if c not in set(keys) | {ts}]
@@ -78,6 +86,8 @@ def scd2(
             .filter(~F.col("_prev").eqNullSafe(F.col("_state")))
             .drop("_prev", "_pos", "_rpos", "_edge_prev", "_state")
         )
+        if materialize:
+            base = cut_lineage(base)
 
     base = base.withColumn(valid_to, F.lead(ts).over(w))
     # Gap at the slice edge: first instant of the next non-empty slice of the key.

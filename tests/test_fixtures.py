@@ -201,3 +201,17 @@ def test_minimum_support(spark):
 def test_first_period_iso_week(spark):
     df = spark.createDataFrame([(dt.date(2023, 1, 1),), (dt.date(2023, 1, 2),)], "d date")
     assert [r[0] for r in df.select(iso_week("d")).collect()] == ["2022-W52", "2023-W01"]
+
+
+def test_scd2_materialized_equals_recomputed(spark):
+    from gridlake.operators.history import scd2
+    from gridlake.plans.tables import table
+    from tests.conftest import SF_SMALL
+
+    o = table(spark, SF_SMALL, "orders").select("o_custkey", "o_orderkey", "o_orderstatus", "o_orderdate")
+    args = (o, ["o_custkey"], "o_orderdate", ["o_orderstatus"])
+    a = scd2(*args, tie_breakers=["o_orderkey"], slice_unit="year", materialize=False)
+    b = scd2(*args, tie_breakers=["o_orderkey"], slice_unit="year", materialize=True)
+    c = scd2(*args, tie_breakers=["o_orderkey"], slice_unit=None)
+    rows = lambda df: sorted(tuple(r) for r in df.collect())
+    assert rows(a) == rows(b) == rows(c)
