@@ -55,10 +55,21 @@ def _first_line(local_path: str) -> str:
         return fh.readline()
 
 
-def probe_headers(spark: SparkSession, paths: Sequence[str], sep: str = ",", threads: int = 16) -> dict[str, list[str]]:
-    """Header column names of each file, keyed by the path as given."""
+def probe_headers(
+    spark: SparkSession,
+    paths: Sequence[str],
+    sep: str = ",",
+    threads: int = 16,
+    mode: str = "auto",
+) -> dict[str, list[str]]:
+    """Header column names of each file, keyed by the path as given.
+
+    ``mode``: ``"auto"`` (driver reads for local/mounted paths, a Spark job
+    otherwise), ``"driver"`` or ``"distributed"``.
+    """
     local = {p: _local(p) for p in paths}
-    if all(v is not None for v in local.values()):
+    use_driver = mode == "driver" or (mode == "auto" and all(v is not None for v in local.values()))
+    if use_driver:
         with ThreadPoolExecutor(max_workers=max(1, min(threads, len(paths)))) as pool:
             lines = list(pool.map(lambda p: _first_line(local[p]), paths))
         return {p: parse_header(line, sep) for p, line in zip(paths, lines)}
@@ -70,12 +81,14 @@ def probe_headers(spark: SparkSession, paths: Sequence[str], sep: str = ",", thr
         "value",
     )
     firsts = txt.filter(F.col("b") == 0).groupBy("f").agg(F.min_by("value", "i").alias("h")).collect()
-    by_uri = {r["f"]: parse_header(r["h"] or "", sep) for r in firsts}
-    return {p: by_uri.get(p, by_uri.get(_normal_uri(p), [])) for p in paths}
+    by_uri = {_canonical(r["f"]): parse_header(r["h"] or "", sep) for r in firsts}
+    return {p: by_uri.get(_canonical(p), []) for p in paths}
 
 
-def _normal_uri(p: str) -> str:
-    return p if "://" in p or p.startswith("file:") else "file:" + p
+def _canonical(p: str) -> str:
+    """Comparable form of a path/URI (``/x``, ``file:/x`` and ``file:///x`` agree)."""
+    loc = _local(p)
+    return loc if loc is not None else p
 
 
 def read_csv_drifting(
@@ -84,12 +97,13 @@ def read_csv_drifting(
     sep: str = ",",
     provenance: bool = True,
     headers: dict[str, list[str]] | None = None,
+    probe_mode: str = "auto",
 ) -> tuple[DataFrame, list[list[str]]]:
     """All-string DataFrame of the files, columns matched by header name.
 
     Returns the frame and the distinct headers met (in first-seen order).
     """
-    headers = headers or probe_headers(spark, paths, sep)
+    headers = headers or probe_headers(spark, paths, sep, mode=probe_mode)
     groups: dict[tuple[str, ...], list[str]] = {}
     for p in paths:
         groups.setdefault(tuple(headers[p]), []).append(p)

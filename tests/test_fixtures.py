@@ -215,3 +215,21 @@ def test_scd2_materialized_equals_recomputed(spark):
     c = scd2(*args, tie_breakers=["o_orderkey"], slice_unit=None)
     rows = lambda df: sorted(tuple(r) for r in df.collect())
     assert rows(a) == rows(b) == rows(c)
+
+
+def test_distributed_header_probe_matches_driver_probe(spark, tmp_root):
+    from gridlake.sources.drift import probe_headers
+
+    files = []
+    for i, hdr in enumerate(["k,a", "b;k;a", '"x y",k']):
+        sep = ";" if ";" in hdr else ","
+        body = hdr + "\n" + "\n".join(sep.join(str(j) for _ in hdr.split(sep)) for j in range(5000)) + "\n"
+        files.append(write_text(f"{tmp_root}/p/{i}.csv", body))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")  # many splits per file
+    try:
+        for sep in (",", ";"):
+            assert probe_headers(spark, files, sep, mode="distributed") == probe_headers(spark, files, sep, mode="driver")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert probe_headers(spark, files, ",", mode="driver")[files[2]] == ["x y", "k"]
