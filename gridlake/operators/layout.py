@@ -149,3 +149,36 @@ def pruning_report(
         ).select(F.lit(name).alias("table"), "files_total", "files_touched", "rows_total", "rows_touched")
         out = part if out is None else out.unionByName(part)
     return out
+
+
+def table_location(spark: SparkSession, name: str) -> str:
+    """Storage folder of a catalog table (catalog metadata, one small result)."""
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()
+    for r in rows:
+        if r["col_name"] == "Location":
+            return r["data_type"]
+    raise ValueError(f"no location for table {name}")
+
+
+def optimize(
+    spark: SparkSession,
+    name: str,
+    base: str,
+    cluster_cols: Sequence[str] | None = None,
+    target_bytes: int = 128 * 1024 * 1024,
+    bits: int = 8,
+) -> str:
+    """``OPTIMIZE name [ZORDER BY (cols)]`` for a plain Parquet catalog table.
+
+    Rewrites the current version into about size ÷ ``target_bytes`` files —
+    compacted without a shuffle, or clustered by ``cluster_cols`` — as a new
+    version folder, then swaps the table location (readers of the old version
+    are never disturbed). Returns the new version path.
+    """
+    from gridlake.sinks import publish
+
+    src = table_location(spark, name)
+    n = target_file_count(spark, src, target_bytes)
+    df = spark.read.parquet(src)
+    out = cluster_by(df, cluster_cols, n, bits) if cluster_cols else df.coalesce(n)
+    return publish(out, name, base)

@@ -122,3 +122,13 @@ def test_energy_pipeline_end_to_end(spark, tmp_root):
     # Original behaviour (session zone UTC): 00:00+01:00 pairs with the 23:00 UTC hour, so only the second hour matches.
     utc = energy.gold_conso_vs_temperature(spark.read.parquet(f"{warehouse}/bronze/eco2mix_raw"), spark.table("silver.meteo_clean"), source_tz="UTC")
     assert utc.agg(F.sum("nb_heures")).first()[0] == 4
+
+    # Optimisation notebook: compaction / clustering keep content, pruning never gets worse.
+    before = sorted(tuple(r) for r in spark.table("silver.dpe_clean").drop("_dq_reasons").collect())
+    opt = energy.optimization_report(spark, warehouse, target_bytes=1 << 20)
+    after = sorted(tuple(r) for r in spark.table("silver.dpe_clean").drop("_dq_reasons").collect())
+    assert before == after
+    pr = {r["table"]: r for r in opt["pruning"].collect()}
+    assert pr["zordered"]["files_touched"] <= pr["no_zorder"]["files_touched"]
+    assert pr["zordered"]["rows_touched"] == pr["no_zorder"]["rows_touched"] == 21 + 3
+    assert {r["table"] for r in opt["stats_after"].collect()} == {"silver.dpe_clean", "silver.meteo_clean", "silver.communes", "gold.renovation_priority"}

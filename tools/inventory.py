@@ -100,9 +100,9 @@ API = {
     "G-10": "plans.energy.report / marts.ranked",
     "G-11": "plans.energy.source_coverage",
     "M-01": "operators.layout.table_stats",
-    "M-02": "operators.layout.compact",
-    "M-03": "operators.layout.cluster_by",
-    "M-04": "operators.layout.pruning_report",
+    "M-02": "operators.layout.compact / optimize",
+    "M-03": "operators.layout.cluster_by / optimize(cluster_cols)",
+    "M-04": "operators.layout.pruning_report; plans.energy.optimization_report",
     "M-05": "pruning_report over the pre-cluster version",
     "M-06": "operators.key_skew",
     "M-07": "operators.hot_keys",
