@@ -128,6 +128,20 @@ def silver_grid(api_bronze: DataFrame) -> DataFrame:
     return latest_per_key(api_bronze, ["date_heure", "libelle_region"], ["pull_timestamp"])
 
 
+def silver_grid_incremental(spark: SparkSession, p: Paths, max_files_per_trigger: int | None = None) -> DataFrame:
+    """T-01 form of G-06: each micro-batch of API pulls is merged into silver, rewriting only
+    the days (of the grid instant) it touches. Equals :func:`silver_grid` over all pulls."""
+    from gridlake.streaming.latest import latest_incremental
+
+    r = spark.readStream.format("json").schema(C.GRID_API.schema).option("multiLine", True).option("recursiveFileLookup", True)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    pulls = _explode_pull(with_audit(r.option("pathGlobFilter", "*.json").load(p.land("eco2mix/api"))))
+    keyed = pulls.withColumn("day", F.substring("date_heure", 1, 10))  # local calendar day of the instant
+    latest_incremental(keyed, p.wh("silver/eco2mix_incremental"), p.wh("_checkpoints/eco2mix_incremental"), ["date_heure", "libelle_region"], ["pull_timestamp"], None, "day")
+    return spark.read.parquet(p.wh("silver/eco2mix_incremental"))
+
+
 HOUSING_SPEC = SilverSpec(C.HOUSING.keys, C.HOUSING.order_by, None, C.HOUSING.enums, list(C.HOUSING.rules))
 
 

@@ -107,6 +107,9 @@ def test_energy_pipeline_end_to_end(spark, tmp_root):
     grid = {r["date_heure"]: r["consommation"] for r in spark.table("silver.eco2mix_clean").collect()}
     assert grid == {"2025-12-31T23:30:00+01:00": 1.0, "2025-12-31T23:45:00+01:00": 2.5, "2026-01-01T00:00:00+01:00": 3.0}
 
+    inc = energy.silver_grid_incremental(spark, energy.Paths(landing, warehouse), max_files_per_trigger=1)
+    assert {r["date_heure"]: r["consommation"] for r in inc.collect()} == grid
+
     # G-04 / G-05: codes keep leading zeros, weather flattened to 24 rows.
     assert {r["code_commune"] for r in spark.table("bronze.enedis_raw").collect()} == {"01234", "35001"}
     assert spark.table("silver.meteo_clean").count() == 24
