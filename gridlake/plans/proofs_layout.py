@@ -90,9 +90,10 @@ def _landing_tree(spark: SparkSession, d: str) -> str:
 @proof("missing_sources", None, ("E-01",))
 def q_missing_sources(spark: SparkSession, d: str) -> DataFrame:
     root = _landing_tree(spark, d)
+    from gridlake.streaming.ingest import source_name
+
     files = list_files(spark, root, "part-*")
-    src = F.element_at(F.split(F.col("path"), "/"), -2)
-    return ex.missing_sources(files, src, ["orders", "events", "customer", "supplier"])
+    return ex.missing_sources(files, source_name("path", 2), ["orders", "events", "customer", "supplier"])
 
 
 @proof("formats_present", None, ("E-02",))

@@ -43,10 +43,6 @@ def with_audit(
     return out
 
 
-def _string_schema(schema: T.StructType) -> T.StructType:
-    return T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
-
-
 def read_csv(
     spark: SparkSession,
     path: str | Sequence[str],
