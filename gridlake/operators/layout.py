@@ -79,7 +79,11 @@ def compact(
 
 
 def quantile_buckets(df: DataFrame, col: str, bits: int, rel_error: float = 0.001) -> Column:
-    """Integer bucket 0 … 2^bits-1 of ``col`` from approximate quantiles (a small driver result)."""
+    """Integer bucket 0 … 2^bits-1 of ``col`` from approximate quantiles (a small driver result).
+
+    The bucket is a sum of 2^bits - 1 compiled comparisons; ``bits`` around 6
+    (64 buckets per column) keeps the generated code small.
+    """
     k = 1 << bits
     probs = [i / k for i in range(1, k)]
     bounds = df.approxQuantile(col, probs, rel_error)
@@ -93,7 +97,7 @@ def cluster_by(
     df: DataFrame,
     cols: Sequence[str],
     num_files: int,
-    bits: int = 8,
+    bits: int = 6,
 ) -> DataFrame:
     """Co-locate rows by ``cols`` for file skipping (OPTIMIZE … ZORDER BY equivalent).
 
@@ -166,7 +170,7 @@ def optimize(
     base: str,
     cluster_cols: Sequence[str] | None = None,
     target_bytes: int = 128 * 1024 * 1024,
-    bits: int = 8,
+    bits: int = 6,
 ) -> str:
     """``OPTIMIZE name [ZORDER BY (cols)]`` for a plain Parquet catalog table.
 

@@ -15,10 +15,16 @@ CODE_SQL = (
 PRICE_SQL = "CASE WHEN o_orderkey % 70 = 0 THEN -o_totalprice WHEN o_orderkey % 70 = 1 THEN 0.0 ELSE o_totalprice END"
 PRIORITY_SQL = "CASE WHEN o_orderkey % 30 = 0 THEN lower(o_orderpriority) || ' ' ELSE o_orderpriority END"
 
-RAW_ORDERS_SELECT = (
-    "o_orderkey, o_custkey, o_orderstatus, o_orderdate, "
-    f"{CODE_SQL} AS code, {PRICE_SQL} AS price, {PRIORITY_SQL} AS priority"
-)
+RAW_ORDERS_COLUMNS = [
+    "o_orderkey",
+    "o_custkey",
+    "o_orderstatus",
+    "o_orderdate",
+    f"{CODE_SQL} AS code",
+    f"{PRICE_SQL} AS price",
+    f"{PRIORITY_SQL} AS priority",
+]
+RAW_ORDERS_SELECT = ", ".join(RAW_ORDERS_COLUMNS)
 
 # Validity of the injected columns, as SQL for the oracle (NULL/blank code ⇒ missing).
 CODE_REASON_SQL = (

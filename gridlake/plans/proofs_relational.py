@@ -30,24 +30,7 @@ HIGH = ("1-URGENT", "2-HIGH")
 
 def raw_orders(spark: SparkSession, d: str) -> DataFrame:
     """Bronze-like extract: ``orders`` with injected defects (see :mod:`defects`)."""
-    return table(spark, d, "orders").selectExpr(*[s.strip() for s in _split_select(defects.RAW_ORDERS_SELECT)])
-
-
-def _split_select(sel: str) -> list[str]:
-    # Split a SELECT list on top-level commas (the CASE expressions contain none at depth 0).
-    out, depth, cur = [], 0, []
-    for ch in sel:
-        if ch == "(":
-            depth += 1
-        elif ch == ")":
-            depth -= 1
-        if ch == "," and depth == 0:
-            out.append("".join(cur))
-            cur = []
-        else:
-            cur.append(ch)
-    out.append("".join(cur))
-    return out
+    return table(spark, d, "orders").selectExpr(*defects.RAW_ORDERS_COLUMNS)
 
 
 def code_valid():
