@@ -179,7 +179,9 @@ def gold_conso_vs_temperature(archive: DataFrame, weather: DataFrame, source_tz:
     the number of matched quarter-hours (``nb_heures``) and mean consumption.
 
     Archive instants carry their offset; weather hours are naive local times in
-    ``source_tz`` (``None`` = session zone, the original behaviour).
+    ``source_tz``. ``source_tz=None`` reads them as UTC wall clocks — what the
+    original string-formatting join does in a UTC session, pairing the archive's
+    00:00+01:00 with the 23:00 weather hour.
     """
     fine = archive.select("libelle_region", "date_heure", "consommation")
     coarse = weather.select("region_name", "heure", "temperature")
