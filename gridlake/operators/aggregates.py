@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridlake.functions.expressions import as_column, total
+from gridlake.functions.expressions import as_column, pct_of, total
 from gridlake.operators.quarantine import Rule, _as_rules
 
 
@@ -150,11 +150,7 @@ def pct_in_class(
     count_name: str = "n",
 ) -> DataFrame:
     """Share (%) of rows per group for which ``predicate`` holds (A-07), as DOUBLE."""
-    hit = total(predicate).cast("int")
-    return df.groupBy(*by).agg(
-        F.count(F.lit(1)).alias(count_name),
-        F.round(F.lit(100.0) * F.sum(hit).cast("double") / F.count(F.lit(1)), digits).alias(pct_name),
-    )
+    return df.groupBy(*by).agg(F.count(F.lit(1)).alias(count_name), pct_of(predicate, digits).alias(pct_name))
 
 
 def duplicate_excess(df: DataFrame, key: str, by: Sequence[str] = ()) -> DataFrame:

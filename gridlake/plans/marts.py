@@ -12,7 +12,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridlake.functions.expressions import normalise_enum_col, total
+from gridlake.functions.expressions import normalise_enum_col, pct_of
 from gridlake.operators.dedup import latest_per_key
 from gridlake.operators.joins import dim_join, join_on_time_bucket
 from gridlake.operators.quarantine import Rule, flag, split
@@ -61,16 +61,15 @@ def priority_mart(
     (G-08 "renovation priority": dwellings per commune, mean kWh/m², % F/G.)
     The dimension join is checked for key uniqueness and broadcast only when
     small; the aggregate is partial + final, so only one row per group and map
-    task is shuffled. The result is ranked by the percentage (descending, then
-    group keys) — sorting is left to the caller (``orderBy``) or to a top-k.
+    task is shuffled. The result is unordered: rank it with :func:`ranked`
+    (a top-k, not a global sort) where a serving read needs an order.
     """
     n_name, mean_name, pct_name = names
     joined = dim_join(fact, dim, join_keys, "inner", allow_fanout=allow_fanout)
-    hit = total(class_predicate).cast("int")
     agg = joined.groupBy(*group_cols).agg(
         F.count(F.col(id_col)).alias(n_name),
         F.round(F.avg(measure), measure_digits).alias(mean_name),
-        F.round(F.lit(100.0) * F.sum(hit).cast("double") / F.count(F.lit(1)), pct_digits).alias(pct_name),
+        pct_of(class_predicate, pct_digits).alias(pct_name),
     )
     return agg.filter(F.col(n_name) >= min_support)
 
@@ -121,7 +120,8 @@ def consumption_mart(
     per_capita_col: str | None = None,
     digits: int = 2,
 ) -> DataFrame:
-    """X-04: total measure per dimension group, with an optional per-capita ratio."""
+    """X-04: total measure per dimension group, with an optional per-capita ratio
+    (``per_capita_col`` is a dimension attribute, constant within a group)."""
     j = dim_join(fact, dim, join_keys, "inner")
     aggs = [F.count(F.lit(1)).alias("n_rows"), F.round(F.sum(measure), digits).alias("total")]
     if per_capita_col:
