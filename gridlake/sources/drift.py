@@ -29,6 +29,8 @@ from pyspark.sql import types as T
 
 from gridlake.sources.batch import SOURCE_FILE
 
+CORRUPT = "_corrupt_record"
+
 
 def _local(path: str) -> str | None:
     if path.startswith("file:"):
@@ -111,8 +113,18 @@ def read_csv_drifting(
     for hdr, files in groups.items():
         if not hdr:
             continue
-        schema = T.StructType([T.StructField(c, T.StringType(), True) for c in hdr])
-        df = spark.read.schema(schema).option("header", True).option("sep", sep).option("mode", "PERMISSIVE").csv(files)
+        # A line whose field count does not match its file's header is kept whole in
+        # the corrupt-record column (PERMISSIVE would otherwise drop extra tokens silently).
+        fields = [T.StructField(c, T.StringType(), True) for c in hdr if c != CORRUPT]
+        schema = T.StructType(fields + [T.StructField(CORRUPT, T.StringType(), True)])
+        df = (
+            spark.read.schema(schema)
+            .option("header", True)
+            .option("sep", sep)
+            .option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", CORRUPT)
+            .csv(files)
+        )
         if provenance:
             df = df.withColumn(SOURCE_FILE, F.col("_metadata.file_path"))
         parts.append(df)

@@ -27,6 +27,7 @@ def cast_with_rescue(
     rescued_col: str = RESCUED,
     rescue_unknown: bool = False,
     keep: tuple[str, ...] = (),
+    corrupt_col: str = "_corrupt_record",
 ) -> DataFrame:
     """Contract columns typed, missing ones NULL, bad values in ``rescued_col``.
 
@@ -34,6 +35,8 @@ def cast_with_rescue(
       evolution: new columns are added), or folded into the rescue JSON with
       ``rescue_unknown=True``.
     * ``keep`` columns (audit/provenance) pass through untouched.
+    * A ``corrupt_col`` (Spark's corrupt-record column) is folded into the
+      rescue JSON as ``{"_line": <raw line>}``.
     """
     have = set(df.columns)
     contract = [f.name for f in schema.fields]
@@ -47,7 +50,10 @@ def cast_with_rescue(
                 entries += [F.lit(f.name), F.when(raw.isNotNull() & t.isNull(), raw)]
         else:
             typed_cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-    extra = [c for c in df.columns if c not in set(contract) and c not in set(keep) and c != rescued_col]
+    if corrupt_col in have:
+        # A malformed line (wrong number of fields) is rescued whole.
+        entries += [F.lit("_line"), F.col(corrupt_col)]
+    extra = [c for c in df.columns if c not in set(contract) and c not in set(keep) and c not in (rescued_col, corrupt_col)]
     if rescue_unknown:
         for c in extra:
             entries += [F.lit(c), F.col(c).cast("string")]

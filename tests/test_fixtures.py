@@ -260,3 +260,14 @@ def test_watermarked_latest_wins_and_drops_too_late(spark, tmp_root):
         _time.sleep(0.01)
     got = {str(r["instant"]): r["v"] for r in spark.read.parquet(out).collect()}
     assert got == {"2024-01-01 10:00:00": 1.5, "2024-01-01 11:00:00": 2.0, "2024-01-02 06:00:00": 3.0}
+
+
+def test_malformed_line_rescued_whole(spark, tmp_root):
+    write_text(f"{tmp_root}/m.csv", "k,a\n1,x\n2,y,EXTRA\n3\n")
+    raw, _ = read_csv_drifting(spark, [f"{tmp_root}/m.csv"])
+    typed = cast_with_rescue(raw, C.schema(("k", C.L), ("a", C.S)))
+    got = {r["k"]: r["_rescued_data"] for r in typed.collect()}
+    assert got[1] is None
+    assert json.loads(got[2]) == {"_line": "2,y,EXTRA"}
+    assert json.loads(got[3]) == {"_line": "3"}
+    assert "_corrupt_record" not in typed.columns
