@@ -271,7 +271,7 @@ def q_drift_added(spark: SparkSession, d: str) -> DataFrame:
 @proof("schema_versions", None, ("S-09",))
 def q_schema_versions(spark: SparkSession, d: str) -> DataFrame:
     base = _drift_ingest(spark, d)
-    return SchemaLog(spark, f"{base}/_schema_log").versions().select("version", "batch_id", "columns", "added")
+    return SchemaLog(spark, f"{base}/_schema_log").versions().select("version", "batch_id", "columns", "added", "schema_json")
 
 
 @proof(

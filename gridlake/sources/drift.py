@@ -147,6 +147,7 @@ class SchemaLog:
             T.StructField("columns", T.ArrayType(T.StringType())),
             T.StructField("added", T.ArrayType(T.StringType())),
             T.StructField("first_file", T.StringType()),
+            T.StructField("schema_json", T.StringType()),
         ]
     )
 
@@ -180,13 +181,16 @@ class SchemaLog:
         r = self.versions().orderBy(F.col("version").desc()).select("columns").first()
         return list(r["columns"]) if r else []
 
-    def record(self, batch_id: int, columns: Sequence[str], first_file: str) -> list[str]:
-        """Append a version when ``columns`` adds names to the current list; returns the added names."""
+    def record(self, batch_id: int, columns: Sequence[str], first_file: str, schema_json: str | None = None) -> list[str]:
+        """Append a version when ``columns`` adds names to the current list; returns the added names.
+
+        ``schema_json`` (``StructType.json()`` of the typed output) is stored with the version.
+        """
         known = self._known if self._known is not None else self.current()
         added = [c for c in columns if c not in known]
         if added or not known:
             merged = known + added
-            row = [(int(batch_id), merged, added if known else [], first_file)]
+            row = [(int(batch_id), merged, added if known else [], first_file, schema_json)]
             self.spark.createDataFrame(row, self.SCHEMA).coalesce(1).write.mode("append").json(self.path)
             if self._known is not None:
                 self._known = merged

@@ -131,9 +131,10 @@ def ingest_drifting_csv(
         seen: list[str] = []
         for h in headers:
             seen += [c for c in h if c not in seen]
-        log.record(batch_id, [f.name for f in contract.fields] + [c for c in seen if c not in contract.fieldNames()], sorted(paths)[0])
         typed = cast_with_rescue(raw, contract, rescue_unknown=rescue_unknown, keep=(SOURCE_FILE,))
         out = with_audit(typed, source_col=SOURCE_FILE, period_col="_extract_week" if period_pattern else None, period_pattern=period_pattern or "")
+        new_cols = [c for c in seen if c not in contract.fieldNames() and c != "_corrupt_record"]
+        log.record(batch_id, contract.fieldNames() + new_cols, sorted(paths)[0], out.schema.json())
         write_batch(out, target_dir, batch_id)
 
     files = discover_files(spark, source_dir, glob, max_files_per_trigger)
