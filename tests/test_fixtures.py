@@ -271,3 +271,27 @@ def test_malformed_line_rescued_whole(spark, tmp_root):
     assert json.loads(got[2]) == {"_line": "2,y,EXTRA"}
     assert json.loads(got[3]) == {"_line": "3"}
     assert "_corrupt_record" not in typed.columns
+
+
+def test_run_until_drained_restarts_once_on_listed_error():
+    from gridlake.streaming.ingest import run_until_drained
+
+    class Q:
+        def __init__(self, fail):
+            self.fail = fail
+
+        def awaitTermination(self):
+            if self.fail:
+                raise RuntimeError("new columns found")
+
+    starts = []
+
+    def start():
+        starts.append(1)
+        return Q(fail=len(starts) == 1)
+
+    run_until_drained(start, retries=1, retry_on=lambda e: "new columns" in str(e))
+    assert len(starts) == 2
+    starts.clear()
+    with pytest.raises(RuntimeError):
+        run_until_drained(start, retries=1, retry_on=lambda e: False)
