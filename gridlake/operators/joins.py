@@ -2,9 +2,9 @@
 referential violations (X-02).
 
 Broadcast policy:
-* a **stored** side (a dimension table) is broadcast only after a *bounded*
-  probe proves it small — ``limit(max_rows + 1)`` reads at most
-  ``max_rows + 1`` rows, so the check never scans a big table;
+* a **stored** side (a dimension table) is broadcast only after a probe
+  proves it small — a distributed row count, then (only within the row
+  bound) a distributed byte estimate;
 * a **derived** side (an aggregate, a distinct list) is not probed — that
   would compute it twice — and is left to adaptive execution, which switches
   a shuffle join to a broadcast at runtime from the side's *measured* shuffle
@@ -55,11 +55,18 @@ def _row_width(schema: T.StructType) -> Column:
 
 
 def probe_size(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> SideSize:
-    """Rows and approximate bytes of ``df``, reading at most ``max_rows + 1`` rows."""
-    head = df.limit(max_rows + 1)
-    r = head.agg(F.count(F.lit(1)).alias("n"), F.sum(_row_width(df.schema)).alias("b")).first()
-    n, b = int(r["n"]), int(r["b"] or 0)
-    return SideSize(rows=n, approx_bytes=b, bounded=n <= max_rows)
+    """Rows and approximate bytes of a *stored* side, both as distributed aggregates.
+
+    The row count comes first (for Parquet it needs no column data); bytes are
+    summed only when the count is within ``max_rows``, so an oversized side is
+    rejected without scanning its values, and no step funnels rows through a
+    single task.
+    """
+    n = df.count()
+    if n > max_rows:
+        return SideSize(rows=n, approx_bytes=-1, bounded=False)
+    b = df.agg(F.sum(_row_width(df.schema)).alias("b")).first()["b"]
+    return SideSize(rows=n, approx_bytes=int(b or 0), bounded=True)
 
 
 def broadcast_if_small(
