@@ -63,3 +63,14 @@ def test_scd2_has_no_sort_aggregate(spark):
 def test_top_k_is_take_ordered(spark):
     text = plan(E.queries()["rows_of_top_keys"](spark, SF_SMALL))
     assert "TakeOrderedAndProject" in text and "LeftSemi" in text
+
+
+def test_dq_metrics_has_no_expand(spark):
+    text = plan(E.queries()["dq_metrics"](spark, SF_SMALL))
+    assert "Expand" not in text
+
+
+def test_time_bucket_join_keys_are_timestamps(spark):
+    text = plan(E.queries()["hour_bucket_join"](spark, SF_SMALL))
+    assert "date_format" not in text
+    assert re.search(r"Left keys \[\d+\]: \[[^\]]*_bucket", text)
