@@ -796,3 +796,44 @@ def q_freshness(spark, d):
     od = table(spark, d, "orders").select(F.lit("orders").alias("source"), F.col("o_orderdate").alias("ts"))
     bronze = with_audit(ev.unionByName(od), source_col=None)
     return freshness(bronze, "source", "ts", "_ingested_at", sla_seconds=30 * 60)
+
+
+# --------------------------------------------------------------------------- hot keys (a third of all rows on one key)
+
+HOT_KEY_SQL = "CASE WHEN l_orderkey % 3 = 0 THEN 0 ELSE l_partkey END"
+
+
+def skewed_lineitem(spark: SparkSession, d: str) -> DataFrame:
+    """``lineitem`` with every third order's key moved to one hot key (no row dropped)."""
+    return table(spark, d, "lineitem").withColumn("k", F.expr(HOT_KEY_SQL))
+
+
+@proof(
+    "skew_latest_per_key",
+    f"""SELECT k, l_orderkey, l_linenumber, l_shipdate FROM (
+          SELECT *, {HOT_KEY_SQL} AS k,
+                 row_number() OVER (PARTITION BY {HOT_KEY_SQL}
+                                    ORDER BY l_shipdate DESC, l_orderkey DESC, l_linenumber DESC) AS rn
+          FROM lineitem) WHERE rn = 1""",
+    ("L-01", "W-01", "X-05"),
+)
+def q_skew_latest(spark, d):
+    """Latest row per key when one key holds a third of the table: the partial window limit
+    keeps one row per map task for it before the shuffle."""
+    li = skewed_lineitem(spark, d)
+    return latest_per_key(li, ["k"], ["l_shipdate"], ["l_orderkey", "l_linenumber"]).select("k", "l_orderkey", "l_linenumber", "l_shipdate")
+
+
+@proof(
+    "skew_salted_join",
+    f"""SELECT p_brand, count(*) AS n, CAST(sum(l_quantity) AS BIGINT) AS qty
+        FROM (SELECT {HOT_KEY_SQL} AS k, l_quantity FROM lineitem) li JOIN part ON li.k = part.p_partkey
+        GROUP BY p_brand""",
+    ("X-05", "J-01"),
+)
+def q_skew_salted_join(spark, d):
+    """Shuffle join whose hot key is split over 16 salts (forced: ``part`` would fit a broadcast)."""
+    li = skewed_lineitem(spark, d).select("k", "l_quantity", "l_orderkey", "l_linenumber")
+    part = table(spark, d, "part").select(F.col("p_partkey").alias("k"), "p_brand")
+    j = salted_join(li, part, ["k"], salt_buckets=16, salt_cols=["l_orderkey", "l_linenumber"], max_broadcast_rows=0)
+    return j.groupBy("p_brand").agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").cast("long").alias("qty"))
