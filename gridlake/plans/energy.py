@@ -232,10 +232,9 @@ def run(spark: SparkSession, landing: str, warehouse: str, allow_fanout: bool =
     out["silver.meteo_clean"] = publish(silver_weather(spark, p), "silver.meteo_clean", p.wh("tables"))
     out["silver.communes"] = publish(silver_communes(spark, p), "silver.communes", p.wh("tables"))
     out["silver.eco2mix_clean"] = publish(silver_grid(api), "silver.eco2mix_clean", p.wh("tables"))
-    good_path, bad_path = route_write(silver_housing_flagged(housing), p.wh("silver/dpe"))
-    good = spark.read.parquet(good_path).drop("_dq_reasons")
+    good, bad = route_write(silver_housing_flagged(housing), p.wh("silver/dpe"))
     out["silver.dpe_clean"] = publish(good, "silver.dpe_clean", p.wh("tables"))
-    out["silver.dpe_quarantine"] = publish(spark.read.parquet(bad_path), "silver.dpe_quarantine", p.wh("tables"))
+    out["silver.dpe_quarantine"] = publish(bad, "silver.dpe_quarantine", p.wh("tables"))
     communes = spark.table("silver.communes")
     out["gold.renovation_priority"] = publish(
         gold_renovation_priority(spark.table("silver.dpe_clean"), communes, allow_fanout), "gold.renovation_priority", p.wh("tables")

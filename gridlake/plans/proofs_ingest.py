@@ -323,8 +323,8 @@ def q_publish(spark: SparkSession, d: str) -> DataFrame:
 def q_route_write(spark: SparkSession, d: str) -> DataFrame:
     path = scratch_path(spark, "silver-orders")
     good, bad = route_write(silver_flagged(raw_orders(spark, d), SILVER_SPEC), path)
-    g = spark.read.parquet(good).select("o_orderkey", F.lit(False).alias("quarantined"))
-    b = spark.read.parquet(bad).select("o_orderkey", F.lit(True).alias("quarantined"))
+    g = good.select("o_orderkey", F.lit(False).alias("quarantined"))
+    b = bad.select("o_orderkey", F.lit(True).alias("quarantined"))
     return g.unionByName(b)
 
 

@@ -17,8 +17,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from gridlake.operators.quarantine import QUARANTINED
+from gridlake.operators.quarantine import QUARANTINED, REASONS
 
 BATCH_COL = "ingest_batch"
 
@@ -75,17 +76,25 @@ def read_batches(spark: SparkSession, target: str) -> DataFrame:
     return spark.read.option("mergeSchema", True).parquet(target)
 
 
-def route_write(flagged: DataFrame, path: str, flag_col: str = QUARANTINED) -> tuple[str, str]:
+def route_write(flagged: DataFrame, path: str, flag_col: str = QUARANTINED) -> tuple[DataFrame, DataFrame]:
     """Write good and quarantined rows in **one** job (K-08): a dataset partitioned by the flag.
 
-    Returns the (good, quarantine) folder paths. The upstream plan (dedup
-    shuffle included) runs once, and nothing is cached on executors.
+    Returns (good, quarantine) as DataFrames reading the written dataset: the
+    flag filter prunes to one folder, and the declared schema makes a side
+    with no rows (no folder) read as empty instead of failing. The upstream
+    plan (dedup shuffle included) runs once, and nothing is cached on
+    executors.
     """
     # Folders starting with "_" are hidden from Spark's partition discovery.
     part = flag_col.lstrip("_") or "quarantined"
-    flagged.withColumnRenamed(flag_col, part).write.mode("overwrite").partitionBy(part).parquet(path)
-    base = path.rstrip("/")
-    return f"{base}/{part}=false", f"{base}/{part}=true"
+    routed = flagged.withColumnRenamed(flag_col, part)
+    routed.write.mode("overwrite").partitionBy(part).parquet(path)
+    data_cols = [f for f in routed.schema.fields if f.name != part]
+    schema = T.StructType(data_cols + [T.StructField(part, T.BooleanType(), True)])
+    stored = flagged.sparkSession.read.schema(schema).parquet(path)
+    good = stored.filter(~F.col(part)).drop(part, REASONS)
+    bad = stored.filter(F.col(part)).drop(part)
+    return good, bad
 
 
 def replace_periods(df: DataFrame, path: str, period_col: str) -> None:

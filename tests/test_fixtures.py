@@ -295,3 +295,13 @@ def test_run_until_drained_restarts_once_on_listed_error():
     starts.clear()
     with pytest.raises(RuntimeError):
         run_until_drained(start, retries=1, retry_on=lambda e: False)
+
+
+def test_route_write_with_an_empty_side(spark, tmp_root):
+    from gridlake.operators.quarantine import flag
+    from gridlake.sinks import route_write
+
+    df = spark.createDataFrame([(1, 5.0), (2, 6.0)], "id int, s double")
+    good, bad = route_write(flag(df, {"surface": "s > 0"}), f"{tmp_root}/routed")
+    assert sorted(r["id"] for r in good.collect()) == [1, 2]
+    assert bad.count() == 0 and "_dq_reasons" in bad.columns
