@@ -305,3 +305,13 @@ def test_route_write_with_an_empty_side(spark, tmp_root):
     good, bad = route_write(flag(df, {"surface": "s > 0"}), f"{tmp_root}/routed")
     assert sorted(r["id"] for r in good.collect()) == [1, 2]
     assert bad.count() == 0 and "_dq_reasons" in bad.columns
+
+
+def test_time_bucket_join_with_same_key_names(spark):
+    fine = spark.createDataFrame([("R", "2024-01-01 10:15:00", 1.0), ("R", "2024-01-01 11:45:00", 2.0)], "region string, ts string, v double")
+    fine = fine.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    coarse = spark.createDataFrame([("R", "2024-01-01 10:00:00", 7.0)], "region string, hour string, t double")
+    coarse = coarse.withColumn("hour", F.col("hour").cast("timestamp_ntz"))
+    j = join_on_time_bucket(fine, coarse, ["region"], ["region"], "ts", "hour")
+    assert j.columns.count("region") == 1
+    assert [(r["region"], r["v"], r["t"]) for r in j.collect()] == [("R", 1.0, 7.0)]
