@@ -216,11 +216,19 @@ def skew_report(dpe_clean: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------- orchestration
 
 
-def run(spark: SparkSession, landing: str, warehouse: str, allow_fanout: bool = False) -> dict[str, str]:
+def run(
+    spark: SparkSession,
+    landing: str,
+    warehouse: str,
+    allow_fanout: bool = False,
+    incremental_grid: bool = False,
+) -> dict[str, str]:
     """Build bronze → silver → gold; returns table name → version path.
 
     Every table is published as a new version (readers never see a half
     rewrite); silver good/quarantine come from one routed write.
+    ``incremental_grid`` maintains the silver grid by partition upserts per
+    micro-batch of pulls (T-01) instead of a full latest-wins pass.
     """
     p = Paths(landing, warehouse)
     out: dict[str, str] = {}
@@ -231,7 +239,8 @@ def run(spark: SparkSession, landing: str, warehouse: str, allow_fanout: bool =
     out["bronze.enedis_raw"] = publish(bronze_consumption(spark, p), "bronze.enedis_raw", p.wh("tables"))
     out["silver.meteo_clean"] = publish(silver_weather(spark, p), "silver.meteo_clean", p.wh("tables"))
     out["silver.communes"] = publish(silver_communes(spark, p), "silver.communes", p.wh("tables"))
-    out["silver.eco2mix_clean"] = publish(silver_grid(api), "silver.eco2mix_clean", p.wh("tables"))
+    grid = silver_grid_incremental(spark, p).drop("day") if incremental_grid else silver_grid(api)
+    out["silver.eco2mix_clean"] = publish(grid, "silver.eco2mix_clean", p.wh("tables"))
     good, bad = route_write(silver_housing_flagged(housing), p.wh("silver/dpe"))
     out["silver.dpe_clean"] = publish(good, "silver.dpe_clean", p.wh("tables"))
     out["silver.dpe_quarantine"] = publish(bad, "silver.dpe_quarantine", p.wh("tables"))
@@ -290,9 +299,10 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--landing", required=True)
     ap.add_argument("--warehouse", required=True)
     ap.add_argument("--allow-fanout", action="store_true", help="join colliding commune codes as the original did")
+    ap.add_argument("--incremental-grid", action="store_true", help="upsert the silver grid per micro-batch of pulls")
     a = ap.parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
-    for name, path in run(spark, a.landing, a.warehouse, a.allow_fanout).items():
+    for name, path in run(spark, a.landing, a.warehouse, a.allow_fanout, a.incremental_grid).items():
         print(name, path)
 
 

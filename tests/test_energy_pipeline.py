@@ -135,3 +135,13 @@ def test_energy_pipeline_end_to_end(spark, tmp_root):
     assert pr["zordered"]["files_touched"] <= pr["no_zorder"]["files_touched"]
     assert pr["zordered"]["rows_touched"] == pr["no_zorder"]["rows_touched"] == 21 + 3
     assert {r["table"] for r in opt["stats_after"].collect()} == {"silver.dpe_clean", "silver.meteo_clean", "silver.communes", "gold.renovation_priority"}
+
+
+def test_energy_incremental_grid_equals_batch(spark, tmp_root):
+    landing = f"{tmp_root}/landing"
+    build_landing(spark, landing)
+    energy.run(spark, landing, f"{tmp_root}/wh_batch")
+    batch = {r["date_heure"]: r["consommation"] for r in spark.table("silver.eco2mix_clean").collect()}
+    energy.run(spark, landing, f"{tmp_root}/wh_inc", incremental_grid=True)
+    inc = {r["date_heure"]: r["consommation"] for r in spark.table("silver.eco2mix_clean").collect()}
+    assert inc == batch and len(inc) == 3
