@@ -43,7 +43,9 @@ def publish(
     """Full-refresh publish (K-04/K-05, CTAS equivalent): write a new version, swap the table location.
 
     Safe when ``df`` reads the table being replaced (the old files stay until
-    the swap). Returns the version path.
+    the swap). A partitioned table gets its definition recreated on the new
+    version (partitions recovered), since partition entries would otherwise
+    keep pointing at the old version. Returns the version path.
     """
     spark = df.sparkSession
     path = new_version_path(base, name)
@@ -54,13 +56,18 @@ def publish(
     w.parquet(path)
     if "." in name:
         ensure_schema(spark, name.split(".")[0])
-    if spark.catalog.tableExists(name):
+    exists = spark.catalog.tableExists(name)
+    if exists and not partition_by:
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
         spark.sql(f"REFRESH TABLE {name}")
-    else:
-        spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
-        if partition_by:
-            spark.sql(f"MSCK REPAIR TABLE {name}")
+        return path
+    if exists:
+        # Partition entries keep their own folders, so a location swap would still
+        # read the old version's partitions: recreate the (external) definition.
+        spark.sql(f"DROP TABLE {name}")
+    spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
+    if partition_by:
+        spark.sql(f"MSCK REPAIR TABLE {name}")
     return path
 
 

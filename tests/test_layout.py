@@ -46,3 +46,12 @@ def test_optimize_swaps_version_and_keeps_content(spark, tmp_root):
     assert first != second
     assert rows(spark.table(name)) == rows(li)
     assert table_stats(spark, {"v": second}).first()["num_files"] == 1
+
+
+def test_republish_partitioned_table_reads_only_new_version(spark, tmp_root):
+    name = "gridlake_test.partitioned_pub"
+    df = spark.range(100).selectExpr("id", "id % 4 AS p")
+    publish(df, name, f"{tmp_root}/wh", partition_by=["p"])
+    assert spark.table(name).count() == 100
+    publish(spark.table(name).filter("id < 10"), name, f"{tmp_root}/wh", partition_by=["p"])
+    assert sorted(r["id"] for r in spark.table(name).collect()) == list(range(10))
