@@ -52,6 +52,8 @@ def reasons_column(rules: Sequence[Rule] | Mapping[str, Column | str]) -> Column
         parts.append(
             F.when(p.isNull(), F.lit(r.when_null or r.name)).when(~p, F.lit(r.name))
         )
+    if not parts:
+        return F.array().cast("array<string>")
     return F.array_compact(F.array(*parts))
 
 

@@ -22,7 +22,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from gridlake.sinks import write_batch
 from gridlake.sources.batch import SOURCE_FILE, with_audit
-from gridlake.sources.drift import SchemaLog, read_csv_drifting
+from gridlake.sources.drift import SchemaLog, probe_headers, read_csv_drifting
 from gridlake.sources.rescue import cast_with_rescue
 
 
@@ -124,17 +124,19 @@ def ingest_drifting_csv(
 
     def batch(paths_df: DataFrame, batch_id: int) -> None:
         # Only file names reach the driver, bounded by maxFilesPerTrigger.
-        paths = [r["path"] for r in paths_df.collect()]
+        paths = sorted(r["path"] for r in paths_df.collect())
+        headers_by_file = probe_headers(spark, paths, sep)
+        paths = [p for p in paths if headers_by_file[p]]  # zero-byte / header-less files carry no rows
         if not paths:
             return
-        raw, headers = read_csv_drifting(spark, sorted(paths), sep)
+        raw, headers = read_csv_drifting(spark, paths, sep, headers=headers_by_file)
         seen: list[str] = []
         for h in headers:
             seen += [c for c in h if c not in seen]
         typed = cast_with_rescue(raw, contract, rescue_unknown=rescue_unknown, keep=(SOURCE_FILE,))
         out = with_audit(typed, source_col=SOURCE_FILE, period_col="_extract_week" if period_pattern else None, period_pattern=period_pattern or "")
         new_cols = [c for c in seen if c not in contract.fieldNames() and c != "_corrupt_record"]
-        log.record(batch_id, contract.fieldNames() + new_cols, sorted(paths)[0], out.schema.json())
+        log.record(batch_id, contract.fieldNames() + new_cols, paths[0], out.schema.json())
         write_batch(out, target_dir, batch_id)
 
     files = discover_files(spark, source_dir, glob, max_files_per_trigger)

@@ -55,7 +55,11 @@ def upsert_latest(
         # Partition pruning: the touched partition values (a handful per batch) become a literal
         # IN list — metadata, not data — so only those folders of the target are listed and read.
         touched = [r[0] for r in batch.select(partition_col).distinct().collect()]
-        existing = spark.read.parquet(target).filter(F.col(partition_col).isin(touched)).select(*cols)
+        values = [v for v in touched if v is not None]
+        in_touched = F.col(partition_col).isin(values) if values else F.lit(False)
+        if len(values) < len(touched):  # the NULL partition is touched too
+            in_touched = in_touched | F.col(partition_col).isNull()
+        existing = spark.read.parquet(target).filter(in_touched).select(*cols)
         merged = latest_per_key(existing.unionByName(batch), keys, order_by, tie_breakers)
         stage = scratch_path(spark, "upsert-stage")
         merged.write.mode("overwrite").partitionBy(partition_col).parquet(stage)

@@ -315,3 +315,30 @@ def test_time_bucket_join_with_same_key_names(spark):
     j = join_on_time_bucket(fine, coarse, ["region"], ["region"], "ts", "hour")
     assert j.columns.count("region") == 1
     assert [(r["region"], r["v"], r["t"]) for r in j.collect()] == [("R", 1.0, 7.0)]
+
+
+def test_drift_stream_skips_empty_files(spark, tmp_root):
+    land = f"{tmp_root}/land"
+    write_text(f"{land}/2024-W47/empty.csv", "")
+    write_text(f"{land}/2024-W47/e.csv", "k,a\n1,x\n")
+    ingest_drifting_csv(spark, land, f"{tmp_root}/b", f"{tmp_root}/_c", C.schema(("k", C.L), ("a", C.S)), f"{tmp_root}/_log")
+    assert [r["k"] for r in spark.read.parquet(f"{tmp_root}/b").collect()] == [1]
+
+
+def test_upsert_keeps_null_partition_rows(spark, tmp_root):
+    from gridlake.streaming.latest import upsert_latest
+
+    schema = "k int, v int, day string"
+    target = f"{tmp_root}/t"
+    upsert_latest(spark.createDataFrame([(1, 1, None), (2, 1, "d1")], schema), target, ["k"], ["v"], None, "day")
+    upsert_latest(spark.createDataFrame([(3, 1, None), (2, 2, "d1")], schema), target, ["k"], ["v"], None, "day")
+    got = sorted((r["k"], r["v"]) for r in spark.read.parquet(target).collect())
+    assert got == [(1, 1), (2, 2), (3, 1)]
+
+
+def test_flag_without_rules_is_writable(spark, tmp_root):
+    from gridlake.operators.quarantine import flag
+
+    f = flag(spark.createDataFrame([(1,)], "id int"), [])
+    f.write.parquet(f"{tmp_root}/norules")
+    assert spark.read.parquet(f"{tmp_root}/norules").first()["_quarantined"] is False
