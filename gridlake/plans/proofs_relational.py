@@ -598,7 +598,7 @@ def event_envelopes(spark: SparkSession, d: str) -> DataFrame:
     array of record structs and a ``pull_ts`` (latest instant in the envelope). Blocks
     bound every envelope to 16 records whatever the data size."""
     ev = table(spark, d, "events")
-    return ev.groupBy(F.to_date("ts").alias("day"), F.floor(F.col("event_id") / 16).alias("block")).agg(
+    return ev.groupBy(F.to_date("ts").alias("day"), F.expr("event_id div 16").alias("block")).agg(
         F.max("ts").alias("pull_ts"),
         F.collect_list(F.struct("event_id", "ts", "user_id", "event_type", "value")).alias("records"),
     )
