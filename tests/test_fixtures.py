@@ -342,3 +342,20 @@ def test_flag_without_rules_is_writable(spark, tmp_root):
     f = flag(spark.createDataFrame([(1,)], "id int"), [])
     f.write.parquet(f"{tmp_root}/norules")
     assert spark.read.parquet(f"{tmp_root}/norules").first()["_quarantined"] is False
+
+
+def test_dq_metrics_approx_distinct_close_to_exact(spark):
+    from gridlake.plans.tables import table
+    from tests.conftest import SF_SMALL
+
+    o = table(spark, SF_SMALL, "orders")
+    from gridlake.operators.quarantine import Rule
+
+    rules = [Rule("high", "o_orderpriority <> '1-URGENT'")]
+    exact = {r["o_orderstatus"]: r for r in agg.dq_metrics(o, ["o_orderstatus"], key="o_custkey", rules=rules).collect()}
+    approx = {r["o_orderstatus"]: r for r in agg.dq_metrics(o, ["o_orderstatus"], key="o_custkey", rules=rules, approx_distinct=True).collect()}
+    assert exact.keys() == approx.keys()
+    for k, e in exact.items():
+        a = approx[k]
+        assert (a["n_rows"], a["high"]) == (e["n_rows"], e["high"])
+        assert abs(a["dup_or_rediag"] - e["dup_or_rediag"]) <= max(3, 0.05 * e["n_rows"])
