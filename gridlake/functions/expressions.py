@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 
 def as_column(c: str | Column) -> Column:
+    """A column name or a ``Column``, as a ``Column``."""
     return F.col(c) if isinstance(c, str) else c
 
 
@@ -113,6 +114,7 @@ def time_bucket(
 
 
 def hour_bucket(ts: str | Column, source_tz: str | None = None, target_tz: str = "UTC", is_local: bool = False) -> Column:
+    """:func:`time_bucket` at hour grain (the reference's hour join key)."""
     return time_bucket(ts, "hour", source_tz, target_tz, is_local)
 
 
