@@ -7,16 +7,31 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import tables
+from .minhash_dedup import near_duplicates
+from .ppm_language import held_out, predict, train
 from .quality_lines import clean_lines
 
 
+def op5_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = tables(spark, sf_dir, "documents")
+    model = train(docs.filter(~held_out(F.col("doc_id"))))
+    out = predict(docs, model, carry=["doc_id"])
+    return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def op7_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_lines(tables(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_failed_lines"
     )
 
 
+def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(tables(spark, sf_dir, "documents"), width=4, percent=80)
+
+
 QUERIES = {
+    "op5_ppm_language": op5_ppm_language,
+    "op3_minhash_dedup": op3_minhash_dedup,
     "op7_line_quality": op7_line_quality,
 }
 
