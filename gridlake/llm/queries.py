@@ -10,6 +10,7 @@ from .common import tables
 from .minhash_dedup import near_duplicates
 from .ppm_language import held_out, predict, train
 from .quality_lines import clean_lines
+from .semantic_decontam import contaminated
 
 
 def op5_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +20,11 @@ def op5_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op1_semantic_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contaminated(tables(spark, sf_dir, "documents"), tables(spark, sf_dir, "benchmark"))
+    return found.withColumnsRenamed({"id": "doc_id", "item": "item_id"})
+
+
 def op7_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_lines(tables(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_failed_lines"
@@ -30,6 +36,7 @@ def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_semantic_decontam": op1_semantic_decontam,
     "op5_ppm_language": op5_ppm_language,
     "op3_minhash_dedup": op3_minhash_dedup,
     "op7_line_quality": op7_line_quality,

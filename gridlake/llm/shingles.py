@@ -27,9 +27,12 @@ def _tables() -> tuple[np.ndarray, np.ndarray]:
 _SPACE, _CODE = _tables()
 
 
-def word_spans(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end bytes of all words, and the first word of each document (with the total at the end)."""
-    solid = ~_SPACE[buf]
+def word_spans(buf: np.ndarray, offs: np.ndarray, space: np.ndarray = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end bytes of all words, and the first word of each document (with the total at the end).
+
+    ``space`` marks the bytes that stand between words (default: ASCII white space).
+    """
+    solid = ~(_SPACE if space is None else space)[buf]
     n = len(buf)
     begins, ends = solid.copy(), solid.copy()
     if n:
