@@ -7,10 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import tables
+from .best_fit_pack import cut_pieces, place
 from .minhash_dedup import near_duplicates
 from .ppm_language import held_out, predict, train
 from .quality_lines import clean_lines
 from .semantic_decontam import contaminated
+from .token_transducer import count_tokens
 
 
 def op5_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,11 +33,24 @@ def op7_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_best_fit_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = cut_pieces(tables(spark, sf_dir, "documents"))
+    placed = place(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+    return placed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
 def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(tables(spark, sf_dir, "documents"), width=4, percent=80)
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = count_tokens(tables(spark, sf_dir, "documents"), carry=["doc_id"])
+    return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
+
+
 QUERIES = {
+    "op2_best_fit_pack": op2_best_fit_pack,
+    "op9_token_counts": op9_token_counts,
     "op1_semantic_decontam": op1_semantic_decontam,
     "op5_ppm_language": op5_ppm_language,
     "op3_minhash_dedup": op3_minhash_dedup,
