@@ -9,6 +9,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import gridlake
 from gridlake.session import scratch_path
@@ -19,6 +20,7 @@ cloudpickle.register_pickle_by_value(gridlake)
 #: Upper bounds of one numpy block inside a task (a single longer text is a block of its own).
 BLOCK_BYTES = 1 << 20
 BLOCK_DOCS = 2000
+MAX_BROADCAST_IDS = 2_000_000
 
 
 def materialize(df: DataFrame, tag: str) -> DataFrame:
@@ -29,6 +31,12 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def sized(ids: DataFrame) -> DataFrame:
+    """A written table of ids, marked for a broadcast if it has at most MAX_BROADCAST_IDS rows (8 bytes each); a
+    larger one is joined by a shuffle."""
+    return F.broadcast(ids) if ids.count() <= MAX_BROADCAST_IDS else ids
+
+
 def tables(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -27,14 +27,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, materialize, text_bytes
+from .common import blocks, materialize, sized, text_bytes
 from .graph import components
 from .shingles import U, mix, shingle_sets
 
 BANDS, ROWS = 64, 8
 BINS = BANDS * ROWS
-#: Candidate ids up to this number are broadcast (8 bytes each) to pick their texts in the scan; beyond it, a shuffled join does.
-MAX_BROADCAST_IDS = 2_000_000
 
 
 def sketch(elems: np.ndarray, first: np.ndarray, bins: int = BINS) -> np.ndarray:
@@ -176,8 +174,7 @@ def _size_bound(pairs: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
 def _verify(src: DataFrame, pairs: DataFrame, width: int, percent: int, tag: str) -> DataFrame:
     """Pairs that hold on full shingle sets. Only texts of ids in ``pairs`` are shingled again and shuffled."""
     ids = materialize(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), f"{tag}-ids")
-    wanted = F.broadcast(ids) if ids.count() <= MAX_BROADCAST_IDS else ids
-    texts = src.join(wanted, "id", "left_semi")
+    texts = src.join(sized(ids), "id", "left_semi")
     sets = materialize(texts.mapInArrow(_set_batches(width), "id long, elems array<long>"), f"{tag}-sets")
     sets = sets.groupBy("id").agg(F.first("elems").alias("elems")) if _repeats(sets) else sets
     left = sets.select(F.col("id").alias("a"), F.col("elems").alias("ea"))

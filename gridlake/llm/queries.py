@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from .common import tables
 from .best_fit_pack import cut_pieces, place
+from .kd_shards import kd_shards
 from .minhash_dedup import near_duplicates
 from .ppm_language import held_out, predict, train
 from .quality_lines import clean_lines
@@ -15,6 +16,13 @@ from .semantic_decontam import contaminated
 from .token_transducer import count_tokens
 
 
+def op4_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = kd_shards(tables(spark, sf_dir, "documents").select("doc_id", "text"), shards=8)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
 def op5_ppm_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = tables(spark, sf_dir, "documents")
     model = train(docs.filter(~held_out(F.col("doc_id"))))
@@ -49,6 +57,7 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op4_kd_shards": op4_kd_shards,
     "op2_best_fit_pack": op2_best_fit_pack,
     "op9_token_counts": op9_token_counts,
     "op1_semantic_decontam": op1_semantic_decontam,
