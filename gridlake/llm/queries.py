@@ -14,6 +14,7 @@ from .ppm_language import held_out, predict, train
 from .quality_lines import clean_lines
 from .semantic_decontam import contaminated
 from .token_transducer import count_tokens
+from .zip_warc import read_packages, write_packages
 
 
 def op4_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,7 +57,13 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
 
 
+def op10_zip_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = read_packages(write_packages(tables(spark, sf_dir, "pages"), min_revisit_bytes=0))
+    return records.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES = {
+    "op10_zip_warc": op10_zip_warc,
     "op4_kd_shards": op4_kd_shards,
     "op2_best_fit_pack": op2_best_fit_pack,
     "op9_token_counts": op9_token_counts,
