@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 from .common import tables
 from .best_fit_pack import cut_pieces, place
 from .kd_shards import kd_shards
+from .license_dice import scan
 from .minhash_dedup import near_duplicates
 from .ppm_language import held_out, predict, train
 from .quality_lines import clean_lines
+from .quote_threads import threads
 from .semantic_decontam import contaminated
 from .token_transducer import count_tokens
 from .zip_warc import read_packages, write_packages
@@ -36,6 +38,10 @@ def op1_semantic_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnsRenamed({"id": "doc_id", "item": "item_id"})
 
 
+def op6_license_dice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(tables(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op7_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_lines(tables(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "n_failed_lines"
@@ -52,6 +58,25 @@ def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(tables(spark, sf_dir, "documents"), width=4, percent=80)
 
 
+def quoted_messages(conversations: DataFrame) -> DataFrame:
+    """Mail-like messages from the turns: each quotes the turn before it, and one level deeper the turn before that."""
+    turns = conversations.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"))
+    quote = lambda c, mark: F.concat(F.lit(mark), F.replace(F.col(c), F.lit("\n"), F.lit("\n" + mark)), F.lit("\n"))
+    earlier = lambda k, name: turns.select("conv_id", (F.col("turn") + k).alias("turn"), F.col("text").alias(name))
+    both = turns.join(earlier(1, "one"), ["conv_id", "turn"], "left").join(earlier(2, "two"), ["conv_id", "turn"], "left")
+    body = F.concat(F.coalesce(quote("two", ">> "), F.lit("")), F.coalesce(quote("one", "> "), F.lit("")), "text")
+    return both.select("conv_id", "turn", "role", body.alias("body"))
+
+
+def op8_quote_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    messages = quoted_messages(tables(spark, sf_dir, "conversations"))
+    linked = threads(messages, "turn", "body", scope_col="conv_id")
+    return linked.select(
+        F.col("scope").cast("long").alias("conv_id"), F.col("id").alias("turn"), F.col("parent").alias("parent_turn"),
+        F.col("root").alias("root_turn"), "depth", "position", "text",
+    )
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = count_tokens(tables(spark, sf_dir, "documents"), carry=["doc_id"])
     return counted.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit"))
@@ -63,6 +88,8 @@ def op10_zip_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op6_license_dice": op6_license_dice,
+    "op8_quote_threads": op8_quote_threads,
     "op10_zip_warc": op10_zip_warc,
     "op4_kd_shards": op4_kd_shards,
     "op2_best_fit_pack": op2_best_fit_pack,
