@@ -10,8 +10,9 @@ Plan. One pass over the texts writes per document the set size, a 128-bit finger
 band hashes. Documents with one fingerprint form a class (similarity 1); classes go on with their smallest id.
 Bands of class representatives meet in buckets. A bucket is not expanded into pairs: its members are verified
 against one centre, and the links found are contracted. Only members that are then still in different components
-of one bucket meet again: first at another centre, at last in all pairs across the components. So no link
-between two candidates is lost unless both are connected anyhow. Links are confirmed on full shingle sets.
+of one bucket meet again: first at another centre, at last in all pairs across the components, less those that can't
+reach the similarity because too many of their shingles stand in no other open document. So no link between two
+candidates is lost unless both are connected anyhow. Links are confirmed on full shingle sets.
 
 Recall: two sets of similarity s share a band with probability 1 - (1 - s^8)^64: 0.99999 at 0.8, more above.
 
@@ -141,9 +142,13 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         if turn == 2:  # another centre of each bucket, drawn by hash
             centre = named.groupBy("key").agg(F.min(F.struct(F.xxhash64("key", "id"), "id", "comp")).alias("c"))
             pairs = named.join(centre, "key").filter("comp <> c.comp").select("id", F.col("c.id").alias("other"))
-        else:  # all that is left across components
-            right = named.select("key", F.col("id").alias("other"), F.col("comp").alias("comp2"))
-            pairs = named.join(right, "key").filter("comp < comp2").select("id", "other")
+        else:  # all that is left across components and can reach the similarity at all
+            named = named.join(_shared(src, named, sizes, width), "id").filter(F.col("c") * 100 >= F.col("n") * percent)
+            right = named.select("key", *[F.col(x).alias(f"{x}2") for x in ("id", "comp", "n", "c", *_BITS)])
+            only = lambda x, y: sum(F.bit_count(F.col(f"{b}{x}").bitwiseAND(F.bitwise_not(f"{b}{y}"))) for b in _BITS)
+            most = F.least("c", "c2", F.col("n") - only("", "2"), F.col("n2") - only("2", ""))
+            near = (F.col("comp") < F.col("comp2")) & (most * 100 >= (F.col("n") + F.col("n2") - most) * percent)
+            pairs = named.join(right, ["key"]).filter(near).select("id", F.col("id2").alias("other"))
         pairs = pairs.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
         pairs = materialize(_size_bound(pairs, sizes, percent).join(tested, ["a", "b"], "left_anti"), f"pairs{turn}")
         if pairs.isEmpty():
@@ -164,6 +169,44 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     )
 
 
+def _shared(src: DataFrame, named: DataFrame, sizes: DataFrame, width: int) -> DataFrame:
+    """``(id, n, c, bits)`` of the ids in ``named``: set size, how many of its shingles any other of these ids has too, and
+    a bitmap of its shingles.
+
+    A shingle of one document alone is in no intersection, so two documents share at most the smaller ``c``; and each bit that
+    only one of them has is a shingle that the other lacks. Both are bounds, never estimates.
+    """
+    ids = materialize(named.select("id").distinct(), "open-ids")
+    sets = materialize(src.join(sized(ids), "id", "left_semi").mapInArrow(_bit_batches(width), f"id long, elems array<long>, {', '.join(f'{b} long' for b in _BITS)}"), "open-sets")
+    elems = sets.select("id", F.explode("elems").alias("e")).repartition("e").distinct()
+    alone = elems.groupBy("e").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("k")).filter("k = 1").groupBy("id").agg(F.count(F.lit(1)).alias("u"))
+    bits = sets.groupBy("id").agg(*[F.first(b).alias(b) for b in _BITS])
+    n = sizes.join(ids, "id", "left_semi").join(alone, "id", "left").select("id", "n", (F.col("n") - F.coalesce("u", F.lit(0))).alias("c"))
+    return n.join(bits, "id")
+
+
+#: Columns of a bitmap of 1,024 bits.
+_BITS = tuple(f"bits{i}_" for i in range(16))
+
+
+def _bit_batches(width: int):
+    sets = _set_batches(width)
+
+    def run(batches):
+        for batch in sets(batches):
+            lists = batch.column(1)
+            first = lists.offsets.to_numpy()
+            elems = lists.values.to_numpy().view(U)
+            words = np.zeros((len(first) - 1) * len(_BITS), U)
+            slot = elems % U(64 * len(_BITS))
+            owner = np.repeat(np.arange(len(first) - 1), np.diff(first)) * len(_BITS) + (slot // U(64)).astype(np.int64)
+            np.bitwise_or.at(words, owner, U(1) << (slot % U(64)))
+            cols = words.view(np.int64).reshape(-1, len(_BITS))
+            yield pa.RecordBatch.from_arrays([batch.column(0), lists, *(pa.array(np.ascontiguousarray(cols[:, i])) for i in range(len(_BITS)))], names=["id", "elems", *_BITS])
+
+    return run
+
+
 def _size_bound(pairs: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     """Pairs whose set sizes allow the similarity: the intersection is at most the smaller set."""
     a = sizes.select(F.col("id").alias("a"), F.col("n").alias("na"))
