@@ -121,8 +121,6 @@ COMMUNES = Contract(
     keys=("code_commune",),
 )
 
-SECTORS = ("RESIDENTIEL", "TERTIAIRE", "INDUSTRIE", "AGRICULTURE")
-ENERGY_CLASSES = ("A", "B", "C", "D", "E", "F", "G")
 
 # --- the driver's test tables ----------------------------------------------------------------
 

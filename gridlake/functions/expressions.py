@@ -30,9 +30,8 @@ def total(predicate: str | Column) -> Column:
 
 
 def full_match(c: str | Column, pattern: str) -> Column:
-    """Whole-string regex match (anchors added when missing); NULL stays NULL."""
-    pat = pattern if pattern.startswith("^") else "^(?:" + pattern + ")$"
-    return as_column(c).rlike(pat)
+    """Whole-string regex match (both ends are anchored); NULL stays NULL."""
+    return as_column(c).rlike("^(?:" + pattern.removeprefix("^").removesuffix("$") + ")$")
 
 
 def normalise_enum_col(c: str | Column, case: str = "upper") -> Column:

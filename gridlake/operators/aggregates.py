@@ -200,7 +200,7 @@ def reconcile(
     latest-wins dedup removed. One row, one job (three aggregates unioned).
     """
     counts = (
-        bronze.agg(F.count(F.lit(1)).alias("v"), F.count_distinct(*[F.col(k) for k in keys]).alias("d"))
+        bronze.agg(F.count(F.lit(1)).alias("v"), F.count_distinct(F.struct(*[F.col(k) for k in keys])).alias("d"))
         .select(F.lit("bronze").alias("layer"), "v", "d")
         .unionByName(good.agg(F.count(F.lit(1)).alias("v")).select(F.lit("good").alias("layer"), "v", F.lit(0).cast("long").alias("d")))
         .unionByName(bad.agg(F.count(F.lit(1)).alias("v")).select(F.lit("bad").alias("layer"), "v", F.lit(0).cast("long").alias("d")))

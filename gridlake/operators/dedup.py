@@ -16,7 +16,7 @@ def _desc(c: str | Column) -> Column:
     return F.col(c).desc_nulls_last() if isinstance(c, str) else c
 
 
-def _orderable(df: DataFrame, exclude: Sequence[str]) -> list[str]:
+def orderable(df: DataFrame, exclude: Sequence[str]) -> list[str]:
     """Columns usable as a last-resort tie-break (maps are not orderable)."""
 
     def ok(t: T.DataType) -> bool:
@@ -52,7 +52,7 @@ def latest_per_key(
     """
     if tie_breakers is None:
         used = set(keys) | {c for c in order_by if isinstance(c, str)}
-        tie_breakers = _orderable(df, sorted(used))
+        tie_breakers = orderable(df, sorted(used))
     order = [_desc(c) for c in order_by] + [_desc(c) for c in tie_breakers]
     w = Window.partitionBy(*[as_column(k) for k in keys]).orderBy(*order)
     return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) == 1).drop(rank_col)

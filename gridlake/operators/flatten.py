@@ -35,21 +35,26 @@ def flatten_parallel_arrays(
     keep: Sequence[str] = (),
     names: Sequence[str] | None = None,
     position_col: str | None = None,
+    outer: bool = False,
 ) -> DataFrame:
     """Zip equally-indexed arrays and emit one row per index (``explode(arrays_zip(...))``).
 
     Arrays of unequal length are padded with NULL up to the longest one, as
-    ``arrays_zip`` does; ``names`` renames the zipped fields (default: the leaf
+    ``arrays_zip`` does, a NULL array with them; a row whose arrays are all empty or
+    NULL gives no row, or one of NULLs with ``outer``. ``names`` renames the zipped fields (default: the leaf
     name of each array path, e.g. ``hourly.time`` → ``time``).
     """
     keep = list(keep)
     leaf = [a.split(".")[-1] for a in arrays]
     out_names = list(names) if names else leaf
-    zipped = F.arrays_zip(*[F.col(a) for a in arrays])
+    # A NULL array counts as empty: it must not take its siblings' values with it.
+    zipped = F.arrays_zip(*[F.coalesce(F.col(a), F.array()).alias(l) for a, l in zip(arrays, leaf)])
     if position_col:
-        x = df.select(*keep, F.posexplode(zipped).alias(position_col, "_z"))
+        gen = F.posexplode_outer if outer else F.posexplode
+        x = df.select(*keep, gen(zipped).alias(position_col, "_z"))
         fixed = [position_col]
     else:
-        x = df.select(*keep, F.explode(zipped).alias("_z"))
+        gen = F.explode_outer if outer else F.explode
+        x = df.select(*keep, gen(zipped).alias("_z"))
         fixed = []
     return x.select(*keep, *fixed, *[F.col(f"_z.{l}").alias(n) for l, n in zip(leaf, out_names)])

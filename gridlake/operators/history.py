@@ -12,12 +12,14 @@ itself a tiny window per key. Rows never leave their slice.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridlake.functions.expressions import trunc_wall
+from gridlake.operators.dedup import orderable
 from gridlake.session import cut_lineage
 
 
@@ -25,6 +27,13 @@ def _ordered(ts: str, tie_breakers: Sequence[str]) -> list[Column]:
     return [F.col(ts).asc()] + [F.col(c).asc() for c in tie_breakers]
 
 
+def _left_null_safe(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Left join on columns that may be NULL on both sides."""
+    other = right.withColumnsRenamed({c: f"_r_{c}" for c in on})
+    cond = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in on])
+    return left.join(other, cond, "left").drop(*[f"_r_{c}" for c in on])
+
+
 def scd2(
     df: DataFrame,
     keys: Sequence[str],
@@ -54,6 +63,8 @@ def scd2(
     """
     keys = list(keys)
     state_cols = list(state_cols) if state_cols is not None else [c for c in df.columns if c not in set(keys) | {ts}]
+    if not tie_breakers:  # a total order, so that ties give the same versions on every run
+        tie_breakers = orderable(df, [*keys, ts])
     order = _ordered(ts, tie_breakers)
     state = F.struct(*[F.col(c) for c in state_cols])
     if slice_unit is None:
@@ -81,7 +92,7 @@ def scd2(
         wk = Window.partitionBy(*keys).orderBy("_slice")
         edges = base.filter(F.col("_rpos") == 1).select(*part, F.lag("_state").over(wk).alias("_edge_prev"))
         base = (
-            base.join(edges, part, "left")
+            _left_null_safe(base, edges, part)
             .withColumn("_prev", F.when(F.col("_pos") == 1, F.col("_edge_prev")).otherwise(F.col("_prev")))
             .filter(~F.col("_prev").eqNullSafe(F.col("_state")))
             .drop("_prev", "_pos", "_rpos", "_edge_prev", "_state")
@@ -95,7 +106,7 @@ def scd2(
     wk = Window.partitionBy(*keys).orderBy("_slice")
     nxt = firsts.select(*part, F.lead("_first").over(wk).alias("_next_first"))
     out = (
-        base.join(nxt, part, "left")
+        _left_null_safe(base, nxt, part)
         .withColumn(valid_to, F.coalesce(F.col(valid_to), F.col("_next_first")))
         .drop("_next_first", "_slice")
         .withColumnRenamed(ts, valid_from)

@@ -185,4 +185,5 @@ def optimize(
     n = target_file_count(spark, src, target_bytes)
     df = spark.read.parquet(src)
     out = cluster_by(df, cluster_cols, n, bits) if cluster_cols else df.coalesce(n)
-    return publish(out, name, base)
+    partitions = [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+    return publish(out, name, base, partition_by=partitions)

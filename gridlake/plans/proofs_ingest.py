@@ -16,6 +16,8 @@ from gridlake.functions.expressions import trunc_wall
 
 from gridlake import contracts as C
 from gridlake.functions.expressions import iso_week
+from gridlake.operators.flatten import flatten_envelope
+from gridlake.operators.layout import optimize
 from gridlake.plans import defects
 from gridlake.plans.marts import silver_flagged
 from gridlake.plans.proofs_relational import SILVER_SPEC, SILVER_SQL, event_envelopes, raw_orders
@@ -98,7 +100,6 @@ def q_ingest_json_batch(spark: SparkSession, d: str) -> DataFrame:
 )
 def q_ingest_json_nested(spark: SparkSession, d: str) -> DataFrame:
     """Nested envelopes written as JSON, read back with a declared nested schema, flattened."""
-    from gridlake.operators.flatten import flatten_envelope
 
     root = scratch_path(spark, "landing-envelopes")
     event_envelopes(spark, d).write.options(**TEXT_WRITE_OPTIONS).partitionBy("day").json(root)
@@ -213,9 +214,7 @@ def q_ingest_json_stream(spark: SparkSession, d: str) -> DataFrame:
     event_envelopes(spark, d).write.options(**TEXT_WRITE_OPTIONS).partitionBy("day").json(f"{base}/landing")
 
     def explode(df: DataFrame) -> DataFrame:
-        return df.select("pull_ts", F.explode("records").alias("r"), "_ingested_at", "_source_file").select(
-            "pull_ts", "r.*", "_ingested_at", "_source_file"
-        )
+        return flatten_envelope(df, "records", keep=("pull_ts", "_ingested_at", "_source_file"))
 
     ingest_stream(spark, f"{base}/landing", f"{base}/bronze", f"{base}/_ckpt", "json", C.EVENT_ENVELOPE, transform=explode, glob="*.json")
     return spark.read.parquet(f"{base}/bronze").select("pull_ts", "event_id", "ts", "user_id", "event_type", "value")
@@ -243,11 +242,11 @@ DRIFT_SQL = f"""SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_ord
 FROM orders"""
 
 
-def _drift_ingest(spark: SparkSession, d: str) -> str:
+def _drift_ingest(spark: SparkSession, d: str, files: int | None = 100) -> str:
     base = scratch_path(spark, "stream-drift")
     land_drifting_orders(spark, d, f"{base}/landing")
     ingest_drifting_csv(
-        spark, f"{base}/landing", f"{base}/bronze", f"{base}/_ckpt", C.ORDERS_V1, f"{base}/_schema_log", max_files_per_trigger=100
+        spark, f"{base}/landing", f"{base}/bronze", f"{base}/_ckpt", C.ORDERS_V1, f"{base}/_schema_log", max_files_per_trigger=files
     )
     return base
 
@@ -268,10 +267,26 @@ def q_drift_added(spark: SparkSession, d: str) -> DataFrame:
     return added_columns(SchemaLog(spark, f"{base}/_schema_log")).select("column_name")
 
 
-@proof("schema_versions", None, ("S-09",))
+@proof(
+    "drift_added_one_batch",
+    f"SELECT DISTINCT 'o_orderpriority' AS column_name FROM orders WHERE o_orderdate >= TIMESTAMP '{DRIFT_CUT}'",
+    ("E-08", "S-09", "S-10"),
+)
+def q_drift_added_one_batch(spark: SparkSession, d: str) -> DataFrame:
+    """Both header versions in one micro-batch: the log must be the same."""
+    base = _drift_ingest(spark, d, files=None)
+    return added_columns(SchemaLog(spark, f"{base}/_schema_log")).select("column_name")
+
+
+@proof(
+    "schema_versions",
+    f"""SELECT 1 AS version, '' AS added
+        UNION ALL SELECT DISTINCT 2, 'o_orderpriority' FROM orders WHERE o_orderdate >= TIMESTAMP '{DRIFT_CUT}'""",
+    ("S-09",),
+)
 def q_schema_versions(spark: SparkSession, d: str) -> DataFrame:
     base = _drift_ingest(spark, d)
-    return SchemaLog(spark, f"{base}/_schema_log").versions().select("version", "batch_id", "columns", "added", "schema_json")
+    return SchemaLog(spark, f"{base}/_schema_log").versions().select("version", F.array_join("added", ",").alias("added"))
 
 
 @proof(
@@ -315,6 +330,46 @@ def q_publish(spark: SparkSession, d: str) -> DataFrame:
     return spark.table(name)
 
 
+@proof(
+    "publish_schema_change",
+    "SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_regionkey FROM nation",
+    ("K-04", "K-05"),
+)
+def q_publish_schema_change(spark: SparkSession, d: str) -> DataFrame:
+    """Republish with an added, a dropped and a retyped column: the table shows the new columns."""
+    base = scratch_path(spark, "warehouse")
+    name = f"gridlake_proofs.nation_{uuid.uuid4().hex[:8]}"
+    nation = table(spark, d, "nation")
+    publish(nation.select("n_nationkey", "n_name"), name, base)
+    publish(nation.select(F.col("n_nationkey").cast("string").alias("n_nationkey"), "n_regionkey"), name, base)
+    return spark.table(name)
+
+
+@proof(
+    "optimize_partitioned",
+    "SELECT o_orderkey, o_orderstatus, true AS new_version FROM orders",
+    ("M-02", "X-06"),
+)
+def q_optimize_partitioned(spark: SparkSession, d: str) -> DataFrame:
+    """After ``optimize`` a partitioned table serves the new version's files, still partitioned."""
+    base = scratch_path(spark, "warehouse")
+    name = f"gridlake_proofs.parts_{uuid.uuid4().hex[:8]}"
+    publish(table(spark, d, "orders").select("o_orderkey", "o_orderstatus"), name, base, partition_by=["o_orderstatus"])
+    path = optimize(spark, name, base)
+    new = F.col("_metadata.file_path").contains(path.rsplit("/", 1)[-1])
+    return spark.table(name).select("o_orderkey", "o_orderstatus", new.alias("new_version"))
+
+
+@proof("route_write_rerun", "SELECT o_orderkey, false AS quarantined FROM orders", ("K-08", "G-07"))
+def q_route_write_rerun(spark: SparkSession, d: str) -> DataFrame:
+    """A second run without bad rows leaves none of the first run's in quarantine."""
+    path = f"{scratch_path(spark, 'routed')}/t"
+    rows = table(spark, d, "orders").select("o_orderkey", F.array().cast("array<string>").alias("_dq_reasons"))
+    route_write(rows.withColumn("_quarantined", F.col("o_orderkey") % 3 == 0), path)
+    good, bad = route_write(rows.withColumn("_quarantined", F.lit(False)), path)
+    return good.select("o_orderkey", F.lit(False).alias("quarantined")).unionByName(bad.select("o_orderkey", F.lit(True).alias("quarantined")))
+
+
 @proof(
     "route_write",
     SILVER_SQL + "SELECT o_orderkey, reasons <> '' AS quarantined FROM s",
@@ -385,7 +440,6 @@ def q_ingest_parallel_arrays(spark: SparkSession, d: str) -> DataFrame:
 def q_silver_latest_pull(spark: SparkSession, d: str) -> DataFrame:
     """Silver grid: API bronze (exploded pulls) → latest pull per (entity, instant)."""
     from gridlake.operators.dedup import latest_per_key
-    from gridlake.operators.flatten import flatten_envelope
 
     bronze = flatten_envelope(event_envelopes(spark, d), "records", keep=["pull_ts"]).withColumn(
         "hour", trunc_wall("ts", "hour")

@@ -31,7 +31,7 @@ SELECT event_type, hour, event_id, user_id, value FROM (
 WAVES, FILES_PER_WAVE = 4, 3
 
 
-def _land_event_files(spark: SparkSession, d: str, root: str) -> None:
+def _land_event_files(spark: SparkSession, d: str, root: str, newest_first: bool = False) -> None:
     """Events arriving in ``WAVES`` time-ordered deliveries of ``FILES_PER_WAVE`` files each.
 
     Ids grow with time, so id ranges are time ranges; wave edges cut through
@@ -42,7 +42,7 @@ def _land_event_files(spark: SparkSession, d: str, root: str) -> None:
     bounds = ev.agg(F.min("event_id").alias("lo"), F.max("event_id").alias("hi")).first()
     lo, hi = int(bounds["lo"]), int(bounds["hi"]) + 1
     step = max(1, -(-(hi - lo) // WAVES))
-    for w in range(WAVES):
+    for w in reversed(range(WAVES)) if newest_first else range(WAVES):
         a, b = lo + w * step, lo + (w + 1) * step
         part = ev.filter((F.col("event_id") >= a) & (F.col("event_id") < b))
         part.repartition(FILES_PER_WAVE).write.mode("append").parquet(root)
@@ -68,3 +68,13 @@ def q_latest_stream_state(spark: SparkSession, d: str) -> DataFrame:
     stream = _keyed(spark.readStream.schema(C.EVENTS.schema).option("maxFilesPerTrigger", FILES_PER_WAVE).parquet(f"{base}/landing"))
     latest_stream_state(stream, f"{base}/silver", f"{base}/_ckpt", "hour", ["event_type"], ["ts", "event_id"], "day", delay="2 days")
     return spark.read.parquet(f"{base}/silver").select("event_type", "hour", "event_id", "user_id", "value")
+
+
+@proof("latest_state_late", LATEST_SQL, ("T-02",))
+def q_latest_state_late(spark: SparkSession, d: str) -> DataFrame:
+    """Deliveries in reverse order of time, far later than the default delay: no row is lost."""
+    base = scratch_path(spark, "stream-late")
+    _land_event_files(spark, d, f"{base}/landing", newest_first=True)
+    stream = _keyed(spark.readStream.schema(C.EVENTS.schema).option("maxFilesPerTrigger", FILES_PER_WAVE).parquet(f"{base}/landing"))
+    latest_stream_state(stream, f"{base}/silver", f"{base}/_ckpt", "hour", ["event_type"], ["ts", "event_id"], "day")
+    return spark.read.parquet(f"{base}/silver").select("event_type", "hour", "event_id", "user_id", "value")

@@ -4,11 +4,14 @@ On a cluster the session is created by the platform; everything in this
 library only *reads* its configuration. The one location we need for our
 own files (landing copies in proofs, batch outputs of streams, lineage cuts)
 is derived from ``spark.checkpoint.dir``, which a cluster points at shared
-storage. Only when it is unset (local tests) do we create one ourselves.
+storage. Only where it is unset and the master is local (tests) do we create one
+ourselves; on a cluster an unset folder is an error, since a folder of one
+machine is invisible to the others.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -55,6 +58,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if current:
         # SparkContext appends a per-application UUID folder; keep our files beside it.
         return current.rstrip("/").rsplit("/", 1)[0]
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="gridlake-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     return local
@@ -70,3 +75,16 @@ def cut_lineage(df, eager: bool = True):
     """Reliable checkpoint (to shared storage) — survives executor loss, unlike localCheckpoint."""
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` holds visible files or folders (names that don't begin with ``_`` or ``.``); other errors are raised."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.exists(p) and any(s.getPath().getName()[0] not in "_." for s in fs.listStatus(p))
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Remove a scratch folder that this library made."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

@@ -43,9 +43,9 @@ def publish(
     """Full-refresh publish (K-04/K-05, CTAS equivalent): write a new version, swap the table location.
 
     Safe when ``df`` reads the table being replaced (the old files stay until
-    the swap). A partitioned table gets its definition recreated on the new
-    version (partitions recovered), since partition entries would otherwise
-    keep pointing at the old version. Returns the version path.
+    the swap). A partitioned table, or one whose columns, types or partitioning
+    change, gets its definition recreated on the new version (partitions
+    recovered). Returns the version path.
     """
     spark = df.sparkSession
     path = new_version_path(base, name)
@@ -57,13 +57,13 @@ def publish(
     if "." in name:
         ensure_schema(spark, name.split(".")[0])
     exists = spark.catalog.tableExists(name)
-    if exists and not partition_by:
+    if exists and not partition_by and _same_columns(spark, name, df):
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
         spark.sql(f"REFRESH TABLE {name}")
         return path
     if exists:
-        # Partition entries keep their own folders, so a location swap would still
-        # read the old version's partitions: recreate the (external) definition.
+        # Partition entries keep their own folders, and a definition keeps its columns:
+        # for these a swap of the location would serve the old ones. Recreate the (external) definition.
         spark.sql(f"DROP TABLE {name}")
     spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
     if partition_by:
@@ -71,6 +71,14 @@ def publish(
     return path
 
 
+def _same_columns(spark: SparkSession, name: str, df: DataFrame) -> bool:
+    """Whether the table is unpartitioned and has exactly the columns and types of ``df``."""
+    if any(c.isPartition for c in spark.catalog.listColumns(name)):
+        return False
+    plain = lambda s: [(f.name, f.dataType.simpleString()) for f in s.fields]
+    return plain(spark.table(name).schema) == plain(df.schema)
+
+
 def write_batch(df: DataFrame, target: str, batch_id: int) -> str:
     """Idempotent micro-batch output: ``target/ingest_batch=<id>`` overwritten on retry."""
     path = f"{target.rstrip('/')}/{BATCH_COL}={int(batch_id)}"
@@ -95,7 +103,8 @@ def route_write(flagged: DataFrame, path: str, flag_col: str = QUARANTINED) -> t
     # Folders starting with "_" are hidden from Spark's partition discovery.
     part = flag_col.lstrip("_") or "quarantined"
     routed = flagged.withColumnRenamed(flag_col, part)
-    routed.write.mode("overwrite").partitionBy(part).parquet(path)
+    # Static: a side without rows must not keep the rows of an earlier run, whatever the session says.
+    routed.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(part).parquet(path)
     data_cols = [f for f in routed.schema.fields if f.name != part]
     schema = T.StructType(data_cols + [T.StructField(part, T.BooleanType(), True)])
     stored = flagged.sparkSession.read.schema(schema).parquet(path)
@@ -113,7 +122,3 @@ def replace_periods(df: DataFrame, path: str, period_col: str) -> None:
         .partitionBy(period_col)
         .parquet(path)
     )
-
-
-def with_batch_id(df: DataFrame, batch_id: int) -> DataFrame:
-    return df.withColumn(BATCH_COL, F.lit(int(batch_id)).cast("long"))

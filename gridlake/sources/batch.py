@@ -55,22 +55,23 @@ def read_csv(
     glob: str | None = None,
     provenance: bool = True,
     options: dict[str, str] | None = None,
-    sampling_ratio: float | None = None,
 ) -> DataFrame:
     """Delimited text over a folder tree (or a list of files).
 
     Inference (the fallback when no schema is given) reads the whole input
-    once; ``sampling_ratio`` limits it to a sample of rows at scale.
+    once. With a declared schema a header that doesn't name its columns in order
+    is an error (``enforceSchema`` off), never a silent swap of values; files
+    whose headers differ are for ``read_csv_drifting``.
     """
     r = spark.read.option("header", header).option("sep", sep).option("recursiveFileLookup", recursive)
-    if sampling_ratio is not None:
-        r = r.option("samplingRatio", sampling_ratio)
     if glob:
         r = r.option("pathGlobFilter", glob)
     for k, v in (options or {}).items():
         r = r.option(k, v)
     if schema is not None:
         r = r.schema(schema)
+        if "enforceSchema" not in (options or {}):
+            r = r.option("enforceSchema", False)
     elif infer:
         r = r.option("inferSchema", True)
     df = r.csv(path if isinstance(path, str) else list(path))
@@ -79,7 +80,7 @@ def read_csv(
         fixed = T.StructType(
             [T.StructField(f.name, T.StringType(), True) if f.name in set(string_cols) else f for f in df.schema.fields]
         )
-        return read_csv(spark, path, fixed, sep, header, recursive, False, (), glob, provenance, options, None)
+        return read_csv(spark, path, fixed, sep, header, recursive, False, (), glob, provenance, options)
     return with_provenance(df) if provenance else df
 
 
@@ -91,16 +92,12 @@ def read_json(
     recursive: bool = True,
     glob: str | None = None,
     provenance: bool = True,
-    sampling_ratio: float | None = None,
 ) -> DataFrame:
     """JSON (one object per line, or one document per file with ``multiline``).
 
-    Without a schema the structure is inferred from the data (all of it, or a
-    ``sampling_ratio`` share).
+    Without a schema the structure is inferred from the data (all of it).
     """
     r = spark.read.option("multiLine", multiline).option("recursiveFileLookup", recursive)
-    if sampling_ratio is not None:
-        r = r.option("samplingRatio", sampling_ratio)
     if glob:
         r = r.option("pathGlobFilter", glob)
     if schema is not None:

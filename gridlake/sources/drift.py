@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from gridlake.session import path_exists
 from gridlake.sources.batch import SOURCE_FILE
 
 CORRUPT = "_corrupt_record"
@@ -162,21 +163,18 @@ class SchemaLog:
         return self._known
 
     def versions(self) -> DataFrame:
-        try:
-            df = self.spark.read.schema(self.SCHEMA).json(self.path)
-        except Exception:  # no log yet
+        if not path_exists(self.spark, self.path):
             empty = T.StructType([*self.SCHEMA.fields, T.StructField("version", T.IntegerType())])
             return self.spark.createDataFrame([], empty)
+        df = self.spark.read.schema(self.SCHEMA).json(self.path)
         first = df.groupBy("columns").agg(F.min("batch_id").alias("batch_id"))
         rows = df.join(first, ["columns", "batch_id"]).dropDuplicates(["columns", "batch_id"])
         from pyspark.sql import Window
 
-        return rows.withColumn("version", F.row_number().over(Window.orderBy("batch_id")))
+        return rows.withColumn("version", F.row_number().over(Window.orderBy("batch_id", F.size("columns"))))
 
     def current(self) -> list[str]:
-        try:
-            self.spark.read.schema(self.SCHEMA).json(self.path)
-        except Exception:  # no log yet: nothing known, no job needed
+        if not path_exists(self.spark, self.path):  # nothing known, no job needed
             return []
         r = self.versions().orderBy(F.col("version").desc()).select("columns").first()
         return list(r["columns"]) if r else []

@@ -40,14 +40,14 @@ def run_until_drained(
     start: Callable[[], StreamingQuery],
     retries: int = 1,
     retry_on: Callable[[Exception], bool] = lambda e: False,
-) -> None:
+) -> StreamingQuery:
     """Start, wait for completion, restart up to ``retries`` times on the listed errors (K-06)."""
     attempt = 0
     while True:
         q = start()
         try:
             q.awaitTermination()
-            return
+            return q
         except Exception as e:  # noqa: BLE001 - re-raised unless whitelisted
             if attempt < retries and retry_on(e):
                 attempt += 1
@@ -75,6 +75,9 @@ def ingest_stream(
         r = r.option("pathGlobFilter", glob)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    if fmt == "csv":
+        # A header that doesn't name the schema's columns in order is an error, never a silent swap of values.
+        r = r.option("enforceSchema", False)
     for k, v in (options or {}).items():
         r = r.option(k, v)
     df = r.load(source_dir)
@@ -130,13 +133,14 @@ def ingest_drifting_csv(
         if not paths:
             return
         raw, headers = read_csv_drifting(spark, paths, sep, headers=headers_by_file)
-        seen: list[str] = []
-        for h in headers:
-            seen += [c for c in h if c not in seen]
         typed = cast_with_rescue(raw, contract, rescue_unknown=rescue_unknown, keep=(SOURCE_FILE,))
         out = with_audit(typed, source_col=SOURCE_FILE, period_col="_extract_week" if period_pattern else None, period_pattern=period_pattern or "")
-        new_cols = [c for c in seen if c not in contract.fieldNames() and c != "_corrupt_record"]
-        log.record(batch_id, contract.fieldNames() + new_cols, paths[0], out.schema.json())
+        # One entry per header, in file order, against the contract: the log is the same for any batch size.
+        log.record(batch_id, contract.fieldNames(), paths[0], contract.json())
+        for header in headers:
+            new_cols = [c for c in header if c not in contract.fieldNames() and c != "_corrupt_record"]
+            first = next(p for p in paths if headers_by_file[p] == header)
+            log.record(batch_id, contract.fieldNames() + new_cols, first, out.schema.json())
         write_batch(out, target_dir, batch_id)
 
     files = discover_files(spark, source_dir, glob, max_files_per_trigger)

@@ -235,8 +235,8 @@ def test_distributed_header_probe_matches_driver_probe(spark, tmp_root):
     assert probe_headers(spark, files, ",", mode="driver")[files[2]] == ["x y", "k"]
 
 
-def test_watermarked_latest_wins_and_drops_too_late(spark, tmp_root):
-    """T-02: a later pull replaces a value; a point older than the watermark delay is ignored."""
+def test_watermarked_latest_wins_and_stores_too_late(spark, tmp_root):
+    """T-02: a later pull replaces a value; a point older than the watermark delay is stored aside and merged."""
     import time as _time
 
     from gridlake.streaming.latest import latest_stream_state
@@ -246,20 +246,21 @@ def test_watermarked_latest_wins_and_drops_too_late(spark, tmp_root):
     waves = [
         [("2024-01-01 10:00:00", "R", "2024-01-01 10:05:00", 1.0), ("2024-01-01 11:00:00", "R", "2024-01-01 11:05:00", 2.0)],
         [("2024-01-01 10:00:00", "R", "2024-01-01 12:00:00", 1.5), ("2024-01-02 06:00:00", "R", "2024-01-02 06:05:00", 3.0)],
-        [("2024-01-01 11:00:00", "R", "2024-01-02 07:00:00", 9.9)],  # 19 h behind the newest instant: dropped
+        [("2024-01-01 11:00:00", "R", "2024-01-02 07:00:00", 9.9)],  # 19 h behind the newest instant
     ]
 
     def run():
         stream = spark.readStream.schema(schema).parquet(land).withColumn("day", F.to_date("instant"))
-        latest_stream_state(stream, out, ckpt, "instant", ["region"], ["pull"], "day", delay="7 hours")
+        return latest_stream_state(stream, out, ckpt, "instant", ["region"], ["pull"], "day", delay="7 hours")
 
     for rows in waves:
         df = spark.createDataFrame([tuple(dt.datetime.fromisoformat(x) if i in (0, 2) else x for i, x in enumerate(r)) for r in rows], schema)
         df.coalesce(1).write.mode("append").parquet(land)
-        run()
+        n_late = run()
         _time.sleep(0.01)
+    assert n_late == 1
     got = {str(r["instant"]): r["v"] for r in spark.read.parquet(out).collect()}
-    assert got == {"2024-01-01 10:00:00": 1.5, "2024-01-01 11:00:00": 2.0, "2024-01-02 06:00:00": 3.0}
+    assert got == {"2024-01-01 10:00:00": 1.5, "2024-01-01 11:00:00": 9.9, "2024-01-02 06:00:00": 3.0}
 
 
 def test_malformed_line_rescued_whole(spark, tmp_root):
