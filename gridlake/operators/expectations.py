@@ -101,6 +101,10 @@ def closed_enum(df: DataFrame, col: str, allowed: Sequence[str], value_col: str
     return unexpected.unionByName(missing)
 
 
+#: A delivery calendar is read by the driver; a column with more values is refused.
+MAX_DELIVERIES = 100_000
+
+
 def delivery_overlap(df: DataFrame, keys: Sequence[str], delivery: str) -> DataFrame:
     """E-11: per pair of consecutive deliveries, the number of keys present in both.
 
@@ -117,7 +121,9 @@ def delivery_overlap(df: DataFrame, keys: Sequence[str], delivery: str) -> DataF
     spark = df.sparkSession
     kd = df.select(*keys, delivery).distinct()
     per_key = kd.withColumn("_next", F.lead(delivery).over(Window.partitionBy(*keys).orderBy(delivery)))
-    calendar = sorted(r[0] for r in df.select(delivery).distinct().collect() if r[0] is not None)
+    calendar = sorted(r[0] for r in df.select(delivery).distinct().limit(MAX_DELIVERIES + 1).collect() if r[0] is not None)
+    if len(calendar) > MAX_DELIVERIES:
+        raise ValueError(f"more than {MAX_DELIVERIES} deliveries: {delivery} is no delivery column")
     dtype = df.schema[delivery].dataType
     pair_schema = T.StructType([T.StructField("delivery", dtype), T.StructField("next_delivery", dtype)])
     pairs = spark.createDataFrame(list(zip(calendar, calendar[1:])), pair_schema)

@@ -18,6 +18,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridlake.functions.expressions import morton_key
 
@@ -84,13 +85,35 @@ def quantile_buckets(df: DataFrame, col: str, bits: int, rel_error: float = 0.00
     The bucket is a sum of 2^bits - 1 compiled comparisons; ``bits`` around 6
     (64 buckets per column) keeps the generated code small.
     """
+    return quantile_buckets_of(df, [col], bits, rel_error)[0]
+
+
+def _order_value(df: DataFrame, col: str) -> Column:
+    """A double that never decreases with ``col``: numbers as they are, instants and dates by their
+    distance from the epoch, strings by their first six bytes."""
+    t = df.schema[col].dataType
+    if isinstance(t, T.StringType):
+        return F.conv(F.rpad(F.substring(F.hex(F.col(col).cast("binary")), 1, 12), 12, "0"), 16, 10).cast("double")
+    if isinstance(t, T.DateType):
+        return F.unix_date(col).cast("double")
+    if isinstance(t, (T.TimestampType, T.TimestampNTZType)):
+        return F.unix_micros(F.col(col).cast("timestamp")).cast("double")
+    return F.col(col).cast("double")
+
+
+def quantile_buckets_of(df: DataFrame, cols: Sequence[str], bits: int, rel_error: float = 0.001) -> list[Column]:
+    """Quantile buckets of several columns of any orderable type, from one pass over the data."""
     k = 1 << bits
-    probs = [i / k for i in range(1, k)]
-    bounds = df.approxQuantile(col, probs, rel_error)
-    bucket = F.lit(0)
-    for b in sorted(set(bounds)):
-        bucket = bucket + F.when(F.col(col) >= F.lit(b), 1).otherwise(0)
-    return bucket
+    values = [_order_value(df, c) for c in cols]
+    names = [f"_v{i}" for i in range(len(cols))]
+    bounds = df.select(*[v.alias(n) for v, n in zip(values, names)]).approxQuantile(names, [i / k for i in range(1, k)], rel_error)
+    out = []
+    for v, own in zip(values, bounds):
+        bucket = F.lit(0)
+        for b in sorted(set(own)):
+            bucket = bucket + F.when(v >= F.lit(b), 1).otherwise(0)
+        out.append(bucket)
+    return out
 
 
 def cluster_by(
@@ -107,11 +130,12 @@ def cluster_by(
     quantile buckets of each column, so every column keeps some locality.
     """
     cols = list(cols)
+    # The row hash is a second range column: the rows of one very frequent value (or cell) fill several files.
+    spread = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
     if len(cols) == 1:
-        return df.repartitionByRange(num_files, F.col(cols[0])).sortWithinPartitions(cols[0])
-    buckets = [quantile_buckets(df, c, bits) for c in cols]
-    keyed = df.withColumn("_z", morton_key(buckets, bits))
-    return keyed.repartitionByRange(num_files, "_z").sortWithinPartitions("_z", *cols).drop("_z")
+        return df.repartitionByRange(num_files, F.col(cols[0]), spread).sortWithinPartitions(cols[0])
+    keyed = df.withColumn("_z", morton_key(quantile_buckets_of(df, cols, bits), bits))
+    return keyed.repartitionByRange(num_files, F.col("_z"), spread).sortWithinPartitions("_z", *cols).drop("_z")
 
 
 def file_ranges(spark: SparkSession, path: str, col: str) -> DataFrame:

@@ -786,7 +786,12 @@ def q_manifest_reconcile(spark, d):
     return reconcile_manifest(metrics, manifest, ["bad_code", "price"])
 
 
-@proof("freshness", None, ("X-09", "P-01", "C-03"))
+@proof(
+    "freshness",
+    """SELECT 'events' AS source, max(ts) AS last_event, true AS ingested, false AS within_sla FROM events
+       UNION ALL SELECT 'orders', max(o_orderdate), true, false FROM orders""",
+    ("X-09", "P-01", "C-03"),
+)
 def q_freshness(spark, d):
     """Lag between the newest event and the ingestion instant, per source, against an SLA."""
     from gridlake.operators.aggregates import freshness
@@ -795,7 +800,8 @@ def q_freshness(spark, d):
     ev = table(spark, d, "events").select(F.lit("events").alias("source"), "ts")
     od = table(spark, d, "orders").select(F.lit("orders").alias("source"), F.col("o_orderdate").alias("ts"))
     bronze = with_audit(ev.unionByName(od), source_col=None)
-    return freshness(bronze, "source", "ts", "_ingested_at", sla_seconds=30 * 60)
+    report = freshness(bronze, "source", "ts", "_ingested_at", sla_seconds=30 * 60)
+    return report.select("source", "last_event", F.col("last_ingested").isNotNull().alias("ingested"), "within_sla")
 
 
 # --------------------------------------------------------------------------- hot keys (a third of all rows on one key)

@@ -118,7 +118,7 @@ def ingest_drifting_csv(
     sep: str = ",",
     glob: str = "*.csv",
     period_pattern: str | None = r"(\d{4}-W\d{2})",
-    max_files_per_trigger: int | None = None,
+    max_files_per_trigger: int | None = 10_000,
     rescue_unknown: bool = False,
 ) -> None:
     """Incremental ingest of CSV deliveries with header drift and rescue (G-03 bronze)."""
