@@ -11,6 +11,7 @@ from .best_fit_pack import cut_pieces, place
 from .kd_shards import kd_shards
 from .license_dice import scan
 from .minhash_dedup import near_duplicates
+from .oracles import ORACLES
 from .ppm_language import held_out, predict, train
 from .quality_lines import clean_lines
 from .quote_threads import threads
@@ -100,4 +101,4 @@ QUERIES = {
     "op7_line_quality": op7_line_quality,
 }
 
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]
