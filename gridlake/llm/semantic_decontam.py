@@ -6,7 +6,7 @@
    (features x rank) matrix, whose size is a parameter, meets on the driver.
 3. One pass over all whole texts: windows of about each item's length, a fresh one every quarter, are folded into the
    whitened latent space and compared with the items by cosine. Windows at or above ``MIN_COSINE`` are candidates.
-4. In the same task each candidate is checked on words: the longest common subsequence (LCS) of item and window,
+4. In the same task each candidate is checked on words: enough of the item's rarer words (a bound, so nothing is lost), then the longest common subsequence (LCS) of item and window,
    and the LCS of the item's answer (its last fifth, at least four words). A copy has ``COPY_SHARE`` of the item's words in order; a
    paraphrase has ``PARAPHRASE_SHARE`` of them and ``ANSWER_SHARE`` of the answer.
 
@@ -31,14 +31,15 @@ from .common import blocks, materialize, text_bytes
 from .shingles import U, mix, word_hashes, word_spans
 
 FEATURES = 1 << 15
-RANK, OVERSAMPLE = 48, 8
+RANK, OVERSAMPLE = 64, 8
 #: The decomposition's sample: documents drawn by a hash of the id; passages of this many words.
 MAX_SAMPLE_DOCS = 2000
 PASSAGE_WORDS = 32
-MAX_ITEMS = 20_000
+MAX_ITEMS = 2_000
 #: Words of a group; windows are whole numbers of groups.
 GROUP = 4
-MIN_COSINE = 0.5
+MIN_COSINE = 0.6
+COMMON_SHARE = 0.3
 COPY_SHARE, PARAPHRASE_SHARE, ANSWER_SHARE = 0.75, 0.6, 0.75
 _BLOCK_ROWS = 1024
 
@@ -154,7 +155,7 @@ def lcs_length(a, b) -> int:
     return len(a) - v.bit_count()
 
 
-def _prepare(ids: list, texts: list[str], fold: np.ndarray) -> SimpleNamespace:
+def _prepare(ids: list, texts: list[str], fold: np.ndarray, idf: np.ndarray) -> SimpleNamespace:
     """Words of the items, and their unit vectors in the latent space by window length (in groups)."""
     raw = [t.encode() for t in texts]
     offs = np.concatenate(([0], np.cumsum([len(x) for x in raw]))).astype(np.int64)
@@ -169,8 +170,18 @@ def _prepare(ids: list, texts: list[str], fold: np.ndarray) -> SimpleNamespace:
         ladder.append(max(ladder[-1] + 1, round(ladder[-1] * 1.35)))
     nearest = np.array([int(np.argmin([abs(np.log(m * GROUP / len(x))) for m in ladder])) for x in words], int)
     steps = [(m, np.flatnonzero(nearest == i), unit[nearest == i].T.copy()) for i, m in enumerate(ladder) if (nearest == i).any()]
+    # An LCS of PARAPHRASE_SHARE of an item takes at least ``need`` of its rarer words: all but the COMMON_SHARE most frequent tokens.
+    vocabulary = np.unique(np.concatenate(words)) if words else np.zeros(1, U)
+    rare = np.zeros((len(words), len(vocabulary) + 1), bool)
+    need = np.zeros(len(words))
+    for i, x in enumerate(words):
+        distinct, n = np.unique(x, return_counts=True)
+        order = np.argsort(idf[_feature(distinct)], kind="stable")
+        common = order[np.cumsum(n[order]) <= COMMON_SHARE * len(x)]
+        rare[i, np.searchsorted(vocabulary, np.delete(distinct, common))] = True
+        need[i] = PARAPHRASE_SHARE * len(x) - n[common].sum()
     padded = np.vstack([fold, np.zeros((1, fold.shape[1]), np.float32)])
-    return SimpleNamespace(ids=[ids[i] for i in own], words=[x.tolist() for x in words], fold=padded, steps=steps)
+    return SimpleNamespace(ids=[ids[i] for i in own], words=[x.tolist() for x in words], fold=padded, steps=steps, vocabulary=vocabulary, rare=rare, need=need)
 
 
 def _search_batches(items):
@@ -207,33 +218,43 @@ def _search(it: SimpleNamespace, w: np.ndarray, first: np.ndarray) -> list[tuple
     sums = it.fold[f[0::GROUP]]
     for k in range(1, GROUP):
         sums += it.fold[f[k::GROUP]]
-    run = np.zeros((len(sums) + 1, sums.shape[1]), np.float64)
+    run = np.zeros((len(sums) + 1, sums.shape[1]), np.float32)
     np.cumsum(sums, axis=0, out=run[1:])
+    # benchmark words by number; all others share one number that no item has
+    known = np.minimum(np.searchsorted(it.vocabulary, w), len(it.vocabulary) - 1)
+    known = np.where(it.vocabulary[known] == w, known, len(it.vocabulary))
     best: dict[tuple[int, int], tuple] = {}
     for m, own, q in it.steps:
-        at = np.arange(0, max(len(sums) - m, 0) + 1, max(1, m // 4))
-        end = np.minimum(at + m, len(sums))
-        v = (run[end] - run[at]).astype(np.float32)
-        norm = np.sqrt(np.einsum("ij,ij->i", v, v))
+        stride = max(1, m // 4)
+        v = run[m::stride] - run[: len(run) - m : stride] if len(sums) >= m else run[-1:] - run[:1]
+        norm = np.maximum(np.sqrt(np.einsum("ij,ij->i", v, v)), 1e-6)
         cos = v @ q
-        rows, cols = np.nonzero(cos >= (MIN_COSINE * np.maximum(norm, 1e-6))[:, None])
+        rows, cols = np.nonzero(cos >= (MIN_COSINE * norm)[:, None])
         if len(rows) == 0:
             continue
-        value = cos[rows, cols] / np.maximum(norm[rows], 1e-6)
-        order = np.argsort(-value, kind="stable")
-        middle = at[rows] + (end[rows] - at[rows]) // 2
-        docs = np.searchsorted(start, middle, "right") - 1
-        for i in order:
+        value = cos[rows, cols] / norm[rows]
+        at = rows * stride
+        docs = np.searchsorted(start, np.minimum(at + m // 2, len(sums) - 1), "right") - 1
+        # word range of each window, a little wider, inside its document
+        lo, hi = first[docs], first[docs + 1]
+        margin = m * GROUP // 4 + GROUP
+        word = lo + (at - start[docs]) * GROUP
+        begin, stop = np.maximum(lo, word - margin), np.minimum(hi, word + m * GROUP + margin)
+        wide = np.arange(m * GROUP + 2 * margin)
+        keep = np.zeros(len(rows), bool)
+        for c in range(0, len(rows), 20_000):
+            part = slice(c, c + 20_000)
+            at_word = begin[part, None] + wide
+            there = known[np.minimum(at_word, len(w) - 1)]
+            hits = (it.rare[own[cols[part], None], there] & (at_word < stop[part, None])).sum(axis=1)
+            keep[part] = hits >= it.need[own[cols[part]]]
+        left = np.flatnonzero(keep)
+        for i in left[np.argsort(-value[left], kind="stable")]:
             d, item = int(docs[i]), int(own[cols[i]])
             if (d, item) in best:
                 continue
-            lo, hi = int(first[d]), int(first[d + 1])
-            margin = m * GROUP // 4 + GROUP
-            begin = max(lo, lo + int(at[rows[i]] - start[d]) * GROUP - margin)
-            stop = min(hi, lo + int(end[rows[i]] - start[d]) * GROUP + margin)
-            span, words = w[begin:stop].tolist(), it.words[item]
-            if len(set(span) & set(words)) * 2 < len(set(words)):
-                continue
+            lo_i, begin_i, stop_i = int(lo[i]), int(begin[i]), int(stop[i])
+            span, words = w[begin_i:stop_i].tolist(), it.words[item]
             n = len(words)
             common = lcs_length(words, span)
             if common < PARAPHRASE_SHARE * n:
@@ -242,7 +263,7 @@ def _search(it: SimpleNamespace, w: np.ndarray, first: np.ndarray) -> list[tuple
             share = lcs_length(answer, span) / len(answer)
             kind = "copy" if common >= COPY_SHARE * n else "paraphrase" if share >= ANSWER_SHARE else None
             if kind:
-                best[d, item] = (d, item, float(value[i]), common, n, share, begin - lo, kind)
+                best[d, item] = (d, item, float(value[i]), common, n, share, begin_i - lo_i, kind)
     return [best[k] for k in sorted(best)]
 
 
@@ -270,7 +291,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     turns = max(1, -(-many // MAX_ITEMS) * (1 if many <= MAX_ITEMS else 2))
     for turn in range(turns):
         part = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(turns)) == turn).orderBy("item", "text").collect()
-        sent = sc.broadcast(_prepare([r["item"] for r in part], [r["text"] for r in part], fold))
+        sent = sc.broadcast(_prepare([r["item"] for r in part], [r["text"] for r in part], fold, idf))
         hits = src.mapInArrow(_search_batches(sent), schema)
         found = hits if found is None else found.unionByName(hits)
     return found
