@@ -148,6 +148,10 @@ def file_ranges(spark: SparkSession, path: str, col: str) -> DataFrame:
     )
 
 
+#: Values that a pruning report is asked for (a top-k list).
+MAX_REPORT_VALUES = 1000
+
+
 def pruning_report(
     spark: SparkSession,
     tables: Mapping[str, str],
@@ -156,20 +160,22 @@ def pruning_report(
 ) -> DataFrame:
     """Files and rows a ``col IN values`` predicate must touch, per table version.
 
-    ``values`` may be a DataFrame of one column (e.g. :func:`hot_keys`) so the
-    list never has to pass through the driver; it is small by construction
-    and joined with a range condition against the per-file summaries.
+    ``values`` may be a DataFrame of one column (e.g. :func:`hot_keys`), of at
+    most ``MAX_REPORT_VALUES`` values: they become a literal that each file's
+    summary row is tested against, so nothing is joined.
     """
-    if not isinstance(values, DataFrame):
-        values = spark.createDataFrame([(v,) for v in values], ["_q"])
-    q = values.select(F.col(values.columns[0]).alias("_q"))
+    if isinstance(values, DataFrame):
+        values = [r[0] for r in values.select(values.columns[0]).distinct().limit(MAX_REPORT_VALUES + 1).collect()]
+    wanted = [v for v in values if v is not None]
+    if len(wanted) > MAX_REPORT_VALUES:
+        raise ValueError(f"a pruning report takes at most {MAX_REPORT_VALUES} values")
+    literal = F.array(*[F.lit(v) for v in wanted])
     out = None
     for name, path in tables.items():
         ranges = file_ranges(spark, path, col)
-        overlap = (F.col("_q") >= F.col("min_v")) & (F.col("_q") <= F.col("max_v"))
-        per_file = ranges.join(F.broadcast(q), overlap, "left").groupBy("file", "rows").agg(F.count("_q").alias("_hits"))
-        hit = F.col("_hits") > 0
-        part = per_file.agg(
+        inside = lambda v: (v >= F.col("min_v")) & (v <= F.col("max_v"))
+        hit = F.exists(literal, inside) if wanted else F.lit(False)
+        part = ranges.agg(
             F.count(F.lit(1)).alias("files_total"),
             F.count_if(hit).alias("files_touched"),
             F.sum("rows").alias("rows_total"),
