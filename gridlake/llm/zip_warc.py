@@ -142,7 +142,7 @@ def stored_members(f, size: int) -> dict[str, tuple[int, int]]:
     """Name to (offset of its data, length) of all stored members, from the central directory."""
     tail_at = max(0, size - _TAIL - 22)
     tail = read_at(f, tail_at, size - tail_at)
-    end = tail.rfind(b"PK\x05\x06")
+    end = tail.rfind(b"PK\x05\x06", 0, max(0, len(tail) - 18))
     while end >= 0 and end + 22 + struct.unpack_from("<H", tail, end + 20)[0] != len(tail):
         end = tail.rfind(b"PK\x05\x06", 0, end)  # the signature may stand in the comment
     if end < 0:
