@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import blocks, materialize, text_bytes
+from .common import blocks, materialize, slices, text_bytes, whole_texts
 from .pretoken import default_tokenizer, encoder
 
 WINDOW = 2048
@@ -36,7 +36,7 @@ def _piece_batches(path: str, window: int, end_id: int):
         enc = encoder(path)
         task = TaskContext.get().partitionId()
         seen = np.zeros(window + 1, np.int64)
-        for batch in batches:
+        for batch in slices(batches):
             buf, offs = text_bytes(batch.column(batch.num_columns - 1))
             for a, b in blocks(offs):
                 raw = buf[offs[a] : offs[b]].tobytes()
@@ -67,6 +67,7 @@ def _piece_batches(path: str, window: int, end_id: int):
 def cut_pieces(df: DataFrame, text_col: str = "text", carry: tuple[str, ...] = ("doc_id",), path: str | None = None,
                window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
     """Pieces of at most ``window`` ids, written once: ``carry``, start, length, doc_tokens, ids (little-endian uint32), task, number."""
+    whole_texts(df.sparkSession)
     carry = [c for c in carry if c.lower() not in _OWN]
     src = df.select(*[F.col(f"`{c}`") for c in carry], F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("__text"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1])
@@ -150,7 +151,7 @@ def _place_batches(runs):
     def run(batches):
         length, lo, per, first, offset = runs.value
         key = (length << 40) | lo
-        for batch in batches:
+        for batch in slices(batches):
             n, rank = (batch.column(batch.schema.names.index(c)).to_numpy() for c in ("length", "__rank"))
             at = np.searchsorted(key, (n << 40) | rank, "right") - 1
             inside = rank - lo[at]

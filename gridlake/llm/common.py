@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import sys
 
 import numpy as np
@@ -42,16 +45,31 @@ def tables(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def worker_cache(key: str) -> dict:
-    """A dictionary of this Python worker process: what a task builds in it serves the worker's later tasks."""
-    return sys.__dict__.setdefault("_gridlake_llm_cache", {}).setdefault(key, {})
-
-
-def fresh_name(df: DataFrame, base: str) -> str:
-    """A column name that no column of ``df`` has (names compare without case, as Spark's do)."""
-    taken = {c.lower() for c in df.columns}
-    while base.lower() in taken:
-        base += "_"
-    return base
+    """A dictionary of this Python worker process: what a task builds in it serves the worker's later tasks.
+
+    A worker holds one operator's cache at a time; the next operator's first task frees it.
+    """
+    held = sys.__dict__.setdefault("_gridlake_llm_cache", {})
+    if key not in held:
+        held.clear()
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # glibc keeps freed pages unless asked
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+    return held.setdefault(key, {})
+
+
+def whole_texts(spark: SparkSession) -> None:
+    """Arrow batches of at most 1,000 rows in this session: rows are whole texts here, and Spark's default of 10,000
+    rows makes batches of tens of MB on both sides of every task."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+
+
+def slices(batches, rows: int = 1000):
+    """The batches in parts of at most ``rows`` rows (views, no copies), so that what a task derives from one stays small."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, rows):
+            yield batch.slice(i, rows)
 
 
 def text_bytes(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -8,31 +8,47 @@ import regex
 
 from .common import worker_cache
 
-#: Entries that a worker remembers before it starts anew.
-MAX_REMEMBERED = 300_000
-_MISSES_AT_ONCE = 5_000
+#: Pre-tokens that a worker remembers (about 200 bytes each), in two generations of half as many.
+MAX_REMEMBERED = 500_000
 
 
 def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def byte_symbols() -> dict[str, int]:
+    """The printable stand-ins of bytes in byte-level vocabularies: printable Latin-1 stays, the rest moves past 255."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
+
+
 class _Ids(dict):
-    """Pre-token to its ids as little-endian uint32 bytes."""
+    """Pre-token to its ids, from the library's model, as little-endian uint32 bytes.
+
+    The young generation is this dictionary; when it is full it becomes the old one, from which entries that
+    are used again come back. So frequent pre-tokens stay.
+    """
 
     def __init__(self, tokenizer):
         super().__init__()
-        self.tokenizer = tokenizer
+        self.model = tokenizer.model
+        self.symbols = {b: c for c, b in byte_symbols().items()}
+        self.old: dict[str, bytes] = {}
 
-    def learn(self, words: list[str]) -> None:
-        for i in range(0, len(words), _MISSES_AT_ONCE):
-            part = words[i : i + _MISSES_AT_ONCE]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self[w] = np.array(e.ids, "<u4").tobytes()
+    def rotate(self) -> None:
+        if len(self) > MAX_REMEMBERED // 2:
+            self.old = dict(self)
+            self.clear()
 
     def __missing__(self, word: str) -> bytes:
-        self.learn([word])
-        return self[word]
+        ids = self.old.get(word)
+        if ids is not None:
+            self[word] = ids
+            return ids
+        seen = word.encode().decode("latin-1").translate(self.symbols)
+        ids = self[word] = np.array([t.id for t in self.model.tokenize(seen)], "<u4").tobytes()
+        return ids
 
 
 class IdEncoder:
@@ -53,14 +69,10 @@ class IdEncoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian uint32 bytes."""
-        parts = [self.words(t) if self.split is None or not self.split.search(t) else None for t in texts]
-        fresh = {w for p in parts if p for w in p if w not in self.known}
-        if len(self.known) + len(fresh) > MAX_REMEMBERED:
-            self.known.clear()
-            fresh = {w for p in parts if p for w in p}
-        self.known.learn(list(fresh))
-        get = self.known.__getitem__
-        return [b"".join(map(get, p)) if p is not None else self._with_special(t) for p, t in zip(parts, texts)]
+        self.known.rotate()
+        get, words = self.known.__getitem__, self.words
+        plain = [self.split is None or not self.split.search(t) for t in texts]
+        return [b"".join(map(get, words(t))) if p else self._with_special(t) for p, t in zip(plain, texts)]
 
     def _with_special(self, text: str) -> bytes:
         out = []

@@ -27,8 +27,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, materialize, text_bytes, worker_cache
-from .pretoken import default_tokenizer
+from .common import blocks, materialize, slices, text_bytes, whole_texts, worker_cache
+from .pretoken import byte_symbols, default_tokenizer
 
 CHUNK_CHARS = 1 << 15
 FAN = 16
@@ -36,13 +36,6 @@ MAX_STATES = 150_000
 MAX_WORDS = 300_000
 
 
-def _byte_symbols() -> dict[str, int]:
-    """The printable stand-ins of bytes in byte-level vocabularies: printable Latin-1 stays, the rest moves past 255."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    rest = [b for b in range(256) if b not in plain]
-    return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
-
-
 class Transducer:
     """Counts the tokens of byte strings; states and transitions are compiled on first use."""
 
@@ -124,7 +117,7 @@ class Counter:
 
     def __init__(self, path: str):
         spec = json.load(open(path, encoding="utf-8"))
-        symbols = _byte_symbols()
+        symbols = byte_symbols()
         as_bytes = lambda s: bytes(symbols[c] for c in s)
         special = [t["content"] for t in spec["added_tokens"]]
         merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in spec["model"]["merges"]]
@@ -190,7 +183,7 @@ def counter(path: str) -> Counter:
 def _count_batches(path: str):
     def run(batches):
         c = counter(path)
-        for batch in batches:
+        for batch in slices(batches):
             buf, offs = text_bytes(batch.column(batch.num_columns - 1))
             for a, b in blocks(offs):
                 raw = buf[offs[a] : offs[b]].tobytes()
@@ -208,7 +201,7 @@ _MAP = "h string, i long, head string, mid long, tail string"
 def _map_batches(path: str):
     def run(batches):
         c = counter(path)
-        for batch in batches:
+        for batch in slices(batches):
             maps = [c.state_map(x) for x in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), *(pa.array([m[k] for m in maps], t) for k, t in enumerate((pa.string(), pa.int64(), pa.string())))],
@@ -223,7 +216,7 @@ def _fold_batches(path: str):
 
     def run(batches):
         c = counter(path)
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for parts in batch.column(2).to_pylist():
                 m = None
@@ -242,7 +235,7 @@ def _fold_batches(path: str):
 def _total_batches(path: str):
     def run(batches):
         c = counter(path)
-        for batch in batches:
+        for batch in slices(batches):
             cols = [batch.column(k).to_pylist() for k in (2, 3, 4)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([c.total(m) for m in zip(*cols)], pa.int64())], names=["__h", "n_tokens"])
 
@@ -251,6 +244,7 @@ def _total_batches(path: str):
 
 def count_tokens(df: DataFrame, text_col: str = "text", path: str | None = None, carry: list[str] | None = None, chunk: int = CHUNK_CHARS) -> DataFrame:
     """The columns ``carry`` (default: all) with ``n_bytes`` and ``n_tokens`` of the whole text."""
+    whole_texts(df.sparkSession)
     path = path or default_tokenizer()
     text = F.col(f"`{text_col}`").cast("string")
     carry = [c for c in (df.columns if carry is None else carry) if c.lower() not in ("n_bytes", "n_tokens")]
