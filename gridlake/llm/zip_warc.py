@@ -31,12 +31,13 @@ from pyspark.sql import functions as F
 
 from gridlake.session import scratch_path
 
-from .common import materialize
+from .common import materialize, whole_texts
 
 #: A package is closed when its WARC member has this many bytes.
 PACKAGE_BYTES = 32 << 20
 #: Records that one reading task takes from a package at a time.
 RECORDS_PER_READ = 2000
+MAX_READ_TASKS = 10_000
 WARC_MEMBER, INDEX_MEMBER = "archive/data.warc", "indexes/index.cdx"
 _TAIL = 1 << 16
 _MAX32 = 0xFFFFFFFF
@@ -213,6 +214,7 @@ def _manifest(name: str, n: int, size: int) -> pa.RecordBatch:
 def write_packages(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", min_revisit_bytes: int = 0,
                    package_bytes: int = PACKAGE_BYTES) -> DataFrame:
     """Writes the packages; returns their manifest (path, records, bytes), itself a written table."""
+    whole_texts(pages.sparkSession)
     payload = F.coalesce(F.col(f"`{payload_col}`").cast("string"), F.lit("")).cast("binary")
     rows = pages.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{url_col}`").cast("string").alias("url"), payload.alias("payload"))
     keyed = rows.withColumn("digest", sha1_base32(F.col("payload")))
@@ -283,6 +285,8 @@ def read_packages(manifest: DataFrame) -> DataFrame:
     """All records of the packages: id, url, record_type, payload_digest, payload_bytes, refers_to, payload (null for revisits)."""
     spark = manifest.sparkSession
     parts = manifest.select("path", "bytes", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("records") - 1) / RECORDS_PER_READ))).alias("k"))
-    parts = parts.select("path", "bytes", (F.col("k") * RECORDS_PER_READ).alias("first"), F.lit(RECORDS_PER_READ).cast("long").alias("count")).repartition("path", "first")
+    parts = parts.select("path", "bytes", (F.col("k") * RECORDS_PER_READ).alias("first"), F.lit(RECORDS_PER_READ).cast("long").alias("count"))
+    # a fixed number of partitions: these few small rows stand for large reads, and must not be put together
+    parts = parts.repartition(min(max(parts.count(), 1), MAX_READ_TASKS), "path", "first")
     root = _uri(scratch_path(spark, "llm-warc"))
     return parts.mapInArrow(_read_batches(root), _RECORD)
