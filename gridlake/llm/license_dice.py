@@ -49,9 +49,9 @@ def normalised(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "))
 
 
-def bigrams(text: Column) -> Column:
-    """Distinct word bigrams of a normalised text."""
-    w = F.split(text, " ")
+def bigrams(words: str) -> Column:
+    """Distinct word bigrams of a column of word arrays (a column, so that it is not split again for every word)."""
+    w = F.col(words)
     return F.array_distinct(F.transform(F.slice(w, F.lit(2), F.size(w)), lambda x, i: F.concat(w[i], F.lit(" "), x)))
 
 
@@ -66,26 +66,48 @@ def anchors(grams: list[str], min_dice: float) -> list[str]:
     return sorted(grams, key=lambda g: (-len(g), g))[: missing + 1]
 
 
+def _tree(words: list[str]) -> str:
+    """A pattern for any of the words (blank: any gap), branching by character."""
+    branches = []
+    for c in sorted({w[:1] for w in words}):
+        rest = [w[1:] for w in words if w[:1] == c]
+        branches.append((r"[^\p{L}\p{N}]+" if c == " " else c) + _tree(rest) if c else "")
+    return branches[0] if len(branches) == 1 else "(?:" + "|".join(branches) + ")"
+
+
 def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates=TEMPLATES, min_dice: float = MIN_DICE, max_lines: int = MAX_LINES) -> DataFrame:
     """``id, license, dice, line, n_lines``: the best window for each document and licence found in it."""
     known = [(name, template_bigrams(t)) for name, t in templates]
     pairs = sorted({a for _, grams in known for a in anchors(grams, min_dice)})
-    loose = r"(?iu)(?<![\p{L}\p{N}])(?:" + "|".join(p.replace(" ", r"[^\p{L}\p{N}]+") for p in pairs) + r")(?![\p{L}\p{N}])"
+    loose = r"(?iu)(?<![\p{L}\p{N}])" + _tree(pairs) + r"(?![\p{L}\p{N}])"
     literal = F.array(*[F.struct(F.lit(name).alias("license"), F.lit(len(g)).alias("n"), F.array(*map(F.lit, g)).alias("grams")) for name, g in known])
-    src = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text")).filter(F.col("text").rlike(loose))
-    rows = src.select("id", F.posexplode(F.split("text", "\n")).alias("at", "x"), F.split("text", "\n").alias("lines"))
-    # windows that begin at this line; a longer one begins and ends with a line that has a word
-    word = r"[\p{L}\p{N}]"
-    sizes = F.sequence(F.lit(1), F.least(F.lit(max_lines), F.size("lines") - F.col("at")))
-    windows = rows.filter(F.col("x").rlike(word)).select("id", F.col("at"), F.explode(F.transform(sizes, lambda k: F.struct(k.alias("n"), F.slice("lines", F.col("at") + 1, k).alias("part")))).alias("w"))
-    windows = windows.filter(F.element_at("w.part", -1).rlike(word)).select("id", "at", "w.n", F.array_join("w.part", "\n").alias("t"))
     low, high = min_dice / (2 - min_dice), (2 - min_dice) / min_dice
     widest = max(len(g) for _, g in known) * high + 1
-    near = windows.filter(F.col("t").rlike(loose)).withColumn("g", bigrams(normalised(F.col("t")))).filter(F.size("g") <= F.lit(widest))
+    src = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text")).filter(F.col("text").rlike(loose))
+    # Lines where an anchor begins (it may end in the next one), each with the lines that a window over it can have.
+    rows = src.select("id", F.split("text", "\n").alias("lines"))
+    begins = F.filter(F.sequence(F.lit(1), F.size("lines")), lambda i: F.concat(F.element_at("lines", i), F.lit("\n"), F.coalesce(F.get("lines", i), F.lit(""))).rlike(loose))
+    around = lambda i: F.struct(F.greatest(F.lit(1), i - max_lines + 1).alias("lo"), i.alias("i"), F.slice("lines", F.greatest(F.lit(1), i - max_lines + 1), F.lit(2 * max_lines)).alias("near"))
+    # (outer generators, so that no filter on their size is derived that would compute them twice)
+    spots = rows.select("id", F.inline_outer(F.transform(begins, around))).filter("i is not null")
+    # A line of more distinct words than the widest window can have bigrams is in no window.
+    wide = F.transform("near", lambda x: F.size(F.array_distinct(F.split(normalised(x), " "))) - 1 > F.lit(widest))
+    spots = spots.select("id", F.inline(F.array(F.struct("lo", (F.col("i") - F.col("lo") + 1).alias("h"), "near", wide.alias("wide")))))
+
+    def windows_from(s: Column) -> Column:
+        sizes = F.sequence(F.col("h") - s + 1, F.least(F.lit(max_lines), F.size("near") - s + 1))
+        sizes = F.filter(sizes, lambda k: ~F.exists(F.slice("wide", s, k), lambda x: x))
+        return F.transform(sizes, lambda k: F.struct((F.col("lo") + s - 1).alias("at"), k.alias("n"), F.array_join(F.slice("near", s, k), "\n").alias("t")))
+
+    windows = spots.select("id", F.inline_outer(F.flatten(F.transform(F.sequence(F.lit(1), F.col("h")), windows_from))))
+    # a window begins and ends with a line that has a word
+    windows = windows.filter(F.col("t").isNotNull() & F.col("t").rlike(r"^[^\n]*[\p{L}\p{N}]") & F.col("t").rlike(r"[\p{L}\p{N}][^\n]*\z")).distinct()
+    near = windows.select("id", "at", "n", F.explode(F.array(F.split(normalised(F.col("t")), " "))).alias("w"))
+    near = near.select("id", "at", "n", F.explode(F.array(bigrams("w"))).alias("g")).filter(F.size("g") <= F.lit(widest))
     fits = F.filter(literal, lambda t: (F.size("g") >= t["n"] * F.lit(low)) & (F.size("g") <= t["n"] * F.lit(high)))
     dice = lambda t: F.lit(2.0) * F.size(F.array_intersect("g", t["grams"])) / (F.size("g") + t["n"])
     # the best template of a window; equal ones: the last by name
     scored = near.select("id", "at", "n", F.array_max(F.transform(fits, lambda t: F.struct(dice(t).alias("dice"), t["license"].alias("license")))).alias("m"))
     hits = scored.filter(F.col("m.dice") >= F.lit(min_dice)).groupBy("id", F.col("m.license").alias("license"))
     best = hits.agg(F.max(F.struct("m.dice", (-F.col("n")).alias("n"), (-F.col("at")).alias("at"))).alias("b"))
-    return best.select("id", "license", F.col("b.dice").alias("dice"), (1 - F.col("b.at")).cast("long").alias("line"), (-F.col("b.n")).cast("long").alias("n_lines"))
+    return best.select("id", "license", F.col("b.dice").alias("dice"), (-F.col("b.at")).cast("long").alias("line"), (-F.col("b.n")).cast("long").alias("n_lines"))
