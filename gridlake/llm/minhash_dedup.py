@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, materialize, sized, text_bytes
+from .common import blocks, materialize, sized, slices, text_bytes, whole_texts
 from .graph import components
 from .shingles import U, mix, shingle_sets
 
@@ -74,7 +74,7 @@ _SKETCH = "id long, n_shingles long, fp1 long, fp2 long, bands array<long>"
 
 def _sketch_batches(width: int):
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             ids, (buf, offs) = batch.column(0), text_bytes(batch.column(1))
             for a, b in blocks(offs):
                 elems, first = shingle_sets(buf[offs[a] : offs[b]], offs[a : b + 1] - offs[a], width)
@@ -100,7 +100,7 @@ def _sketch_batches(width: int):
 
 def _set_batches(width: int):
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             ids, (buf, offs) = batch.column(0), text_bytes(batch.column(1))
             for a, b in blocks(offs):
                 elems, first = shingle_sets(buf[offs[a] : offs[b]], offs[a : b + 1] - offs[a], width)
@@ -113,7 +113,7 @@ def _set_batches(width: int):
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """``(id, n_shingles, component_id, kept)`` per row: links are pairs with 100 |A & B| >= percent |A | B| over the
     distinct shingles of ``width`` words; ``kept`` marks the smallest id of a component."""
-    spark = df.sparkSession
+    whole_texts(df.sparkSession)
     src = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     docs = materialize(src.mapInArrow(_sketch_batches(width), _SKETCH), "sketch")
 

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, text_bytes, worker_cache
+from .common import blocks, slices, text_bytes, whole_texts, worker_cache
 
 ORDER = 3
 #: Bound of the training sample: rows per language, drawn by a hash of the id; and of the languages.
@@ -33,7 +33,7 @@ MAX_ROWS_PER_LANGUAGE = 1000
 MAX_LANGUAGES = 100
 #: Byte pairs that the order-3 tables index densely: the most frequent ones of the sample. Texts with other pairs
 #: are scored by the same formulas from the sparse counts.
-MAX_PAIRS = 2500
+MAX_PAIRS = 2000
 UNDETERMINED = "und"
 _UNIT = 256  # code lengths in 1/256 bit
 
@@ -42,7 +42,7 @@ def _count_batches(order: int):
     """(lang, n-gram as a number with its length on top, count) of each batch of training rows."""
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             langs = np.array(batch.column(0).to_pylist(), dtype=object)
             buf, offs = text_bytes(batch.column(1))
             for lang in sorted(set(langs)):
@@ -77,6 +77,7 @@ def _gram(b: np.ndarray, k: int) -> np.ndarray:
 def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
           max_rows: int = MAX_ROWS_PER_LANGUAGE) -> dict:
     """Frozen counts per language from at most ``max_rows`` rows of each language, whole texts, drawn by a hash of the id."""
+    whole_texts(df.sparkSession)
     rows = df.select(
         F.col(f"`{lang_col}`").cast("string").alias("lang"), F.col(f"`{text_col}`").cast("string").alias("text"), F.xxhash64(F.col(f"`{id_col}`").cast("string")).alias("h")
     ).filter("lang is not null and text is not null")
@@ -178,6 +179,7 @@ class _Tables:
                 part[:, : min(4, L - 4 * g)] = fixed[:, 4 * g : 4 * g + 4]
                 self.packed[g][p * P : p * P + len(best)] = part.view(np.int64)[:, 0]
         self.L = L
+        self.cost2 = None  # the sparse counts serve the rest
 
     @staticmethod
     def _order(lower: np.ndarray, c: np.ndarray, cell: np.ndarray, ctx: np.ndarray, width: int) -> np.ndarray:
@@ -189,7 +191,7 @@ class _Tables:
         np.add.at(d, ctx, (c > 0).astype(float))
         with np.errstate(divide="ignore", invalid="ignore"):
             escape = np.where(n > 0, -np.log2(d / (n + d)), 0.0)
-            out = lower + np.repeat(escape, width, axis=0)[:m]
+            out = (lower.reshape(-1, width, L) + escape[:, None, :]).reshape(m, L)
             out[cell] = np.where(c > 0, -np.log2(c / (n[ctx] + d[ctx])), out[cell])
         return out
 
@@ -269,7 +271,7 @@ def _score_batches(model, key: str):
             cache.clear()
             cache[key] = _Tables(model.value)
         t, langs = cache[key], model.value["langs"]
-        for batch in batches:
+        for batch in slices(batches):
             buf, offs = text_bytes(batch.column(batch.num_columns - 2))
             letter = batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False)
             best = np.zeros(len(offs) - 1, np.int64)
@@ -289,6 +291,7 @@ def _score_batches(model, key: str):
 
 def predict(df: DataFrame, model: dict, text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
     """The columns ``carry`` (default: all) with ``lang_pred`` and ``score`` of the whole text."""
+    whole_texts(df.sparkSession)
     text = F.col(f"`{text_col}`").cast("string")
     carry = [c for c in (df.columns if carry is None else carry) if c.lower() not in ("lang_pred", "score")]
     has_letter = F.coalesce(text.rlike(r"\p{L}"), F.lit(False))

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, materialize, text_bytes
+from .common import blocks, materialize, slices, text_bytes, whole_texts
 from .shingles import U, mix, word_hashes, word_spans
 
 FEATURES = 1 << 15
@@ -59,7 +59,7 @@ def _feature(words: np.ndarray) -> np.ndarray:
 def _frequency_batches(batches):
     """Partial document frequencies of one task: (feature, n)."""
     total, docs = np.zeros(FEATURES, np.int64), 0
-    for batch in batches:
+    for batch in slices(batches):
         buf, offs = text_bytes(batch.column(0))
         for a, b in blocks(offs):
             w, first = _words(buf[offs[a] : offs[b]], offs[a : b + 1] - offs[a])
@@ -93,7 +93,7 @@ def _gram_batches(q, idf):
     def run(batches):
         basis, weight = q.value, idf.value
         out = np.zeros((FEATURES, basis.shape[1]), np.float32)
-        for batch in batches:
+        for batch in slices(batches):
             buf, offs = text_bytes(batch.column(0))
             for a, b in blocks(offs, 1 << 19):
                 w, first = _words(buf[offs[a] : offs[b]], offs[a : b + 1] - offs[a])
@@ -187,7 +187,7 @@ def _prepare(ids: list, texts: list[str], fold: np.ndarray, idf: np.ndarray) ->
 def _search_batches(items):
     def run(batches):
         it = items.value
-        for batch in batches:
+        for batch in slices(batches):
             ids, (buf, offs) = batch.column(0), text_bytes(batch.column(1))
             for a, b in blocks(offs, 1 << 19):
                 w, first = _words(buf[offs[a] : offs[b]], offs[a : b + 1] - offs[a])
@@ -273,6 +273,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     ``id, item, cosine, lcs, item_words, answer_share, begin_word, kind``."""
     spark = docs.sparkSession
     sc = spark.sparkContext
+    whole_texts(spark)
     src = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text")).filter("text is not null")
     items = benchmark.select(F.col(f"`{item_col}`").cast("long").alias("item"), F.col(f"`{item_text_col}`").cast("string").alias("text")).filter("text is not null")
     schema = "id long, item long, cosine double, lcs long, item_words long, answer_share double, begin_word long, kind string"
