@@ -226,16 +226,21 @@ def _search(it: SimpleNamespace, w: np.ndarray, first: np.ndarray) -> list[tuple
     known = np.where(it.vocabulary[known] == w, known, len(it.vocabulary))
     best: dict[tuple[int, int], tuple] = {}
     for m, own, q in it.steps:
+        # windows of each document: one every stride from its start and one that ends with it; a shorter document is one window
         stride = max(1, m // 4)
-        v = run[m::stride] - run[: len(run) - m : stride] if len(sums) >= m else run[-1:] - run[:1]
+        rest = np.maximum(groups - m, 0)
+        n_windows = np.where(groups > 0, -(-rest // stride) + 1, 0)
+        doc = np.repeat(np.arange(len(groups)), n_windows)
+        turn = np.arange(len(doc)) - np.repeat(np.cumsum(n_windows) - n_windows, n_windows)
+        begins = start[doc] + np.minimum(turn * stride, rest[doc])
+        v = run[begins + np.minimum(m, groups[doc])] - run[begins]
         norm = np.maximum(np.sqrt(np.einsum("ij,ij->i", v, v)), 1e-6)
         cos = v @ q
         rows, cols = np.nonzero(cos >= (MIN_COSINE * norm)[:, None])
         if len(rows) == 0:
             continue
         value = cos[rows, cols] / norm[rows]
-        at = rows * stride
-        docs = np.searchsorted(start, np.minimum(at + m // 2, len(sums) - 1), "right") - 1
+        at, docs = begins[rows], doc[rows]
         # word range of each window, a little wider, inside its document
         lo, hi = first[docs], first[docs + 1]
         margin = m * GROUP // 4 + GROUP

@@ -5,13 +5,18 @@ from __future__ import annotations
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from gridlake.llm.semantic_decontam import (
     ANSWER_SHARE,
     COPY_SHARE,
+    FEATURES,
     PARAPHRASE_SHARE,
+    _prepare,
+    _search,
+    _words,
     contaminated,
     lcs_length,
 )
@@ -63,3 +68,32 @@ def test_paraphrases_are_found_at_each_share_of_kept_words(spark, passages_bench
     for share in (0.9, 0.8, 0.7, 0.62):
         cases = _accepted(passages_benchmark, _planted(passages_benchmark, share, 200, False, 11))
         assert len(cases) > 100 and _recall(spark, passages_benchmark, cases) >= 0.9
+
+
+def test_items_at_the_end_of_a_text(spark, passages_benchmark):
+    # each document is a block of its own, as a text of over 512 KB is
+    items, rows = passages_benchmark, []
+    it = _items_prepared(items)
+    for i, text in _planted(items, 1.0, 300, True, 12):
+        raw = text.encode()
+        w, first = _words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+        rows.append(any(x[1] == i for x in _search(it, w, first)))
+    assert all(rows)
+
+
+def test_windows_do_not_depend_on_the_neighbours(passages_benchmark):
+    it = _items_prepared(passages_benchmark)
+    cases = [x for _, x in _planted(passages_benchmark, 0.75, 60, True, 13)]
+
+    def found(texts):
+        raw = [t.encode() for t in texts]
+        w, first = _words(np.frombuffer(b"".join(raw), np.uint8), np.concatenate(([0], np.cumsum([len(x) for x in raw]))))
+        return {(texts[x[0]], x[1]) for x in _search(it, w, first)}
+
+    assert found(cases) == set().union(*(found([x]) for x in cases))
+
+
+def _items_prepared(items):
+    rng = np.random.default_rng(3)
+    fold = rng.standard_normal((FEATURES, 64)).astype(np.float32)
+    return _prepare(list(range(len(items))), items, fold, np.ones(FEATURES))
