@@ -1,8 +1,8 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 1. Document frequencies of hashed words over all documents (one pass, partial counts per task).
-2. Right singular vectors of the TF-IDF matrix of passages by a randomised SVD: two passes of A'(A Q) over a bounded,
-   hash-drawn sample of documents and all benchmark items; the row blocks of the sums are added up by Spark, only a
+2. Right singular vectors of the TF-IDF matrix of passages by a randomised SVD: three passes of A'(A Q) over all
+   documents and all benchmark items; the row blocks of the sums are added up by Spark, only a
    (features x rank) matrix, whose size is a parameter, meets on the driver.
 3. One pass over all whole texts: windows of about each item's length, a fresh one every quarter, are folded into the
    whitened latent space and compared with the items by cosine. Windows at or above ``MIN_COSINE`` are candidates.
@@ -20,6 +20,7 @@ clashing names don't matter, only id and text columns are read.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from types import SimpleNamespace
 
 import numpy as np
@@ -27,13 +28,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, materialize, slices, text_bytes, whole_texts
+from .common import blocks, slices, text_bytes, whole_texts
 from .shingles import U, mix, word_hashes, word_spans
 
 FEATURES = 1 << 15
 RANK, OVERSAMPLE = 64, 8
-#: The decomposition's sample: documents drawn by a hash of the id; passages of this many words.
-MAX_SAMPLE_DOCS = 2000
+#: Words of a passage, a row of the decomposed matrix.
 PASSAGE_WORDS = 32
 MAX_ITEMS = 2_000
 #: Words of a group; windows are whole numbers of groups.
@@ -92,43 +92,60 @@ def _gram_batches(q, idf):
     """Row blocks of A'(A Q), summed over the passages of one task. Rows of A have unit length."""
 
     def run(batches):
-        basis, weight = q.value, idf.value
-        out = np.zeros((FEATURES, basis.shape[1]), np.float32)
+        basis, weight = q.value, np.append(idf.value, 0).astype(np.float32)
+        weighted = basis * weight[:FEATURES, None]
+        weighted = np.vstack([weighted, np.zeros((1, basis.shape[1]), np.float32)])
+        out = np.zeros((basis.shape[1], FEATURES))
         for batch in slices(batches):
             buf, offs = text_bytes(batch.column(0))
-            for a, b in blocks(offs, 1 << 19):
+            for a, b in blocks(offs):
                 w, first = _words(buf[offs[a] : offs[b]], offs[a : b + 1] - offs[a])
                 if len(w) == 0:
                     continue
                 p, f = _passages(w, first)
-                cell, n = np.unique(p * FEATURES + f, return_counts=True)
-                p, f = cell // FEATURES, cell % FEATURES
-                x = (n * weight[f]).astype(np.float32)
-                start = np.flatnonzero(np.concatenate(([True], p[1:] != p[:-1])))
-                norm = np.sqrt(np.add.reduceat(x * x, start))
-                x /= np.repeat(np.maximum(norm, 1e-9), np.diff(np.append(start, len(p))))
-                y = np.add.reduceat(basis[f] * x[:, None], start, axis=0)
-                np.add.at(out, f, np.repeat(y, np.diff(np.append(start, len(p))), axis=0) * x[:, None])
+                begins = np.flatnonzero(np.concatenate(([True], p[1:] != p[:-1])))
+                # one row of words per passage, free places hold FEATURES, a zero row
+                slot = np.full((len(begins), PASSAGE_WORDS), FEATURES, np.uint16)
+                slot[p, np.arange(len(p)) - begins[p]] = f
+                y = weighted[slot[:, 0]]
+                for k in range(1, PASSAGE_WORDS):
+                    y += weighted[slot[:, k]]
+                # lengths of the rows of A: equal words of a passage stand together
+                slot.sort(axis=1)
+                fresh = np.ones(slot.shape, bool)
+                fresh[:, 1:] = slot[:, 1:] != slot[:, :-1]
+                at = np.flatnonzero(fresh)
+                x = np.diff(np.append(at, fresh.size)) * weight[slot.ravel()[at]]
+                norm = np.sqrt(np.bincount(at // PASSAGE_WORDS, x * x, len(slot)))
+                y /= np.maximum(norm, 1e-9).astype(np.float32)[:, None] ** 2
+                for j, column in enumerate(y.T.astype(np.float64)):
+                    out[j] += np.bincount(f, np.take(column, p), FEATURES)
+        out = (out.T * weight[:FEATURES, None]).astype(np.float32)
         parts = [out[i : i + _BLOCK_ROWS].tobytes() for i in range(0, FEATURES, _BLOCK_ROWS)]
         yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.binary())], names=["block", "part"])
 
     return run
 
 
-def _sum_blocks(group: pa.Table) -> pa.Table:
-    total = sum(np.frombuffer(x, np.float32).astype(np.float64) for x in group.column("part").to_pylist())
-    return pa.table({"block": group.column("block").slice(0, 1), "part": pa.array([total.astype(np.float32).tobytes()], pa.binary())})
+def _sum_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sum of one row block, whatever the number of tasks: their parts are read one after another."""
+    block, total = None, 0.0
+    for batch in batches:
+        for i in range(batch.num_rows):
+            block = batch.column("block").slice(0, 1)
+            total = total + np.frombuffer(batch.column("part")[i].as_buffer(), np.float32).astype(np.float64)
+    yield pa.RecordBatch.from_arrays([block, pa.array([total.astype(np.float32).tobytes()], pa.binary())], names=["block", "part"])
 
 
-def _latent(sample: DataFrame, idf: np.ndarray, rank: int) -> np.ndarray:
+def _latent(passages: DataFrame, idf: np.ndarray, rank: int) -> np.ndarray:
     """Features x rank: right singular vectors, whitened by their singular values."""
-    sc = sample.sparkSession.sparkContext
+    sc = passages.sparkSession.sparkContext
     q = np.random.default_rng(7).standard_normal((FEATURES, rank + OVERSAMPLE)).astype(np.float32)
     weight = sc.broadcast(idf)
 
     def apply(q: np.ndarray) -> np.ndarray:
         sent = sc.broadcast(q)
-        parts = sample.mapInArrow(_gram_batches(sent, weight), "block int, part binary")
+        parts = passages.mapInArrow(_gram_batches(sent, weight), "block int, part binary")
         rows = parts.groupBy("block").applyInArrow(_sum_blocks, "block int, part binary").collect()
         return np.concatenate([np.frombuffer(r["part"], np.float32).reshape(-1, q.shape[1]) for r in sorted(rows, key=lambda r: r["block"])]) if rows else np.zeros_like(q)
 
@@ -289,10 +306,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     df = np.zeros(FEATURES)
     df[f[f < FEATURES]] = n[f < FEATURES]
     idf = np.log((total + 1) / (df + 1)) + 1e-3
-    share = min(1.0, MAX_SAMPLE_DOCS / max(total, 1))
-    drawn = src.filter(F.xxhash64("id") <= int(-(2**63) + share * 2.0**64 * (1 - 2**-50))) if share < 1 else src
-    sample = materialize(drawn.select("text").union(items.select("text").filter(F.abs(F.xxhash64("item")) % F.lit(1_000_000) < _item_rate(items))), "passages")
-    fold = (_latent(sample, idf, RANK) * idf[:, None]).astype(np.float32)
+    # Each task sends a whole (features x rank) sum, so there are two tasks a core, whatever the number of partitions.
+    passages = src.select("text").unionByName(items.select("text")).coalesce(2 * sc.defaultParallelism)
+    fold = (_latent(passages, idf, RANK) * idf[:, None]).astype(np.float32)
     many = items.count()
     found = None
     turns = max(1, -(-many // MAX_ITEMS) * (1 if many <= MAX_ITEMS else 2))
@@ -303,7 +319,3 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         found = hits if found is None else found.unionByName(hits)
     return found
 
-
-def _item_rate(items: DataFrame) -> int:
-    """Millionths of the items that join the decomposition's sample: all of up to MAX_ITEMS."""
-    return int(1_000_000 * min(1.0, MAX_ITEMS / max(items.count(), 1)))

@@ -6,14 +6,19 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from gridlake.llm import semantic_decontam
 from gridlake.llm.semantic_decontam import (
     ANSWER_SHARE,
     COPY_SHARE,
     FEATURES,
     PARAPHRASE_SHARE,
+    PASSAGE_WORDS,
+    _feature,
+    _gram_batches,
     _prepare,
     _search,
     _words,
@@ -97,3 +102,44 @@ def _items_prepared(items):
     rng = np.random.default_rng(3)
     fold = rng.standard_normal((FEATURES, 64)).astype(np.float32)
     return _prepare(list(range(len(items))), items, fold, np.ones(FEATURES))
+
+
+def test_decomposition_sums_over_all_passages(spark):
+    # dense reference of A'(A Q): more documents than any sample, and their order must not matter
+    r = random.Random(4)
+    texts = [" ".join(f"w{r.randrange(300)}" for _ in range(r.randrange(1, 80))) for _ in range(2600)]
+    idf, q = np.linspace(0.5, 2, FEATURES), np.random.default_rng(1).standard_normal((FEATURES, 5)).astype(np.float32)
+
+    class Sent:
+        def __init__(self, value):
+            self.value = value
+
+    parts = list(_gram_batches(Sent(q), Sent(idf))(iter([pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])])))
+    got = np.concatenate([np.frombuffer(x, np.float32).reshape(-1, 5) for x in parts[0].column("part").to_pylist()])
+    want = np.zeros((FEATURES, 5))
+    for t in texts:
+        raw = t.encode()
+        f = _feature(_words(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))[0])
+        for k in range(0, len(f), PASSAGE_WORDS):
+            feature, n = np.unique(f[k : k + PASSAGE_WORDS], return_counts=True)
+            x = n * idf[feature]
+            x /= np.linalg.norm(x)
+            want[feature] += x[:, None] * (x @ q[feature])
+    assert np.allclose(got, want, rtol=1e-3, atol=1e-3)
+
+
+def test_words_outside_any_sample_have_latent_directions(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(semantic_decontam, "_latent", lambda passages, idf, rank: seen.append(passages.count()) or np.zeros((FEATURES, rank), np.float32))
+    docs = spark.range(5000).selectExpr("id doc_id", "concat('some words of document ', id) text")
+    items = spark.range(2500).selectExpr("id item_id", "concat('an item of the benchmark number ', id) text")
+    contaminated(docs, items)
+    assert seen == [7500]
+
+
+def test_recall_with_a_benchmark_of_more_than_one_block(spark):
+    r = random.Random(8)
+    items = [" ".join(f"{r.choice('bdfgklmnprst')}{r.choice('aeiou')}{r.choice('bdfgklmnprst')}{r.choice('aeiou')}{r.randrange(9)}" for _ in range(30)) for _ in range(2100)]
+    for share in (0.9, 0.7):
+        cases = _accepted(items, _planted(items, share, 200, False, 9))
+        assert len(cases) > 100 and _recall(spark, items, cases) >= 0.9
