@@ -1,10 +1,12 @@
 """Quotation linking: quoted passages lead each message to the one it answers, and conversations come out without quotes.
 
 A line's quote level is the number of its leading ``>``. Paragraphs of one level, and their longer lines, are normalised (lower case,
-letters and digits only) and hashed. Unquoted passages are a message's own; each passage belongs to the first message (by
-id) of its scope that wrote it. A message's passages of level 1 vote, by their length, for the messages they belong to; the most votes
-make the parent (ties: the smallest id), which must be an earlier message. So the join is many to one for any number of equal
-passages, and the links form trees. Roots and depths follow by pointer jumping, positions (by depth, then id) by a range-sorted table
+letters and digits only) and hashed. Unquoted passages are a message's own. A passage's context is the last passage before it, one level
+deeper, in the same message: what it answers. The passages of a message's shallowest quote level (k) vote, by their length, each for the
+latest earlier message of the scope that has it at level k - 1 in the same context, else for the latest that has it at level k - 1, else for the
+latest that has it as its own. So turns that repeat are told apart by what they answer. The most votes
+make the parent (ties: the smallest id), which is an earlier message, so the links form trees. The latest earlier message is found in a range-sorted
+table whose partitions hand their last one on: equal passages neither multiply nor meet in one task. Roots and depths follow by pointer jumping, positions (by depth, then id) by a range-sorted table
 whose partitions are numbered and offset, so no conversation meets in one task.
 
 Cases: a null or empty text has no passages and no parent, its own text is null or empty; a passage without letters or digits is not
@@ -60,11 +62,15 @@ def _passage_batches(batches):
     for batch in batches:
         rows = []
         for scope, key, text in zip(*(batch.column(i).to_pylist() for i in range(3))):
-            for level, words in sorted(set(passages(text or ""))):
+            last, seen = {}, set()
+            for level, words in passages(text or ""):
                 digest = hashlib.blake2b(words.encode(), digest_size=16).hexdigest()
-                rows.append((scope, key, level, digest, len(words)))
-        types = [pa.string(), pa.int64(), pa.int32(), pa.string(), pa.int64()]
-        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], names=["scope", "id", "level", "hash", "weight"])
+                last[level] = digest
+                if (level, digest) not in seen:
+                    seen.add((level, digest))
+                    rows.append((scope, key, level, digest, len(words), last.get(level + 1, "")))
+        types = [pa.string(), pa.int64(), pa.int32(), pa.string(), pa.int64(), pa.string()]
+        yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], names=["scope", "id", "level", "hash", "weight", "context"])
 
 
 def _own_batches(batches):
@@ -73,14 +79,40 @@ def _own_batches(batches):
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(own, pa.string())], names=["scope", "id", "text"])
 
 
+def _latest(writers: DataFrame, readers: DataFrame, keys: list[str]) -> DataFrame:
+    """``readers`` with ``parent``: the largest smaller id among the writers of the same keys, or null."""
+    cols = [*readers.columns, "parent"]
+    known = writers.select(*keys, "id").distinct().withColumn("parent", F.col("id"))
+    both = readers.withColumn("parent", F.lit(None).cast("long")).unionByName(known, allowMissingColumns=True)
+    both = both.withColumn("writes", F.col("parent").isNotNull())
+    order = [*keys, "id", "writes"]
+    both = both.repartitionByRange(*order).sortWithinPartitions(*order)
+    both = materialize(both.withColumn("part", F.spark_partition_id()), "as-of")
+    before = Window.partitionBy(*keys).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = both.groupBy(*keys, "part").agg(F.max("parent").alias("m")).select(*keys, "part", F.max("m").over(before).alias("carried")).filter("carried is not null")
+    inside = Window.partitionBy(*keys, "part").orderBy("id", "writes").rowsBetween(Window.unboundedPreceding, -1)
+    near = both.withColumn("near", F.max("parent").over(inside)).filter("not writes").drop("parent")
+    return near.join(carried, [*keys, "part"], "left").withColumn("parent", F.coalesce("near", "carried")).select(*cols)
+
+
 def threads(df: DataFrame, id_col: str, text_col: str, scope_col: str | None = None) -> DataFrame:
     """``scope, id, parent, root, depth, position, text`` per message; links stay within a scope (none: one for all)."""
     scope = F.lit("") if scope_col is None else F.coalesce(F.col(f"`{scope_col}`").cast("string"), F.lit(""))
     src = df.select(scope.alias("scope"), F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     src = materialize(src.filter("id is not null").groupBy("scope", "id").agg(F.min("text").alias("text")), "messages")
-    found = materialize(src.mapInArrow(_passage_batches, "scope string, id long, level int, hash string, weight long"), "passages")
-    first = found.filter("level = 0").groupBy("scope", "hash").agg(F.min("id").alias("parent"))
-    votes = found.filter("level = 1").join(first, ["scope", "hash"]).filter("parent < id").groupBy("scope", "id", "parent").agg(F.sum("weight").alias("w"))
+    found = materialize(src.mapInArrow(_passage_batches, "scope string, id long, level int, hash string, weight long, context string"), "passages")
+    # readers: the passages of each message's shallowest quote level, sought one level higher
+    quoted = found.filter("level > 0")
+    shallow = quoted.groupBy("scope", "id").agg(F.min("level").alias("level"))
+    left = quoted.join(shallow, ["scope", "id", "level"]).withColumn("level", F.col("level") - 1)
+    linked = None
+    for keys, writers in ((["scope", "hash", "level", "context"], found), (["scope", "hash", "level"], found), (["scope", "hash"], found.filter("level = 0"))):
+        asked = materialize(_latest(writers, left, keys), "asked")
+        linked = asked if linked is None else linked.filter("parent is not null").unionByName(asked)
+        left = asked.filter("parent is null").drop("parent")
+        if left.isEmpty():
+            break
+    votes = linked.filter("parent is not null").groupBy("scope", "id", "parent").agg(F.sum("weight").alias("w"))
     best = votes.groupBy("scope", "id").agg(F.max(F.struct("w", (-F.col("parent")).alias("p"))).alias("b")).select("scope", "id", (-F.col("b.p")).alias("parent"))
     links = materialize(src.select("scope", "id").join(best, ["scope", "id"], "left"), "replies")
     tree = links.select("scope", "id", "parent", F.coalesce("parent", "id").alias("top"), F.col("parent").isNotNull().cast("long").alias("depth"), F.col("parent").isNull().alias("done"))

@@ -213,6 +213,30 @@ def test_threads_branch_and_share_a_common_line(spark):
     assert out == {1: (None, 1, 0, 0), 2: (1, 1, 1, 1), 3: (1, 1, 1, 2), 4: (3, 1, 2, 3), 5: (None, 5, 0, 0), 6: (None, 6, 0, 0)}
 
 
+def test_threads_tell_repeated_turns_apart(spark):
+    rows = [
+        (1, "Shall we meet on Monday?"),
+        (2, "> Shall we meet on Monday?\nThanks."),
+        (3, ">> Shall we meet on Monday?\n> Thanks.\nAnd what about Friday?"),
+        (4, ">> Thanks.\n> And what about Friday?\nThanks."),
+        (5, ">> And what about Friday?\n> Thanks.\nSee you on Friday then."),
+        (6, ">> Shall we meet on Monday?\n> Thanks.\nMonday is fine for me too."),
+        (7, "> Thanks.\nWhich of the two answers?"),
+        (8, ">> And what about Friday?\nOnly the deeper quote is left here."),
+        (9, ">>> Shall we meet on Monday?\nNobody keeps it at the second level but these."),
+        (10, "A line of one author."),
+        (11, ">> A line of one author.\nThe message between is lost."),
+    ]
+    out = {r.id: r.parent for r in threads(spark.createDataFrame(rows, "m long, body string"), "m", "body").collect()}
+    assert out == {1: None, 2: 1, 3: 2, 4: 3, 5: 4, 6: 2, 7: 4, 8: 4, 9: 6, 10: None, 11: 10}
+
+
+def test_a_common_turn_links_to_the_latest_earlier_one(spark):
+    rows = [(i, "The same words in every turn" if i % 2 else "> The same words in every turn\nAnswer number %d" % i) for i in range(1, 401)]
+    out = {r.id: r.parent for r in threads(spark.createDataFrame(rows, "m long, body string"), "m", "body").collect()}
+    assert out == {i: None if i % 2 else i - 1 for i in range(1, 401)}
+
+
 def test_licences_over_lines_and_near_matches(spark):
     rows = [
         (1, "Some words.\nLicensed under the Apache\nLicense, Version 2.0.\nMore words."),
