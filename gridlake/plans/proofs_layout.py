@@ -92,12 +92,18 @@ def q_fingerprint(spark: SparkSession, d: str) -> DataFrame:
     return both.agg(F.min("n_rows").alias("n_rows"), (F.count_distinct("n_rows", "fingerprint") == 1).alias("same"))
 
 
+#: Most folders that are expected by name; more are an error.
+MAX_SOURCES = 1000
+
+
 @proof("missing_sources", "SELECT 'event_type=' || min(event_type) AS source FROM events", ("E-01",))
 def q_missing_sources(spark: SparkSession, d: str) -> DataFrame:
     """One folder per event type; the first type's folder is not delivered."""
     root = scratch_path(spark, "landing-zone")
     events = table(spark, d, "events")
-    types = [r[0] for r in events.select("event_type").distinct().orderBy("event_type").limit(1000).collect()]
+    types = [r[0] for r in events.select("event_type").distinct().orderBy("event_type").limit(MAX_SOURCES + 1).collect()]
+    if len(types) > MAX_SOURCES:
+        raise ValueError(f"more than {MAX_SOURCES} event types: too many folders to expect")
     events.filter(F.col("event_type") != types[0]).write.partitionBy("event_type").options(**TEXT_WRITE_OPTIONS).json(root)
     missing = ex.missing_sources(list_files(spark, root, "part-*"), source_name("path", 2), [f"event_type={t}" for t in types])
     return missing.select(F.col(missing.columns[0]).alias("source"))
@@ -107,6 +113,10 @@ def q_missing_sources(spark: SparkSession, d: str) -> DataFrame:
 _FORMATS = {"csv": "n_nationkey % 3 = 0", "json": "n_nationkey % 3 = 1", "parquet": "n_nationkey % 3 = 2", "orc": "n_nationkey > 1000"}
 
 
+#: The formats of the written orders, by key, in the same way: none is left out, and the last format gets none.
+_ORDER_FORMATS = {f: rule.replace("n_nationkey % 3", "pmod(coalesce(o_orderkey, 0), 3)").replace("n_nationkey > 1000", "false") for f, rule in _FORMATS.items()}
+
+
 @proof(
     "formats_present",
     " UNION ALL ".join(f"SELECT '{f}' AS format WHERE NOT EXISTS (SELECT 1 FROM nation WHERE {rule})" for f, rule in _FORMATS.items()),
@@ -114,8 +124,8 @@ _FORMATS = {"csv": "n_nationkey % 3 = 0", "json": "n_nationkey % 3 = 1", "parque
 )
 def q_formats_present(spark: SparkSession, d: str) -> DataFrame:
     root = scratch_path(spark, "landing-formats")
-    for fmt, rule in _FORMATS.items():
-        part = table(spark, d, "nation").filter(rule)
+    for fmt, rule in _ORDER_FORMATS.items():
+        part = table(spark, d, "orders").filter(rule)
         if not part.isEmpty():
             part.write.format(fmt).options(**({"header": "true"} if fmt == "csv" else {})).save(f"{root}/{fmt}")
     missing = ex.formats_present(list_files(spark, root, "part-*"), "path", list(_FORMATS))

@@ -55,3 +55,21 @@ def test_republish_partitioned_table_reads_only_new_version(spark, tmp_root):
     assert spark.table(name).count() == 100
     publish(spark.table(name).filter("id < 10"), name, f"{tmp_root}/wh", partition_by=["p"])
     assert sorted(r["id"] for r in spark.table(name).collect()) == list(range(10))
+
+
+def test_formats_present_reads_orders(spark, tmp_root):
+    from gridlake.plans.proofs_layout import q_formats_present
+
+    spark.range(1, 7).selectExpr("3 * id o_orderkey", "'x' o_comment").write.parquet(f"{tmp_root}/orders.parquet")
+    spark.range(25).selectExpr("cast(id as int) n_nationkey").write.parquet(f"{tmp_root}/nation.parquet")
+    assert {r.format for r in q_formats_present(spark, tmp_root).collect()} == {"json", "parquet", "orc"}
+
+
+def test_too_many_sources_are_an_error(spark, tmp_root):
+    import pytest
+
+    from gridlake.plans.proofs_layout import q_missing_sources
+
+    spark.range(1001).selectExpr("id event_id", "concat('type', id) event_type").write.parquet(f"{tmp_root}/events.parquet")
+    with pytest.raises(ValueError):
+        q_missing_sources(spark, tmp_root)
