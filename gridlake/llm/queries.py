@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from .common import tables
 from .best_fit_pack import cut_pieces, place
+from .eigen_whitening import whiten
 from .kd_shards import kd_shards
 from .license_dice import scan
 from .minhash_dedup import near_duplicates
@@ -88,7 +89,18 @@ def op10_zip_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op13_eigen_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, model = whiten(tables(spark, sf_dir, "embeddings"), "vec_id", "embedding")
+    explained = F.array(*map(F.lit, model["explained"])).cast("array<double>")
+    each = rows.select(F.col("id").alias("vec_id"), "deviation", F.posexplode("whitened").alias("place", "whitened"))
+    return each.select(
+        "vec_id", (F.col("place") + 1).cast("int").alias("component"), F.lit(model["n"]).cast("long").alias("n"), "deviation", "whitened",
+        F.get(explained, F.col("place")).alias("explained"), F.lit(model["identity_error"]).cast("double").alias("identity_error"),
+    )
+
+
 QUERIES = {
+    "op13_eigen_whitening": op13_eigen_whitening,
     "op6_license_dice": op6_license_dice,
     "op8_quote_threads": op8_quote_threads,
     "op10_zip_warc": op10_zip_warc,
