@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from .common import tables
 from .best_fit_pack import cut_pieces, place
+from .bulk_best_fit import bulk_best_fit, window_pieces
 from .eigen_whitening import whiten
 from .kd_shards import kd_shards
 from .license_dice import scan
@@ -89,6 +90,12 @@ def op10_zip_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op12_bulk_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = window_pieces(tables(spark, sf_dir, "documents"))
+    placed = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids").join(bulk_best_fit(pieces), "key")
+    return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 def op13_eigen_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows, model = whiten(tables(spark, sf_dir, "embeddings"), "vec_id", "embedding")
     explained = F.array(*map(F.lit, model["explained"])).cast("array<double>")
@@ -100,6 +107,7 @@ def op13_eigen_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op12_bulk_best_fit": op12_bulk_best_fit,
     "op13_eigen_whitening": op13_eigen_whitening,
     "op6_license_dice": op6_license_dice,
     "op8_quote_threads": op8_quote_threads,
