@@ -3,7 +3,7 @@
 1. Lattice. An entry c becomes floor(scale * c) + offset, an integer, so that counts and sums are exact. The vectors' dimension is
    the most frequent length (ties: the larger); a vector of another length is left out like one with a null or non-finite entry.
 2. Spectra. Each task holds count, mean, eigenvalues and eigenvectors of its scatter matrix. It takes in vectors by centred rank-one updates, after
-   reducing each block of ``BLOCK`` x dimension vectors to the rows of its triangular factor (a quarter of the updates, the same sum). An update D + z z' is deflated (entries of z that are negligible; equal eigenvalues, rotated so that one of them keeps all of
+   reducing each block of ``BLOCK`` x dimension vectors to the rows of its triangular factor (a sixteenth of the updates, the same sum). An update D + z z' is deflated (entries of z that are negligible; equal eigenvalues, rotated so that one of them keeps all of
    z), the secular equation is solved for all remaining roots at once, each from its nearer pole, and the eigenvectors follow from a z that is
    computed back from the roots (Gu and Eisenstat), so that they stay orthogonal.
 3. Tasks' spectra are combined ``FAN_IN`` at a time, in rounds: every eigenpair of one is a rank-one update of the other, and the
@@ -32,7 +32,7 @@ from .common import materialize, slices, whole_texts
 SCALE, OFFSET = 64, 1_000_000
 COMPONENTS = 32
 #: Vectors of a block, as a multiple of the dimension: it becomes at most one rank-one update a dimension.
-BLOCK = 4
+BLOCK = 16
 #: Spectra that one task combines in a round.
 FAN_IN = 8
 _LIMIT = float(1 << 40)
