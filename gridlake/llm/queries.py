@@ -18,6 +18,7 @@ from .ppm_language import held_out, predict, train
 from .quality_lines import clean_lines
 from .quote_threads import threads
 from .semantic_decontam import contaminated
+from .spelling_variants import spelling_variants, vocabulary
 from .token_transducer import count_tokens
 from .zip_warc import read_packages, write_packages
 
@@ -90,6 +91,10 @@ def op10_zip_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(vocabulary(tables(spark, sf_dir, "documents")))
+
+
 def op12_bulk_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = window_pieces(tables(spark, sf_dir, "documents"))
     placed = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids").join(bulk_best_fit(pieces), "key")
@@ -107,6 +112,7 @@ def op13_eigen_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op11_spelling_variants": op11_spelling_variants,
     "op12_bulk_best_fit": op12_bulk_best_fit,
     "op13_eigen_whitening": op13_eigen_whitening,
     "op6_license_dice": op6_license_dice,
