@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import gridlake
-from gridlake.session import scratch_path
+from gridlake.session import drop_path, scratch_path
 
 # Task functions travel with the plan, so executors need no copy of this package.
 cloudpickle.register_pickle_by_value(gridlake)
@@ -31,7 +31,23 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{tag}")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.scratch = path
+    return table
+
+
+def release(*written: DataFrame) -> None:
+    """Removes tables of ``materialize`` that nothing reads any more: call it when what was made of them is written itself."""
+    for table in written:
+        drop_path(table.sparkSession, table.scratch)
+    drop_garbage(written[0].sparkSession)
+
+
+def drop_garbage(spark: SparkSession) -> None:
+    """Lets Spark's cleaner remove the shuffle files of results that nothing refers to any more; it waits for a collection of the
+    driver's heap, which may be hours away. Call it after a job that shuffled much, when its frames are out of use."""
+    gc.collect()
+    spark.sparkContext._jvm.java.lang.System.gc()
 
 
 def sized(ids: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-1. Document frequencies of hashed words over all documents (one pass, partial counts per task).
+1. The words of all documents, as 32-bit hashes, are written once; all passes read them. Document frequencies of hashed words come from
+   partial counts per task.
 2. Right singular vectors of the TF-IDF matrix of passages by a randomised SVD: three passes of A'(A Q) over all
    documents and all benchmark items; the row blocks of the sums are added up by Spark, only a
    (features x rank) matrix, whose size is a parameter, meets on the driver.
@@ -28,8 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, slices, text_bytes, whole_texts
-from .shingles import U, mix, word_hashes, word_spans
+from .common import blocks, drop_garbage, materialize, release, slices, text_bytes, whole_texts
+from .shingles import word_hashes, word_spans
 
 FEATURES = 1 << 15
 RANK, OVERSAMPLE = 64, 8
@@ -43,39 +44,62 @@ MIN_COSINE = 0.4
 COMMON_SHARE = 0.3
 COPY_SHARE, PARAPHRASE_SHARE, ANSWER_SHARE = 0.75, 0.6, 0.75
 _BLOCK_ROWS = 1024
+#: Words of a numpy block (a longer text is a block of its own), rows of a chunk of a sum, items whose words are counted at a time, words of a span of counts.
+_BLOCK_WORDS, _CHUNK, _ITEM_BLOCK, _SPAN = 1 << 16, 32, 256, 32
+#: A task of a product takes at most about this many words, so that a lost one is soon repeated.
+MAX_TASK_WORDS = 500_000_000
 
 _SEPARATOR = np.ones(256, bool)
 _SEPARATOR[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
 
 
 def _words(buf: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The words of each text as 32-bit hashes, and the first of each text."""
     begins, ends, first = word_spans(buf, offs, _SEPARATOR)
-    return word_hashes(buf, begins, ends), first
+    return word_hashes(buf, begins, ends).astype("<u4"), first
 
 
 def _feature(words: np.ndarray) -> np.ndarray:
-    return (words & U(FEATURES - 1)).astype(np.int64)
+    return (words & words.dtype.type(FEATURES - 1)).astype(np.int64)
 
 
-def _frequency_batches(batches):
-    """Partial document frequencies of one task: (feature, n)."""
-    total, docs = np.zeros(FEATURES, np.int64), 0
+def _word_batches(batches):
+    """The words of each text as 32-bit hashes."""
     for batch in slices(batches):
-        buf, offs = text_bytes(batch.column(0))
+        ids, (buf, offs) = batch.column(0), text_bytes(batch.column(1))
         for a, b in blocks(offs):
             w, first = _words(buf[offs[a] : offs[b]], offs[a : b + 1] - offs[a])
-            doc = np.repeat(np.arange(b - a, dtype=np.int64), np.diff(first))
-            seen = np.zeros((b - a) * FEATURES, bool) if (b - a) <= 64 else None
-            key = doc * FEATURES + _feature(w)
-            if seen is None:
-                total += np.bincount(np.unique(key) % FEATURES, minlength=FEATURES)
-            else:
-                seen[key] = True
-                total += seen.reshape(b - a, FEATURES).sum(axis=0)
-            docs += b - a
+            raw = pa.LargeBinaryArray.from_buffers(pa.large_binary(), b - a, [None, pa.py_buffer(first.astype(np.int64) * 4), pa.py_buffer(w)])
+            yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), raw.cast(pa.binary())], names=["id", "words"])
+
+
+def _word_blocks(batches):
+    """(ids, words, first word of each text) in blocks of bounded size, from written words or from texts."""
+    for batch in slices(batches):
+        if batch.schema.types[-1] == pa.string():
+            yield from _word_blocks(_word_batches([pa.RecordBatch.from_arrays([batch.column(0), batch.column(batch.num_columns - 1)], names=["id", "text"])]))
+            continue
+        col = batch.column(batch.num_columns - 1).cast(pa.large_binary())
+        offs = np.frombuffer(col.buffers()[1], np.int64)[col.offset : col.offset + len(col) + 1]
+        every = np.frombuffer(col.buffers()[2], "<u4") if col.buffers()[2] is not None else np.zeros(0, "<u4")
+        for a, b in blocks(offs, _BLOCK_WORDS * 4):
+            yield batch.column(0).slice(a, b - a), every[offs[a] // 4 : offs[b] // 4], (offs[a : b + 1] - offs[a]) // 4
+
+
+def _frequency_batches(batches):
+    """Partial document frequencies of one task: (feature, n); texts and words are counted under the two numbers after the features."""
+    total, docs, words = np.zeros(FEATURES, np.int64), 0, 0
+    for _, w, first in _word_blocks(batches):
+        docs, words = docs + len(first) - 1, words + len(w)
+        f = _feature(w).astype(np.uint16)
+        order = np.argsort(f, kind="stable")  # equal features stand together, in the order of their texts
+        f, doc = f[order], np.repeat(np.arange(len(first) - 1), np.diff(first))[order]
+        fresh = np.ones(len(f), bool)
+        fresh[1:] = (f[1:] != f[:-1]) | (doc[1:] != doc[:-1])
+        total += np.bincount(f[fresh], minlength=FEATURES)
     at = np.flatnonzero(total)
     yield pa.RecordBatch.from_arrays(
-        [pa.array(np.append(at, FEATURES)), pa.array(np.append(total[at], docs))], names=["feature", "n"]
+        [pa.array(np.append(at, [FEATURES, FEATURES + 1])), pa.array(np.append(total[at], [docs, words]))], names=["feature", "n"]
     )
 
 
@@ -88,39 +112,59 @@ def _passages(w: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return np.repeat(base, count) + inside // PASSAGE_WORDS, _feature(w)
 
 
+def segment_sums(rows: np.ndarray, at: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Sums of ``rows[at]`` over consecutive segments of the given sizes (none empty): segments are cut into chunks, chunks add up one
+    row each at a time, the longest first, and the chunks of a segment are summed in the same way."""
+    while True:
+        per = -(-sizes // _CHUNK)
+        n = int(per.sum())
+        turn = (np.arange(n) - np.repeat(np.cumsum(per) - per, per)) * _CHUNK
+        begin = np.repeat(np.cumsum(sizes) - sizes, per) + turn
+        size = np.minimum(_CHUNK, np.repeat(sizes, per) - turn)
+        order = np.argsort(-size, kind="stable")
+        begin, falling = begin[order], -size[order]
+        out = rows[at[begin]]
+        for k in range(1, _CHUNK):
+            m = int(np.searchsorted(falling, -k))  # chunks of more than k rows
+            if m == 0:
+                break
+            out[:m] += rows[at[begin[:m] + k]]
+        back = np.empty(n, np.int64)
+        back[order] = np.arange(n)
+        if n == len(sizes):
+            return out[back]
+        rows, at, sizes = out, back, per
+
+
 def _gram_batches(q, idf):
     """Row blocks of A'(A Q), summed over the passages of one task. Rows of A have unit length."""
 
     def run(batches):
         basis, weight = q.value, np.append(idf.value, 0).astype(np.float32)
         weighted = basis * weight[:FEATURES, None]
-        weighted = np.vstack([weighted, np.zeros((1, basis.shape[1]), np.float32)])
-        out = np.zeros((basis.shape[1], FEATURES))
-        for batch in slices(batches):
-            buf, offs = text_bytes(batch.column(0))
-            for a, b in blocks(offs):
-                w, first = _words(buf[offs[a] : offs[b]], offs[a : b + 1] - offs[a])
-                if len(w) == 0:
-                    continue
-                p, f = _passages(w, first)
-                begins = np.flatnonzero(np.concatenate(([True], p[1:] != p[:-1])))
-                # one row of words per passage, free places hold FEATURES, a zero row
-                slot = np.full((len(begins), PASSAGE_WORDS), FEATURES, np.uint16)
-                slot[p, np.arange(len(p)) - begins[p]] = f
-                y = weighted[slot[:, 0]]
-                for k in range(1, PASSAGE_WORDS):
-                    y += weighted[slot[:, k]]
-                # lengths of the rows of A: equal words of a passage stand together
-                slot.sort(axis=1)
-                fresh = np.ones(slot.shape, bool)
-                fresh[:, 1:] = slot[:, 1:] != slot[:, :-1]
-                at = np.flatnonzero(fresh)
-                x = np.diff(np.append(at, fresh.size)) * weight[slot.ravel()[at]]
-                norm = np.sqrt(np.bincount(at // PASSAGE_WORDS, x * x, len(slot)))
-                y /= np.maximum(norm, 1e-9).astype(np.float32)[:, None] ** 2
-                for j, column in enumerate(y.T.astype(np.float64)):
-                    out[j] += np.bincount(f, np.take(column, p), FEATURES)
-        out = (out.T * weight[:FEATURES, None]).astype(np.float32)
+        out = np.zeros((FEATURES, basis.shape[1]), np.float32)
+        for _, w, first in _word_blocks(batches):
+            if len(w) == 0:
+                continue
+            p, f = _passages(w, first)
+            sizes = np.bincount(p)
+            y = segment_sums(weighted, f, sizes)
+            # lengths of the rows of A: equal words of a passage stand together; free places hold FEATURES, which has no weight
+            slot = np.full((len(sizes), PASSAGE_WORDS), FEATURES, np.uint16)
+            slot[p, np.arange(len(p)) - (np.cumsum(sizes) - sizes)[p]] = f
+            slot.sort(axis=1)
+            fresh = np.ones(slot.shape, bool)
+            fresh[:, 1:] = slot[:, 1:] != slot[:, :-1]
+            at = np.flatnonzero(fresh)
+            x = np.diff(np.append(at, fresh.size)) * weight[slot.ravel()[at]]
+            norm = np.sqrt(np.bincount(at // PASSAGE_WORDS, x * x, len(slot)))
+            y /= np.maximum(norm, 1e-9).astype(np.float32)[:, None] ** 2
+            f = f.astype(np.uint16)
+            order = np.argsort(f, kind="stable")
+            f = f[order]
+            begins = np.flatnonzero(np.concatenate(([True], f[1:] != f[:-1])))
+            out[f[begins]] += segment_sums(y, p[order], np.diff(np.append(begins, len(f))))
+        out *= weight[:FEATURES, None]
         parts = [out[i : i + _BLOCK_ROWS].tobytes() for i in range(0, FEATURES, _BLOCK_ROWS)]
         yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.binary())], names=["block", "part"])
 
@@ -147,6 +191,9 @@ def _latent(passages: DataFrame, idf: np.ndarray, rank: int) -> np.ndarray:
         sent = sc.broadcast(q)
         parts = passages.mapInArrow(_gram_batches(sent, weight), "block int, part binary")
         rows = parts.groupBy("block").applyInArrow(_sum_blocks, "block int, part binary").collect()
+        del parts
+        sent.destroy()
+        drop_garbage(passages.sparkSession)
         return np.concatenate([np.frombuffer(r["part"], np.float32).reshape(-1, q.shape[1]) for r in sorted(rows, key=lambda r: r["block"])]) if rows else np.zeros_like(q)
 
     for _ in range(2):
@@ -189,7 +236,9 @@ def _prepare(ids: list, texts: list[str], fold: np.ndarray, idf: np.ndarray) ->
     nearest = np.array([int(np.argmin([abs(np.log(m * GROUP / len(x))) for m in ladder])) for x in words], int)
     steps = [(m, np.flatnonzero(nearest == i), unit[nearest == i].T.copy()) for i, m in enumerate(ladder) if (nearest == i).any()]
     # An LCS of PARAPHRASE_SHARE of an item takes at least ``need`` of its rarer words: all but the COMMON_SHARE most frequent tokens.
-    vocabulary = np.unique(np.concatenate(words)) if words else np.zeros(1, U)
+    vocabulary = np.unique(np.concatenate(words)) if words else np.zeros(1, "<u4")
+    own_feature = np.zeros(FEATURES, bool)
+    own_feature[_feature(vocabulary)] = True
     rare = np.zeros((len(words), len(vocabulary) + 1), bool)
     need = np.zeros(len(words))
     for i, x in enumerate(words):
@@ -199,23 +248,20 @@ def _prepare(ids: list, texts: list[str], fold: np.ndarray, idf: np.ndarray) ->
         rare[i, np.searchsorted(vocabulary, np.delete(distinct, common))] = True
         need[i] = PARAPHRASE_SHARE * len(x) - n[common].sum()
     padded = np.vstack([fold, np.zeros((1, fold.shape[1]), np.float32)])
-    return SimpleNamespace(ids=[ids[i] for i in own], words=[x.tolist() for x in words], fold=padded, steps=steps, vocabulary=vocabulary, rare=rare, need=need)
+    return SimpleNamespace(ids=[ids[i] for i in own], words=[x.tolist() for x in words], fold=padded, steps=steps, vocabulary=vocabulary, own_feature=own_feature, rare=rare, need=need)
 
 
 def _search_batches(items):
     def run(batches):
         it = items.value
-        for batch in slices(batches):
-            ids, (buf, offs) = batch.column(0), text_bytes(batch.column(1))
-            for a, b in blocks(offs, 1 << 19):
-                w, first = _words(buf[offs[a] : offs[b]], offs[a : b + 1] - offs[a])
-                found = _search(it, w, first)
-                if found:
-                    doc = pa.array([a + x[0] for x in found])
-                    cols = [[it.ids[x[1]] for x in found]] + [[x[k] for x in found] for k in range(2, 8)]
-                    yield pa.RecordBatch.from_arrays(
-                        [ids.take(doc)] + [pa.array(c, t) for c, t in zip(cols, _TYPES)], names=["id", "item", "cosine", "lcs", "item_words", "answer_share", "begin_word", "kind"]
-                    )
+        for ids, w, first in _word_blocks(batches):
+            found = _search(it, w, first)
+            if found:
+                doc = pa.array([x[0] for x in found])
+                cols = [[it.ids[x[1]] for x in found]] + [[x[k] for x in found] for k in range(2, 8)]
+                yield pa.RecordBatch.from_arrays(
+                    [ids.take(doc)] + [pa.array(c, t) for c, t in zip(cols, _TYPES)], names=["id", "item", "cosine", "lcs", "item_words", "answer_share", "begin_word", "kind"]
+                )
 
     return run
 
@@ -223,6 +269,21 @@ def _search_batches(items):
 _TYPES = [pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.string()]
 
 
+def _rare_counts(it: SimpleNamespace, own: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """(spans + 1) x items: how many of each item's rarer words stand before each span of words."""
+    word, item = np.nonzero(it.rare[own].T)
+    begin = np.searchsorted(word, np.arange(it.rare.shape[1] + 1))
+    per = np.diff(begin)[known]
+    places = np.flatnonzero(per)
+    per = per[places]
+    pick = np.arange(per.sum()) - np.repeat(np.cumsum(per) - per, per) + np.repeat(begin[known[places]], per)
+    spans = -(-len(known) // _SPAN)
+    cells = np.repeat(places // _SPAN, per) * len(own) + item[pick]
+    out = np.zeros((spans + 1, len(own)), np.int32)
+    np.cumsum(np.bincount(cells, minlength=spans * len(own)).reshape(spans, len(own)), axis=0, out=out[1:])
+    return out
+
+
 def _search(it: SimpleNamespace, w: np.ndarray, first: np.ndarray) -> list[tuple]:
     """One row per (document, item) that passes, with the window of the largest cosine that does."""
     count = np.diff(first)
@@ -238,9 +299,11 @@ def _search(it: SimpleNamespace, w: np.ndarray, first: np.ndarray) -> list[tuple
         sums += it.fold[f[k::GROUP]]
     run = np.zeros((len(sums) + 1, sums.shape[1]), np.float32)
     np.cumsum(sums, axis=0, out=run[1:])
-    # benchmark words by number; all others share one number that no item has
-    known = np.minimum(np.searchsorted(it.vocabulary, w), len(it.vocabulary) - 1)
-    known = np.where(it.vocabulary[known] == w, known, len(it.vocabulary))
+    # benchmark words by number, where the feature is one of theirs at all; all others share one number that no item has
+    known = np.full(len(w), len(it.vocabulary))
+    maybe = np.flatnonzero(it.own_feature[_feature(w)])
+    at = np.minimum(np.searchsorted(it.vocabulary, w[maybe]), len(it.vocabulary) - 1)
+    known[maybe] = np.where(it.vocabulary[at] == w[maybe], at, len(it.vocabulary))
     best: dict[tuple[int, int], tuple] = {}
     for m, own, q in it.steps:
         # windows of each document: one every stride from its start and one that ends with it; a shorter document is one window
@@ -253,7 +316,7 @@ def _search(it: SimpleNamespace, w: np.ndarray, first: np.ndarray) -> list[tuple
         v = run[begins + np.minimum(m, groups[doc])] - run[begins]
         norm = np.maximum(np.sqrt(np.einsum("ij,ij->i", v, v)), 1e-6)
         cos = v @ q
-        rows, cols = np.nonzero(cos >= (MIN_COSINE * norm)[:, None])
+        rows, cols = np.divmod(np.flatnonzero(cos.ravel() >= np.repeat(MIN_COSINE * norm, len(own))), len(own))
         if len(rows) == 0:
             continue
         value = cos[rows, cols] / norm[rows]
@@ -263,14 +326,21 @@ def _search(it: SimpleNamespace, w: np.ndarray, first: np.ndarray) -> list[tuple
         margin = m * GROUP // 4 + GROUP
         word = lo + (at - start[docs]) * GROUP
         begin, stop = np.maximum(lo, word - margin), np.minimum(hi, word + m * GROUP + margin)
+        # rarer words of the item in the spans that the range touches, then in the range itself
         wide = np.arange(m * GROUP + 2 * margin)
         keep = np.zeros(len(rows), bool)
-        for c in range(0, len(rows), 20_000):
-            part = slice(c, c + 20_000)
-            at_word = begin[part, None] + wide
-            there = known[np.minimum(at_word, len(w) - 1)]
-            hits = (it.rare[own[cols[part], None], there] & (at_word < stop[part, None])).sum(axis=1)
-            keep[part] = hits >= it.need[own[cols[part]]]
+        for c in range(0, len(own), _ITEM_BLOCK):
+            here = np.flatnonzero((cols >= c) & (cols < c + _ITEM_BLOCK))
+            hits = _rare_counts(it, own[c : c + _ITEM_BLOCK], known)
+            part = cols[here] - c
+            above = hits[(stop[here] - 1) // _SPAN + 1, part] - hits[begin[here] // _SPAN, part]
+            here = here[above >= it.need[own[cols[here]]]]
+            for i in range(0, len(here), 20_000):
+                near = here[i : i + 20_000]
+                at_word = begin[near, None] + wide
+                there = known[np.minimum(at_word, len(w) - 1)]
+                own_hits = (it.rare[own[cols[near], None], there] & (at_word < stop[near, None])).sum(axis=1)
+                keep[near] = own_hits >= it.need[own[cols[near]]]
         left = np.flatnonzero(keep)
         for i in left[np.argsort(-value[left], kind="stable")]:
             d, item = int(docs[i]), int(own[cols[i]])
@@ -300,14 +370,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     src = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text")).filter("text is not null")
     items = benchmark.select(F.col(f"`{item_col}`").cast("long").alias("item"), F.col(f"`{item_text_col}`").cast("string").alias("text")).filter("text is not null")
     schema = "id long, item long, cosine double, lcs long, item_words long, answer_share double, begin_word long, kind string"
-    counts = src.select("text").mapInArrow(_frequency_batches, "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n")).toArrow()
+    words = materialize(src.mapInArrow(_word_batches, "id long, words binary"), "words")
+    counts = words.mapInArrow(_frequency_batches, "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n")).toArrow()
     f, n = counts.column("feature").to_numpy(), counts.column("n").to_numpy()
-    total = int(n[f == FEATURES].sum())
+    total, n_words = int(n[f == FEATURES].sum()), int(n[f == FEATURES + 1].sum())
     df = np.zeros(FEATURES)
     df[f[f < FEATURES]] = n[f < FEATURES]
     idf = np.log((total + 1) / (df + 1)) + 1e-3
-    # Each task sends a whole (features x rank) sum, so there are two tasks a core, whatever the number of partitions.
-    passages = src.select("text").unionByName(items.select("text")).coalesce(2 * sc.defaultParallelism)
+    # Each task sends a whole (features x rank) sum, so there are two tasks a core, or as many as their bound of words asks for.
+    tasks = max(2 * sc.defaultParallelism, -(-n_words // MAX_TASK_WORDS))
+    passages = words.select("words").unionByName(items.mapInArrow(_word_batches, "item long, words binary").select("words")).coalesce(tasks)
     fold = (_latent(passages, idf, RANK) * idf[:, None]).astype(np.float32)
     many = items.count()
     found = None
@@ -315,7 +387,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     for turn in range(turns):
         part = items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(turns)) == turn).orderBy("item", "text").collect()
         sent = sc.broadcast(_prepare([r["item"] for r in part], [r["text"] for r in part], fold, idf))
-        hits = src.mapInArrow(_search_batches(sent), schema)
+        hits = words.mapInArrow(_search_batches(sent), schema)
         found = hits if found is None else found.unionByName(hits)
+    found = materialize(found, "found")
+    release(words)
     return found
 
