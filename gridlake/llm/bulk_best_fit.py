@@ -31,23 +31,46 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import blocks, materialize, slices, text_bytes, whole_texts, worker_cache
+from .common import MAX_BROADCAST_IDS, blocks, materialize, slices, text_bytes, whole_texts, worker_cache
 from .pretoken import _Ids as RememberedIds
 
 WINDOW = 4096
 END_ID = 1
 #: Lower bounds of the size classes, as shares of a window.
-CLASSES = (2, 3, 5, 9, 32, 256)
+CLASSES = (2, 3, 6, 24, 192)
 _OWN = ("key", "piece", "start", "length", "ids", "sequence_id", "offset")
 
 #: The pre-token pattern of the word vocabulary (fixed value).
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: Longest chunk that is remembered.
+_MAX_CHUNK = 64
 #: Characters for which lower-casing and splitting are the same here and in the tokenizer's library; other texts go to the library.
 _PLAIN = r"[\t-\r -~¡-įı-ſЀ-џ‐-‧‰-⁞]*+"
 
 
+class _ChunkIds(RememberedIds):
+    """Ids of what stands between white space; pre-tokens don't reach across it. Long chunks aren't remembered."""
+
+    def __init__(self, tokenizer):
+        super().__init__(tokenizer)
+        self.words = regex.compile(_PATTERN).findall
+        self.known = RememberedIds(tokenizer)
+
+    def rotate(self) -> None:
+        super().rotate()
+        self.known.rotate()
+
+    def __missing__(self, chunk: str) -> bytes:
+        ids = self.old.get(chunk)
+        if ids is None:
+            ids = b"".join(map(self.known.__getitem__, self.words(chunk)))
+        if len(chunk) <= _MAX_CHUNK:
+            self[chunk] = ids
+        return ids
+
+
 class WordEncoder:
-    """Ids of texts for a lower-casing word vocabulary, equal to the library's: a remembered result per pre-token."""
+    """Ids of texts for a lower-casing word vocabulary, equal to the library's: a remembered result per chunk and pre-token."""
 
     def __init__(self, raw: str):
         import os
@@ -58,14 +81,13 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_str(raw)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.plain = regex.compile(_PLAIN).fullmatch
-        self.words = regex.compile(_PATTERN).findall
-        self.known = RememberedIds(self.tokenizer)
+        self.known = _ChunkIds(self.tokenizer)
 
     def encode(self, text: str) -> bytes:
         """The ids of a text as little-endian uint32 bytes."""
         if not self.plain(text) or any(x in text for x in self.special):
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        return b"".join(map(self.known.__getitem__, self.words(text.lower())))
+        return b"".join(map(self.known.__getitem__, text.lower().split()))
 
 
 def _piece_batches(vocabulary, tag: str, window: int, end_id: int):
@@ -160,7 +182,7 @@ _SWEEP = "part int, ord long, key long, length long, seq long, room long"
 
 def _sweep_batches(batches):
     """One range of the sorted pieces and slots: matched pairs, slots left (``key`` is null, numbered upwards), and
-    pieces left (``seq`` is null, numbered from the largest down)."""
+    pieces left (``seq`` is null, numbered from the largest down); then, numbered -1, how many slots and pieces are left."""
     part, waiting, slots_left = TaskContext.get().partitionId(), _Waiting(), 0
 
     def rows(ord_, pieces, slots):
@@ -191,6 +213,8 @@ def _sweep_batches(batches):
         left = waiting.pop(50_000)
         yield rows(np.arange(at, at + left.shape[1]), left, None)
         at += left.shape[1]
+    if at or slots_left:
+        yield rows(np.array([-1]), np.array([[-1], [slots_left]]), np.array([[-1], [at]]))
 
 
 def ranges_met(left: list[tuple[int, int, int]]) -> list[tuple[int, int, int, int, int, int]]:
@@ -221,25 +245,34 @@ def _met(spark: SparkSession, swept: DataFrame, runs: list, slots: bool) -> Data
     return rows.join(own.alias("o"), inside, "left").select(rank, *[f"s.{c}" for c in ("key", "length", "seq", "room")])
 
 
-def _sweep(spark: SparkSession, pieces: DataFrame, slots: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """One round: (matched pieces: key, length, seq), (pieces left: key, length), (gaps that took part: seq, room)."""
+def _sweep(spark: SparkSession, pieces: DataFrame, slots: DataFrame, single: bool) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """One round: (matched pieces: key, length, seq), (pieces left: key, length), (gaps that took part: seq, room).
+    ``single``: no gap has several slots."""
     docs = pieces.select(F.col("length").alias("size"), F.lit(False).alias("is_gap"), F.col("key").alias("id"), F.lit(0).cast("long").alias("slot"), F.col("length").alias("amount"))
     gaps = slots.select("size", F.lit(True).alias("is_gap"), F.col("seq").alias("id"), "slot", F.col("room").alias("amount"))
     order = ["size", "is_gap", "id", "slot"]
     ranged = docs.unionByName(gaps).repartitionByRange(*order).sortWithinPartitions(*order)
     swept = materialize(ranged.select("is_gap", "id", "amount").mapInArrow(_sweep_batches, _SWEEP), "sweep")
-    counts = swept.filter("key is null or seq is null").groupBy("part").agg(F.count_if(F.col("key").isNull()).alias("slots"), F.count_if(F.col("seq").isNull()).alias("pieces"))
-    runs = ranges_met(sorted((r["part"], r["slots"], r["pieces"]) for r in counts.collect()))
+    # each range's last row says how many slots and pieces it has left
+    runs = ranges_met(sorted((r["part"], r["length"], r["room"]) for r in swept.filter("ord = -1").collect()))
+    swept = swept.filter("ord >= 0")
     matched = swept.filter("key is not null and seq is not null").select("key", "length", "seq", "room")
     left = swept.filter("seq is null").select("key", "length")
+    idle = swept.filter("key is null")
     if runs:
         met = _met(spark, swept, runs, False)
         taken = met.filter("rank is not null").select("rank", "key", "length")
-        far = materialize(taken.join(_met(spark, swept, runs, True).filter("rank is not null").select("rank", "seq", "room"), "rank"), "across")
+        open_ = _met(spark, swept, runs, True)
+        idle, given = open_.filter("rank is null"), open_.filter("rank is not null").select("rank", "seq", "room")
+        given = F.broadcast(given) if sum(r[1] for r in runs) <= MAX_BROADCAST_IDS else given
+        far = materialize(taken.join(given, "rank"), "across")
         matched = matched.unionByName(far.select("key", "length", "seq", "room"))
         left = met.filter("rank is null").select("key", "length")
-    idle = swept.filter("key is null").select("seq", "room", F.lit(0).cast("long").alias("length"))
-    after = matched.select("seq", "room", "length").unionByName(idle).groupBy("seq").agg((F.max("room") - F.sum("length")).alias("room"))
+    after = matched.select("seq", "room", "length").unionByName(idle.select("seq", "room", F.lit(0).cast("long").alias("length")))
+    if single:
+        after = after.select("seq", (F.col("room") - F.col("length")).alias("room"))
+    else:
+        after = after.groupBy("seq").agg((F.max("room") - F.sum("length")).alias("room"))
     return matched.select("key", "length", "seq"), left, after
 
 
@@ -282,7 +315,7 @@ def bulk_best_fit(pieces: DataFrame, window: int = WINDOW) -> DataFrame:
             room = F.col("room")
             chosen = gaps.filter((room > lo) & (room <= widest)).withColumn("s", F.greatest(F.lit(1), F.floor(room / hi)))
             slots = chosen.select("seq", "room", F.floor(room / F.col("s")).alias("size"), F.explode(F.sequence(F.lit(1).cast("long"), F.col("s"))).alias("slot"))
-            matched, rest, after = _sweep(spark, left, slots)
+            matched, rest, after = _sweep(spark, left, slots, all(room // hi <= 1 for room in rooms if room <= widest))
             placed.append(matched)
             gaps = materialize(after.filter("room > 0").unionByName(gaps.filter((room <= lo) | (room > widest))), "gaps")
             now = rest.agg(F.count(F.lit(1)).alias("n"), F.sum("length").alias("t")).first()
