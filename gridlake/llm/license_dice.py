@@ -1,26 +1,33 @@
-"""License scan: windows of lines against licence templates by the Dice coefficient of their word bigrams.
+"""License scan: windows of words against licence templates by the Dice coefficient of their word bigrams.
 
-Text and templates are normalised alike: lower case, runs of other characters than letters and digits become one blank. A window of one to
-``MAX_LINES`` lines matches a template if 2 |A & B| / (|A| + |B|) >= ``MIN_DICE`` for their sets of bigrams.
+Text and templates are normalised alike: lower case, runs of other characters than letters and digits become one blank. A window matches a
+template if 2 |A & B| / (|A| + |B|) >= ``MIN_DICE`` for their sets of bigrams. Windows are laid on words, wherever lines and paragraphs
+break: they begin and end with a bigram of the template (without such ends the coefficient is only smaller). For each begin the
+best end counts (ties: the nearer). A window is dropped where one of another licence overlaps it and is better (larger coefficient, then
+longer, then the later name); so a text isn't taken for a relative of its licence.
 
-Two bounds leave out what can't match, and nothing else. Size: the coefficient is reached only if |A| lies between
-MIN_DICE / (2 - MIN_DICE) and (2 - MIN_DICE) / MIN_DICE of |B|. Anchors: a match shares at least MIN_DICE / (2 - MIN_DICE) of the template's bigrams,
-so of any larger remainder of them it has at least one; each template's remainder with the longest words makes one
-pattern, by which texts, then windows, are picked. Only DataFrame functions run; templates are a literal whose size is theirs.
+Bounds leave out what can't match, and nothing else. Size: the coefficient is reached only with at least MIN_DICE / (2 - MIN_DICE) of the
+template's bigrams, in a set of at most (2 - MIN_DICE) / MIN_DICE as many; windows have that many positions at most, and begins need that many of the
+template's bigrams within reach. Anchors: of any larger remainder of a template's bigrams a match has at least one; the remainders with the longest
+words make one pattern by which texts are picked, and pick the templates of a text. Only DataFrame functions run; templates are a literal whose size is theirs.
 
-Cases: null and empty texts match nothing; rows of one id count as one document; a null id is a document of its own name; a window
-counts for its best template only (ties: the last licence by name), and ties between windows go to the shorter, then to the earlier one; an empty table gives an empty result; only id and text columns are read.
+Cases: null and empty texts match nothing; rows of one id count as one document; a null id is a document of its own name; ties
+between windows go to the shorter, then to the earlier one; an empty table gives an empty result; only id and text columns are read.
 """
 
 from __future__ import annotations
 
+import math
 import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import materialize
+
 MIN_DICE = 0.8
-MAX_LINES = 8
+#: Positions of a cell by which overlapping windows meet.
+CELL = 64
 
 #: Public licence notices (fixed values): licence, text.
 TEMPLATES = [
@@ -49,12 +56,6 @@ def normalised(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "))
 
 
-def bigrams(words: str) -> Column:
-    """Distinct word bigrams of a column of word arrays (a column, so that it is not split again for every word)."""
-    w = F.col(words)
-    return F.array_distinct(F.transform(F.slice(w, F.lit(2), F.size(w)), lambda x, i: F.concat(w[i], F.lit(" "), x)))
-
-
 def template_bigrams(text: str) -> list[str]:
     w = re.sub(r"[\W_]+", " ", text.lower()).split()
     return sorted({f"{a} {b}" for a, b in zip(w, w[1:])})
@@ -66,6 +67,11 @@ def anchors(grams: list[str], min_dice: float) -> list[str]:
     return sorted(grams, key=lambda g: (-len(g), g))[: missing + 1]
 
 
+def bounds(n: int, min_dice: float) -> tuple[int, int]:
+    """For a template of n bigrams: how many of them a window has at least, and how many positions at most."""
+    return math.ceil(n * min_dice / (2 - min_dice) - 1e-9), math.floor(n * (2 - min_dice) / min_dice + 1e-9)
+
+
 def _tree(words: list[str]) -> str:
     """A pattern for any of the words (blank: any gap), branching by character."""
     branches = []
@@ -75,39 +81,64 @@ def _tree(words: list[str]) -> str:
     return branches[0] if len(branches) == 1 else "(?:" + "|".join(branches) + ")"
 
 
-def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates=TEMPLATES, min_dice: float = MIN_DICE, max_lines: int = MAX_LINES) -> DataFrame:
-    """``id, license, dice, line, n_lines``: the best window for each document and licence found in it."""
+def _hits(src: DataFrame, literal: Column, min_dice: float) -> DataFrame:
+    """``id, row, license, dice, at, size, line, last_line``: the best window of each begin (positions of bigrams from 0)."""
+    one = lambda c: F.explode(F.array(c))  # noqa: E731  (a generator, so that a column isn't computed again wherever it is used)
+    # words of each line with the line's number
+    of_line = lambda x, i: F.transform(F.filter(F.split(normalised(x), " "), lambda w: w != ""), lambda w: F.struct(w.alias("w"), (i + 1).alias("line")))
+    rows = src.select("id", "row", one(F.flatten(F.transform(F.split("text", "\n"), of_line))).alias("w")).filter(F.size("w") > 1)
+    pairs = F.zip_with(F.slice("w.w", F.lit(1), F.size("w") - 1), F.slice("w.w", F.lit(2), F.size("w") - 1), lambda x, y: F.concat(x, F.lit(" "), y))
+    rows = rows.select("id", "row", F.col("w.line").alias("lines"), one(pairs).alias("g"))
+    rows = rows.select("id", "row", "lines", "g", F.explode_outer(F.filter(literal, lambda t: F.arrays_overlap(t["anchors"], F.col("g")))).alias("t")).filter("t is not null")
+    own = F.filter(F.sequence(F.lit(0), F.size("g") - 1), lambda i: F.array_contains(F.col("t.grams"), F.get("g", i)))
+    rows = rows.select("id", "row", "lines", "g", "t", one(own).alias("p")).filter(F.size("p") >= F.col("t.need"))
+    reach = lambda a, b: F.get("p", b) - F.get("p", a) < F.col("t.span")
+    begins = F.filter(F.sequence(F.lit(0), F.size("p") - F.col("t.need")), lambda a: reach(a, a + F.col("t.need") - 1))
+
+    def window(a: Column, b: Column) -> Column:
+        at, size = F.get("p", a), F.get("p", b) - F.get("p", a) + 1
+        grams = F.slice("g", at + 1, size)
+        dice = F.lit(2.0) * F.size(F.array_intersect(grams, F.col("t.grams"))) / (F.size(F.array_distinct(grams)) + F.col("t.n"))
+        return F.struct(dice.alias("dice"), (-size).alias("size"), at.alias("at"))
+
+    def best(a: Column) -> Column:
+        ends = F.sequence(a + F.col("t.need") - 1, F.least(a + F.col("t.span") - 1, F.size("p") - 1))
+        return F.array_max(F.transform(F.filter(ends, lambda b: reach(a, b)), lambda b: window(a, b)))
+
+    rows = rows.select("id", "row", "lines", F.col("t.license").alias("license"), F.explode_outer(F.filter(F.transform(begins, best), lambda x: x["dice"] >= F.lit(min_dice))).alias("x"))
+    at, size = F.col("x.at"), -F.col("x.size")
+    return rows.filter("x is not null").select(
+        "id", "row", "license", "x.dice", at.alias("at"), size.alias("size"), F.get("lines", at).alias("line"), F.get("lines", at + size).alias("last_line")
+    )
+
+
+def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", templates=TEMPLATES, min_dice: float = MIN_DICE) -> DataFrame:
+    """``id, license, dice, line, n_lines, word, n_words``: the best window for each document and licence found in it (``word`` from 0)."""
     known = [(name, template_bigrams(t)) for name, t in templates]
     pairs = sorted({a for _, grams in known for a in anchors(grams, min_dice)})
     loose = r"(?iu)(?<![\p{L}\p{N}])" + _tree(pairs) + r"(?![\p{L}\p{N}])"
-    literal = F.array(*[F.struct(F.lit(name).alias("license"), F.lit(len(g)).alias("n"), F.array(*map(F.lit, g)).alias("grams")) for name, g in known])
-    low, high = min_dice / (2 - min_dice), (2 - min_dice) / min_dice
-    widest = max(len(g) for _, g in known) * high + 1
+
+    def entry(name: str, grams: list[str]) -> Column:
+        need, span = bounds(len(grams), min_dice)
+        words = lambda x: F.array(*map(F.lit, x))
+        return F.struct(
+            F.lit(name).alias("license"), F.lit(len(grams)).alias("n"), F.lit(need).alias("need"), F.lit(span).alias("span"),
+            words(grams).alias("grams"), words(anchors(grams, min_dice)).alias("anchors"),
+        )
+
     src = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text")).filter(F.col("text").rlike(loose))
-    # Lines where an anchor begins (it may end in the next one), each with the lines that a window over it can have.
-    rows = src.select("id", F.split("text", "\n").alias("lines"))
-    begins = F.filter(F.sequence(F.lit(1), F.size("lines")), lambda i: F.concat(F.element_at("lines", i), F.lit("\n"), F.coalesce(F.get("lines", i), F.lit(""))).rlike(loose))
-    around = lambda i: F.struct(F.greatest(F.lit(1), i - max_lines + 1).alias("lo"), i.alias("i"), F.slice("lines", F.greatest(F.lit(1), i - max_lines + 1), F.lit(2 * max_lines)).alias("near"))
-    # (outer generators, so that no filter on their size is derived that would compute them twice)
-    spots = rows.select("id", F.inline_outer(F.transform(begins, around))).filter("i is not null")
-    # A line of more distinct words than the widest window can have bigrams is in no window.
-    wide = F.transform("near", lambda x: F.size(F.array_distinct(F.split(normalised(x), " "))) - 1 > F.lit(widest))
-    spots = spots.select("id", F.inline(F.array(F.struct("lo", (F.col("i") - F.col("lo") + 1).alias("h"), "near", wide.alias("wide")))))
-
-    def windows_from(s: Column) -> Column:
-        sizes = F.sequence(F.col("h") - s + 1, F.least(F.lit(max_lines), F.size("near") - s + 1))
-        sizes = F.filter(sizes, lambda k: ~F.exists(F.slice("wide", s, k), lambda x: x))
-        return F.transform(sizes, lambda k: F.struct((F.col("lo") + s - 1).alias("at"), k.alias("n"), F.array_join(F.slice("near", s, k), "\n").alias("t")))
-
-    windows = spots.select("id", F.inline_outer(F.flatten(F.transform(F.sequence(F.lit(1), F.col("h")), windows_from))))
-    # a window begins and ends with a line that has a word
-    windows = windows.filter(F.col("t").isNotNull() & F.col("t").rlike(r"^[^\n]*[\p{L}\p{N}]") & F.col("t").rlike(r"[\p{L}\p{N}][^\n]*\z")).distinct()
-    near = windows.select("id", "at", "n", F.explode(F.array(F.split(normalised(F.col("t")), " "))).alias("w"))
-    near = near.select("id", "at", "n", F.explode(F.array(bigrams("w"))).alias("g")).filter(F.size("g") <= F.lit(widest))
-    fits = F.filter(literal, lambda t: (F.size("g") >= t["n"] * F.lit(low)) & (F.size("g") <= t["n"] * F.lit(high)))
-    dice = lambda t: F.lit(2.0) * F.size(F.array_intersect("g", t["grams"])) / (F.size("g") + t["n"])
-    # the best template of a window; equal ones: the last by name
-    scored = near.select("id", "at", "n", F.array_max(F.transform(fits, lambda t: F.struct(dice(t).alias("dice"), t["license"].alias("license")))).alias("m"))
-    hits = scored.filter(F.col("m.dice") >= F.lit(min_dice)).groupBy("id", F.col("m.license").alias("license"))
-    best = hits.agg(F.max(F.struct("m.dice", (-F.col("n")).alias("n"), (-F.col("at")).alias("at"))).alias("b"))
-    return best.select("id", "license", F.col("b.dice").alias("dice"), (-F.col("b.at")).cast("long").alias("line"), (-F.col("b.n")).cast("long").alias("n_lines"))
+    src = src.select("id", F.xxhash64("id", "text").alias("row"), "text")
+    hits = materialize(_hits(src, F.array(*[entry(*k) for k in known]), min_dice), "licenses")
+    # overlapping windows of one text meet in a cell; a cell holds at most CELL begins of each template
+    spots = hits.select("row", "license", "dice", "size", "at", F.explode(F.sequence(F.floor(F.col("at") / CELL), F.floor((F.col("at") + F.col("size") - 1) / CELL))).alias("cell"))
+    other = spots.select("row", "cell", *[F.col(c).alias(f"{c}2") for c in ("license", "dice", "size", "at")])
+    better = (F.col("license") != F.col("license2")) & (F.col("at") < F.col("at2") + F.col("size2")) & (F.col("at2") < F.col("at") + F.col("size"))
+    better = better & (F.struct("dice2", "size2", "license2") > F.struct("dice", "size", "license"))
+    key = ["row", "license", "at", "size"]
+    beaten = spots.join(other, ["row", "cell"]).filter(better).select(*key).distinct()
+    left = hits.join(beaten, key, "left_anti")
+    best = left.groupBy("id", "license").agg(F.max(F.struct("dice", (-F.col("size")).alias("size"), (-F.col("at")).alias("at"), "line", "last_line")).alias("b"))
+    return best.select(
+        "id", "license", F.col("b.dice").alias("dice"), F.col("b.line").cast("long").alias("line"),
+        (F.col("b.last_line") - F.col("b.line") + 1).cast("long").alias("n_lines"), (-F.col("b.at")).cast("long").alias("word"), (1 - F.col("b.size")).cast("long").alias("n_words"),
+    )

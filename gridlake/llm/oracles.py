@@ -73,25 +73,36 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM b
 """
 
-_TEMPLATES = ", ".join(
-    "('{}', [{}])".format(name, ", ".join(f"'{g}'" for g in ld.template_bigrams(text))) for name, text in ld.TEMPLATES
+_GRAMS = ", ".join(
+    f"({k}, '{name}', {len(grams)}, {ld.bounds(len(grams), ld.MIN_DICE)[0]}, {ld.bounds(len(grams), ld.MIN_DICE)[1]}, [{', '.join(repr(g) for g in grams)}])"
+    for k, (name, grams) in enumerate((name, ld.template_bigrams(text)) for name, text in ld.TEMPLATES)
 )
-_WIDEST = int(max(len(ld.template_bigrams(t)) for _, t in ld.TEMPLATES) * (2 - ld.MIN_DICE) / ld.MIN_DICE) + 2
 
 OP6 = rf"""
-WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL),
-a AS (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS line FROM d),
-k AS (SELECT doc_id, l, line, unnest(range(1, least({ld.MAX_LINES}, len(l) - line + 1) + 1)) AS n_lines FROM a),
-t AS (
-  SELECT doc_id, line, n_lines, string_split(trim(regexp_replace(lower(array_to_string(l[line:line + n_lines - 1], chr(10))), '[^\p{{L}}\p{{N}}]+', ' ', 'g')), ' ') AS w
-  FROM k WHERE regexp_matches(l[line], '[\p{{L}}\p{{N}}]') AND regexp_matches(l[line + n_lines - 1], '[\p{{L}}\p{{N}}]')),
-g AS (SELECT doc_id, line, n_lines, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g FROM t),
-s AS (
-  SELECT doc_id, line, n_lines, license, 2.0::DOUBLE * len(list_intersect(g, grams)) / (len(g) + len(grams)) AS dice
-  FROM g, (VALUES {_TEMPLATES}) AS x(license, grams) WHERE len(g) BETWEEN 1 AND {_WIDEST} AND len(g) <= len(grams) * 1.6 AND len(grams) <= len(g) * 1.6),
-one AS (SELECT * FROM s WHERE dice >= {ld.MIN_DICE} QUALIFY row_number() OVER (PARTITION BY doc_id, line, n_lines ORDER BY dice DESC, license DESC) = 1)
-SELECT doc_id, license, dice, line, n_lines FROM one
-QUALIFY row_number() OVER (PARTITION BY doc_id, license ORDER BY dice DESC, n_lines, line) = 1
+WITH t AS (SELECT * FROM (VALUES {_GRAMS}) AS x(t, license, n, need, span, grams)),
+tg AS (SELECT t, unnest(grams) AS g FROM t),
+d AS (SELECT row_number() OVER () AS r, doc_id, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL),
+l AS (SELECT r, doc_id, unnest(l) AS x, generate_subscripts(l, 1) AS line FROM d),
+lw AS (SELECT r, doc_id, line, list_filter(string_split_regex(lower(x), '[^\p{{L}}\p{{N}}]+'), lambda w: w <> '') AS ws FROM l),
+w AS (SELECT r, doc_id, line, unnest(ws) AS w, generate_subscripts(ws, 1) AS k FROM lw),
+o AS (SELECT r, doc_id, line, w, row_number() OVER (PARTITION BY r ORDER BY line, k) - 1 AS pos FROM w),
+b AS (SELECT r, doc_id, pos, line, lead(line) OVER p AS next_line, w || ' ' || lead(w) OVER p AS g FROM o WINDOW p AS (PARTITION BY r ORDER BY pos)),
+m AS (SELECT r, doc_id, t, pos, line, next_line, g, row_number() OVER (PARTITION BY r, t ORDER BY pos) AS k FROM b JOIN tg USING (g)),
+c AS (
+  SELECT x.r, x.doc_id, x.t, license, n, x.pos, y.pos - x.pos + 1 AS size, x.line, y.next_line AS last_line
+  FROM m x JOIN m y ON x.r = y.r AND x.t = y.t JOIN t ON t.t = x.t
+  WHERE y.pos - x.pos BETWEEN 0 AND span - 1 AND y.k - x.k + 1 >= need),
+i AS (SELECT c.r, c.t, c.pos, c.size, count(DISTINCT m.g) AS common FROM c JOIN m ON m.r = c.r AND m.t = c.t AND m.pos BETWEEN c.pos AND c.pos + c.size - 1 GROUP BY ALL),
+u AS (SELECT c.r, c.t, c.pos, c.size, count(DISTINCT b.g) AS grams FROM c JOIN b ON b.r = c.r AND b.pos BETWEEN c.pos AND c.pos + c.size - 1 GROUP BY ALL),
+s AS (SELECT c.*, 2.0::DOUBLE * common / (grams + n) AS dice FROM c JOIN i USING (r, t, pos, size) JOIN u USING (r, t, pos, size)),
+h AS (
+  SELECT * FROM (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY r, t, pos ORDER BY dice DESC, size) = 1) WHERE dice >= {ld.MIN_DICE}),
+f AS (
+  SELECT * FROM h WHERE NOT EXISTS (
+    SELECT 1 FROM h o WHERE o.r = h.r AND o.license <> h.license AND o.pos < h.pos + h.size AND h.pos < o.pos + o.size
+      AND (o.dice > h.dice OR (o.dice = h.dice AND (o.size > h.size OR (o.size = h.size AND o.license > h.license))))))
+SELECT doc_id, license, dice, line, last_line - line + 1 AS n_lines, pos AS word, size + 1 AS n_words FROM f
+QUALIFY row_number() OVER (PARTITION BY doc_id, license ORDER BY dice DESC, size, pos) = 1
 """
 
 ORACLES = {"op6_license_dice": OP6, "op7_line_quality": OP7, "op8_quote_threads": OP8, "op10_zip_warc": OP10}
