@@ -22,6 +22,8 @@ extra columns only those named in ``carry`` are kept, and ones that clash with t
 from __future__ import annotations
 
 import hashlib
+import re
+from array import array
 
 import numpy as np
 import public_tokenizers
@@ -63,7 +65,11 @@ class _ChunkIds(RememberedIds):
     def __missing__(self, chunk: str) -> bytes:
         ids = self.old.get(chunk)
         if ids is None:
-            ids = b"".join(map(self.known.__getitem__, self.words(chunk)))
+            if chunk.isalpha():  # one pre-token
+                seen = chunk if chunk.isascii() else chunk.encode().decode("latin-1").translate(self.symbols)
+                ids = array("I", [t.id for t in self.model.tokenize(seen)]).tobytes()
+            else:
+                ids = b"".join([self[x] if x.isalpha() else self.known[x] for x in self.words(chunk)])
         if len(chunk) <= _MAX_CHUNK:
             self[chunk] = ids
         return ids
@@ -80,7 +86,7 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_str(raw)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.plain = regex.compile(_PLAIN).fullmatch
+        self.plain = re.compile(_PLAIN).fullmatch
         self.known = _ChunkIds(self.tokenizer)
 
     def encode(self, text: str) -> bytes:
