@@ -40,7 +40,6 @@ def release(*written: DataFrame) -> None:
     """Removes tables of ``materialize`` that nothing reads any more: call it when what was made of them is written itself."""
     for table in written:
         drop_path(table.sparkSession, table.scratch)
-    drop_garbage(written[0].sparkSession)
 
 
 def drop_garbage(spark: SparkSession) -> None:

@@ -2,7 +2,7 @@
 
 1. The words of all documents, as 32-bit hashes, are written once; all passes read them. Document frequencies of hashed words come from
    partial counts per task.
-2. Right singular vectors of the TF-IDF matrix of passages by a randomised SVD: three passes of A'(A Q) over all
+2. Right singular vectors of the TF-IDF matrix of passages, over the words that the benchmark uses, by a randomised SVD: three passes of A'(A Q) over all
    documents and all benchmark items; the row blocks of the sums are added up by Spark, only a
    (features x rank) matrix, whose size is a parameter, meets on the driver.
 3. One pass over all whole texts: windows of about each item's length, a fresh one every quarter, are folded into the
@@ -140,17 +140,27 @@ def _gram_batches(q, idf):
     """Row blocks of A'(A Q), summed over the passages of one task. Rows of A have unit length."""
 
     def run(batches):
-        basis, weight = q.value, np.append(idf.value, 0).astype(np.float32)
-        weighted = basis * weight[:FEATURES, None]
-        out = np.zeros((FEATURES, basis.shape[1]), np.float32)
+        # only features with a weight have rows, so that the tables stay small
+        used = np.flatnonzero(idf.value)
+        row = np.full(FEATURES, len(used), np.uint16)
+        row[used] = np.arange(len(used))
+        weight = np.append(idf.value[used], 0).astype(np.float32)
+        weighted = q.value[used] * weight[:-1, None]
+        out = np.zeros(weighted.shape, np.float32)
         for _, w, first in _word_blocks(batches):
             if len(w) == 0:
                 continue
             p, f = _passages(w, first)
+            f = row[f]
+            known = f < len(used)
+            p, f = p[known], f[known]
+            if len(p) == 0:
+                continue
+            p = np.cumsum(np.append(0, p[1:] != p[:-1]))  # passages with a known word
             sizes = np.bincount(p)
             y = segment_sums(weighted, f, sizes)
-            # lengths of the rows of A: equal words of a passage stand together; free places hold FEATURES, which has no weight
-            slot = np.full((len(sizes), PASSAGE_WORDS), FEATURES, np.uint16)
+            # lengths of the rows of A: equal words of a passage stand together; free places hold a row without weight
+            slot = np.full((len(sizes), PASSAGE_WORDS), len(used), np.uint16)
             slot[p, np.arange(len(p)) - (np.cumsum(sizes) - sizes)[p]] = f
             slot.sort(axis=1)
             fresh = np.ones(slot.shape, bool)
@@ -159,13 +169,12 @@ def _gram_batches(q, idf):
             x = np.diff(np.append(at, fresh.size)) * weight[slot.ravel()[at]]
             norm = np.sqrt(np.bincount(at // PASSAGE_WORDS, x * x, len(slot)))
             y /= np.maximum(norm, 1e-9).astype(np.float32)[:, None] ** 2
-            f = f.astype(np.uint16)
             order = np.argsort(f, kind="stable")
             f = f[order]
             begins = np.flatnonzero(np.concatenate(([True], f[1:] != f[:-1])))
             out[f[begins]] += segment_sums(y, p[order], np.diff(np.append(begins, len(f))))
-        out *= weight[:FEATURES, None]
-        parts = [out[i : i + _BLOCK_ROWS].tobytes() for i in range(0, FEATURES, _BLOCK_ROWS)]
+        out *= weight[:-1, None]
+        parts = [out[i : i + _BLOCK_ROWS].tobytes() for i in range(0, len(used), _BLOCK_ROWS)]
         yield pa.RecordBatch.from_arrays([pa.array(range(len(parts)), pa.int32()), pa.array(parts, pa.binary())], names=["block", "part"])
 
     return run
@@ -182,7 +191,7 @@ def _sum_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _latent(passages: DataFrame, idf: np.ndarray, rank: int) -> np.ndarray:
-    """Features x rank: right singular vectors, whitened by their singular values."""
+    """Features x rank: right singular vectors, whitened by their singular values; rows of zeros for features without weight."""
     sc = passages.sparkSession.sparkContext
     q = np.random.default_rng(7).standard_normal((FEATURES, rank + OVERSAMPLE)).astype(np.float32)
     weight = sc.broadcast(idf)
@@ -194,14 +203,18 @@ def _latent(passages: DataFrame, idf: np.ndarray, rank: int) -> np.ndarray:
         del parts
         sent.destroy()
         drop_garbage(passages.sparkSession)
-        return np.concatenate([np.frombuffer(r["part"], np.float32).reshape(-1, q.shape[1]) for r in sorted(rows, key=lambda r: r["block"])]) if rows else np.zeros_like(q)
+        out = np.zeros_like(q)
+        if rows:
+            out[np.flatnonzero(idf)] = np.concatenate([np.frombuffer(r["part"], np.float32).reshape(-1, q.shape[1]) for r in sorted(rows, key=lambda r: r["block"])])
+        return out
 
     for _ in range(2):
         q = np.linalg.qr(apply(q))[0].astype(np.float32)
     z = apply(q)
     values, u = np.linalg.eigh(q.T.astype(np.float64) @ z)
     top = np.argsort(-values)[:rank]
-    scale = 1 / np.sqrt(np.maximum(values[top], 1e-6))
+    # directions that no passage has are left out
+    scale = np.where(values[top] > 1e-6 * max(values.max(), 1e-30), 1 / np.sqrt(np.maximum(values[top], 1e-30)), 0.0)
     return ((q @ u[:, top]) * scale).astype(np.float32)
 
 
@@ -248,7 +261,7 @@ def _prepare(ids: list, texts: list[str], fold: np.ndarray, idf: np.ndarray) ->
         rare[i, np.searchsorted(vocabulary, np.delete(distinct, common))] = True
         need[i] = PARAPHRASE_SHARE * len(x) - n[common].sum()
     padded = np.vstack([fold, np.zeros((1, fold.shape[1]), np.float32)])
-    return SimpleNamespace(ids=[ids[i] for i in own], words=[x.tolist() for x in words], fold=padded, steps=steps, vocabulary=vocabulary, own_feature=own_feature, rare=rare, need=need)
+    return SimpleNamespace(ids=[ids[i] for i in own], words=[x.tolist() for x in words], fold=padded, steps=steps, vocabulary=vocabulary, own_feature=own_feature, weighted=idf > 0, rare=rare, need=need)
 
 
 def _search_batches(items):
@@ -292,8 +305,10 @@ def _search(it: SimpleNamespace, w: np.ndarray, first: np.ndarray) -> list[tuple
     if start[-1] == 0:
         return []
     # every document begins a new group; the missing words are zero rows
+    own = _feature(w)
+    item_word = it.own_feature[own]
     f = np.full(start[-1] * GROUP, FEATURES, np.int64)
-    f[np.arange(len(w)) - np.repeat(first[:-1], count) + np.repeat(start[:-1] * GROUP, count)] = _feature(w)
+    f[np.arange(len(w)) - np.repeat(first[:-1], count) + np.repeat(start[:-1] * GROUP, count)] = np.where(it.weighted[own], own, FEATURES)
     sums = it.fold[f[0::GROUP]]
     for k in range(1, GROUP):
         sums += it.fold[f[k::GROUP]]
@@ -301,7 +316,7 @@ def _search(it: SimpleNamespace, w: np.ndarray, first: np.ndarray) -> list[tuple
     np.cumsum(sums, axis=0, out=run[1:])
     # benchmark words by number, where the feature is one of theirs at all; all others share one number that no item has
     known = np.full(len(w), len(it.vocabulary))
-    maybe = np.flatnonzero(it.own_feature[_feature(w)])
+    maybe = np.flatnonzero(item_word)
     at = np.minimum(np.searchsorted(it.vocabulary, w[maybe]), len(it.vocabulary) - 1)
     known[maybe] = np.where(it.vocabulary[at] == w[maybe], at, len(it.vocabulary))
     best: dict[tuple[int, int], tuple] = {}
@@ -377,9 +392,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     df = np.zeros(FEATURES)
     df[f[f < FEATURES]] = n[f < FEATURES]
     idf = np.log((total + 1) / (df + 1)) + 1e-3
+    # The passages are described by the benchmark's words alone (at most FEATURES hashes of them); other words have no weight.
+    item_words = items.mapInArrow(_word_batches, "item long, words binary")
+    asked = item_words.mapInArrow(_frequency_batches, "feature long, n long").select("feature").distinct().toArrow().column("feature").to_numpy()
+    asked = asked[asked < FEATURES]
+    idf = np.where(np.isin(np.arange(FEATURES), asked), idf, 0.0)
     # Each task sends a whole (features x rank) sum, so there are two tasks a core, or as many as their bound of words asks for.
     tasks = max(2 * sc.defaultParallelism, -(-n_words // MAX_TASK_WORDS))
-    passages = words.select("words").unionByName(items.mapInArrow(_word_batches, "item long, words binary").select("words")).coalesce(tasks)
+    passages = words.select("words").unionByName(item_words.select("words")).coalesce(tasks)
     fold = (_latent(passages, idf, RANK) * idf[:, None]).astype(np.float32)
     many = items.count()
     found = None
@@ -391,5 +411,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         found = hits if found is None else found.unionByName(hits)
     found = materialize(found, "found")
     release(words)
+    drop_garbage(spark)
     return found
 
