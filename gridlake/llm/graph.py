@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, release
 
 
 def components(edges: DataFrame, src: str = "a", dst: str = "b") -> DataFrame:
@@ -13,6 +13,7 @@ def components(edges: DataFrame, src: str = "a", dst: str = "b") -> DataFrame:
 
     Each round takes the smallest label among the neighbours, then the label of that label. Labels and links stay
     distributed; only the number of changed labels reaches the driver. Null ends and repeated links are ignored.
+    The result is a written table (``release`` it after use).
     """
     e = edges.select(F.col(src).alias("u"), F.col(dst).alias("v")).dropna()
     sym = materialize(e.union(e.select("v", "u")).filter("u <> v").distinct(), "links")
@@ -23,6 +24,9 @@ def components(edges: DataFrame, src: str = "a", dst: str = "b") -> DataFrame:
         step = lab.join(near, "id").select("id", F.col("comp").alias("old"), F.least("comp", "c").alias("comp"))
         up = step.select(F.col("id").alias("comp"), F.col("comp").alias("up"))
         new = materialize(step.join(up, "comp").select("id", "old", F.least("comp", "up").alias("comp")), "labels")
-        if new.filter("old <> comp").isEmpty():
-            return new.select("id", "comp")
+        release(lab)
         lab = new.select("id", "comp")
+        lab.scratch = new.scratch
+        if new.filter("old <> comp").isEmpty():
+            release(sym)
+            return lab

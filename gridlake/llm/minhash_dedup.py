@@ -16,9 +16,15 @@ candidates is lost unless both are connected anyhow. Links are confirmed on full
 
 Recall: two sets of similarity s share a band with probability 1 - (1 - s^8)^64: 0.99999 at 0.8, more above.
 
-Cases: null and empty texts have no shingles and stay alone; equal texts and repeated rows share a class (rows of
-one id are one document); a row with a null id stays alone, with a null component, and is kept; an empty table gives
-an empty result; extra columns and clashing names don't matter, only the id and text columns are read.
+Equality rests on 128 bits of hashes (classes) and on 64 bits a shingle (verification), not on the words themselves.
+
+Skew. Rows of large classes and buckets meet their smallest id by a broadcast of the large ones alone (a sized list), all others by a
+shuffle; counts and smallest ids are added up before any shuffle.
+
+Cases: null and empty texts have no shingles and stay alone; equal texts share a class; rows of one id are one document: if they differ, the one
+with the fewest shingles (ties: the smaller fingerprint) stands for it, rows without words never do, and each row has its own set size and the document's
+component; a row with a null id stays alone, with a null component, and is kept; an empty table gives an empty result; extra columns and
+clashing names don't matter, only the id and text columns are read.
 """
 
 from __future__ import annotations
@@ -28,11 +34,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, materialize, sized, slices, text_bytes, whole_texts
+from .common import MAX_BROADCAST_IDS, blocks, drop_garbage, materialize, release, sized, slices, text_bytes, whole_texts
 from .graph import components
 from .shingles import U, mix, shingle_sets
 
 BANDS, ROWS = 64, 8
+#: Rows from which a class or a bucket counts as large.
+LARGE = 256
 BINS = BANDS * ROWS
 
 
@@ -72,6 +80,15 @@ def band_hashes(rows: np.ndarray, bands: int = BANDS) -> np.ndarray:
 _SKETCH = "id long, n_shingles long, fp1 long, fp2 long, bands array<long>"
 
 
+def _fingerprints(elems: np.ndarray, first: np.ndarray) -> list[pa.Array]:
+    """128 bits of each set: two sums of mixed elements."""
+    out = []
+    for mixed in (mix(elems ^ U(0x5851F42D4C957F2D)), mix(elems + U(0x14057B7EF767814F))):
+        run = np.concatenate((np.zeros(1, U), np.cumsum(mixed)))
+        out.append(pa.array((run[first[1:]] - run[first[:-1]]).view(np.int64)))
+    return out
+
+
 def _sketch_batches(width: int):
     def run(batches):
         for batch in slices(batches):
@@ -80,24 +97,18 @@ def _sketch_batches(width: int):
                 elems, first = shingle_sets(buf[offs[a] : offs[b]], offs[a : b + 1] - offs[a], width)
                 n = np.diff(first)
                 bands = band_hashes(sketch(elems, first)).view(np.int64)
-                run1 = np.concatenate((np.zeros(1, U), np.cumsum(mix(elems ^ U(0x5851F42D4C957F2D)))))
-                run2 = np.concatenate((np.zeros(1, U), np.cumsum(mix(elems + U(0x14057B7EF767814F)))))
                 empty = n == 0
                 at = np.concatenate(([0], np.cumsum(np.where(empty, 0, BANDS)))).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        ids.slice(a, b - a),
-                        pa.array(n.astype(np.int64)),
-                        pa.array((run1[first[1:]] - run1[first[:-1]]).view(np.int64)),
-                        pa.array((run2[first[1:]] - run2[first[:-1]]).view(np.int64)),
-                        pa.ListArray.from_arrays(pa.array(at), pa.array(bands[~empty].reshape(-1))),
-                    ],
-                    names=["id", "n_shingles", "fp1", "fp2", "bands"],
-                )
+                lists = pa.ListArray.from_arrays(pa.array(at), pa.array(bands[~empty].reshape(-1)))
+                cols = [ids.slice(a, b - a), pa.array(n.astype(np.int64)), *_fingerprints(elems, first), lists]
+                yield pa.RecordBatch.from_arrays(cols, names=["id", "n_shingles", "fp1", "fp2", "bands"])
 
     return run
 
 
+_SETS = "id long, n_shingles long, fp1 long, fp2 long, elems array<long>"
+
+
 def _set_batches(width: int):
     def run(batches):
         for batch in slices(batches):
@@ -105,82 +116,108 @@ def _set_batches(width: int):
             for a, b in blocks(offs):
                 elems, first = shingle_sets(buf[offs[a] : offs[b]], offs[a : b + 1] - offs[a], width)
                 lists = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(elems.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([ids.slice(a, b - a), lists], names=["id", "elems"])
+                cols = [ids.slice(a, b - a), pa.array(np.diff(first).astype(np.int64)), *_fingerprints(elems, first), lists]
+                yield pa.RecordBatch.from_arrays(cols, names=["id", "n_shingles", "fp1", "fp2", "elems"])
 
     return run
 
 
+def _with_least(rows: DataFrame, keys: list[str], least: str, written) -> DataFrame:
+    """Rows whose keys repeat, with ``least``, the smallest id of the key, and ``m``, its number of rows."""
+    found = rows.groupBy(*keys).agg(F.min("id").alias(least), F.count(F.lit(1)).alias("m")).filter("m > 1")
+    found = written(found, "keys")
+    large = found.filter(F.col("m") > LARGE)
+    if found.count() <= MAX_BROADCAST_IDS:
+        return rows.join(F.broadcast(found), keys)
+    # at most rows / LARGE keys: their rows stay where they are
+    own = rows.join(sized(large), keys)
+    return own.unionByName(rows.join(sized(large.select(*keys)), keys, "left_anti").join(found.filter(F.col("m") <= LARGE), keys))
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """``(id, n_shingles, component_id, kept)`` per row: links are pairs with 100 |A & B| >= percent |A | B| over the
     distinct shingles of ``width`` words; ``kept`` marks the smallest id of a component."""
     whole_texts(df.sparkSession)
     src = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    docs = materialize(src.mapInArrow(_sketch_batches(width), _SKETCH), "sketch")
+    scratch: list[DataFrame] = []
 
-    # Classes of equal shingle sets, by the smallest id of each.
+    def written(part: DataFrame, tag: str) -> DataFrame:
+        scratch.append(materialize(part, tag))
+        return scratch[-1]
+
+    docs = written(src.mapInArrow(_sketch_batches(width), _SKETCH), "sketch")
+
+    # One set stands for each id.
     full = docs.filter("n_shingles > 0 and id is not null")
     key = ["n_shingles", "fp1", "fp2"]
-    reps = full.groupBy(*key).agg(F.min("id").alias("rep"))
-    member = materialize(full.select("id", *key).join(reps, key).select("id", "rep", F.col("n_shingles").alias("n")).distinct(), "classes")
-    heads = member.filter("id = rep").select("id", "n")
-    # Bucket rows (key, id): the smallest id of a bucket is its first centre. Both readers share one exchange.
-    rows = full.select("id", "bands").join(heads.select("id"), "id", "left_semi").select(F.explode("bands").alias("key"), "id").distinct()
-    rows = rows.repartition("key")
-    multi = rows.groupBy("key").agg(F.min("id").alias("centre"), F.count(F.lit(1)).alias("m")).filter("m > 1")
-    buckets = materialize(rows.join(multi.select("key", "centre"), "key"), "buckets")
+    several = written(full.groupBy("id").agg(F.min(F.struct(*key)).alias("c"), F.max(F.struct(*key)).alias("d")).filter("c <> d").select("id", "c.*"), "several")
+    if not several.isEmpty():
+        once = full.join(sized(several.select("id")), "id", "left_anti")
+        full = once.unionByName(full.join(sized(several), ["id", *key], "left_semi"))
+    # Classes of equal shingle sets, by the smallest id of each.
+    shared = _with_least(full.select("id", *key), key, "rep", written).select("id", "rep", F.col("n_shingles").alias("n"))
+    shared = written(shared.distinct(), "classes")
+    heads = full.select("id", F.col("n_shingles").alias("n"), "bands").join(sized(shared.filter("id <> rep").select("id").distinct()), "id", "left_anti")
+    # Bucket rows (key, id): the smallest id of a bucket is its first centre.
+    rows = heads.select("id", F.explode("bands").alias("key"))
+    heads = heads.select("id", "n").distinct()
+    buckets = written(_with_least(rows, ["key"], "centre", written).filter("m > 1").select("key", "id", "centre").distinct(), "buckets")
 
     sizes = heads
     star = buckets.filter("id <> centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
-    tested = materialize(_size_bound(star, sizes, percent), "pairs")
-    links = _verify(src, tested, width, percent, "links1")
+    tested = written(_size_bound(star, sizes, percent), "pairs")
+    links = _verify(src, tested, width, percent, "links1", written)
     for turn in (2, 3):
         comp = components(links)
+        scratch.append(comp)
         named = buckets.select("key", "id").join(comp, "id", "left").select("key", "id", F.coalesce("comp", "id").alias("comp"))
-        named = named.repartition("key")
         split = named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("key")
-        named = materialize(named.join(split, "key"), f"open{turn}")
+        split = written(split, "split")
+        named = written(named.join(sized(split), "key"), f"open{turn}")
         if turn == 2:  # another centre of each bucket, drawn by hash
-            centre = named.groupBy("key").agg(F.min(F.struct(F.xxhash64("key", "id"), "id", "comp")).alias("c"))
-            pairs = named.join(centre, "key").filter("comp <> c.comp").select("id", F.col("c.id").alias("other"))
+            centre = written(named.groupBy("key").agg(F.min(F.struct(F.xxhash64("key", "id"), "id", "comp")).alias("c")), "centres")
+            pairs = named.join(sized(centre), "key").filter("comp <> c.comp").select("id", F.col("c.id").alias("other"))
         else:  # all that is left across components and can reach the similarity at all
-            named = named.join(_shared(src, named, sizes, width), "id").filter(F.col("c") * 100 >= F.col("n") * percent)
+            named = named.join(_shared(src, named, sizes, width, written), "id").filter(F.col("c") * 100 >= F.col("n") * percent)
             right = named.select("key", *[F.col(x).alias(f"{x}2") for x in ("id", "comp", "n", "c", *_BITS)])
             only = lambda x, y: sum(F.bit_count(F.col(f"{b}{x}").bitwiseAND(F.bitwise_not(f"{b}{y}"))) for b in _BITS)
             most = F.least("c", "c2", F.col("n") - only("", "2"), F.col("n2") - only("2", ""))
             near = (F.col("comp") < F.col("comp2")) & (most * 100 >= (F.col("n") + F.col("n2") - most) * percent)
             pairs = named.join(right, ["key"]).filter(near).select("id", F.col("id2").alias("other"))
         pairs = pairs.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
-        pairs = materialize(_size_bound(pairs, sizes, percent).join(tested, ["a", "b"], "left_anti"), f"pairs{turn}")
+        pairs = written(_size_bound(pairs, sizes, percent).join(tested, ["a", "b"], "left_anti"), f"pairs{turn}")
         if pairs.isEmpty():
             continue
         tested = tested.unionByName(pairs)
-        links = links.unionByName(_verify(src, pairs, width, percent, f"links{turn}"))
+        links = links.unionByName(_verify(src, pairs, width, percent, f"links{turn}", written))
     comp = components(links)
+    scratch.append(comp)
+    member = shared.select("id", "rep").unionByName(comp.select("id", F.col("id").alias("rep")).join(shared.select("id"), "id", "left_anti"))
     joined = member.join(comp.select(F.col("id").alias("rep"), "comp"), "rep", "left").select("id", F.coalesce("comp", "rep").alias("component_id"))
-    return (
-        docs.select("id", "n_shingles")
-        .join(joined, "id", "left")
-        .select(
-            F.col("id").alias(id_col),
-            "n_shingles",
-            F.coalesce("component_id", "id").alias("component_id"),
-            (F.col("id").isNull() | (F.col("id") == F.coalesce("component_id", "id"))).alias("kept"),
-        )
+    result = docs.select("id", "n_shingles").join(joined, "id", "left")
+    result = result.select("id", "n_shingles", F.coalesce("component_id", "id").alias("component_id"))
+    result = materialize(result, "near-duplicates")
+    release(*scratch)
+    drop_garbage(df.sparkSession)
+    return result.select(
+        F.col("id").alias(id_col), "n_shingles", "component_id", (F.col("id").isNull() | (F.col("id") == F.col("component_id"))).alias("kept")
     )
 
 
-def _shared(src: DataFrame, named: DataFrame, sizes: DataFrame, width: int) -> DataFrame:
+def _shared(src: DataFrame, named: DataFrame, sizes: DataFrame, width: int, written) -> DataFrame:
     """``(id, n, c, bits)`` of the ids in ``named``: set size, how many of its shingles any other of these ids has too, and
     a bitmap of its shingles.
 
     A shingle of one document alone is in no intersection, so two documents share at most the smaller ``c``; and each bit that
     only one of them has is a shingle that the other lacks. Both are bounds, never estimates.
     """
-    ids = materialize(named.select("id").distinct(), "open-ids")
-    sets = materialize(src.join(sized(ids), "id", "left_semi").mapInArrow(_bit_batches(width), f"id long, elems array<long>, {', '.join(f'{b} long' for b in _BITS)}"), "open-sets")
-    elems = sets.select("id", F.explode("elems").alias("e")).repartition("e").distinct()
+    ids = written(named.select("id").distinct(), "open-ids")
+    bits = f"{_SETS}, {', '.join(f'{b} long' for b in _BITS)}"
+    sets = _one_set(written(src.join(sized(ids), "id", "left_semi").mapInArrow(_bit_batches(width), bits), "open-sets"))
+    # each id has one set, so rows of a shingle can be counted before they are shuffled
+    elems = sets.select("id", F.explode("elems").alias("e"))
     alone = elems.groupBy("e").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("k")).filter("k = 1").groupBy("id").agg(F.count(F.lit(1)).alias("u"))
-    bits = sets.groupBy("id").agg(*[F.first(b).alias(b) for b in _BITS])
+    bits = sets.select("id", *_BITS)
     n = sizes.join(ids, "id", "left_semi").join(alone, "id", "left").select("id", "n", (F.col("n") - F.coalesce("u", F.lit(0))).alias("c"))
     return n.join(bits, "id")
 
@@ -194,7 +231,7 @@ def _bit_batches(width: int):
 
     def run(batches):
         for batch in sets(batches):
-            lists = batch.column(1)
+            lists = batch.column(4)
             first = lists.offsets.to_numpy()
             elems = lists.values.to_numpy().view(U)
             words = np.zeros((len(first) - 1) * len(_BITS), U)
@@ -202,7 +239,7 @@ def _bit_batches(width: int):
             owner = np.repeat(np.arange(len(first) - 1), np.diff(first)) * len(_BITS) + (slot // U(64)).astype(np.int64)
             np.bitwise_or.at(words, owner, U(1) << (slot % U(64)))
             cols = words.view(np.int64).reshape(-1, len(_BITS))
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists, *(pa.array(np.ascontiguousarray(cols[:, i])) for i in range(len(_BITS)))], names=["id", "elems", *_BITS])
+            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(np.ascontiguousarray(cols[:, i])) for i in range(len(_BITS)))], names=[*batch.schema.names, *_BITS])
 
     return run
 
@@ -214,20 +251,27 @@ def _size_bound(pairs: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     return pairs.join(a, "a").join(b, "b").filter(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent).select("a", "b")
 
 
-def _verify(src: DataFrame, pairs: DataFrame, width: int, percent: int, tag: str) -> DataFrame:
+def _verify(src: DataFrame, pairs: DataFrame, width: int, percent: int, tag: str, written) -> DataFrame:
     """Pairs that hold on full shingle sets. Only texts of ids in ``pairs`` are shingled again and shuffled."""
     ids = materialize(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), f"{tag}-ids")
     texts = src.join(sized(ids), "id", "left_semi")
-    sets = materialize(texts.mapInArrow(_set_batches(width), "id long, elems array<long>"), f"{tag}-sets")
-    sets = sets.groupBy("id").agg(F.first("elems").alias("elems")) if _repeats(sets) else sets
+    full = materialize(texts.mapInArrow(_set_batches(width), _SETS), f"{tag}-sets")
+    sets = _one_set(full)
     left = sets.select(F.col("id").alias("a"), F.col("elems").alias("ea"))
     right = sets.select(F.col("id").alias("b"), F.col("elems").alias("eb"))
     both = pairs.join(left, "a").join(right, "b")
     common = F.size(F.array_intersect("ea", "eb"))
     union = F.size("ea") + F.size("eb") - F.col("n")
-    return materialize(both.withColumn("n", common).filter(F.col("n") * 100 >= union * percent).select("a", "b"), tag)
-
-
-def _repeats(sets: DataFrame) -> bool:
-    """Whether an id stands in several rows."""
-    return not sets.groupBy("id").count().filter("count > 1").isEmpty()
+    found = written(both.withColumn("n", common).filter(F.col("n") * 100 >= union * percent).select("a", "b"), tag)
+    release(ids, full)
+    return found
+
+
+def _one_set(sets: DataFrame) -> DataFrame:
+    """The set that stands for each id: with words, then the fewest shingles, then the smaller fingerprint."""
+    sets = sets.filter("n_shingles > 0")
+    if sets.groupBy("id").count().filter("count > 1").isEmpty():
+        return sets
+    rest = [c for c in sets.columns if c not in ("id", "n_shingles", "fp1", "fp2")]
+    one = sets.groupBy("id").agg(F.min_by(F.struct(*rest), F.struct("n_shingles", "fp1", "fp2")).alias("s"))
+    return one.select("id", "s.*")
