@@ -4,8 +4,8 @@ A node of k shards becomes two of k // 2 and k - k // 2; the split point leaves
 the text: its bytes, its lines and its mean line length (in 1/16 bytes), so equal texts have equal coordinates. Rows are ordered by
 (coordinate, 64-bit hash of the text, id), and the weighted median is found in that order by histograms: every round counts the bytes
 of the buckets of all open nodes at once and goes on inside the bucket that holds the split point. A round's table has at most
-nodes x ``BUCKETS`` rows; only the chosen bucket of each node reaches the driver. The split point is moved to the nearer end of a group of
-equal texts where this costs at most ``MAX_SHIFT`` of the node's bytes, so equal texts share a shard, but a very large group is divided.
+nodes x ``BUCKETS`` rows; only the chosen bucket of each node reaches the driver. The split point is moved to the nearer end of its group of
+equal texts, so equal texts share a shard; a group of more bytes than a shard is divided. What a cut shifts, the cuts below it share.
 
 Only DataFrame functions run. Slots count the rows of a shard from 0: rows are dealt by a hash of the id into cells of about ``CELL_ROWS`` rows,
 numbered within their cell, and offset by the cells before.
@@ -24,7 +24,6 @@ from .common import materialize
 
 SHARDS = 8
 BUCKETS = 1024
-MAX_SHIFT = 0.01
 CELL_ROWS = 50_000
 _DIMS = ("__size", "__lines", "__mean")
 
@@ -47,12 +46,13 @@ def kd_shards(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", sha
         ).withColumn("__i", F.xxhash64(F.col(f"`{id_col}`").cast("string"))),
         "shard-rows",
     )
-    ranges = rows.agg(*[F.min(d).alias(f"lo{d}") for d in _DIMS], *[F.max(d).alias(f"hi{d}") for d in _DIMS], F.count(F.lit(1)).alias("n")).first()
+    ranges = rows.agg(*[F.min(d).alias(f"lo{d}") for d in _DIMS], *[F.max(d).alias(f"hi{d}") for d in _DIMS], F.count(F.lit(1)).alias("n"), F.sum("__size").alias("bytes")).first()
     tree = {0: (0, shards)}  # node: its first shard and its number of shards; node i has the children 2 i + 1 and 2 i + 2
+    share = (ranges["bytes"] or 0) / shards
     spread = {d: max((ranges[f"hi{d}"] or 0) - (ranges[f"lo{d}"] or 0), 1) for d in _DIMS}
     rows = rows.withColumn("__node", F.lit(0))
     while open_ := {i: v for i, v in tree.items() if v[1] > 1}:
-        cuts = _cuts(rows.filter(F.col("__node").isin(list(open_))), open_, spread)
+        cuts = _cuts(rows.filter(F.col("__node").isin(list(open_))), open_, spread, share)
         step = F.col("__node")
         for i, (s, k) in open_.items():
             del tree[i]
@@ -78,8 +78,8 @@ def _before(cut: tuple) -> Column:
     return out
 
 
-def _cuts(rows: DataFrame, open_: dict, spread: dict) -> dict[int, tuple]:
-    """For each open node with rows: its split point in the order of (coordinate, text hash, id hash)."""
+def _cuts(rows: DataFrame, open_: dict, spread: dict, share: float) -> dict[int, tuple]:
+    """For each open node with rows: its split point in the order of (coordinate, text hash, id hash). ``share``: bytes of a shard."""
     stats = rows.groupBy("__node").agg(
         F.sum("__size").alias("bytes"), *[F.min(d).alias(f"lo{d}") for d in _DIMS], *[F.max(d).alias(f"hi{d}") for d in _DIMS]
     ).collect()
@@ -102,7 +102,7 @@ def _cuts(rows: DataFrame, open_: dict, spread: dict) -> dict[int, tuple]:
         for r in _within(rows, todo).groupBy("__node").agg(F.sum("__size").alias("bytes")).collect():
             w = work[r["__node"]]
             under, over = w["goal"] - w["before"], w["before"] + r["bytes"] - w["goal"]
-            exact = level == 2 or min(under, over) <= w["total"] * MAX_SHIFT * (level > 0)
+            exact = level == 2 or min(under, over) == 0 or (level == 1 and r["bytes"] <= share)
             if exact:  # the nearer end of the group of equal keys
                 eq = w["eq"] + [None] * (3 - len(w["eq"]))
                 cuts[r["__node"]] = (w["dim"], *(eq if over <= under else _lower(eq)))
