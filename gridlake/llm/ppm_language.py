@@ -25,12 +25,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, slices, text_bytes, whole_texts, worker_cache
+from .common import blocks, materialize, slices, text_bytes, whole_texts, worker_cache
 
 ORDER = 3
-#: Bound of the training sample: rows per language, drawn by a hash of the id; and of the languages.
+#: Bound of the training sample: rows per language, drawn by a hash of id and text (rows that are equal in both are drawn together).
 MAX_ROWS_PER_LANGUAGE = 1000
-MAX_LANGUAGES = 100
+#: Languages whose dense tables a worker holds at a time; more are scored in as many passes.
+LANGUAGE_BLOCK = 16
 #: Byte pairs that the order-3 tables index densely: the most frequent ones of the sample. Texts with other pairs
 #: are scored by the same formulas from the sparse counts.
 MAX_PAIRS = 2000
@@ -78,20 +79,20 @@ def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
           max_rows: int = MAX_ROWS_PER_LANGUAGE) -> dict:
     """Frozen counts per language from at most ``max_rows`` rows of each language, whole texts, drawn by a hash of the id."""
     whole_texts(df.sparkSession)
-    rows = df.select(
-        F.col(f"`{lang_col}`").cast("string").alias("lang"), F.col(f"`{text_col}`").cast("string").alias("text"), F.xxhash64(F.col(f"`{id_col}`").cast("string")).alias("h")
-    ).filter("lang is not null and text is not null")
-    totals = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    text = F.col(f"`{text_col}`").cast("string")
+    rows = df.select(F.col(f"`{lang_col}`").cast("string").alias("lang"), text.alias("text"), F.xxhash64(F.col(f"`{id_col}`").cast("string"), text).alias("h"))
+    rows = rows.filter("lang is not null and text is not null")
+    totals = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min("h").alias("least")).orderBy("lang").collect()
     if not totals:
         return {"langs": [], "grams": np.zeros(0, np.int64), "counts": np.zeros((0, 0), np.int64)}
-    # The hash is uniform: a threshold per language draws max_rows in expectation, without a sort or a shuffle of texts.
-    span = 2.0**64
-    draw = F.lit(False)
-    for r in totals:
-        share = min(1.0, max_rows / r["count"])
-        top = F.lit(int(-(2**63) + share * span * (1 - 2**-50))) if share < 1 else F.lit(2**63 - 1)
-        draw = draw | ((F.col("lang") == r["lang"]) & (F.col("h") <= top))
-    sample = rows.filter(draw).select("lang", "text")
+    # The hash is uniform: a threshold per language draws max_rows in expectation, without a sort or a shuffle of texts. Where rows
+    # repeat so often that it draws none, those of the least hash are drawn, one of them.
+    top = {r["lang"]: -(2**63) + int(min(1.0, max_rows / r["n"]) * (2.0**64 - 2**12)) if r["n"] > max_rows else 2**63 - 1 for r in totals}
+    tops = F.create_map(*[F.lit(x) for pair in top.items() for x in pair])
+    sample = rows.filter(F.col("h") <= tops[F.col("lang")]).select("lang", "text")
+    none = [r["lang"] for r in totals if r["least"] > top[r["lang"]]]
+    if none:
+        sample = sample.unionByName(rows.filter(F.col("lang").isin(none)).groupBy("lang").agg(F.min_by("text", "h").alias("text")))
     grams = sample.mapInArrow(_count_batches(ORDER), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     got = grams.toArrow()
     langs = sorted(r["lang"] for r in totals)
@@ -264,27 +265,32 @@ class _Tables:
         return out
 
 
-def _score_batches(model, key: str):
+def _score_batches(model, key: str, first: int, last: bool):
+    """Scores under the languages of one block; ``first`` is the number of its first one. Earlier blocks' best language, its bits and the sum of
+    likelihoods relative to it come in the last columns, and go on in them, without the text after the last block."""
+
     def run(batches):
         cache = worker_cache("ppm")
         if key not in cache:
             cache.clear()
             cache[key] = _Tables(model.value)
-        t, langs = cache[key], model.value["langs"]
+        t = cache[key]
         for batch in slices(batches):
-            buf, offs = text_bytes(batch.column(batch.num_columns - 2))
-            letter = batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False)
-            best = np.zeros(len(offs) - 1, np.int64)
-            score = np.zeros(len(offs) - 1)
+            n = batch.num_columns
+            buf, offs = text_bytes(batch.column(n - 4))
+            best, least, total = (batch.column(n - 3 + k).to_numpy().copy() for k in range(3))
             for a, b in blocks(offs):
                 bits = t.lengths(buf[offs[a] : offs[b]], offs[a : b + 1] - offs[a]) / _UNIT
-                best[a:b] = bits.argmin(axis=1)
-                gap = np.minimum(bits - bits.min(axis=1, keepdims=True), 1000)
-                score[a:b] = 1 / (2.0**-gap).sum(axis=1)
-            names = [langs[i] if ok else UNDETERMINED for i, ok in zip(best, letter)]
-            cols = [batch.column(i) for i in range(batch.num_columns - 2)]
-            out = cols + [pa.array(names, pa.string()), pa.array(np.where(letter, score, 0.0))]
-            yield pa.RecordBatch.from_arrays(out, names=[*batch.schema.names[:-2], "lang_pred", "score"])
+                low = bits.min(axis=1)
+                own = (2.0 ** -np.minimum(bits - low[:, None], 1000)).sum(axis=1)
+                better = low < least[a:b]
+                best[a:b] = np.where(better, first + bits.argmin(axis=1), best[a:b])
+                new = np.minimum(low, least[a:b])
+                total[a:b] = total[a:b] * 2.0 ** -np.minimum(least[a:b] - new, 1000) + own * 2.0 ** -np.minimum(low - new, 1000)
+                least[a:b] = new
+            keep = [i for i in range(n - 3) if not (last and i == n - 4)]
+            cols = [batch.column(i) for i in keep] + [pa.array(x) for x in (best, least, total)]
+            yield pa.RecordBatch.from_arrays(cols, names=[batch.schema.names[i] for i in [*keep, n - 3, n - 2, n - 1]])
 
     return run
 
@@ -298,10 +304,22 @@ def predict(df: DataFrame, model: dict, text_col: str = "text", carry: list[str]
     if not model["langs"]:
         return df.select(*[F.col(f"`{c}`") for c in carry], F.lit(UNDETERMINED).alias("lang_pred"), F.lit(0.0).alias("score"))
     cols = [F.col(f"`{c}`") for c in carry]
-    src = df.select(*cols, text.alias("__text"), has_letter.alias("__letter"))
-    schema = df.select(*cols, F.lit("").alias("lang_pred"), F.lit(0.0).alias("score")).schema
-    sent = df.sparkSession.sparkContext.broadcast(model)
-    return src.mapInArrow(_score_batches(sent, f"{id(model)}-{len(model['grams'])}-{int(model['counts'].sum())}"), schema)
+    start = [F.lit(0).cast("long").alias("__best"), F.lit(1e300).alias("__least"), F.lit(0.0).alias("__total")]
+    out = df.select(*cols, has_letter.alias("__letter"), text.alias("__text"), *start)
+    sc = df.sparkSession.sparkContext
+    for first in range(0, len(model["langs"]), LANGUAGE_BLOCK):
+        if first:  # a worker holds one block's tables at a time
+            out = materialize(out, "languages")
+        last = first + LANGUAGE_BLOCK >= len(model["langs"])
+        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in out.schema.fields if not (last and f.name == "__text"))
+        counts = model["counts"][:, first : first + LANGUAGE_BLOCK]
+        part = {"grams": model["grams"], "counts": counts}
+        key = f"{id(model)}-{first}-{len(model['grams'])}-{int(counts.sum())}"
+        out = out.mapInArrow(_score_batches(sc.broadcast(part), key, first, last), schema)
+    langs = F.array(*map(F.lit, model["langs"]))
+    named = F.when(F.col("__letter"), F.get(langs, F.col("__best").cast("int"))).otherwise(F.lit(UNDETERMINED))
+    score = F.when(F.col("__letter"), F.lit(1.0) / F.col("__total")).otherwise(F.lit(0.0))
+    return out.select(*cols, named.alias("lang_pred"), score.alias("score"))
 
 
 def held_out(id_col: Column) -> Column:
