@@ -66,8 +66,17 @@ def quoted_messages(conversations: DataFrame) -> DataFrame:
     """Mail-like messages from the turns: each quotes the turn before it, and one level deeper the turn before that."""
     turns = conversations.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"))
     quote = lambda c, mark: F.concat(F.lit(mark), F.replace(F.col(c), F.lit("\n"), F.lit("\n" + mark)), F.lit("\n"))
-    earlier = lambda k, name: turns.select("conv_id", (F.col("turn") + k).alias("turn"), F.col("text").alias(name))
-    both = turns.join(earlier(1, "one"), ["conv_id", "turn"], "left").join(earlier(2, "two"), ["conv_id", "turn"], "left")
+
+    def earlier(k: int, name: str) -> DataFrame:
+        # of repeated turns the first by text is quoted; turns without a number are quoted by none
+        one = turns.filter("turn is not null").groupBy("conv_id", "turn").agg(F.min("text").alias(name))
+        return one.select(F.col("conv_id").alias("c"), (F.col("turn") + k).alias("t"), name)
+
+    def with_earlier(df: DataFrame, k: int, name: str) -> DataFrame:
+        same = F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("turn") == F.col("t"))
+        return df.join(earlier(k, name), same, "left").drop("c", "t")
+
+    both = with_earlier(with_earlier(turns, 1, "one"), 2, "two")
     body = F.concat(F.coalesce(quote("two", ">> "), F.lit("")), F.coalesce(quote("one", "> "), F.lit("")), "text")
     return both.select("conv_id", "turn", "role", body.alias("body"))
 
@@ -76,7 +85,7 @@ def op8_quote_threads(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = quoted_messages(tables(spark, sf_dir, "conversations"))
     linked = threads(messages, "turn", "body", scope_col="conv_id")
     return linked.select(
-        F.col("scope").cast("long").alias("conv_id"), F.col("id").alias("turn"), F.col("parent").alias("parent_turn"),
+        F.col("scope").alias("conv_id"), F.col("id").alias("turn"), F.col("parent").alias("parent_turn"),
         F.col("root").alias("root_turn"), "depth", "position", "text",
     )
 

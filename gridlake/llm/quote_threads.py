@@ -9,7 +9,8 @@ make the parent (ties: the smallest id), which is an earlier message, so the lin
 table whose partitions hand their last one on: equal passages neither multiply nor meet in one task. Roots and depths follow by pointer jumping, positions (by depth, then id) by a range-sorted table
 whose partitions are numbered and offset, so no conversation meets in one task.
 
-Cases: a null or empty text has no passages and no parent, its own text is null or empty; a passage without letters or digits is not
+Cases: messages without a scope form a scope of their own, and scopes keep their type; an attribution line above a quote ("On Monday Ann wrote:")
+is the message's own text, and only ``>`` marks a quote; a null or empty text has no passages and no parent, its own text is null or empty; a passage without letters or digits is not
 hashed; repeated rows of one id in one scope are one message (the first by text); rows without an id are left out; an empty table gives an
 empty result; extra columns are dropped, names can't clash.
 """
@@ -97,7 +98,9 @@ def _latest(writers: DataFrame, readers: DataFrame, keys: list[str]) -> DataFram
 
 def threads(df: DataFrame, id_col: str, text_col: str, scope_col: str | None = None) -> DataFrame:
     """``scope, id, parent, root, depth, position, text`` per message; links stay within a scope (none: one for all)."""
-    scope = F.lit("") if scope_col is None else F.coalesce(F.col(f"`{scope_col}`").cast("string"), F.lit(""))
+    # a null scope is one of its own, apart from the empty one
+    own = F.lit("") if scope_col is None else F.col(f"`{scope_col}`")
+    scope = F.coalesce(F.concat(F.lit("="), own.cast("string")), F.lit(""))
     src = df.select(scope.alias("scope"), F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     src = materialize(src.filter("id is not null").groupBy("scope", "id").agg(F.min("text").alias("text")), "messages")
     found = materialize(src.mapInArrow(_passage_batches, "scope string, id long, level int, hash string, weight long, context string"), "passages")
@@ -128,4 +131,5 @@ def threads(df: DataFrame, id_col: str, text_col: str, scope_col: str | None = N
     base = runs.select("scope", "top", "part", "begin", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     placed = ordered.join(base, ["scope", "top", "part"]).withColumn("position", F.col("row") - F.col("begin") + F.col("base"))
     text = src.mapInArrow(_own_batches, "scope string, id long, text string")
-    return placed.join(text, ["scope", "id"]).select("scope", "id", "parent", F.col("top").alias("root"), "depth", "position", "text")
+    named = F.when(F.col("scope") != "", F.substring("scope", 2, 2**31 - 1)).cast(df.select(own.alias("s")).schema["s"].dataType)
+    return placed.join(text, ["scope", "id"]).select(named.alias("scope"), "id", "parent", F.col("top").alias("root"), "depth", "position", "text")
