@@ -260,8 +260,15 @@ def _prepare(ids: list, texts: list[str], fold: np.ndarray, idf: np.ndarray) ->
         common = order[np.cumsum(n[order]) <= COMMON_SHARE * len(x)]
         rare[i, np.searchsorted(vocabulary, np.delete(distinct, common))] = True
         need[i] = PARAPHRASE_SHARE * len(x) - n[common].sum()
+    # per step and block of items: the items in which each word of the vocabulary is rarer, as one list with the begin of each word
+    lists = []
+    for _, of_step, _ in steps:
+        lists.append([])
+        for c in range(0, len(of_step), _ITEM_BLOCK):
+            word, item = np.nonzero(rare[of_step[c : c + _ITEM_BLOCK]].T)
+            lists[-1].append((c, len(of_step[c : c + _ITEM_BLOCK]), np.searchsorted(word, np.arange(rare.shape[1] + 1)), item))
     padded = np.vstack([fold, np.zeros((1, fold.shape[1]), np.float32)])
-    return SimpleNamespace(ids=[ids[i] for i in own], words=[x.tolist() for x in words], fold=padded, steps=steps, vocabulary=vocabulary, own_feature=own_feature, weighted=idf > 0, rare=rare, need=need)
+    return SimpleNamespace(ids=[ids[i] for i in own], words=[x.tolist() for x in words], fold=padded, steps=steps, vocabulary=vocabulary, own_feature=own_feature, weighted=idf > 0, lists=lists, rare=rare, need=need)
 
 
 def _search_batches(items):
@@ -282,18 +289,16 @@ def _search_batches(items):
 _TYPES = [pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.string()]
 
 
-def _rare_counts(it: SimpleNamespace, own: np.ndarray, known: np.ndarray) -> np.ndarray:
+def _rare_counts(items: int, begin: np.ndarray, item: np.ndarray, known: np.ndarray) -> np.ndarray:
     """(spans + 1) x items: how many of each item's rarer words stand before each span of words."""
-    word, item = np.nonzero(it.rare[own].T)
-    begin = np.searchsorted(word, np.arange(it.rare.shape[1] + 1))
-    per = np.diff(begin)[known]
+    per = (begin[1:] - begin[:-1])[known]
     places = np.flatnonzero(per)
     per = per[places]
-    pick = np.arange(per.sum()) - np.repeat(np.cumsum(per) - per, per) + np.repeat(begin[known[places]], per)
+    pick = np.arange(per.sum()) + np.repeat(begin[known[places]] - np.cumsum(per) + per, per)
     spans = -(-len(known) // _SPAN)
-    cells = np.repeat(places // _SPAN, per) * len(own) + item[pick]
-    out = np.zeros((spans + 1, len(own)), np.int32)
-    np.cumsum(np.bincount(cells, minlength=spans * len(own)).reshape(spans, len(own)), axis=0, out=out[1:])
+    cells = np.repeat(places // _SPAN * items, per) + item[pick]
+    out = np.zeros((spans + 1, items), np.int32)
+    np.cumsum(np.bincount(cells, minlength=spans * items).reshape(spans, items), axis=0, out=out[1:])
     return out
 
 
@@ -320,7 +325,7 @@ def _search(it: SimpleNamespace, w: np.ndarray, first: np.ndarray) -> list[tuple
     at = np.minimum(np.searchsorted(it.vocabulary, w[maybe]), len(it.vocabulary) - 1)
     known[maybe] = np.where(it.vocabulary[at] == w[maybe], at, len(it.vocabulary))
     best: dict[tuple[int, int], tuple] = {}
-    for m, own, q in it.steps:
+    for (m, own, q), lists in zip(it.steps, it.lists):
         # windows of each document: one every stride from its start and one that ends with it; a shorter document is one window
         stride = max(1, m // 4)
         rest = np.maximum(groups - m, 0)
@@ -344,9 +349,9 @@ def _search(it: SimpleNamespace, w: np.ndarray, first: np.ndarray) -> list[tuple
         # rarer words of the item in the spans that the range touches, then in the range itself
         wide = np.arange(m * GROUP + 2 * margin)
         keep = np.zeros(len(rows), bool)
-        for c in range(0, len(own), _ITEM_BLOCK):
-            here = np.flatnonzero((cols >= c) & (cols < c + _ITEM_BLOCK))
-            hits = _rare_counts(it, own[c : c + _ITEM_BLOCK], known)
+        for c, n_items, word_begin, item in lists:
+            here = np.flatnonzero((cols >= c) & (cols < c + n_items))
+            hits = _rare_counts(n_items, word_begin, item, known)
             part = cols[here] - c
             above = hits[(stop[here] - 1) // _SPAN + 1, part] - hits[begin[here] // _SPAN, part]
             here = here[above >= it.need[own[cols[here]]]]
