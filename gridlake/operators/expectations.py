@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from gridlake.functions.expressions import full_match, total, trunc_wall
+from gridlake.functions.expressions import full_match, path_period, total, trunc_wall
 from gridlake.operators.joins import duplicate_keys
 
 
@@ -53,6 +53,13 @@ def missing_periods(
     return cal.join(delivered, "_p", "left_anti").select(F.col("_p").alias(label))
 
 
+def deliveries_per_period(files: DataFrame, path_col: str, expected: int = 1, pattern: str = r"(\d{4}-W\d{2})", label: str = "period") -> DataFrame:
+    """E-03: periods (from the path) with another number of delivered files than ``expected``; files without a period
+    in their path are counted under ''. (Periods without any file: :func:`missing_periods`.)"""
+    counted = files.groupBy(path_period(path_col, pattern).alias(label)).agg(F.count(F.lit(1)).alias("deliveries"))
+    return counted.filter(F.col("deliveries") != expected)
+
+
 def table_fingerprint(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """E-04: order-insensitive content fingerprint: row count + sum of 64-bit row hashes."""
     cols = list(cols) if cols else df.columns

@@ -11,16 +11,23 @@ itself a tiny window per key. Rows never leave their slice.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+import gridlake
 from gridlake.functions.expressions import trunc_wall
 from gridlake.operators.dedup import orderable
-from gridlake.session import cut_lineage
+from gridlake.session import cut_lineage, scratch_path
+
+# Task functions travel with the plan, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(gridlake)
 
 
 def _ordered(ts: str, tie_breakers: Sequence[str]) -> list[Column]:
@@ -113,3 +120,113 @@ def scd2(
         .withColumn(current_col, F.col(valid_to).isNull())
     )
     return out
+
+
+def _same(a: pa.Table, b: pa.Table, cols: Sequence[str]) -> pa.ChunkedArray | pa.Array:
+    """Row by row: whether the columns are equal, NULL being equal to NULL."""
+    out = pa.array([True] * a.num_rows)
+    for c in cols:
+        x, y = a.column(c), b.column(c)
+        both = pc.and_(pc.is_null(x), pc.is_null(y))
+        out = pc.and_(out, pc.or_(both, pc.fill_null(pc.equal(x, y), False)))
+    return out
+
+
+def _version_batches(keys: list[str], ts: str, state: list[str], collapse: bool):
+    """Versions of one sorted range. ``_open`` marks its last version, whose end lies in a later range; ``_first`` its first row,
+    which may repeat the state that an earlier range ends with."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, last, held = TaskContext.get().partitionId(), None, None
+
+        def rows(table: pa.Table, ends, open_: bool) -> list[pa.RecordBatch]:
+            n = table.num_rows
+            table = table.append_column("_to", ends).append_column("_part", pa.array([part] * n, pa.int32()))
+            return table.append_column("_open", pa.array([open_] * n)).combine_chunks().to_batches()
+
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            if table.num_rows == 0:
+                continue
+            before = table.slice(0, table.num_rows - 1) if last is None else pa.concat_tables([last, table.slice(0, table.num_rows - 1)])
+            rest = table.slice(1) if last is None else table
+            kept = pc.invert(_same(rest, before, [*keys, *state])) if collapse else pa.array([True] * rest.num_rows)
+            first = last is None
+            if first:
+                kept = pa.concat_arrays([pa.array([True]), kept.combine_chunks() if isinstance(kept, pa.ChunkedArray) else kept])
+            last = table.slice(table.num_rows - 1)
+            marks = pa.array([first and i == 0 for i in range(table.num_rows)])
+            table = table.append_column("_first", marks).filter(kept)
+            table = table if held is None else pa.concat_tables([held, table])
+            if table.num_rows > 1:
+                head, after = table.slice(0, table.num_rows - 1), table.slice(1)
+                ends = pc.if_else(_same(head, after, keys), after.column(ts), pa.scalar(None, after.schema.field(ts).type))
+                yield from rows(head, ends, False)
+            held = table.slice(table.num_rows - 1)
+        if held is not None:
+            yield from rows(held, pa.nulls(1, held.schema.field(ts).type), True)
+
+    return run
+
+
+def _boundary_fixes(edges: list, keys: Sequence[str], ts: str, state: Sequence[str], collapse: bool) -> list[tuple]:
+    """From the first and the last version of each range, in order: (range, whether its first version goes, end of its last version)."""
+    ends: dict[int, object] = {}
+    gone: set[int] = set()
+    cur = None
+    for part in sorted({e["_part"] for e in edges}):
+        own = [e for e in edges if e["_part"] == part]
+        first, last = next(e for e in own if e["_first"]), next(e for e in own if e["_open"])
+        if cur is not None and all(cur[k] == first[k] for k in keys):
+            if collapse and all(cur[c] == first[c] for c in state):
+                gone.add(part)
+                if first["_open"]:  # the whole range goes on with the earlier state
+                    continue
+                ends[cur["_part"]] = first["_to"]
+            else:
+                ends[cur["_part"]] = first[ts]
+        cur = last
+    return [(p, p in gone, ends.get(p)) for p in sorted({*ends, *gone})]
+
+
+def scd2_ranges(
+    df: DataFrame,
+    keys: Sequence[str],
+    ts: str,
+    state_cols: Sequence[str] | None = None,
+    tie_breakers: Sequence[str] = (),
+    collapse: bool = True,
+    valid_from: str = "valid_from",
+    valid_to: str = "valid_to",
+    current_col: str = "is_current",
+) -> DataFrame:
+    """The versions of :func:`scd2` where a key may hold any share of the rows, in any span of time.
+
+    Rows are dealt by *ranges* of (key, instant, ties), so one key fills as many tasks as it needs; that is the only
+    shuffle of the rows. Each range is written with its versions; what a range lacks, the state before its first row and the end of
+    its last version, comes from the neighbouring ranges' edges: two rows a range, settled on the driver and joined
+    back by a broadcast of at most one row a range.
+    """
+    spark = df.sparkSession
+    keys = list(keys)
+    state_cols = list(state_cols) if state_cols is not None else [c for c in df.columns if c not in set(keys) | {ts}]
+    if not tie_breakers:
+        tie_breakers = orderable(df, [*keys, ts])
+    order = [*keys, ts, *[t for t in tie_breakers if t not in (*keys, ts)]]
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    schema = T.StructType(
+        [
+            *df.schema.fields, T.StructField("_first", T.BooleanType()), T.StructField("_to", df.schema[ts].dataType),
+            T.StructField("_part", T.IntegerType()), T.StructField("_open", T.BooleanType()),
+        ]
+    )
+    path = scratch_path(spark, "versions")
+    ranged.mapInArrow(_version_batches(keys, ts, state_cols, collapse), schema).write.parquet(path)
+    stored = spark.read.schema(schema).parquet(path)
+    edges = stored.filter("_first or _open").collect()  # two rows a range
+    fixes = _boundary_fixes(edges, keys, ts, state_cols, collapse)
+    fix = spark.createDataFrame(fixes, T.StructType([T.StructField("_part", T.IntegerType()), T.StructField("_gone", T.BooleanType()), T.StructField("_end", df.schema[ts].dataType)]))
+    out = stored.join(F.broadcast(fix), "_part", "left").filter(~(F.col("_first") & F.coalesce("_gone", F.lit(False))))
+    end = F.when(F.col("_open"), F.col("_end")).otherwise(F.col("_to"))
+    cols = [F.col(ts).alias(valid_from) if c == ts else F.col(c) for c in df.columns]
+    return out.select(*cols, end.alias(valid_to), end.isNull().alias(current_col))

@@ -15,6 +15,8 @@ skew-join split enabled).
 
 from __future__ import annotations
 
+import math
+
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -233,6 +235,55 @@ def salted_join(
     return f.join(d.hint("shuffle_merge"), list(keys) + ["_salt"], how).drop("_salt")
 
 
+#: Keys that a heavy-hitter list holds at most, and the items that its summary tracks.
+MAX_HEAVY, TRACKED = 100, 1000
+
+
+def heavy_hitters(df: DataFrame, keys: Sequence[str], share: float = 0.01) -> DataFrame:
+    """``keys, n`` of the keys with at least ``share`` of all rows (at most ``MAX_HEAVY`` of them).
+
+    A frequent-items sketch of bounded size per task, merged, names the candidates; a second pass counts only them,
+    exactly. With ``TRACKED`` items no key of more than 1 / TRACKED of the rows is missed.
+    """
+    if share < 1 / MAX_HEAVY:
+        raise ValueError(f"a share below {1 / MAX_HEAVY} may have more than {MAX_HEAVY} keys")
+    code = F.xxhash64(*[F.col(k) for k in keys])
+    row = df.select(code.alias("c")).agg(F.expr(f"approx_top_k(c, {MAX_HEAVY}, {TRACKED})").alias("top"), F.count(F.lit(1)).alias("n")).first()
+    candidates = [x["item"] for x in row["top"] or []]
+    counted = df.filter(code.isin(candidates) if candidates else F.lit(False)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    return counted.filter(F.col("n") >= F.lit(max(1, math.ceil(share * row["n"]))))
+
+
+def skew_join(
+    fact: DataFrame,
+    dim: DataFrame,
+    keys: Sequence[str],
+    how: str = "inner",
+    share: float = 0.01,
+    rows_per_task: int = 1_000_000,
+    max_salts: int = 1024,
+) -> DataFrame:
+    """Equi-join that splits heavy keys alone.
+
+    Only rows of :func:`heavy_hitters` are dealt over salts, by a hash of their *position*, so that identical rows are dealt
+    evenly too; only their dimension rows are replicated, each for the salts that its own count needs. All other keys
+    are joined as they are, and nothing is replicated for them. Same rows as the plain join.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError("skew_join supports inner and left joins")
+    keys = list(keys)
+    salts = F.least(F.lit(max_salts), F.greatest(F.lit(2), F.ceil(F.col("n") / rows_per_task))).cast("int")
+    hot = [(*[r[k] for k in keys], r["_salts"]) for r in heavy_hitters(fact, keys, share).select(*keys, salts.alias("_salts")).collect()]
+    schema = T.StructType([*[T.StructField(k, fact.schema[k].dataType) for k in keys], T.StructField("_salts", T.IntegerType())])
+    table = F.broadcast(fact.sparkSession.createDataFrame([h for h in hot if None not in h], schema))  # at most MAX_HEAVY rows
+    salted = F.coalesce("_salts", F.lit(1))
+    f = fact.withColumn("_at", F.monotonically_increasing_id()).join(table, keys, "left")
+    f = f.withColumn("_salt", F.pmod(F.xxhash64("_at"), salted).cast("int")).drop("_at", "_salts")
+    d = dim.join(table, keys, "left")
+    d = d.withColumn("_salt", F.explode(F.sequence(F.lit(0), salted - 1))).drop("_salts")
+    return f.join(d, [*keys, "_salt"], how).drop("_salt")
+
+
 def ref_violations(
     df: DataFrame,
     ref: DataFrame,

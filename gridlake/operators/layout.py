@@ -88,30 +88,40 @@ def quantile_buckets(df: DataFrame, col: str, bits: int, rel_error: float = 0.00
     return quantile_buckets_of(df, [col], bits, rel_error)[0]
 
 
-def _order_value(df: DataFrame, col: str) -> Column:
-    """A double that never decreases with ``col``: numbers as they are, instants and dates by their
-    distance from the epoch, strings by their first six bytes."""
-    t = df.schema[col].dataType
-    if isinstance(t, T.StringType):
-        return F.conv(F.rpad(F.substring(F.hex(F.col(col).cast("binary")), 1, 12), 12, "0"), 16, 10).cast("double")
-    if isinstance(t, T.DateType):
-        return F.unix_date(col).cast("double")
-    if isinstance(t, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(F.col(col).cast("timestamp")).cast("double")
-    return F.col(col).cast("double")
+#: Sampled rows per bucket for bounds of columns that aren't numbers.
+SAMPLE_PER_BUCKET = 50
+_NUMBERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType)
+
+
+def sampled_bounds(df: DataFrame, cols: Sequence[str], k: int) -> list[list]:
+    """For columns of any orderable type, k - 1 bounds of about equal shares, from the rows of least hash: a sample of fixed
+    size, drawn alike wherever a row lies (values that repeat are drawn as often as they occur in different rows)."""
+    h = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    rows = df.select(h.alias("_h"), *[F.col(f"`{c}`") for c in cols]).orderBy("_h").limit(SAMPLE_PER_BUCKET * k).collect()
+    out = []
+    for c in cols:
+        values = sorted(r[c] for r in rows if r[c] is not None)
+        out.append([values[i * len(values) // k] for i in range(1, k)] if values else [])
+    return out
 
 
 def quantile_buckets_of(df: DataFrame, cols: Sequence[str], bits: int, rel_error: float = 0.001) -> list[Column]:
-    """Quantile buckets of several columns of any orderable type, from one pass over the data."""
+    """Quantile buckets of several columns: numbers by approximate quantiles, text, decimals, dates and times by sampled bounds, compared in their
+    own order, so that a prefix that all values share doesn't matter."""
     k = 1 << bits
-    values = [_order_value(df, c) for c in cols]
-    names = [f"_v{i}" for i in range(len(cols))]
-    bounds = df.select(*[v.alias(n) for v, n in zip(values, names)]).approxQuantile(names, [i / k for i in range(1, k)], rel_error)
+    numbers = [c for c in cols if isinstance(df.schema[c].dataType, _NUMBERS)]
+    others = [c for c in cols if c not in numbers]
+    bounds = dict(zip(others, sampled_bounds(df, others, k))) if others else {}
+    if numbers:
+        probs = [i / k for i in range(1, k)]
+        casts = df.select(*[F.col(f"`{c}`").cast("double").alias(c) for c in numbers])
+        bounds |= dict(zip(numbers, casts.approxQuantile(numbers, probs, rel_error)))
     out = []
-    for v, own in zip(values, bounds):
+    for c in cols:
+        value = F.col(f"`{c}`")
         bucket = F.lit(0)
-        for b in sorted(set(own)):
-            bucket = bucket + F.when(v >= F.lit(b), 1).otherwise(0)
+        for b in sorted(set(bounds[c])):
+            bucket = bucket + F.when(value >= F.lit(b).cast(df.schema[c].dataType) if c in others else value >= F.lit(b), 1).otherwise(0)
         out.append(bucket)
     return out
 

@@ -31,7 +31,7 @@ from gridlake.operators.quarantine import Rule
 from gridlake.plans.marts import SilverSpec, binned_join_mart, priority_mart, silver_flagged
 from gridlake.sinks import publish, read_batches, route_write
 from gridlake.sources.batch import read_csv, read_json, with_audit
-from gridlake.streaming.ingest import ingest_drifting_csv, ingest_stream
+from gridlake.streaming.ingest import MAX_FILES_PER_TRIGGER, ingest_drifting_csv, ingest_stream
 
 # The classes counted as "passoires" and the minimum dwellings per commune.
 POOR_CLASSES = ("F", "G")
@@ -72,7 +72,7 @@ def bronze_grid_api(spark: SparkSession, p: Paths) -> DataFrame:
     return spark.read.parquet(p.wh("bronze/eco2mix_api_raw"))
 
 
-def bronze_housing(spark: SparkSession, p: Paths, max_files_per_trigger: int | None = None) -> DataFrame:
+def bronze_housing(spark: SparkSession, p: Paths, max_files_per_trigger: int = MAX_FILES_PER_TRIGGER) -> DataFrame:
     """G-03: weekly extracts with header drift and rescue → bronze (+ ``_extract_week``)."""
     ingest_drifting_csv(
         spark,
@@ -93,7 +93,7 @@ def housing_dq_metrics(bronze: DataFrame, parity: bool = False) -> DataFrame:
     code counted nowhere); the default counts blanks as bad codes.
     """
     code_rule = (
-        Rule("bad_commune", "NOT (code_commune NOT RLIKE '^[0-9]{5}$')")
+        Rule("bad_commune", "code_commune RLIKE '^[0-9]{5}$'")
         if parity
         else Rule("bad_commune", "CASE WHEN trim(code_commune) <> '' THEN code_commune RLIKE '^[0-9]{5}$' END")
     )

@@ -15,9 +15,9 @@ from pyspark.sql import functions as F
 from gridlake.functions.expressions import trunc_wall
 
 from gridlake import contracts as C
-from gridlake.functions.expressions import iso_week
+from gridlake.functions.expressions import iso_week, path_period
 from gridlake.operators.flatten import flatten_envelope
-from gridlake.operators.layout import optimize
+from gridlake.operators.layout import list_files, optimize
 from gridlake.plans import defects
 from gridlake.plans.marts import silver_flagged
 from gridlake.plans.proofs_relational import SILVER_SPEC, SILVER_SQL, event_envelopes, raw_orders
@@ -26,7 +26,7 @@ from gridlake.plans.tables import table
 from gridlake.session import scratch_path
 from gridlake.sinks import publish, read_batches, replace_periods, route_write
 from gridlake.sources.batch import TEXT_WRITE_OPTIONS, preview_raw, read_csv, read_json, read_parquet, with_audit
-from gridlake.sources.drift import SchemaLog, added_columns, read_csv_drifting
+from gridlake.sources.drift import SchemaLog, added_columns, probe_headers, read_csv_drifting
 from gridlake.sources.rescue import cast_with_rescue
 from gridlake.streaming.ingest import ingest_drifting_csv, ingest_stream
 
@@ -128,8 +128,6 @@ def q_preview_raw(spark: SparkSession, d: str) -> DataFrame:
     The table is landed as key-ordered files (range partitions); the preview
     opens the first file of the delivery.
     """
-    from gridlake.operators.layout import list_files
-
     root = scratch_path(spark, "landing-preview")
     o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
     o.orderBy("o_orderkey").write.option("header", True).csv(root)
@@ -148,7 +146,7 @@ def q_provenance_files(spark: SparkSession, d: str) -> DataFrame:
     root = scratch_path(spark, "landing-prov")
     land_weekly_csv(table(spark, d, "orders"), root)
     df = read_csv(spark, root, C.ORDERS.schema, sep=";", glob="*.csv")
-    folder = F.regexp_extract("_source_file", r"(\d{4}-W\d{2})", 1)
+    folder = path_period("_source_file")
     return df.groupBy(folder.alias("folder_week")).agg(
         F.count(F.lit(1)).alias("n_rows"), F.bool_and(iso_week("o_orderdate") == folder).alias("same_week")
     )
@@ -166,7 +164,7 @@ def _stream_orders(spark: SparkSession, landing: str, target: str, ckpt: str) ->
         "csv",
         C.ORDERS.schema,
         {"sep": ";", "header": "true"},
-        transform=lambda df: df.withColumn("_extract_week", F.regexp_extract("_source_file", r"(\d{4}-W\d{2})", 1)),
+        transform=lambda df: df.withColumn("_extract_week", path_period("_source_file")),
         glob="*.csv",
         max_files_per_trigger=200,
     )
@@ -306,8 +304,9 @@ def q_rescue(spark: SparkSession, d: str) -> DataFrame:
         "o_orderdate",
     )
     land_weekly_csv(o, root, sep=",")
-    files = [r["path"] for r in spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True).load(root).select("path").collect()]
-    raw, _ = read_csv_drifting(spark, files, ",")
+    # All files have one header here, so the folder is read as it is and no path is listed.
+    names = probe_headers(spark, [list_files(spark, root, "*.csv").agg(F.min("path").alias("p")).first()["p"]])
+    raw, _ = read_csv_drifting(spark, [root], ",", headers={root: next(iter(names.values()))}, recursive=True)
     contract = C.schema(("o_orderkey", C.L), ("o_totalprice", C.D), ("o_orderdate", C.NTZ))
     return cast_with_rescue(raw, contract).select("o_orderkey", "o_totalprice", "o_orderdate", "_rescued_data")
 

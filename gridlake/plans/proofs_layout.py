@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from gridlake.operators import expectations as ex
 from gridlake.operators.aggregates import hot_keys
 from gridlake.operators.layout import cluster_by, compact, list_files, pruning_report, table_stats
+from gridlake.operators.pruning import bloom_report, scan_report, zone_report
 from gridlake.plans.registry import proof
 from gridlake.plans.tables import table
 from gridlake.session import scratch_path
@@ -28,15 +29,23 @@ def _small_files(spark: SparkSession, d: str, n: int = 64) -> str:
     return path
 
 
+def _one_file_per(df: DataFrame, path: str, bucket: str) -> str:
+    """The rows in one file per value of a SQL expression (a balanced remainder or range of the key)."""
+    df.withColumn("b", F.expr(bucket)).repartition("b").write.partitionBy("b").parquet(path)
+    return path
+
+
+_STATS_BUCKETS = {"lineitem_small": "(l_orderkey * 7 + l_linenumber) % 32", "lineitem_half": "(l_orderkey * 7 + l_linenumber) % 16"}
+
+
 @proof(
     "table_stats",
-    """SELECT 'lineitem_small' AS tbl, 32 AS num_files, true AS has_bytes
-       UNION ALL SELECT 'lineitem_half', 16, true""",
+    " UNION ALL ".join(f"SELECT '{t}' AS tbl, count(DISTINCT {b})::INT AS num_files, count(*) > 0 AS has_bytes FROM lineitem" for t, b in _STATS_BUCKETS.items()),
     ("M-01",),
 )
 def q_table_stats(spark: SparkSession, d: str) -> DataFrame:
-    tables = {"lineitem_small": _small_files(spark, d, 32), "lineitem_half": _small_files(spark, d, 16)}
-    stats = table_stats(spark, tables)
+    li = table(spark, d, "lineitem")
+    stats = table_stats(spark, {t: _one_file_per(li, scratch_path(spark, t), b) for t, b in _STATS_BUCKETS.items()})
     name = stats.columns[0]
     return stats.select(F.col(name).alias("tbl"), F.col("num_files").cast("int").alias("num_files"), (F.col("size_bytes") > 0).alias("has_bytes"))
 
@@ -63,23 +72,62 @@ def q_cluster_zorder(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(dst)
 
 
-@proof(
-    "pruning_report",
-    """SELECT version, 16 AS files_total, version = 'zordered' AS fewer
-       FROM (VALUES ('no_zorder'), ('zordered')) t(version) WHERE (SELECT count(*) FROM lineitem) > 0""",
-    ("M-04", "M-05", "M-07"),
-)
+#: Files of the two layouts, by row content: dealt by order line, and by ranges of the part key.
+_DEALT, _RANGED = "(l_orderkey * 7 + l_linenumber) % 16", "floor(l_partkey * 16 / ({most} + 1))"
+
+_REPORT_SQL = f"""
+WITH v AS (SELECT l_partkey AS v FROM lineitem GROUP BY 1 ORDER BY count(*) DESC, l_partkey LIMIT 3),
+f AS (
+  SELECT 'no_zorder' AS version, {_DEALT} AS b, l_partkey FROM lineitem
+  UNION ALL SELECT 'zordered', {_RANGED.format(most="(SELECT max(l_partkey) FROM lineitem)")}, l_partkey FROM lineitem),
+r AS (SELECT version, b, min(l_partkey) AS lo, max(l_partkey) AS hi, count(*) AS n FROM f GROUP BY ALL),
+h AS (SELECT *, EXISTS (SELECT 1 FROM v WHERE v BETWEEN lo AND hi) AS hit FROM r)
+SELECT version, count(*) AS files_total, count(*) FILTER (hit) AS files_touched, sum(n)::BIGINT AS rows_total, coalesce(sum(n) FILTER (hit), 0)::BIGINT AS rows_touched
+FROM h GROUP BY version"""
+
+
+def _two_layouts(spark: SparkSession, li: DataFrame) -> dict[str, str]:
+    most = li.agg(F.max("l_partkey")).first()[0]
+    return {
+        "no_zorder": _one_file_per(li, scratch_path(spark, "lineitem-dealt"), _DEALT),
+        "zordered": _one_file_per(li, scratch_path(spark, "lineitem-ranged"), _RANGED.format(most=most)),
+    }
+
+
+@proof("pruning_report", _REPORT_SQL, ("M-04", "M-05", "M-07"))
 def q_pruning_report(spark: SparkSession, d: str) -> DataFrame:
-    """Files a ``l_partkey IN (top-3 keys)`` predicate must open: unclustered vs clustered copies."""
+    """Files and rows a ``l_partkey IN (top-3 keys)`` predicate must open, by a scan of the column."""
+    li = table(spark, d, "lineitem")
+    top = hot_keys(li, ["l_partkey"], 3).select("l_partkey")
+    return pruning_report(spark, _two_layouts(spark, li), "l_partkey", top).withColumnRenamed("table", "version")
+
+
+@proof("pruning_zone_map", _REPORT_SQL, ("M-04", "M-05"))
+def q_zone_map(spark: SparkSession, d: str) -> DataFrame:
+    """The same report from footers alone."""
     li = table(spark, d, "lineitem")
-    plain = scratch_path(spark, "lineitem-plain")
-    li.repartition(16).write.parquet(plain)
-    clustered = scratch_path(spark, "lineitem-range")
-    cluster_by(spark.read.parquet(plain), ["l_partkey"], num_files=16).write.parquet(clustered)
     top = hot_keys(li, ["l_partkey"], 3).select("l_partkey")
-    report = pruning_report(spark, {"no_zorder": plain, "zordered": clustered}, "l_partkey", top)
-    fewer = F.col("files_touched") < F.col("files_total")
-    return report.select(F.col(report.columns[0]).alias("version"), F.col("files_total").cast("int").alias("files_total"), fewer.alias("fewer"))
+    return zone_report(spark, _two_layouts(spark, li), "l_partkey", top).withColumnRenamed("table", "version")
+
+
+@proof(
+    "pruning_bloom",
+    f"""WITH v AS (SELECT DISTINCT l_orderkey AS v FROM lineitem ORDER BY 1 LIMIT 2),
+    f AS (SELECT {_DEALT} AS b, count(*) AS n, bool_or(l_orderkey IN (SELECT v FROM v)) AS held FROM lineitem GROUP BY 1)
+    SELECT count(*) AS files_total, count(*) FILTER (held) AS files_held, 0::BIGINT AS files_lost, true AS few_false FROM f""",
+    ("M-04",),
+)
+def q_bloom(spark: SparkSession, d: str) -> DataFrame:
+    """Equality on a column that the files aren't clustered by: filters touch every file that holds a value, and hardly
+    another one, where min and max rule out none."""
+    li = table(spark, d, "lineitem")
+    tables = {"dealt": _one_file_per(li, scratch_path(spark, "lineitem-dealt"), _DEALT)}
+    keys = li.select("l_orderkey").distinct().orderBy("l_orderkey").limit(2)
+    by_filter = bloom_report(spark, tables, "l_orderkey", keys).select("table", F.col("files_touched").alias("touched"))
+    held = scan_report(spark, tables, "l_orderkey", keys).join(by_filter, "table")
+    lost = F.greatest(F.col("files_touched") - F.col("touched"), F.lit(0).cast("long"))
+    few = (F.col("touched") - F.col("files_touched")) <= F.ceil(F.col("files_total") * 0.1)
+    return held.select("files_total", F.col("files_touched").alias("files_held"), lost.alias("files_lost"), few.alias("few_false"))
 
 
 @proof("fingerprint", "SELECT count(*) AS n_rows, true AS same FROM lineitem", ("E-04",))
@@ -109,22 +157,23 @@ def q_missing_sources(spark: SparkSession, d: str) -> DataFrame:
     return missing.select(F.col(missing.columns[0]).alias("source"))
 
 
-#: Format of a nation's rows by its key; the last one gets none.
-_FORMATS = {"csv": "n_nationkey % 3 = 0", "json": "n_nationkey % 3 = 1", "parquet": "n_nationkey % 3 = 2", "orc": "n_nationkey > 1000"}
-
-
-#: The formats of the written orders, by key, in the same way: none is left out, and the last format gets none.
-_ORDER_FORMATS = {f: rule.replace("n_nationkey % 3", "pmod(coalesce(o_orderkey, 0), 3)").replace("n_nationkey > 1000", "false") for f, rule in _FORMATS.items()}
+#: The format in which an order is delivered, by its content (the same rules in query and oracle).
+_FORMATS = {
+    "csv": "o_orderpriority < '2'",
+    "json": "o_orderpriority >= '2' AND o_orderpriority < '3'",
+    "parquet": "o_orderpriority >= '3' AND o_totalprice >= 0",
+    "orc": "o_orderpriority >= '3' AND o_totalprice < 0",
+}
 
 
 @proof(
     "formats_present",
-    " UNION ALL ".join(f"SELECT '{f}' AS format WHERE NOT EXISTS (SELECT 1 FROM nation WHERE {rule})" for f, rule in _FORMATS.items()),
+    " UNION ALL ".join(f"SELECT '{f}' AS format WHERE NOT EXISTS (SELECT 1 FROM orders WHERE {rule})" for f, rule in _FORMATS.items()),
     ("E-02",),
 )
 def q_formats_present(spark: SparkSession, d: str) -> DataFrame:
     root = scratch_path(spark, "landing-formats")
-    for fmt, rule in _ORDER_FORMATS.items():
+    for fmt, rule in _FORMATS.items():
         part = table(spark, d, "orders").filter(rule)
         if not part.isEmpty():
             part.write.format(fmt).options(**({"header": "true"} if fmt == "csv" else {})).save(f"{root}/{fmt}")

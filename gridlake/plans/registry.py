@@ -33,6 +33,6 @@ def proof(name: str, sql: str | None, ids: tuple[str, ...] = ()) -> Callable[[Qu
 
 def load_all() -> dict[str, Proof]:
     # Importing the modules fills REGISTRY.
-    from gridlake.plans import proofs_ingest, proofs_layout, proofs_relational, proofs_streaming  # noqa: F401
+    from gridlake.plans import proofs_evolution, proofs_ingest, proofs_layout, proofs_relational, proofs_serving, proofs_skew, proofs_streaming  # noqa: F401
 
     return REGISTRY

@@ -106,6 +106,14 @@ def read_json(
     return with_provenance(df) if provenance else df
 
 
+def read_manifest(spark: SparkSession, path: str, names: Sequence[str], field: str = "injected") -> DataFrame:
+    """The counts that a producer wrote beside its delivery (a JSON document with an object of counts): one row, 0 where
+    a name is absent."""
+    counts = T.StructType([T.StructField(n, T.LongType()) for n in names])
+    doc = read_json(spark, path, T.StructType([T.StructField(field, counts)]), multiline=True, provenance=False)
+    return doc.agg(*[F.coalesce(F.sum(f"{field}.{n}"), F.lit(0)).alias(n) for n in names])
+
+
 def read_parquet(
     spark: SparkSession,
     path: str,

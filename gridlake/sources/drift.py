@@ -7,9 +7,8 @@ group is read with a schema built from that header (so Spark maps by name),
 and the groups are combined with ``unionByName(allowMissingColumns=True)``.
 Columns absent from a file are NULL; new columns are added (and logged).
 
-Header probing reads only the first line of each *new* file:
-* local / mounted paths: a thread pool of small reads on the driver;
-* other file systems: one distributed job over the text of the new files.
+Header probing opens each *new* file on an executor and reads its first bytes, no more (``HEADER_BYTES``, doubled
+until a line ends). File systems that pyarrow can't open are probed by a job over the text of the new files.
 Either way only file names and header strings reach the driver, bounded by
 the files of one trigger (``maxFilesPerTrigger``).
 """
@@ -20,16 +19,21 @@ import csv
 import io
 from collections import defaultdict
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+import gridlake
 from gridlake.session import path_exists
 from gridlake.sources.batch import SOURCE_FILE
 
+# Task functions travel with the plan, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(gridlake)
+
 CORRUPT = "_corrupt_record"
 
 
@@ -53,29 +57,65 @@ def parse_header(line: str, sep: str) -> list[str]:
     return out
 
 
-def _first_line(local_path: str) -> str:
-    with open(local_path, encoding="utf-8", errors="replace", newline="") as fh:
-        return fh.readline()
+#: Bytes of a first read, and of a header at most.
+HEADER_BYTES, MAX_HEADER_BYTES = 1 << 14, 1 << 24
+#: Schemes that pyarrow opens on an executor ("": a mounted path).
+_RANGED = {"": "", "file": "file", "hdfs": "hdfs", "s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs"}
+#: Files that one task probes.
+_FILES_PER_TASK = 64
+
+
+def _scheme(path: str) -> str:
+    return path.split(":", 1)[0] if ":" in path.split("/", 1)[0] else ""
+
+
+def first_line(path: str) -> str:
+    """The first line of a file, from its first bytes alone."""
+    import pyarrow.fs as fs
+
+    local = _local(path)
+    if local is not None:
+        store, name = fs.LocalFileSystem(), local
+    else:
+        scheme = _scheme(path)
+        store, name = fs.FileSystem.from_uri(_RANGED[scheme] + path[len(scheme) :])
+    size = HEADER_BYTES
+    with store.open_input_file(name) as f:
+        while True:
+            raw = f.read_at(min(size, f.size()), 0)
+            if b"\n" in raw or len(raw) < size:
+                return raw.split(b"\n", 1)[0].decode("utf-8", "replace")
+            if size >= MAX_HEADER_BYTES:
+                raise ValueError(f"no line ends in the first {size} bytes of {path}")
+            size *= 2
+
+
+def _first_lines(batches):
+    for batch in batches:
+        paths = batch.column(0).to_pylist()
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([first_line(p) for p in paths], pa.string())], names=["path", "line"])
+
+
+def header_lines(files: DataFrame) -> DataFrame:
+    """``path, line`` for a frame of paths: each file is opened by the task that has its path."""
+    return files.select("path").mapInArrow(_first_lines, "path string, line string")
 
 
 def probe_headers(
     spark: SparkSession,
     paths: Sequence[str],
     sep: str = ",",
-    threads: int = 16,
     mode: str = "auto",
 ) -> dict[str, list[str]]:
     """Header column names of each file, keyed by the path as given.
 
-    ``mode``: ``"auto"`` (driver reads for local/mounted paths, a Spark job
-    otherwise), ``"driver"`` or ``"distributed"``.
+    ``mode``: ``"ranged"`` (first bytes, on executors), ``"text"`` (a job over the text), or ``"auto"``: ranged wherever
+    the file system allows it.
     """
-    local = {p: _local(p) for p in paths}
-    use_driver = mode == "driver" or (mode == "auto" and all(v is not None for v in local.values()))
-    if use_driver:
-        with ThreadPoolExecutor(max_workers=max(1, min(threads, len(paths)))) as pool:
-            lines = list(pool.map(lambda p: _first_line(local[p]), paths))
-        return {p: parse_header(line, sep) for p, line in zip(paths, lines)}
+    if mode == "ranged" or (mode == "auto" and all(_scheme(p) in _RANGED for p in paths)):
+        tasks = max(1, min(-(-len(paths) // _FILES_PER_TASK), 4 * spark.sparkContext.defaultParallelism))
+        files = spark.createDataFrame([(p,) for p in paths], "path string").repartition(tasks)
+        return {r["path"]: parse_header(r["line"], sep) for r in header_lines(files).collect()}
     # Distributed: first line of each file = first row of the split starting at byte 0.
     txt = spark.read.text(list(paths)).select(
         F.col("_metadata.file_path").alias("f"),
@@ -101,10 +141,12 @@ def read_csv_drifting(
     provenance: bool = True,
     headers: dict[str, list[str]] | None = None,
     probe_mode: str = "auto",
+    recursive: bool = False,
 ) -> tuple[DataFrame, list[list[str]]]:
     """All-string DataFrame of the files, columns matched by header name.
 
-    Returns the frame and the distinct headers met (in first-seen order).
+    Returns the frame and the distinct headers met (in first-seen order). With ``recursive``, ``paths`` may be
+    folders whose files share the header given for them.
     """
     headers = headers or probe_headers(spark, paths, sep, mode=probe_mode)
     groups: dict[tuple[str, ...], list[str]] = {}
@@ -124,6 +166,7 @@ def read_csv_drifting(
             .option("sep", sep)
             .option("mode", "PERMISSIVE")
             .option("columnNameOfCorruptRecord", CORRUPT)
+            .option("recursiveFileLookup", recursive)
             .csv(files)
         )
         if provenance:

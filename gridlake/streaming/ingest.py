@@ -20,12 +20,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from gridlake.sinks import write_batch
-from gridlake.sources.batch import SOURCE_FILE, with_audit
+from gridlake.sinks import ensure_schema, write_batch
+from gridlake.sources.batch import INGESTED_AT, SOURCE_FILE, with_audit
 from gridlake.sources.drift import SchemaLog, probe_headers, read_csv_drifting
 from gridlake.sources.rescue import cast_with_rescue
 
 
+#: Files of one micro-batch unless set otherwise: their names (and headers) reach the driver.
+MAX_FILES_PER_TRIGGER = 10_000
+CORRUPT = "_corrupt_record"
+
 BINARY_FILE_SCHEMA = T.StructType(
     [
         T.StructField("path", T.StringType(), False),
@@ -68,9 +72,21 @@ def ingest_stream(
     max_files_per_trigger: int | None = None,
     audit: bool = True,
     partition_by: tuple[str, ...] = (),
+    rescue: bool = False,
+    table: str | None = None,
 ) -> None:
-    """Drain new ``fmt`` files under ``source_dir`` into a Parquet table at ``target_dir``."""
-    r = spark.readStream.format(fmt).schema(schema).option("recursiveFileLookup", True)
+    """Drain new ``fmt`` files under ``source_dir`` into a Parquet table at ``target_dir``.
+
+    ``rescue``: fields are read as text and typed in the stream; values that don't fit ``schema``, and lines with too few or
+    too many fields, stand in ``_rescued_data`` (CSV and JSON with flat schemas), so rows in = rows out.
+    ``table``: a catalog table, made on the first run with its files in ``target_dir``, instead of a bare folder (K-01).
+    """
+    read_as = schema
+    if rescue:
+        read_as = T.StructType([*(T.StructField(f.name, T.StringType()) for f in schema.fields), T.StructField(CORRUPT, T.StringType())])
+    r = spark.readStream.format(fmt).schema(read_as).option("recursiveFileLookup", True)
+    if rescue:
+        r = r.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
     if glob:
         r = r.option("pathGlobFilter", glob)
     if max_files_per_trigger:
@@ -83,6 +99,8 @@ def ingest_stream(
     df = r.load(source_dir)
     if audit:
         df = with_audit(df)
+    if rescue:
+        df = cast_with_rescue(df, schema, keep=(INGESTED_AT, SOURCE_FILE) if audit else (), corrupt_col=CORRUPT)
     if transform is not None:
         df = transform(df)
 
@@ -90,12 +108,15 @@ def ingest_stream(
         w = df.writeStream.format("parquet").option("path", target_dir).option("checkpointLocation", checkpoint_dir)
         if partition_by:
             w = w.partitionBy(*partition_by)
-        return w.trigger(availableNow=True).start()
+        w = w.trigger(availableNow=True)
+        return w.toTable(table) if table else w.start()
 
+    if table and "." in table:
+        ensure_schema(spark, table.split(".")[0])
     run_until_drained(start)
 
 
-def discover_files(spark: SparkSession, source_dir: str, glob: str, max_files_per_trigger: int | None = None) -> DataFrame:
+def discover_files(spark: SparkSession, source_dir: str, glob: str, max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER) -> DataFrame:
     """Streaming list of new file paths (no content read)."""
     r = (
         spark.readStream.format("binaryFile")
@@ -118,7 +139,7 @@ def ingest_drifting_csv(
     sep: str = ",",
     glob: str = "*.csv",
     period_pattern: str | None = r"(\d{4}-W\d{2})",
-    max_files_per_trigger: int | None = 10_000,
+    max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER,
     rescue_unknown: bool = False,
 ) -> None:
     """Incremental ingest of CSV deliveries with header drift and rescue (G-03 bronze)."""
