@@ -398,7 +398,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     df[f[f < FEATURES]] = n[f < FEATURES]
     idf = np.log((total + 1) / (df + 1)) + 1e-3
     # The passages are described by the benchmark's words alone (at most FEATURES hashes of them); other words have no weight.
-    item_words = items.mapInArrow(_word_batches, "item long, words binary")
+    # (written, so that no task runs two Python functions and an executor keeps one worker a core)
+    item_words = materialize(items.mapInArrow(_word_batches, "item long, words binary"), "item-words")
     asked = item_words.mapInArrow(_frequency_batches, "feature long, n long").select("feature").distinct().toArrow().column("feature").to_numpy()
     asked = asked[asked < FEATURES]
     idf = np.where(np.isin(np.arange(FEATURES), asked), idf, 0.0)
@@ -415,7 +416,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         hits = words.mapInArrow(_search_batches(sent), schema)
         found = hits if found is None else found.unionByName(hits)
     found = materialize(found, "found")
-    release(words)
+    release(words, item_words)
     drop_garbage(spark)
     return found
 
