@@ -18,16 +18,18 @@ from gridlake.operators.aggregates import (
 )
 from gridlake.operators.dedup import latest_per_key, repeated_keys
 from gridlake.operators.flatten import flatten_envelope, flatten_parallel_arrays
-from gridlake.operators.history import scd2
+from gridlake.operators.history import scd2, scd2_ranges
 from gridlake.operators.joins import (
     broadcast_if_small,
     dim_join,
     duplicate_keys,
     expect_unique,
+    heavy_hitters,
     join_on_time_bucket,
     probe_size,
     ref_violations,
     salted_join,
+    skew_join,
     with_time_bucket,
 )
 from gridlake.operators.quarantine import Rule, flag, quarantine, reasons_column, split
@@ -43,6 +45,7 @@ __all__ = [
     "duplicate_excess",
     "duplicate_keys",
     "expect_unique",
+    "heavy_hitters",
     "flag",
     "flatten_envelope",
     "flatten_parallel_arrays",
@@ -61,7 +64,9 @@ __all__ = [
     "row_counts",
     "rows_of_top_keys",
     "salted_join",
+    "skew_join",
     "scd2",
+    "scd2_ranges",
     "split",
     "time_coverage",
     "weighted_mean",

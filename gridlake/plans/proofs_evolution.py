@@ -7,14 +7,16 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from gridlake import contracts as C
+from gridlake.operators.flatten import flatten_envelope
 from gridlake.plans.proofs_ingest import DRIFT_CUT, ORDER_COLS, land_weekly_csv
 from gridlake.plans.registry import proof
 from gridlake.plans.tables import table
 from gridlake.session import scratch_path
 from gridlake.sinks import read_batches, write_batch
-from gridlake.sources.batch import TEXT_WRITE_OPTIONS
+from gridlake.sources.batch import TEXT_WRITE_OPTIONS, read_json
 from gridlake.streaming.evolving import ingest_evolving_csv, ingest_evolving_json, read_evolved
 from gridlake.streaming.ingest import ingest_stream, run_until_drained
 
@@ -180,3 +182,20 @@ def q_restart(spark: SparkSession, d: str) -> DataFrame:
 
     run_until_drained(start, retries=1, retry_on=lambda e: "planned failure" in str(e))
     return read_batches(spark, f"{base}/bronze").select(*ORDER_COLS, F.lit(len(failures)).alias("restarts"))
+
+
+#: Events of one document.
+_DOCUMENT = 4096
+
+
+@proof("ingest_json_multiline", "SELECT event_id, ts, user_id, event_type, value FROM events", ("S-05", "S-13", "L-05"))
+def q_json_multiline(spark: SparkSession, d: str) -> DataFrame:
+    """One indented document a file, of many lines, in a folder tree: read whole, its records as rows."""
+    root = scratch_path(spark, "landing-multiline")
+    ev = table(spark, d, "events").select(*C.EVENT_RECORD.fieldNames(), F.floor(F.col("event_id") / _DOCUMENT).alias("part"))
+    records = F.collect_list(F.struct(*C.EVENT_RECORD.fieldNames())).alias("records")  # at most _DOCUMENT of them
+    documents = ev.groupBy("part").agg(records)
+    text = F.to_json(F.struct("records"), TEXT_WRITE_OPTIONS | {"pretty": "true"}).alias("value")
+    documents.select("part", text).repartition("part").write.partitionBy("part").text(root)
+    schema = T.StructType([T.StructField("records", T.ArrayType(C.EVENT_RECORD))])
+    return flatten_envelope(read_json(spark, root, schema, multiline=True, provenance=False), "records")

@@ -15,21 +15,21 @@ sys.path.insert(0, str(ROOT))
 from gridlake.plans.registry import load_all  # noqa: E402
 
 API = {
-    "S-01": "streaming.ingest_stream(fmt='csv', sep)",
-    "S-02": "streaming.ingest_stream(fmt='json', transform=flatten_envelope)",
+    "S-01": "streaming.ingest_stream(fmt='csv', sep, rescue=True)",
+    "S-02": "streaming.ingest_stream(fmt='json', transform=flatten_envelope); streaming.ingest_evolving_json",
     "S-03": "streaming.ingest_drifting_csv / sources.read_csv_drifting",
     "S-04": "sources.read_csv(schema, or infer + string_cols)",
     "S-05": "sources.read_json(schema, multiline)",
     "S-06": "sources.read_parquet(columns, predicate)",
     "S-07": "sources.preview_raw",
     "S-08": "spark.table / plans.tables.register_views",
-    "S-09": "sources.SchemaLog",
-    "S-10": "streaming.ingest_drifting_csv (+ SchemaLog.record)",
-    "S-11": "sources.cast_with_rescue",
+    "S-09": "sources.SchemaLog; sources.typing.TypeLog / narrowest_types",
+    "S-10": "streaming.ingest_drifting_csv (+ SchemaLog.record); streaming.ingest_evolving_csv / ingest_evolving_json + read_evolved",
+    "S-11": "sources.cast_with_rescue; ingest_stream(rescue=True)",
     "S-12": "sources.with_provenance / with_audit",
     "S-13": "readers' recursiveFileLookup",
     "S-14": "streaming checkpoints (file sink log / foreachBatch batch folders)",
-    "K-01": "streaming.ingest_stream (Parquet file sink)",
+    "K-01": "streaming.ingest_stream (Parquet file sink, or table= for a catalog table)",
     "K-02": "sinks.read_batches (mergeSchema)",
     "K-03": "Trigger.AvailableNow in every stream",
     "K-04": "sinks.publish",
@@ -55,7 +55,7 @@ API = {
     "J-02": "operators.join_on_time_bucket",
     "A-01": "operators.row_counts",
     "A-02": "count(col) in plans.marts.priority_mart",
-    "A-03": "operators.duplicate_excess",
+    "A-03": "operators.duplicate_excess; operators.sketches.merged_metrics",
     "A-04": "count_if in operators.dq_metrics",
     "A-05": "operators.time_coverage",
     "A-06": "round(avg) in marts",
@@ -87,7 +87,7 @@ API = {
     "L-04": "operators.flatten_parallel_arrays",
     "L-05": "operators.flatten_envelope",
     "L-06": "operators.layer_counts / reconcile",
-    "DQ-01": "operators.dq_metrics",
+    "DQ-01": "operators.dq_metrics; operators.sketches.add_delivery (state per delivery)",
     "G-01": "plans.energy.bronze_grid_archive",
     "G-02": "plans.energy.bronze_grid_api",
     "G-03": "plans.energy.bronze_housing + housing_dq_metrics",
@@ -102,13 +102,13 @@ API = {
     "M-01": "operators.layout.table_stats",
     "M-02": "operators.layout.compact / optimize",
     "M-03": "operators.layout.cluster_by / optimize(cluster_cols)",
-    "M-04": "operators.layout.pruning_report; plans.energy.optimization_report",
+    "M-04": "operators.layout.pruning_report; operators.pruning.zone_report / bloom_report; plans.energy.optimization_report",
     "M-05": "pruning_report over the pre-cluster version",
     "M-06": "operators.key_skew",
     "M-07": "operators.hot_keys",
     "E-01": "expectations.missing_sources",
     "E-02": "expectations.formats_present",
-    "E-03": "expectations.missing_periods",
+    "E-03": "expectations.missing_periods / deliveries_per_period",
     "E-04": "expectations.table_fingerprint",
     "E-05": "expectations.format_violations",
     "E-06": "expectations.range_violations",
@@ -117,14 +117,14 @@ API = {
     "E-09": "expectations.array_length_violations",
     "E-10": "expectations.closed_enum",
     "E-11": "expectations.delivery_overlap",
-    "X-01": "operators.scd2",
+    "X-01": "operators.scd2; operators.scd2_ranges",
     "X-02": "operators.ref_violations",
     "X-03": "sinks.replace_periods",
     "X-04": "plans.marts.consumption_mart",
-    "X-05": "operators.salted_join (+ AQE skew join)",
+    "X-05": "operators.skew_join / heavy_hitters; operators.salted_join (+ AQE skew join)",
     "X-06": "partitionBy on write; layout.cluster_by",
     "X-07": "operators.corr_by_group",
-    "X-08": "operators.aggregates.reconcile_manifest",
+    "X-08": "operators.aggregates.reconcile_manifest + sources.read_manifest",
     "X-09": "operators.aggregates.freshness",
     "X-10": "operators.weighted_mean",
 }
