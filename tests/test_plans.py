@@ -12,8 +12,8 @@ import __spark_entry__ as E
 from gridlake.plans.registry import load_all
 from tests.conftest import SF_SMALL
 
-PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
-RELATIONAL = sorted(n for n, p in load_all().items() if p.fn.__module__.endswith("proofs_relational"))
+PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF", "MapInArrow", "FlatMapGroupsInArrow")
+RELATIONAL = sorted(n for n, p in load_all().items() if p.fn.__module__.endswith(("proofs_relational", "proofs_serving", "proofs_skew")))
 
 
 def plan(df) -> str:
