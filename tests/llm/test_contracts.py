@@ -178,3 +178,10 @@ def test_quoted_turns_of_null_conversations(spark):
     got = {(r.conv_id, r.turn): r.body for r in quoted_messages(df).collect()}
     assert got[None, 1] == "> Lost message.\nAnother lost one." and got[2, None] == "no turn" and got[1, 1].startswith("> How")
     assert quoted_messages(df.filter(F.lit(False))).count() == 0
+
+
+@pytest.mark.parametrize("name", ["op4_kd_shards", "op6_license_dice", "op7_line_quality"])
+def test_native_plans_have_no_python(spark, capsys, name):
+    QUERIES[name](spark, "/root/testdata/sf0.001").explain(mode="formatted")
+    text = capsys.readouterr().out
+    assert "Scan" in text and not [x for x in ("Python", "MapInArrow", "InPandas", "InArrow", "ArrowEval") if x in text]
