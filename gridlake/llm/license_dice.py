@@ -128,7 +128,8 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", template
 
     src = df.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text")).filter(F.col("text").rlike(loose))
     src = src.select("id", F.xxhash64("id", "text").alias("row"), "text")
-    hits = materialize(_hits(src, F.array(*[entry(*k) for k in known]), min_dice), "licenses")
+    # rows that repeat an id and its text have the same hits: once is enough
+    hits = materialize(_hits(src, F.array(*[entry(*k) for k in known]), min_dice).distinct(), "licenses")
     # overlapping windows of one text meet in a cell; a cell holds at most CELL begins of each template
     spots = hits.select("row", "license", "dice", "size", "at", F.explode(F.sequence(F.floor(F.col("at") / CELL), F.floor((F.col("at") + F.col("size") - 1) / CELL))).alias("cell"))
     other = spots.select("row", "cell", *[F.col(c).alias(f"{c}2") for c in ("license", "dice", "size", "at")])

@@ -48,3 +48,8 @@ def test_changed_notices(spark):
 def test_one_long_text_with_many_notices(spark):
     got, rows = found(spark, [(PROSE + "Released under the MIT License.\n") * 3000 + "Licensed under CC BY-SA 4.0."])
     assert got == {(0, "MIT"), (0, "CC-BY-SA-4.0")} and rows[0, "MIT"].line == 1
+
+
+def test_repeated_rows_count_once(spark):
+    df = spark.range(3000).selectExpr("cast(null as long) doc_id", "'Released under the MIT License. Licensed under CC BY 4.0.' text")
+    assert {(r.id, r.license, r.dice) for r in scan(df).collect()} == {(None, "MIT", 1.0), (None, "CC-BY-4.0", 1.0)}
