@@ -3,7 +3,8 @@
 Byte-pair encoding inside a pre-token is a deterministic transducer. The encoding of a prefix ends in one certain token, and two
 tokens stand side by side in an encoding exactly if encoding their joined bytes gives the two back. So the last token of
 a longer prefix follows from the last tokens of the shorter ones. A state holds what later bytes can ask for: the longest
-suffix that still begins a token, and for each position in it the last token and the number of tokens less the present one.
+suffix that still begins a longer token, and for each position in it where one can begin the last token and the number of tokens less the
+present one. Two tokens are compared by taking their merges back, the latest first, down to the bytes on both sides of the seam.
 A transition on a byte carries the change of the number of emitted tokens. States and transitions are compiled when a text first needs them
 and kept by the worker up to a bound; whole pre-tokens are remembered as paths through the transducer.
 
@@ -33,7 +34,12 @@ from .pretoken import byte_symbols, default_tokenizer
 CHUNK_CHARS = 1 << 15
 FAN = 16
 MAX_STATES = 150_000
+#: Bytes at the begin of a string whose path is remembered as one step.
+HEAD = 6
+#: Pre-tokens that a worker remembers, in two generations of half as many.
 MAX_WORDS = 300_000
+#: Number of the empty token before the first byte.
+_NONE = (1 << 20) - 1
 
 
 class Transducer:
@@ -41,17 +47,30 @@ class Transducer:
 
     def __init__(self, merges: list[tuple[bytes, bytes]], vocab: set[bytes]):
         self.rank = {pair: i for i, pair in enumerate(merges)}
-        self.vocab = vocab
-        self.starts = {t[:i] for t in vocab for i in range(1, len(t) + 1)}
-        self.longest = max(map(len, vocab))
-        self.fits: dict[tuple[bytes, bytes], bool] = {}
+        made = [a + b for a, b in merges]
+        # Tokens by number: single bytes, then in the order of the merges that make them.
+        self.tokens = [bytes((i,)) for i in range(256)] + made
+        self.numbers = {t: i for i, t in reversed([*enumerate(self.tokens)]) if t in vocab}
+        # Pieces that a token can still go on from.
+        self.starts = {t[:i] for t in self.numbers for i in range(1, len(t))}
+        #: Each token has one merge that makes it, after those of its parts: then two tokens are compared by their parts alone.
+        self.simple = len({*self.tokens}) == len(self.tokens) and len(self.numbers) == len(self.tokens)
+        if self.simple:
+            self.parts = [(i, i) for i in range(256)] + [(self.numbers[a], self.numbers[b]) for a, b in merges]
+            self.simple = all(max(x) < i for i, x in enumerate(self.parts) if i >= 256)
+            self.joined = {a << 20 | b: i for i, (a, b) in enumerate(self.parts) if i >= 256}
+        self.fits: dict[int, bool] = {}
+        self.alone: dict[int, bool] = {}
         self.reset()
 
     def reset(self) -> None:
-        # A state: (suffix, ((last token, tokens so far less the present number) per position in the suffix, from its start)).
-        # The token before the first byte is empty.
-        start = (b"", ((b"", 0),))
-        self.states, self.number, self.moves = [start], {start: 0}, [{}]
+        # A state: the open pieces (those that begin a longer token, the longest first; at last the empty one), and for each the number of
+        # the token before it and the tokens up to there less the present number. _NONE stands before the first byte.
+        start = (b"", (_NONE,), ())
+        self.states, self.number = [((b"",), (_NONE,), (0,))], {start: 0}
+        # Transitions by state and byte, and the paths of the first HEAD bytes of longer strings: (state, emitted tokens).
+        self.moves: dict[int, tuple[int, int]] = {}
+        self.heads: dict[bytes, tuple[int, int]] = {b"": (0, 0)}
 
     def encode(self, data: bytes) -> list[bytes]:
         """The encoding by merge ranks, from the definition."""
@@ -72,44 +91,74 @@ class Transducer:
             parts = out
         return parts
 
-    def adjacent(self, left: bytes, right: bytes) -> bool:
-        key = (left, right)
-        if key not in self.fits:
-            if len(self.fits) > 1_000_000:
-                self.fits.clear()
-            self.fits[key] = self.encode(left + right) == ([left, right] if left else [right])
-        return self.fits[key]
+    def adjacent(self, left: int, right: int) -> bool:
+        """Whether encoding the joined bytes of two tokens gives the two back."""
+        if not self._is_own(right) or left != _NONE and not self._is_own(left):
+            return False
+        if left == _NONE:
+            return True
+        if not self.simple:
+            return self.encode(self.tokens[left] + self.tokens[right]) == [self.tokens[left], self.tokens[right]]
+        # Merges are taken back, the latest first: a merge over the seam must not come before the one that covers it.
+        parts, joined = self.parts, self.joined
+        limit = len(parts)
+        while True:
+            if joined.get(left << 20 | right, limit) < limit:
+                return False
+            if max(left, right) < 256:
+                return True
+            if left > right:
+                limit, left = left, parts[left][1]
+            else:  # of equal merges the left one comes first
+                limit, right = right + 1, parts[right][0]
+
+    def _is_own(self, token: int) -> bool:
+        if token not in self.alone:
+            self.alone[token] = self.encode(self.tokens[token]) == [self.tokens[token]]
+        return self.alone[token]
 
     def _compile(self, state: int, byte: int) -> tuple[int, int]:
-        suffix, past = self.states[state]
-        longer = suffix + bytes((byte,))
-        for begin in range(len(longer)):  # the token that ends here: it begins at one of the known positions
-            token, (left, behind) = longer[begin:], past[begin]
-            if token in self.vocab and self.adjacent(left, token):
-                delta = behind + 1
+        pieces, before, behind = self.states[state]
+        end = bytes((byte,))
+        longer = [p + end for p in pieces]
+        for i, piece in enumerate(longer):  # the token that ends here: it begins at one of the open places
+            token = self.numbers.get(piece)
+            if token is None:
+                continue
+            pair = before[i] << 20 | token
+            fit = self.fits.get(pair)
+            if fit is None:
+                if len(self.fits) > 1_000_000:
+                    self.fits.clear()
+                fit = self.fits[pair] = self.adjacent(before[i], token)
+            if fit:
+                delta = behind[i] + 1
                 break
         else:
-            raise ValueError(f"no token ends after {longer!r}")
-        known = [(t, n - delta) for t, n in past] + [(token, 0)]
-        cut = 0
-        while cut < len(longer) and longer[cut:] not in self.starts:
-            cut += 1
-        new = (longer[cut:], tuple(known[cut:]))
-        if new not in self.number:
-            self.number[new] = len(self.states)
-            self.states.append(new)
-            self.moves.append({})
-        self.moves[state][byte] = (self.number[new], delta)
-        return self.moves[state][byte]
+            raise ValueError(f"no token ends after {longer[0]!r}")
+        kept = [i for i, piece in enumerate(longer) if piece in self.starts]
+        new = (longer[kept[0]] if kept else b"", (*[before[i] for i in kept], token), tuple([behind[i] - delta for i in kept]))
+        to = self.number.get(new)
+        if to is None:
+            to = self.number[new] = len(self.states)
+            self.states.append(((*[longer[i] for i in kept], b""), new[1], (*new[2], 0)))
+        step = self.moves[state << 8 | byte] = (to, delta)
+        return step
+
+    def _run(self, state: int, total: int, data: bytes) -> tuple[int, int]:
+        get = self.moves.get
+        for byte in data:
+            state, delta = get(state << 8 | byte) or self._compile(state, byte)
+            total += delta
+        return state, total
 
     def count(self, data: bytes) -> int:
-        state = total = 0
-        moves = self.moves
-        for byte in data:
-            step = moves[state].get(byte) or self._compile(state, byte)
-            state = step[0]
-            total += step[1]
-        return total
+        cut = HEAD if len(data) > HEAD else 0
+        head = data[:cut]
+        path = self.heads.get(head)
+        if path is None:
+            path = self.heads[head] = self._run(0, 0, head)
+        return self._run(*path, data[cut:])[1]
 
 
 class Counter:
@@ -129,8 +178,7 @@ class Counter:
         self.known = _Counts(self.transducer)
 
     def count(self, text: str) -> int:
-        if len(self.known) > MAX_WORDS:
-            self.known.clear()
+        self.known.rotate()
         if len(self.transducer.states) > MAX_STATES:
             self.transducer.reset()
         if self.split is None or not self.split.search(text):
@@ -162,14 +210,27 @@ class Counter:
 
 
 class _Counts(dict):
-    """Pre-token to its number of tokens: a remembered path through the transducer."""
+    """Pre-token to its number of tokens: a remembered path through the transducer.
+
+    The young generation is this dictionary; when it is full it becomes the old one, from which entries that
+    are used again come back. So frequent pre-tokens stay.
+    """
 
     def __init__(self, transducer: Transducer):
         super().__init__()
         self.transducer = transducer
+        self.old: dict[str, int] = {}
+
+    def rotate(self) -> None:
+        if len(self) > MAX_WORDS // 2:
+            self.old = dict(self)
+            self.clear()
 
     def __missing__(self, word: str) -> int:
-        n = self[word] = self.transducer.count(word.encode())
+        n = self.old.get(word)
+        if n is None:
+            n = self.transducer.count(word.encode())
+        self[word] = n
         return n
 
 

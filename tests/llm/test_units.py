@@ -19,7 +19,8 @@ from gridlake.llm.pretoken import IdEncoder, default_tokenizer
 from gridlake.llm.quote_threads import own_text, passages, quote_level, threads
 from gridlake.llm.semantic_decontam import lcs_length
 from gridlake.llm.shingles import shingle_sets
-from gridlake.llm.token_transducer import Counter
+from gridlake.llm import token_transducer
+from gridlake.llm.token_transducer import Counter, Transducer
 from gridlake.llm.zip_warc import PackageWriter, parse_record, read_at, stored_members, _record
 
 ODD = [chr(i) for i in (0x85, 0xA0, 0x2028, 0x200B, 0x3000, 0x1C, 0xFEFF, 0x301, 0x660, 0xB2, 0x1F600, 0x4E2D, 0, 0xAD)]
@@ -57,6 +58,38 @@ def test_transducer_and_composed_maps(library):
         assert c.total(maps[0]) == n
 
 
+def test_transducer_of_any_merges():
+    r = random.Random(8)
+    for turn in range(60):
+        merges, known = [], [b"a", b"b", b"c"]
+        for _ in range(r.randint(1, 25)):
+            pair = (r.choice(known), r.choice(known))
+            fresh = pair[0] + pair[1] not in known
+            if pair not in merges and len(pair[0] + pair[1]) < 9 and (fresh or turn % 2):  # in every other turn some tokens have two merges
+                merges.append(pair)
+                known.append(pair[0] + pair[1])
+        t = Transducer(merges, {bytes((i,)) for i in range(256)} | set(known))
+        for _ in range(80):
+            data = bytes(r.choice(b"abc") for _ in range(r.randint(0, 20)))
+            assert t.count(data) == len(t.encode(data))
+
+
+def test_counting_new_words_is_cheap(monkeypatch):
+    """Two tokens are compared by their merges, not by encoding them; frequent pre-tokens are counted once, whatever number of rare ones comes between."""
+    monkeypatch.setattr(token_transducer, "MAX_WORDS", 400)
+    c = Counter(default_tokenizer())
+    encoded, counted = [], []
+    encode, count = c.transducer.encode, c.transducer.count
+    c.transducer.encode = lambda data: encoded.append(data) or encode(data)
+    c.transducer.count = lambda data: counted.append(data) or count(data)
+    r = random.Random(4)
+    rare = ["".join(r.choice("etaoinshrdlu") for _ in range(9)) for _ in range(3000)]
+    assert sum(c.count(f" common {x}") for x in rare) == sum(1 + len(encode(f" {x}".encode())) for x in rare)
+    assert counted.count(b" common") == 1
+    assert len(encoded) == len(set(encoded)) and all(x in c.transducer.numbers for x in encoded)
+    assert len(c.known) + len(c.known.old) <= 402
+
+
 def test_runs_are_best_fit_decreasing():
     r = random.Random(5)
     for window in (7, 64, 100):
