@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import blocks, materialize, slices, text_bytes, whole_texts
+from .common import blocks, lean, materialize, slices, text_bytes, whole_texts
 from .pretoken import default_tokenizer, encoder
 
 WINDOW = 2048
@@ -72,7 +72,7 @@ def cut_pieces(df: DataFrame, text_col: str = "text", carry: tuple[str, ...] = (
     src = df.select(*[F.col(f"`{c}`") for c in carry], F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("__text"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema.fields[:-1])
     schema += (", " if carry else "") + "start long, length long, doc_tokens long, ids binary, task int, number long"
-    return materialize(src.mapInArrow(_piece_batches(path or default_tokenizer(), window, end_id), schema), "pieces")
+    return materialize(src.mapInArrow(lean(_piece_batches(path or default_tokenizer(), window, end_id)), schema), "pieces")
 
 
 class _Open:

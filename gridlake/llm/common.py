@@ -68,16 +68,35 @@ def worker_cache(key: str) -> dict:
     if key not in held:
         held.clear()
         gc.collect()
-        pa.default_memory_pool().release_unused()
-        with contextlib.suppress(OSError, AttributeError):  # glibc keeps freed pages unless asked
-            ctypes.CDLL("libc.so.6").malloc_trim(0)
+        give_back()
     return held.setdefault(key, {})
 
 
-def whole_texts(spark: SparkSession) -> None:
-    """Arrow batches of at most 1,000 rows in this session: rows are whole texts here, and Spark's default of 10,000
+def give_back() -> None:
+    """Returns the freed pages of this Python worker to the system: Arrow's pool and glibc keep them unless asked, and a worker
+    that waits for its next task counts against its executor's memory."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def lean(run, key: str | None = None):
+    """``run``, a function over a task's batches, that at its end gives its memory back. With ``key``, the caches of other operators
+    are dropped at its begin."""
+
+    def own(batches):
+        if key:
+            worker_cache(key)
+        yield from run(batches)
+        give_back()
+
+    return own
+
+
+def whole_texts(spark: SparkSession, rows: int = 1000) -> None:
+    """Arrow batches of at most ``rows`` rows in this session: rows are whole texts here, and Spark's default of 10,000
     rows makes batches of tens of MB on both sides of every task."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
 def slices(batches, rows: int = 1000):

@@ -34,11 +34,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import MAX_BROADCAST_IDS, blocks, drop_garbage, materialize, release, sized, slices, text_bytes, whole_texts
+from .common import MAX_BROADCAST_IDS, blocks, drop_garbage, lean, materialize, release, sized, slices, text_bytes, whole_texts
 from .graph import components
 from .shingles import U, mix, shingle_sets
 
 BANDS, ROWS = 64, 8
+#: Rows of an Arrow batch: sets and sketches take several times the bytes of their texts.
+BATCH_ROWS = 250
 #: Rows from which a class or a bucket counts as large.
 LARGE = 256
 BINS = BANDS * ROWS
@@ -137,7 +139,7 @@ def _with_least(rows: DataFrame, keys: list[str], least: str, written) -> DataFr
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80) -> DataFrame:
     """``(id, n_shingles, component_id, kept)`` per row: links are pairs with 100 |A & B| >= percent |A | B| over the
     distinct shingles of ``width`` words; ``kept`` marks the smallest id of a component."""
-    whole_texts(df.sparkSession)
+    whole_texts(df.sparkSession, BATCH_ROWS)
     src = df.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     scratch: list[DataFrame] = []
 
@@ -145,7 +147,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         scratch.append(materialize(part, tag))
         return scratch[-1]
 
-    docs = written(src.mapInArrow(_sketch_batches(width), _SKETCH), "sketch")
+    docs = written(src.mapInArrow(lean(_sketch_batches(width), "sets"), _SKETCH), "sketch")
 
     # One set stands for each id.
     full = docs.filter("n_shingles > 0 and id is not null")
@@ -213,7 +215,7 @@ def _shared(src: DataFrame, named: DataFrame, sizes: DataFrame, width: int, writ
     """
     ids = written(named.select("id").distinct(), "open-ids")
     bits = f"{_SETS}, {', '.join(f'{b} long' for b in _BITS)}"
-    sets = _one_set(written(src.join(sized(ids), "id", "left_semi").mapInArrow(_bit_batches(width), bits), "open-sets"))
+    sets = _one_set(written(src.join(sized(ids), "id", "left_semi").mapInArrow(lean(_bit_batches(width), "sets"), bits), "open-sets"))
     # each id has one set, so rows of a shingle can be counted before they are shuffled
     elems = sets.select("id", F.explode("elems").alias("e"))
     alone = elems.groupBy("e").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("k")).filter("k = 1").groupBy("id").agg(F.count(F.lit(1)).alias("u"))
@@ -255,7 +257,7 @@ def _verify(src: DataFrame, pairs: DataFrame, width: int, percent: int, tag: str
     """Pairs that hold on full shingle sets. Only texts of ids in ``pairs`` are shingled again and shuffled."""
     ids = materialize(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), f"{tag}-ids")
     texts = src.join(sized(ids), "id", "left_semi")
-    full = materialize(texts.mapInArrow(_set_batches(width), _SETS), f"{tag}-sets")
+    full = materialize(texts.mapInArrow(lean(_set_batches(width), "sets"), _SETS), f"{tag}-sets")
     sets = _one_set(full)
     left = sets.select(F.col("id").alias("a"), F.col("elems").alias("ea"))
     right = sets.select(F.col("id").alias("b"), F.col("elems").alias("eb"))

@@ -25,9 +25,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, materialize, slices, text_bytes, whole_texts, worker_cache
+from .common import blocks, lean, materialize, slices, text_bytes, whole_texts, worker_cache
 
 ORDER = 3
+#: Rows of an Arrow batch.
+BATCH_ROWS = 250
 #: Bound of the training sample: rows per language, drawn by a hash of id and text (rows that are equal in both are drawn together).
 MAX_ROWS_PER_LANGUAGE = 1000
 #: Languages whose dense tables a worker holds at a time; more are scored in as many passes.
@@ -78,7 +80,7 @@ def _gram(b: np.ndarray, k: int) -> np.ndarray:
 def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
           max_rows: int = MAX_ROWS_PER_LANGUAGE) -> dict:
     """Frozen counts per language from at most ``max_rows`` rows of each language, whole texts, drawn by a hash of the id."""
-    whole_texts(df.sparkSession)
+    whole_texts(df.sparkSession, BATCH_ROWS)
     text = F.col(f"`{text_col}`").cast("string")
     rows = df.select(F.col(f"`{lang_col}`").cast("string").alias("lang"), text.alias("text"), F.xxhash64(F.col(f"`{id_col}`").cast("string"), text).alias("h"))
     rows = rows.filter("lang is not null and text is not null")
@@ -93,7 +95,7 @@ def train(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     none = [r["lang"] for r in totals if r["least"] > top[r["lang"]]]
     if none:
         sample = sample.unionByName(rows.filter(F.col("lang").isin(none)).groupBy("lang").agg(F.min_by("text", "h").alias("text")))
-    grams = sample.mapInArrow(_count_batches(ORDER), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    grams = sample.mapInArrow(lean(_count_batches(ORDER), "ppm"), "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     got = grams.toArrow()
     langs = sorted(r["lang"] for r in totals)
     place = {x: i for i, x in enumerate(langs)}
@@ -297,7 +299,7 @@ def _score_batches(model, key: str, first: int, last: bool):
 
 def predict(df: DataFrame, model: dict, text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
     """The columns ``carry`` (default: all) with ``lang_pred`` and ``score`` of the whole text."""
-    whole_texts(df.sparkSession)
+    whole_texts(df.sparkSession, BATCH_ROWS)
     text = F.col(f"`{text_col}`").cast("string")
     carry = [c for c in (df.columns if carry is None else carry) if c.lower() not in ("lang_pred", "score")]
     has_letter = F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
@@ -315,7 +317,7 @@ def predict(df: DataFrame, model: dict, text_col: str = "text", carry: list[str]
         counts = model["counts"][:, first : first + LANGUAGE_BLOCK]
         part = {"grams": model["grams"], "counts": counts}
         key = f"{id(model)}-{first}-{len(model['grams'])}-{int(counts.sum())}"
-        out = out.mapInArrow(_score_batches(sc.broadcast(part), key, first, last), schema)
+        out = out.mapInArrow(lean(_score_batches(sc.broadcast(part), key, first, last)), schema)
     langs = F.array(*map(F.lit, model["langs"]))
     named = F.when(F.col("__letter"), F.get(langs, F.col("__best").cast("int"))).otherwise(F.lit(UNDETERMINED))
     score = F.when(F.col("__letter"), F.lit(1.0) / F.col("__total")).otherwise(F.lit(0.0))

@@ -6,20 +6,22 @@ import bisect
 import io
 import math
 import random
+import sys
 import zipfile
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
+from gridlake.llm import common, token_transducer
 from gridlake.llm.best_fit_pack import best_fit_runs
 from gridlake.llm.license_dice import scan
-from gridlake.llm.minhash_dedup import BINS, sketch
+from gridlake.llm.minhash_dedup import BINS, _sketch_batches, near_duplicates, sketch
 from gridlake.llm.ppm_language import _count_batches, _Tables
 from gridlake.llm.pretoken import IdEncoder, default_tokenizer
 from gridlake.llm.quote_threads import own_text, passages, quote_level, threads
 from gridlake.llm.semantic_decontam import lcs_length
 from gridlake.llm.shingles import shingle_sets
-from gridlake.llm import token_transducer
 from gridlake.llm.token_transducer import Counter, Transducer
 from gridlake.llm.zip_warc import PackageWriter, parse_record, read_at, stored_members, _record
 
@@ -90,6 +92,26 @@ def test_counting_new_words_is_cheap(monkeypatch):
     assert len(c.known) + len(c.known.old) <= 402
 
 
+def test_a_task_drops_what_other_operators_left(monkeypatch):
+    """An operator's tasks free the worker's caches of the operators before it, and end by returning its freed pages."""
+    calls = []
+    monkeypatch.setattr(common, "give_back", lambda: calls.append(len(calls)))
+    monkeypatch.setitem(sys.__dict__, "_gridlake_llm_cache", {"ids": {"large": 1}})
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["a b c d e f", None])], names=["id", "text"])
+    out = list(common.lean(_sketch_batches(5), "sets")([batch]))
+    assert [x.column(1).to_pylist() for x in out] == [[2, 0]]
+    assert list(sys.__dict__["_gridlake_llm_cache"]) == ["sets"]
+    assert len(calls) == 2
+
+
+def test_sets_and_sketches_come_in_small_batches(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f")], "doc_id long, text string")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    got = {(r.doc_id, r.component_id) for r in near_duplicates(docs).collect()}
+    assert got == {(1, 1), (2, 1)}
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 250
+
+
 def test_runs_are_best_fit_decreasing():
     r = random.Random(5)
     for window in (7, 64, 100):
