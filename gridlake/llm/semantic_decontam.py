@@ -44,8 +44,8 @@ MIN_COSINE = 0.4
 COMMON_SHARE = 0.3
 COPY_SHARE, PARAPHRASE_SHARE, ANSWER_SHARE = 0.75, 0.6, 0.75
 _BLOCK_ROWS = 1024
-#: Words of a numpy block (a longer text is a block of its own), rows of a chunk of a sum, items whose words are counted at a time, words of a span of counts.
-_BLOCK_WORDS, _CHUNK, _ITEM_BLOCK, _SPAN = 1 << 16, 32, 256, 32
+#: Words of a numpy block (a longer text is a block of its own), rows of a chunk of a sum, items whose words are counted and windows that are compared at a time.
+_BLOCK_WORDS, _CHUNK, _ITEM_BLOCK, _WINDOWS = 1 << 16, 32, 256, 4096
 #: A task of a product takes at most about this many words, so that a lost one is soon repeated.
 MAX_TASK_WORDS = 500_000_000
 
@@ -123,12 +123,12 @@ def segment_sums(rows: np.ndarray, at: np.ndarray, sizes: np.ndarray) -> np.ndar
         size = np.minimum(_CHUNK, np.repeat(sizes, per) - turn)
         order = np.argsort(-size, kind="stable")
         begin, falling = begin[order], -size[order]
-        out = rows[at[begin]]
+        out = rows.take(at[begin], axis=0)
         for k in range(1, _CHUNK):
             m = int(np.searchsorted(falling, -k))  # chunks of more than k rows
             if m == 0:
                 break
-            out[:m] += rows[at[begin[:m] + k]]
+            out[:m] += rows.take(at[begin[:m] + k], axis=0)
         back = np.empty(n, np.int64)
         back[order] = np.arange(n)
         if n == len(sizes):
@@ -136,6 +136,21 @@ def segment_sums(rows: np.ndarray, at: np.ndarray, sizes: np.ndarray) -> np.ndar
         rows, at, sizes = out, back, per
 
 
+def running_sums(rows: np.ndarray) -> np.ndarray:
+    """The sums of the first 0, 1, ... rows. Chunks of rows are added up side by side: numpy's own running sum down the rows goes
+    through the table once for each column."""
+    n, width = rows.shape
+    chunks = -(-n // _CHUNK)
+    out = np.zeros((chunks * _CHUNK + 1, width), rows.dtype)
+    out[1 : n + 1] = rows
+    part = out[1:].reshape(chunks, _CHUNK, width)
+    for k in range(1, _CHUNK):
+        part[:, k] += part[:, k - 1]
+    if chunks > 1:
+        part[1:] += running_sums(part[:, -1])[1:-1, None]
+    return out[: n + 1]
+
+
 def _gram_batches(q, idf):
     """Row blocks of A'(A Q), summed over the passages of one task. Rows of A have unit length."""
 
@@ -250,8 +265,6 @@ def _prepare(ids: list, texts: list[str], fold: np.ndarray, idf: np.ndarray) ->
     steps = [(m, np.flatnonzero(nearest == i), unit[nearest == i].T.copy()) for i, m in enumerate(ladder) if (nearest == i).any()]
     # An LCS of PARAPHRASE_SHARE of an item takes at least ``need`` of its rarer words: all but the COMMON_SHARE most frequent tokens.
     vocabulary = np.unique(np.concatenate(words)) if words else np.zeros(1, "<u4")
-    own_feature = np.zeros(FEATURES, bool)
-    own_feature[_feature(vocabulary)] = True
     rare = np.zeros((len(words), len(vocabulary) + 1), bool)
     need = np.zeros(len(words))
     for i, x in enumerate(words):
@@ -260,15 +273,17 @@ def _prepare(ids: list, texts: list[str], fold: np.ndarray, idf: np.ndarray) ->
         common = order[np.cumsum(n[order]) <= COMMON_SHARE * len(x)]
         rare[i, np.searchsorted(vocabulary, np.delete(distinct, common))] = True
         need[i] = PARAPHRASE_SHARE * len(x) - n[common].sum()
-    # per step and block of items: the items in which each word of the vocabulary is rarer, as one list with the begin of each word
+    # per block of items: the items in which each word of the vocabulary is rarer, as one list with the begin of each word
     lists = []
-    for _, of_step, _ in steps:
-        lists.append([])
-        for c in range(0, len(of_step), _ITEM_BLOCK):
-            word, item = np.nonzero(rare[of_step[c : c + _ITEM_BLOCK]].T)
-            lists[-1].append((c, len(of_step[c : c + _ITEM_BLOCK]), np.searchsorted(word, np.arange(rare.shape[1] + 1)), item))
-    padded = np.vstack([fold, np.zeros((1, fold.shape[1]), np.float32)])
-    return SimpleNamespace(ids=[ids[i] for i in own], words=[x.tolist() for x in words], fold=padded, steps=steps, vocabulary=vocabulary, own_feature=own_feature, weighted=idf > 0, lists=lists, rare=rare, need=need)
+    for c in range(0, len(words), _ITEM_BLOCK):
+        word, item = np.nonzero(rare[c : c + _ITEM_BLOCK].T)
+        lists.append((c, np.searchsorted(word, np.arange(rare.shape[1] + 1)), item))
+    # only features with a weight have rows, so that the table stays small; all others share a row of zeros
+    used = np.flatnonzero(idf > 0)
+    row = np.full(FEATURES, len(used), np.int64)
+    row[used] = np.arange(len(used))
+    padded = np.vstack([fold[used], np.zeros((1, fold.shape[1]), np.float32)])
+    return SimpleNamespace(ids=[ids[i] for i in own], words=[x.tolist() for x in words], fold=padded, row=row, steps=steps, numbers=_numbers(vocabulary), lists=lists, need=need)
 
 
 def _search_batches(items):
@@ -289,19 +304,43 @@ def _search_batches(items):
 _TYPES = [pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.string()]
 
 
-def _rare_counts(items: int, begin: np.ndarray, item: np.ndarray, known: np.ndarray) -> np.ndarray:
-    """(spans + 1) x items: how many of each item's rarer words stand before each span of words."""
-    per = (begin[1:] - begin[:-1])[known]
-    places = np.flatnonzero(per)
-    per = per[places]
-    pick = np.arange(per.sum()) + np.repeat(begin[known[places]] - np.cumsum(per) + per, per)
-    spans = -(-len(known) // _SPAN)
-    cells = np.repeat(places // _SPAN * items, per) + item[pick]
-    out = np.zeros((spans + 1, items), np.int32)
-    np.cumsum(np.bincount(cells, minlength=spans * items).reshape(spans, items), axis=0, out=out[1:])
+def _numbers(vocabulary: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The words of a vocabulary, and tables from the low bits of a word to its number: words that share them are in different tables."""
+    size = 1 << max(10, (16 * len(vocabulary)).bit_length())
+    tables, left = [], np.arange(len(vocabulary))
+    while len(left):
+        table = np.full(size, len(vocabulary), np.int32)
+        low = vocabulary[left] & np.uint32(size - 1)
+        table[low] = left
+        tables.append(table)
+        left = left[table[low] != left]
+    return np.append(vocabulary, np.zeros(1, "<u4")), tables
+
+
+def _known(w: np.ndarray, numbers: tuple[np.ndarray, list[np.ndarray]]) -> np.ndarray:
+    """The number of each word in the vocabulary; all others share the one after the last."""
+    vocabulary, tables = numbers
+    out = np.full(len(w), len(vocabulary) - 1, np.int32)
+    for table in tables:
+        at = table[w & np.uint32(len(table) - 1)]
+        np.copyto(out, at, where=vocabulary[at] == w)
     return out
 
 
+def _rare_counts(begin: np.ndarray, item: np.ndarray, places: np.ndarray, known: np.ndarray, n_words: int, asked: np.ndarray, lo: np.ndarray,
+                 hi: np.ndarray) -> np.ndarray:
+    """How many of the rarer words of the items ``asked`` stand at places lo to hi (without hi): the places of each item's are
+    listed, in order."""
+    per = (begin[1:] - begin[:-1])[known]
+    some = np.flatnonzero(per)
+    per = per[some]
+    pick = np.arange(per.sum()) + np.repeat(begin[known[some]] - np.cumsum(per) + per, per)
+    key = item[pick] * (n_words + 1) + np.repeat(places[some], per)
+    key.sort()
+    asked = asked * (n_words + 1)
+    return np.searchsorted(key, asked + hi) - np.searchsorted(key, asked + lo)
+
+
 def _search(it: SimpleNamespace, w: np.ndarray, first: np.ndarray) -> list[tuple]:
     """One row per (document, item) that passes, with the window of the largest cosine that does."""
     count = np.diff(first)
@@ -311,21 +350,14 @@ def _search(it: SimpleNamespace, w: np.ndarray, first: np.ndarray) -> list[tuple
         return []
     # every document begins a new group; the missing words are zero rows
     own = _feature(w)
-    item_word = it.own_feature[own]
-    f = np.full(start[-1] * GROUP, FEATURES, np.int64)
-    f[np.arange(len(w)) - np.repeat(first[:-1], count) + np.repeat(start[:-1] * GROUP, count)] = np.where(it.weighted[own], own, FEATURES)
-    sums = it.fold[f[0::GROUP]]
+    f = np.full(start[-1] * GROUP, len(it.fold) - 1, np.int64)
+    f[np.arange(len(w)) + np.repeat(start[:-1] * GROUP - first[:-1], count)] = it.row[own]
+    sums = it.fold.take(f[0::GROUP], axis=0)
     for k in range(1, GROUP):
-        sums += it.fold[f[k::GROUP]]
-    run = np.zeros((len(sums) + 1, sums.shape[1]), np.float32)
-    np.cumsum(sums, axis=0, out=run[1:])
-    # benchmark words by number, where the feature is one of theirs at all; all others share one number that no item has
-    known = np.full(len(w), len(it.vocabulary))
-    maybe = np.flatnonzero(item_word)
-    at = np.minimum(np.searchsorted(it.vocabulary, w[maybe]), len(it.vocabulary) - 1)
-    known[maybe] = np.where(it.vocabulary[at] == w[maybe], at, len(it.vocabulary))
-    best: dict[tuple[int, int], tuple] = {}
-    for (m, own, q), lists in zip(it.steps, it.lists):
+        sums += it.fold.take(f[k::GROUP], axis=0)
+    run = running_sums(sums)
+    docs, lo, begin, stop, asked, value = ([] for _ in range(6))
+    for m, own, q in it.steps:
         # windows of each document: one every stride from its start and one that ends with it; a shorter document is one window
         stride = max(1, m // 4)
         rest = np.maximum(groups - m, 0)
@@ -333,50 +365,53 @@ def _search(it: SimpleNamespace, w: np.ndarray, first: np.ndarray) -> list[tuple
         doc = np.repeat(np.arange(len(groups)), n_windows)
         turn = np.arange(len(doc)) - np.repeat(np.cumsum(n_windows) - n_windows, n_windows)
         begins = start[doc] + np.minimum(turn * stride, rest[doc])
-        v = run[begins + np.minimum(m, groups[doc])] - run[begins]
-        norm = np.maximum(np.sqrt(np.einsum("ij,ij->i", v, v)), 1e-6)
-        cos = v @ q
-        rows, cols = np.divmod(np.flatnonzero(cos.ravel() >= np.repeat(MIN_COSINE * norm, len(own))), len(own))
-        if len(rows) == 0:
-            continue
-        value = cos[rows, cols] / norm[rows]
-        at, docs = begins[rows], doc[rows]
-        # word range of each window, a little wider, inside its document
-        lo, hi = first[docs], first[docs + 1]
+        ends = begins + np.minimum(m, groups[doc])
         margin = m * GROUP // 4 + GROUP
-        word = lo + (at - start[docs]) * GROUP
-        begin, stop = np.maximum(lo, word - margin), np.minimum(hi, word + m * GROUP + margin)
-        # rarer words of the item in the spans that the range touches, then in the range itself
-        wide = np.arange(m * GROUP + 2 * margin)
-        keep = np.zeros(len(rows), bool)
-        for c, n_items, word_begin, item in lists:
-            here = np.flatnonzero((cols >= c) & (cols < c + n_items))
-            hits = _rare_counts(n_items, word_begin, item, known)
-            part = cols[here] - c
-            above = hits[(stop[here] - 1) // _SPAN + 1, part] - hits[begin[here] // _SPAN, part]
-            here = here[above >= it.need[own[cols[here]]]]
-            for i in range(0, len(here), 20_000):
-                near = here[i : i + 20_000]
-                at_word = begin[near, None] + wide
-                there = known[np.minimum(at_word, len(w) - 1)]
-                own_hits = (it.rare[own[cols[near], None], there] & (at_word < stop[near, None])).sum(axis=1)
-                keep[near] = own_hits >= it.need[own[cols[near]]]
-        left = np.flatnonzero(keep)
-        for i in left[np.argsort(-value[left], kind="stable")]:
-            d, item = int(docs[i]), int(own[cols[i]])
-            if (d, item) in best:
-                continue
-            lo_i, begin_i, stop_i = int(lo[i]), int(begin[i]), int(stop[i])
-            span, words = w[begin_i:stop_i].tolist(), it.words[item]
-            n = len(words)
-            common = lcs_length(words, span)
-            if common < PARAPHRASE_SHARE * n:
-                continue
-            answer = words[-max(4, n // 5) :]
-            share = lcs_length(answer, span) / len(answer)
-            kind = "copy" if common >= COPY_SHARE * n else "paraphrase" if share >= ANSWER_SHARE else None
-            if kind:
-                best[d, item] = (d, item, float(value[i]), common, n, share, begin_i - lo_i, kind)
+        for a in range(0, len(doc), _WINDOWS):
+            part = slice(a, a + _WINDOWS)
+            v = run.take(ends[part], axis=0)
+            v -= run.take(begins[part], axis=0)
+            norm = np.maximum(np.sqrt(np.einsum("ij,ij->i", v, v)), 1e-6)
+            cos = v @ q
+            rows, cols = np.divmod(np.flatnonzero(cos >= (MIN_COSINE * norm)[:, None]), len(own))
+            value.append(cos[rows, cols] / norm[rows])
+            docs.append(doc[a + rows])
+            asked.append(own[cols])
+            # word range of each window, a little wider, inside its document
+            lo.append(first[docs[-1]])
+            word = lo[-1] + (begins[a + rows] - start[docs[-1]]) * GROUP
+            begin.append(np.maximum(lo[-1], word - margin))
+            stop.append(np.minimum(first[docs[-1] + 1], word + m * GROUP + margin))
+    if not sum(map(len, docs)):
+        return []
+    docs, lo, begin, stop, asked, value = map(np.concatenate, (docs, lo, begin, stop, asked, value))
+    # rarer words of the item in the range
+    known = _known(w, it.numbers)
+    places = np.flatnonzero(known < len(it.numbers[0]) - 1)
+    known = known[places]
+    keep = np.zeros(len(docs), bool)
+    for c, word_begin, item in it.lists:
+        here = np.flatnonzero((asked >= c) & (asked < c + _ITEM_BLOCK))
+        if len(here):
+            n = _rare_counts(word_begin, item, places, known, len(w), asked[here] - c, begin[here], stop[here])
+            keep[here] = n >= it.need[asked[here]]
+    best: dict[tuple[int, int], tuple] = {}
+    left = np.flatnonzero(keep)
+    for i in left[np.argsort(-value[left], kind="stable")]:
+        d, item = int(docs[i]), int(asked[i])
+        if (d, item) in best:
+            continue
+        lo_i, begin_i, stop_i = int(lo[i]), int(begin[i]), int(stop[i])
+        span, words = w[begin_i:stop_i].tolist(), it.words[item]
+        n = len(words)
+        common = lcs_length(words, span)
+        if common < PARAPHRASE_SHARE * n:
+            continue
+        answer = words[-max(4, n // 5) :]
+        share = lcs_length(answer, span) / len(answer)
+        kind = "copy" if common >= COPY_SHARE * n else "paraphrase" if share >= ANSWER_SHARE else None
+        if kind:
+            best[d, item] = (d, item, float(value[i]), common, n, share, begin_i - lo_i, kind)
     return [best[k] for k in sorted(best)]
 
 
