@@ -44,8 +44,9 @@ MIN_COSINE = 0.4
 COMMON_SHARE = 0.3
 COPY_SHARE, PARAPHRASE_SHARE, ANSWER_SHARE = 0.75, 0.6, 0.75
 _BLOCK_ROWS = 1024
-#: Words of a numpy block (a longer text is a block of its own), rows of a chunk of a sum, items whose words are counted and windows that are compared at a time.
-_BLOCK_WORDS, _CHUNK, _ITEM_BLOCK, _WINDOWS = 1 << 16, 32, 256, 4096
+#: Words of a numpy block (a longer text is a block of its own), rows of a chunk of a sum, items whose words are counted, windows that are compared
+#: and rows that are turned at a time.
+_BLOCK_WORDS, _CHUNK, _ITEM_BLOCK, _WINDOWS, _TURNED = 1 << 16, 32, 256, 4096, 256
 #: A task of a product takes at most about this many words, so that a lost one is soon repeated.
 MAX_TASK_WORDS = 500_000_000
 
@@ -137,18 +138,14 @@ def segment_sums(rows: np.ndarray, at: np.ndarray, sizes: np.ndarray) -> np.ndar
 
 
 def running_sums(rows: np.ndarray) -> np.ndarray:
-    """The sums of the first 0, 1, ... rows. Chunks of rows are added up side by side: numpy's own running sum down the rows goes
-    through the table once for each column."""
+    """The sums of the first 0, 1, ... rows, added one after another. Parts of the table are turned on their side for it: numpy's own
+    running sum down the rows goes through the whole table once for each column."""
     n, width = rows.shape
-    chunks = -(-n // _CHUNK)
-    out = np.zeros((chunks * _CHUNK + 1, width), rows.dtype)
-    out[1 : n + 1] = rows
-    part = out[1:].reshape(chunks, _CHUNK, width)
-    for k in range(1, _CHUNK):
-        part[:, k] += part[:, k - 1]
-    if chunks > 1:
-        part[1:] += running_sums(part[:, -1])[1:-1, None]
-    return out[: n + 1]
+    out = np.zeros((n + 1, width), rows.dtype)
+    for a in range(0, n, _TURNED):
+        side = np.concatenate((out[a, None], rows[a : a + _TURNED])).T.copy()
+        out[a + 1 : a + _TURNED + 1] = np.cumsum(side, axis=1, dtype=rows.dtype, out=side)[:, 1:].T
+    return out
 
 
 def _gram_batches(q, idf):
