@@ -22,7 +22,7 @@ SLOTS = 1 << 20
 #: Longest pre-token of that table in bytes: two numbers of 8 bytes, the last of which is the length.
 MAX_SHORT = 15
 #: Characters that are cut at a time, about.
-_CUT_CHARS = 1 << 20
+_CUT_CHARS = 1 << 18
 #: Character classes: anything else, letter, number, other white space, the space.
 _OTHER, _LETTER, _NUMBER, _WHITE, _SPACE = range(5)
 _CONTRACTIONS = ("s", "t", "re", "ve", "m", "ll", "d")
